@@ -87,3 +87,275 @@ VIEW_SQL = {
         group by s.state, cast(date_trunc('year', r.date) as timestamp)
         order by 1, 2""", *R_S),
 }
+
+
+# --- operator entries ---------------------------------------------------------
+
+OBS_TYPED = ("select station, cast(cast(date as timestamp) as date) as date, datatype, "
+             "cast(value as double) as value from fx_observations")
+REQ = ("select station, min(date) as s, max(date) as e from (" + OBS_TYPED + ") "
+       "group by station")
+MONTHLY = f"""select station, greatest(cast(g as date), s) as start,
+       least(cast(g + interval 1 month as date) - 1, e) as "end"
+from (select station, s, e,
+             unnest(generate_series(cast(date_trunc('month', s) as timestamp),
+                                    cast(e as timestamp), interval 1 month)) as g
+      from ({REQ}))"""
+# Station records after D6 (+ D5 + D4) over every catalog id.
+ENRICHED_CATALOG = """select c.id, c.name, c.latitude, c.longitude, c.elevation,
+       c.elevationUnit as elevation_unit, k.code as state, c.datacoverage,
+       c.mindate, c.maxdate
+from fx_station_catalog c
+left join fx_region_cells g
+  on g.cell_lat = cast(floor(c.latitude) as int) and g.cell_lon = cast(floor(c.longitude) as int)
+left join fx_state_codes k on k.state_name = g.state_name"""
+NEW_IDS = """select distinct station as id from fx_observations
+where station is not null and station <> ''
+  and station not in (select id from fx_stations)"""
+RECORD_COLS = ("id", "name", "latitude", "longitude", "elevation", "elevation_unit",
+               "state", "datacoverage", "mindate", "maxdate")
+AS_RECORDS = ", ".join(f"cast({c} as varchar) as {c}" for c in RECORD_COLS)
+TYPED_COLS = ", ".join(RECORD_COLS)
+CAT = ("fx_station_catalog", "fx_region_cells", "fx_state_codes")
+OBS = ("fx_observations",)
+RESULT_COLS = "id, station, date, tmax, tmin, tavg, prcp"
+
+
+def _w(body: str, *views: str) -> str:
+    return with_views(body, *views)
+
+
+OPERATOR_SQL = {
+    # B
+    "periods_last_month": _w(f"""
+        select as_of, cast(date_trunc('month', as_of - interval 1 month) as date) as start,
+               last_day(cast(as_of - interval 1 month as date)) as "end"
+        from (select distinct date as as_of from ({OBS_TYPED}))""", *OBS),
+    "periods_daily": _w(f"""
+        select station, cast(g as date) as start, cast(g as date) as "end"
+        from (select station, unnest(generate_series(cast(s as timestamp), cast(e as timestamp),
+                                                     interval 1 day)) as g from ({REQ}))""", *OBS),
+    "periods_monthly": _w(MONTHLY, *OBS),
+    "periods_yearly": _w(f"""
+        select station, greatest(cast(g as date), s) as start,
+               least(cast(g + interval 1 year as date) - 1, e) as "end"
+        from (select station, s, e,
+                     unnest(generate_series(cast(date_trunc('year', s) as timestamp),
+                                            cast(e as timestamp), interval 1 year)) as g
+              from ({REQ}))""", *OBS),
+    "periods_custom": _w(f"""
+        select station, s + cast(i as integer) as start,
+               least(s + cast(i + 6 as integer), e) as "end"
+        from (select station, s, e, unnest(generate_series(0, datediff('day', s, e), 7)) as i
+              from ({REQ}))""", *OBS),
+    "expand_days": _w(f"""
+        select station, start, "end", cast(d as date) as day
+        from (select station, start, "end",
+                     unnest(generate_series(cast(start as timestamp), cast("end" as timestamp),
+                                            interval 1 day)) as d
+              from ({MONTHLY}))""", *OBS),
+    "expected_loads": _w(f"""
+        select p.station, p.start, p."end", t.datatype
+        from ({MONTHLY}) p
+        cross join (values ('TMAX'), ('TMIN'), ('TAVG'), ('PRCP')) t(datatype)
+        where not exists (
+            select 1 from ({OBS_TYPED}) o
+            where o.station = p.station and o.datatype = t.datatype
+              and date_trunc('month', o.date) = date_trunc('month', p.start))""", *OBS),
+    "expected_pages": _w(f"""
+        select datatype, year, total, o as "offset",
+               cast((o - 1) // 1000 + 1 as integer) as page
+        from (select datatype, year, total, unnest(generate_series(1, total, 1000)) as o
+              from (select datatype, cast(year(date) as integer) as year, count(*) as total
+                    from ({OBS_TYPED}) group by 1, 2))""", *OBS),
+    # C
+    "observation_key": _w(f"""
+        select station, date, datatype, value,
+               concat(replace(station, 'GHCND:', ''), '_', strftime(date, '%Y%m%d')) as id
+        from ({OBS_TYPED})""", *OBS),
+    "typed_observations": _w(OBS_TYPED, *OBS),
+    "observation_day_parts": _w("""
+        select station, date, datatype, value,
+               cast(year(cast(cast(date as timestamp) as date)) as integer) as year,
+               lpad(cast(month(cast(date as timestamp)) as varchar), 2, '0') as month,
+               lpad(cast(day(cast(date as timestamp)) as varchar), 2, '0') as day
+        from fx_observations""", *OBS),
+    "valid_station_ids": _w("""
+        select * from fx_observations where station is not null and station <> ''""", *OBS),
+    "station_projection": _w("""
+        select id, name, latitude, longitude, elevation, elevationUnit as elevation_unit,
+               datacoverage, mindate, maxdate from fx_station_catalog""", *CAT),
+    "typed_stations": _w(f"""
+        select {TYPED_COLS} from ({ENRICHED_CATALOG}) where state is not null""", *CAT),
+    "reject_stations": _w(f"""
+        select {AS_RECORDS}, 'missing state' as reason
+        from ({ENRICHED_CATALOG}) where state is null""", *CAT),
+    "conform_schema": _w(f"select {RESULT_COLS} from transformed_results",
+                         "transformed_results"),
+    "rainy_filter": _w(f"select {RESULT_COLS} from transformed_results where prcp > 0",
+                       "transformed_results"),
+    "datatype_filter": _w("select * from fx_observations where datatype in ('TMAX', 'PRCP')",
+                          *OBS),
+    "period_filter": _w(f"""
+        select * from ({OBS_TYPED})
+        where date between date '1996-01-01' and date '1998-12-31'""", *OBS),
+    # D
+    "join_observations_stations": _w(f"""
+        select r.id, r.station, r.date, r.tmax, r.tmin, r.tavg, r.prcp, s.state
+        from {RS}""", *R_S),
+    "join_annual_to_history": _w(f"""
+        , annual as (
+            select s.state, cast(date_trunc('year', r.date) as timestamp) as year,
+                   sum(r.prcp) as total_precipitation
+            from {RS} group by 1, 2)
+        select a.*, h.historical_avg_precipitation
+        from annual a join (select state, avg(total_precipitation) as historical_avg_precipitation
+                            from annual group by state) h on a.state = h.state""", *R_S),
+    "new_station_ids": _w(NEW_IDS, "fx_observations", "fx_stations"),
+    "lookup_state_code": _w("""
+        select s.id, s.state as state_name, k.code
+        from fx_stations s left join fx_state_codes k on k.state_name = s.state""",
+                            "fx_stations", "fx_state_codes"),
+    "assign_state": _w("""
+        select c.id, c.latitude, c.longitude, g.state_name
+        from fx_station_catalog c left join fx_region_cells g
+          on g.cell_lat = cast(floor(c.latitude) as int)
+         and g.cell_lon = cast(floor(c.longitude) as int)""", *CAT),
+    "enrich_stations": _w(f"""
+        select e.* from ({ENRICHED_CATALOG}) e where e.id in ({NEW_IDS})""",
+                          "fx_observations", "fx_stations", *CAT),
+    "unresolved_stations": _w(f"""
+        select id from ({NEW_IDS}) where id not in (select id from fx_station_catalog)""",
+                              "fx_observations", "fx_stations", "fx_station_catalog"),
+    # E
+    "pivot_daily": _w(f"select {RESULT_COLS} from transformed_results", "transformed_results"),
+    "distinct_station_ids": _w("""
+        select distinct station as id from fx_observations
+        where station is not null and station <> ''""", *OBS),
+    "agg_avg": _w("""select station, coalesce(avg(tavg), 0) as avg_tavg
+                     from transformed_results group by station""", "transformed_results"),
+    "agg_sum": _w("""select station, coalesce(sum(prcp), 0) as total_prcp
+                     from transformed_results group by station""", "transformed_results"),
+    "agg_min_max": _w("""select station, coalesce(max(tmax), 0) as max_tmax,
+                                coalesce(min(tmin), 0) as min_tmin
+                         from transformed_results group by station""", "transformed_results"),
+    "agg_count": _w(f"""select station, datatype, cast(count(*) as integer) as n
+                        from ({OBS_TYPED}) group by 1, 2""", *OBS),
+    "agg_count_distinct": _w(f"""select station, cast(count(distinct date) as integer) as days
+                                 from ({OBS_TYPED}) group by 1""", *OBS),
+    "agg_of_agg": _w("""
+        select station, coalesce(avg(total), 0) as mean_yearly_prcp
+        from (select station, date_trunc('year', date) as y, sum(prcp) as total
+              from transformed_results group by 1, 2)
+        group by station""", "transformed_results"),
+    "group_by_expression": _w(f"""
+        select cast(date_trunc('year', date) as timestamp) as year, {SEASON_CASE} as season,
+               cast(count(*) as integer) as station_days
+        from transformed_results group by 1, 2""", "transformed_results"),
+    "stations_by_region": _w("""
+        select coalesce(nullif(state, ''), 'unknown') as region, count(*) as stations
+        from fx_stations group by 1""", "fx_stations"),
+    "manifest_summary": _w(f"""
+        select date '2002-01-01' as last_updated, cast(count(*) as integer) as total_stations,
+               list_sort(list(distinct coalesce(nullif(state, ''), 'unknown'))) as regions,
+               cast([] as varchar[]) as files
+        from ({ENRICHED_CATALOG})""", *CAT),
+    "row_counts": _w("""
+        select 'transformed_results' as "table", count(*) as rows from transformed_results
+        union all
+        select 'transformed_stations', count(*) from transformed_stations""", *R_S),
+    "dedupe_last_wins": _w(f"""
+        select id, snapshot_date, {', '.join(c for c in RECORD_COLS if c != 'id')}
+        from (select *, row_number() over (partition by id order by snapshot_date desc) as rn
+              from (select {AS_RECORDS}, date '2001-01-01' as snapshot_date from fx_stations
+                    union all
+                    select {AS_RECORDS}, date '2002-01-01' as snapshot_date
+                    from ({ENRICHED_CATALOG})))
+        where rn = 1""", "fx_stations", *CAT),
+    # G
+    "sort_by_keys": _w(f"select {RESULT_COLS} from transformed_results order by station, date",
+                       "transformed_results"),
+    "sort_by_count_desc": _w("""
+        select station, count(*) as observations from fx_observations
+        group by station order by 2 desc, 1""", *OBS),
+    "sort_by_season": _w(f"""
+        select {SEASON_CASE} as season, coalesce(avg(tmax), 0) as avg_tmax
+        from transformed_results group by 1""", "transformed_results"),
+    "station_union": _w(f"""
+        select {AS_RECORDS} from fx_stations
+        union all
+        select {AS_RECORDS} from ({ENRICHED_CATALOG}) where id in ({NEW_IDS})""",
+                        "fx_observations", "fx_stations", *CAT),
+    "append_observations": _w(OBS_TYPED, *OBS),
+    # A
+    "scan_observations": _w(f"""
+        select station, date, datatype, value, year(d) as year, month(d) as month, day(d) as day
+        from (select *, cast(cast(date as timestamp) as date) as d from fx_observations)
+        where d between date '1996-01-01' and date '1998-12-31'""", *OBS),
+    "scan_observations_by_type": _w(f"""
+        select station, date, datatype, value, year(d) as year, month(d) as month, day(d) as day
+        from (select *, cast(cast(date as timestamp) as date) as d from fx_observations)
+        where d between date '1996-01-01' and date '1998-12-31'
+          and datatype in ('TMAX', 'PRCP')""", *OBS),
+    "explode_pages": _w("select station, date, datatype, value from fx_observations", *OBS),
+    "page_completeness": _w("""
+        select datatype, count(*) as declared, count(*) as received, true as complete
+        from fx_observations group by datatype""", *OBS),
+    "scan_station_snapshot": _w(f"""
+        select {AS_RECORDS}, date '2002-01-01' as snapshot_date,
+               coalesce(state, 'unknown') as region
+        from ({ENRICHED_CATALOG})""", *CAT),
+    "scan_table": _w(f"select {RESULT_COLS} from transformed_results", "transformed_results"),
+    "stations_from_rows": _w(f"select {AS_RECORDS} from ({ENRICHED_CATALOG})", *CAT),
+    "tolerant_scan": _w("""
+        select station, date, datatype, value, year(d) as year, month(d) as month, day(d) as day
+        from (select *, cast(cast(date as timestamp) as date) as d from fx_observations)
+        where d <> (select min(cast(cast(date as timestamp) as date)) from fx_observations)""",
+                        *OBS),
+    # H
+    "land_observations": _w("""
+        select station, date, datatype, value, year(d) as year, month(d) as month, day(d) as day
+        from (select *, cast(cast(date as timestamp) as date) as d from fx_observations)""",
+                            *OBS),
+    "write_station_snapshot": _w(f"""
+        select {AS_RECORDS}, date '2002-01-01' as snapshot_date,
+               coalesce(state, 'unknown') as region
+        from ({ENRICHED_CATALOG})""", *CAT),
+    "upsert_observations": _w(f"""
+        , raw as (select station, cast(cast(date as timestamp) as date) as d, datatype, value
+                  from fx_observations),
+        b1 as (select concat(replace(station, 'GHCND:', ''), '_', strftime(d, '%Y%m%d')) as id,
+                      station, d as date,
+                      max(case when datatype = 'TMAX' then value end) as tmax,
+                      max(case when datatype = 'TMIN' then value end) as tmin,
+                      max(case when datatype = 'TAVG' then value end) as tavg,
+                      cast(null as double) as prcp
+               from raw where datatype in ('TMAX', 'TMIN', 'TAVG') group by station, d),
+        b2 as (select concat(replace(station, 'GHCND:', ''), '_', strftime(d, '%Y%m%d')) as id,
+                      station, d as date, cast(null as double) as tmax,
+                      cast(null as double) as tmin,
+                      max(case when datatype = 'TAVG' then value end) as tavg,
+                      max(case when datatype = 'PRCP' then value end) as prcp
+               from raw where datatype in ('PRCP', 'TAVG') and d >= date '1998-01-01'
+               group by station, d)
+        select * from b1 where id not in (select id from b2)
+        union all select * from b2""", *OBS),
+    "upsert_stations": _w(f"""
+        , good as (select {TYPED_COLS} from ({ENRICHED_CATALOG}) where state is not null)
+        select {TYPED_COLS} from fx_stations where id not in (select id from good)
+        union all select * from good""", "fx_stations", *CAT),
+    "overwrite_view": VIEW_SQL["precipitation_anomaly_by_state_by_year"],
+    # J
+    "job_transform_observations": _w(f"select {RESULT_COLS} from transformed_results",
+                                     "transformed_results"),
+    "job_refresh_stations": _w(f"""
+        select {TYPED_COLS} from fx_stations
+        union all
+        select {TYPED_COLS} from ({ENRICHED_CATALOG})
+        where id in ({NEW_IDS}) and state is not null""",
+                               "fx_observations", "fx_stations", *CAT),
+    "job_presentation": " union all ".join(
+        f"select '{v}' as view, count(*) as rows from ({sql})" for v, sql in VIEW_SQL.items()),
+}
+
+ALL_SQL = {**VIEW_SQL, **OPERATOR_SQL}

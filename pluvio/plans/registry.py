@@ -1,41 +1,587 @@
 """Registered queries: one per operator of the inventory.
 
-Each entry takes ``(spark, sf_dir)`` and returns a lazy DataFrame built
-from the driver's tables through the bridge views, so its work grows with
-them. ``ORACLE`` holds the matching DuckDB SQL where one exists.
+Each entry takes ``(spark, sf_dir)`` and returns a DataFrame built from
+the driver's tables through the bridge views, so its work grows with
+them. Sink and job entries write under a fresh folder of the shared work
+area and return what they wrote, read back. ``ORACLE`` holds the matching
+DuckDB SQL where one exists (see ``oracle.py``).
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import fixtures as fx
-from ..operators.observations import pivot_daily
-from . import oracle
+from .. import functions as PF
+from ..operators import conform, joins, periods, stations
+from ..operators import observations as obs_ops
+from ..schemas import STATION_RECORD, TRANSFORMED_RESULTS
+from ..session import work_path
+from ..sinks import landing, tables
+from ..sources import observations as src
+from . import jobs, oracle
 from .views import VIEWS
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Run date used by snapshot / manifest entries (a parameter, not data).
+RUN_DATE = dt.date(2002, 1, 1)
+OLD_SNAPSHOT_DATE = dt.date(2001, 1, 1)
+# Period of the period-filter entries (the filter is the operator).
+PERIOD = (dt.date(1996, 1, 1), dt.date(1998, 12, 31))
+# Second upsert batch: PRCP and TAVG from this day on replace whole rows.
+UPSERT_FROM = dt.date(1998, 1, 1)
+
+
+# --- shared inputs ------------------------------------------------------------
 
 def curated_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(transformed_results, transformed_stations) derived from the tables."""
-    results = pivot_daily(fx.fx_observations(spark, sf_dir))
-    stations = fx.fx_stations(spark, sf_dir)
-    return results, stations
+    results = obs_ops.pivot_daily(fx.fx_observations(spark, sf_dir))
+    return results, fx.fx_stations(spark, sf_dir)
 
 
-def _view_query(name: str) -> Query:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return VIEWS[name](*curated_inputs(spark, sf_dir))
-    run.__name__ = name
-    return run
+def _typed(spark, sf):
+    good, _ = obs_ops.split_valid(obs_ops.typed_observations(fx.fx_observations(spark, sf)))
+    return good
 
 
-QUERIES: dict[str, Query] = {}
-ORACLE: dict[str, str] = {}
+def _station_requests(spark, sf, frequency: str, custom_days=None) -> DataFrame:
+    """One load request per station spanning its observed days."""
+    req = _typed(spark, sf).groupBy("station").agg(
+        F.min("date").cast("string").alias("start_date"),
+        F.max("date").cast("string").alias("end_date"))
+    return req.withColumns({"frequency": F.lit(frequency),
+                            "custom_days": F.lit(custom_days).cast("string")})
+
+
+def _periods(spark, sf, frequency, custom_days=None) -> DataFrame:
+    return periods.generate_periods(_station_requests(spark, sf, frequency, custom_days),
+                                    as_of=RUN_DATE, keep=["station"])
+
+
+def _aux(spark, sf):
+    return (fx.fx_station_catalog(spark, sf), fx.fx_region_cells(spark, sf),
+            fx.fx_state_codes(spark, sf))
+
+
+def _enriched_catalog(spark, sf) -> DataFrame:
+    catalog, cells, codes = _aux(spark, sf)
+    return stations.enrich_stations(catalog.select("id"), catalog, cells, codes)
+
+
+def _new_ids(spark, sf) -> DataFrame:
+    return joins.new_station_ids(fx.fx_observations(spark, sf), fx.fx_stations(spark, sf))
+
+
+def _enriched_new(spark, sf) -> DataFrame:
+    catalog, cells, codes = _aux(spark, sf)
+    return stations.enrich_stations(_new_ids(spark, sf), catalog, cells, codes)
+
+
+def _as_records(df: DataFrame) -> DataFrame:
+    return df.select(*[F.col(c).cast("string").alias(c) for c in stations.RECORD_COLUMNS])
+
+
+def _scratch(spark, name: str) -> str:
+    return work_path(spark, "queries", name, unique=True)
+
+
+def _landed(spark, sf, name: str) -> str:
+    root = _scratch(spark, name) + "/raw/results"
+    landing.land_observations(fx.fx_observations(spark, sf), root)
+    return root
+
+
+# --- B: periods ---------------------------------------------------------------
+
+def q_periods_last_month(spark, sf):
+    days = _typed(spark, sf).select(F.col("date").alias("as_of")).distinct()
+    return periods.periods_last_month(days)
+
+
+def q_periods_daily(spark, sf):
+    return _periods(spark, sf, periods.DAILY)
+
+
+def q_periods_monthly(spark, sf):
+    return _periods(spark, sf, periods.MONTHLY)
+
+
+def q_periods_yearly(spark, sf):
+    return _periods(spark, sf, periods.YEARLY)
+
+
+def q_periods_custom(spark, sf):
+    return _periods(spark, sf, "custom", 7)
+
+
+def q_expand_days(spark, sf):
+    return periods.expand_days(_periods(spark, sf, periods.MONTHLY))
+
+
+def q_expected_loads(spark, sf):
+    """(station, monthly period, datatype) pairs with nothing landed."""
+    exp = periods.expected_loads(_periods(spark, sf, periods.MONTHLY)) \
+        .withColumn("m", F.trunc("start", "MM"))
+    landed = _typed(spark, sf).select("station", F.trunc("date", "MM").alias("m"),
+                                      "datatype").distinct()
+    return exp.join(landed, ["station", "m", "datatype"], "left_anti").drop("m")
+
+
+def q_expected_pages(spark, sf):
+    totals = (_typed(spark, sf).groupBy("datatype", F.year("date").alias("year"))
+              .agg(F.count(F.lit(1)).alias("total")))
+    return periods.expected_pages(totals)
+
+
+# --- C: projections / filters ---------------------------------------------------
+
+def q_observation_key(spark, sf):
+    return obs_ops.observation_key(_typed(spark, sf))
+
+
+def q_typed_observations(spark, sf):
+    return _typed(spark, sf)
+
+
+def q_observation_day_parts(spark, sf):
+    return obs_ops.observation_day_parts(fx.fx_observations(spark, sf))
+
+
+def q_valid_station_ids(spark, sf):
+    return stations.valid_station_ids(fx.fx_observations(spark, sf))
+
+
+def q_station_projection(spark, sf):
+    return stations.station_projection(fx.fx_station_catalog(spark, sf))
+
+
+def q_typed_stations(spark, sf):
+    good, _rejects = stations.typed_stations(_as_records(_enriched_catalog(spark, sf)))
+    return good
+
+
+def q_reject_stations(spark, sf):
+    _good, rejects = stations.typed_stations(_as_records(_enriched_catalog(spark, sf)))
+    return rejects
+
+
+def q_conform_schema(spark, sf):
+    results, _ = curated_inputs(spark, sf)
+    return conform.conform_schema(results, TRANSFORMED_RESULTS)
+
+
+def q_rainy_filter(spark, sf):
+    results, _ = curated_inputs(spark, sf)
+    return obs_ops.rainy_filter(results)
+
+
+def q_datatype_filter(spark, sf):
+    return obs_ops.datatype_filter(fx.fx_observations(spark, sf), ["TMAX", "PRCP"])
+
+
+def q_period_filter(spark, sf):
+    return obs_ops.period_filter(_typed(spark, sf), *PERIOD)
+
+
+# --- D: joins ---------------------------------------------------------------------
+
+def q_join_observations_stations(spark, sf):
+    return joins.join_observations_stations(*curated_inputs(spark, sf))
+
+
+def q_join_annual_to_history(spark, sf):
+    rs = joins.join_observations_stations(*curated_inputs(spark, sf))
+    annual = rs.groupBy("state", PF.year_start("date").alias("year")).agg(
+        F.sum("prcp").alias("total_precipitation"))
+    return joins.join_annual_to_history(annual)
+
+
+def q_new_station_ids(spark, sf):
+    return _new_ids(spark, sf)
+
+
+def q_lookup_state_code(spark, sf):
+    s = fx.fx_stations(spark, sf).select("id", F.col("state").alias("state_name"))
+    return joins.lookup_state_code(s, fx.fx_state_codes(spark, sf), out="code")
+
+
+def q_assign_state(spark, sf):
+    cat = fx.fx_station_catalog(spark, sf).select("id", "latitude", "longitude")
+    return joins.assign_state(cat, fx.fx_region_cells(spark, sf))
+
+
+def q_enrich_stations(spark, sf):
+    return _enriched_new(spark, sf)
+
+
+def q_unresolved_stations(spark, sf):
+    return stations.unresolved_stations(_new_ids(spark, sf), fx.fx_station_catalog(spark, sf))
+
+
+# --- E: aggregations -----------------------------------------------------------------
+
+def q_pivot_daily(spark, sf):
+    return obs_ops.pivot_daily(fx.fx_observations(spark, sf))
+
+
+def q_distinct_station_ids(spark, sf):
+    return joins.distinct_station_ids(fx.fx_observations(spark, sf))
+
+
+def q_agg_avg(spark, sf):
+    r, _ = curated_inputs(spark, sf)
+    return r.groupBy("station").agg(PF.zero_if_null(F.avg("tavg")).alias("avg_tavg"))
 
+
+def q_agg_sum(spark, sf):
+    r, _ = curated_inputs(spark, sf)
+    return r.groupBy("station").agg(PF.zero_if_null(F.sum("prcp")).alias("total_prcp"))
+
+
+def q_agg_min_max(spark, sf):
+    r, _ = curated_inputs(spark, sf)
+    return r.groupBy("station").agg(PF.zero_if_null(F.max("tmax")).alias("max_tmax"),
+                                    PF.zero_if_null(F.min("tmin")).alias("min_tmin"))
+
+
+def q_agg_count(spark, sf):
+    return (_typed(spark, sf).groupBy("station", "datatype")
+            .agg(F.count(F.lit(1)).cast("int").alias("n")))
+
+
+def q_agg_count_distinct(spark, sf):
+    return (_typed(spark, sf).groupBy("station")
+            .agg(F.count_distinct("date").cast("int").alias("days")))
+
+
+def q_agg_of_agg(spark, sf):
+    r, _ = curated_inputs(spark, sf)
+    yearly = r.groupBy("station", PF.year_start("date").alias("year")).agg(
+        F.sum("prcp").alias("total"))
+    return yearly.groupBy("station").agg(PF.zero_if_null(F.avg("total")).alias("mean_yearly_prcp"))
+
+
+def q_group_by_expression(spark, sf):
+    r, _ = curated_inputs(spark, sf)
+    return (r.groupBy(PF.year_start("date").alias("year"), PF.season("date").alias("season"))
+            .agg(F.count(F.lit(1)).cast("int").alias("station_days")))
+
+
+def q_stations_by_region(spark, sf):
+    return stations.stations_by_region(fx.fx_stations(spark, sf))
+
+
+def q_manifest_summary(spark, sf):
+    return stations.manifest_summary(_enriched_catalog(spark, sf), RUN_DATE)
+
+
+def q_row_counts(spark, sf):
+    r, s = curated_inputs(spark, sf)
+    return (r.agg(F.count(F.lit(1)).alias("rows")).select(F.lit("transformed_results").alias("table"), "rows")
+            .unionByName(s.agg(F.count(F.lit(1)).alias("rows"))
+                         .select(F.lit("transformed_stations").alias("table"), "rows")))
+
+
+def _two_snapshots(spark, sf) -> DataFrame:
+    old = _as_records(fx.fx_stations(spark, sf)).withColumn(
+        "snapshot_date", F.lit(OLD_SNAPSHOT_DATE))
+    new = _as_records(_enriched_catalog(spark, sf)).withColumn(
+        "snapshot_date", F.lit(RUN_DATE))
+    return old.unionByName(new)
+
+
+def q_dedupe_last_wins(spark, sf):
+    return stations.dedupe_last_wins(_two_snapshots(spark, sf), "id", ("snapshot_date",))
+
+
+# --- G: sorts, unions --------------------------------------------------------------------
+
+def q_sort_by_keys(spark, sf):
+    r, _ = curated_inputs(spark, sf)
+    return r.orderBy("station", "date")
+
+
+def q_sort_by_count_desc(spark, sf):
+    return (fx.fx_observations(spark, sf).groupBy("station")
+            .agg(F.count(F.lit(1)).alias("observations"))
+            .orderBy(F.desc("observations"), "station"))
+
+
+def q_sort_by_season(spark, sf):
+    r, _ = curated_inputs(spark, sf)
+    return (r.groupBy(PF.season("date").alias("season"))
+            .agg(PF.zero_if_null(F.avg("tmax")).alias("avg_tmax"))
+            .orderBy(PF.season_rank("season")))
+
+
+def q_station_union(spark, sf):
+    return stations.station_union(_as_records(fx.fx_stations(spark, sf)),
+                                  _as_records(_enriched_new(spark, sf)))
+
+
+def q_append_observations(spark, sf):
+    typed = _typed(spark, sf)
+    parts = [typed.where(F.col("datatype") == t) for t in ("TMAX", "TMIN", "TAVG", "PRCP")]
+    return obs_ops.append_observations(*parts)
+
+
+# --- A: sources ---------------------------------------------------------------------------
+
+def q_scan_observations(spark, sf):
+    return src.scan_observations(spark, _landed(spark, sf, "scan"), *PERIOD)
+
+
+def q_scan_observations_by_type(spark, sf):
+    root = _landed(spark, sf, "scan-by-type")
+    return src.scan_observations_by_type(spark, root, *PERIOD, ["TMAX", "PRCP"])
+
+
+def _land_pages(spark, sf, name: str) -> str:
+    """Land the observations as API page envelopes of at most 1,000 rows.
+
+    A page is a run of at most 1,000 consecutive rows of one input task
+    (position from ``monotonically_increasing_id``), so every page is
+    bounded and no group is gathered in one task. Each envelope declares
+    its datatype's total, as the API does.
+    """
+    obs = fx.fx_observations(spark, sf).withColumn("_mid", F.monotonically_increasing_id())
+    pos = F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))
+    part = F.shiftright(F.col("_mid"), 33)
+    paged = obs.withColumn("_page", F.concat_ws("-", part, F.floor(pos / 1000)))
+    totals = obs.groupBy("datatype").agg(F.count(F.lit(1)).alias("count"))
+    pages = (paged.groupBy("datatype", "_page")
+             .agg(F.collect_list(F.struct("station", "date", "datatype",
+                                          F.lit(None).cast("string").alias("attributes"),
+                                          "value")).alias("results"))
+             .join(joins.bounded_broadcast(totals, 10_000), "datatype")
+             .select("datatype", F.struct(F.struct(
+                 F.lit(1).cast("long").alias("offset"), F.col("count"),
+                 F.lit(1000).cast("long").alias("limit")).alias("resultset")).alias("metadata"),
+                 "results"))
+    root = _scratch(spark, name) + "/raw/pages"
+    pages.write.mode("overwrite").partitionBy("datatype").json(root)
+    return root
+
+
+def q_explode_pages(spark, sf):
+    pages = src.read_pages(spark, _land_pages(spark, sf, "pages"))
+    return src.explode_pages(pages).select("station", "date", "datatype", "value")
+
+
+def q_page_completeness(spark, sf):
+    pages = src.read_pages(spark, _land_pages(spark, sf, "pages-check"))
+    return src.page_completeness(pages, ["datatype"]).drop("pages")
+
+
+def _snapshot_layout(spark, sf, name: str) -> jobs.Layout:
+    layout = jobs.Layout(_scratch(spark, name))
+    current = _as_records(_enriched_catalog(spark, sf))
+    landing.write_station_snapshot(current, layout.raw_stations, RUN_DATE)
+    landing.write_manifest(spark, layout.raw_stations, layout.manifest, RUN_DATE, current)
+    return layout
+
+
+def q_scan_station_snapshot(spark, sf):
+    layout = _snapshot_layout(spark, sf, "snapshot-scan")
+    return landing.scan_station_snapshot(spark, layout.raw_stations, layout.manifest)
+
+
+def q_scan_table(spark, sf):
+    r, _ = curated_inputs(spark, sf)
+    path = _scratch(spark, "scan-table") + "/transformed_results"
+    tables.upsert_observations(r, path)
+    df = tables.read_table(spark, path, "transformed_results")
+    df.createOrReplaceTempView("transformed_results")
+    return spark.table("transformed_results").select(*TRANSFORMED_RESULTS.fieldNames())
+
+
+def q_stations_from_rows(spark, sf):
+    path = _scratch(spark, "station-rows")
+    _as_records(_enriched_catalog(spark, sf)).write.mode("overwrite").json(path)
+    return spark.read.schema(STATION_RECORD).json(path)
+
+
+def q_tolerant_scan(spark, sf):
+    """Land, then drop one unreadable file into the first observed day: that
+    whole day (every datatype) must disappear from the scan."""
+    root = _landed(spark, sf, "tolerant")
+    first = _typed(spark, sf).agg(F.min("date").alias("d")).first()["d"]
+    bad_dir = (f"{root}/datatype=TMAX/year={first.year}/month={first.month:02d}"
+               f"/day={first.day:02d}")
+    (fx.fx_observations(spark, sf).limit(1)
+     .select(F.lit("{ this line is not json").alias("value"))
+     .write.mode("append").text(bad_dir))
+    rows, _bad = src.tolerant_scan(spark, root)
+    return rows
+
+
+# --- H: sinks ---------------------------------------------------------------------------------
+
+def q_land_observations(spark, sf):
+    return src.scan_observations(spark, _landed(spark, sf, "land"))
+
+
+def q_write_station_snapshot(spark, sf):
+    layout = _snapshot_layout(spark, sf, "snapshot-write")
+    return landing.read_snapshot(spark, layout.raw_stations)
+
+
+def q_write_manifest(spark, sf):
+    layout = _snapshot_layout(spark, sf, "manifest")
+    return landing.read_manifest(spark, layout.manifest)
+
+
+def _upsert_batches(spark, sf):
+    raw = fx.fx_observations(spark, sf)
+    b1 = obs_ops.pivot_daily(raw.where(F.col("datatype").isin("TMAX", "TMIN", "TAVG")))
+    b2 = obs_ops.pivot_daily(raw.where(F.col("datatype").isin("PRCP", "TAVG")))
+    b2 = b2.where(F.col("date") >= F.lit(UPSERT_FROM))
+    return b1, b2
+
+
+def q_upsert_observations(spark, sf):
+    b1, b2 = _upsert_batches(spark, sf)
+    path = _scratch(spark, "upsert-results") + "/transformed_results"
+    tables.upsert_observations(b1, path)
+    tables.upsert_observations(b2, path)
+    return tables.read_table(spark, path, "transformed_results").select(
+        *TRANSFORMED_RESULTS.fieldNames())
+
+
+def q_upsert_stations(spark, sf):
+    path = _scratch(spark, "upsert-stations") + "/transformed_stations"
+    tables.upsert_stations(fx.fx_stations(spark, sf), path)
+    good, _ = stations.typed_stations(_as_records(_enriched_catalog(spark, sf)))
+    tables.upsert_stations(good, path)
+    return tables.read_table(spark, path, "transformed_stations")
+
+
+def q_overwrite_view(spark, sf):
+    name = "precipitation_anomaly_by_state_by_year"
+    path = _scratch(spark, "view") + f"/presentation_{name}"
+    tables.overwrite_view(VIEWS[name](*curated_inputs(spark, sf)), path, name)
+    return spark.read.parquet(path)
+
+
+# --- J: jobs -------------------------------------------------------------------------------------
+
+def q_job_transform_observations(spark, sf):
+    layout = jobs.Layout(_scratch(spark, "job-obs"))
+    landing.land_observations(fx.fx_observations(spark, sf), layout.raw_results)
+    bounds = _typed(spark, sf).agg(F.min("date").alias("s"), F.max("date").alias("e")).first()
+    jobs.job_transform_observations(spark, layout, bounds["s"], bounds["e"])
+    return tables.read_table(spark, layout.results, "transformed_results").select(
+        *TRANSFORMED_RESULTS.fieldNames())
+
+
+def q_job_refresh_stations(spark, sf):
+    """Seed snapshot + dimension with the known stations, then refresh from
+    the observations: only the new, resolvable stations are added."""
+    layout = jobs.Layout(_scratch(spark, "job-stations"))
+    known = _as_records(fx.fx_stations(spark, sf))
+    landing.write_station_snapshot(known, layout.raw_stations, OLD_SNAPSHOT_DATE)
+    landing.write_manifest(spark, layout.raw_stations, layout.manifest, OLD_SNAPSHOT_DATE, known)
+    tables.upsert_stations(fx.fx_stations(spark, sf), layout.stations)
+    catalog, cells, codes = _aux(spark, sf)
+    jobs.job_refresh_stations(spark, layout, fx.fx_observations(spark, sf),
+                              catalog, cells, codes, RUN_DATE)
+    return tables.read_table(spark, layout.stations, "transformed_stations")
+
+
+def q_job_presentation(spark, sf):
+    layout = jobs.Layout(_scratch(spark, "job-presentation"))
+    r, s = curated_inputs(spark, sf)
+    tables.upsert_observations(r, layout.results)
+    tables.upsert_stations(s, layout.stations)
+    counts = jobs.job_presentation(spark, layout)
+    parts = [spark.read.parquet(layout.presentation(v)).agg(
+        F.count(F.lit(1)).alias("rows")).select(F.lit(v).alias("view"), "rows")
+        for v in counts]
+    return obs_ops.append_observations(*parts)
+
+
+QUERIES: dict[str, Query] = {}
 for _name in VIEWS:
-    QUERIES[_name] = _view_query(_name)
-    ORACLE[_name] = oracle.VIEW_SQL[_name]
+    def _view_query(spark, sf, _n=_name):
+        return VIEWS[_n](*curated_inputs(spark, sf))
+    QUERIES[_name] = _view_query
+
+QUERIES.update({
+    # A
+    "scan_observations": q_scan_observations,
+    "explode_pages": q_explode_pages,
+    "page_completeness": q_page_completeness,
+    "scan_observations_by_type": q_scan_observations_by_type,
+    "scan_station_snapshot": q_scan_station_snapshot,
+    "scan_table": q_scan_table,
+    "stations_from_rows": q_stations_from_rows,
+    "tolerant_scan": q_tolerant_scan,
+    # B
+    "periods_last_month": q_periods_last_month,
+    "periods_daily": q_periods_daily,
+    "periods_monthly": q_periods_monthly,
+    "periods_yearly": q_periods_yearly,
+    "periods_custom": q_periods_custom,
+    "expand_days": q_expand_days,
+    "expected_loads": q_expected_loads,
+    "expected_pages": q_expected_pages,
+    # C
+    "observation_key": q_observation_key,
+    "typed_observations": q_typed_observations,
+    "observation_day_parts": q_observation_day_parts,
+    "valid_station_ids": q_valid_station_ids,
+    "station_projection": q_station_projection,
+    "typed_stations": q_typed_stations,
+    "reject_stations": q_reject_stations,
+    "conform_schema": q_conform_schema,
+    "rainy_filter": q_rainy_filter,
+    "datatype_filter": q_datatype_filter,
+    "period_filter": q_period_filter,
+    # D
+    "join_observations_stations": q_join_observations_stations,
+    "join_annual_to_history": q_join_annual_to_history,
+    "new_station_ids": q_new_station_ids,
+    "lookup_state_code": q_lookup_state_code,
+    "assign_state": q_assign_state,
+    "enrich_stations": q_enrich_stations,
+    "unresolved_stations": q_unresolved_stations,
+    # E
+    "pivot_daily": q_pivot_daily,
+    "distinct_station_ids": q_distinct_station_ids,
+    "agg_avg": q_agg_avg,
+    "agg_sum": q_agg_sum,
+    "agg_min_max": q_agg_min_max,
+    "agg_count": q_agg_count,
+    "agg_count_distinct": q_agg_count_distinct,
+    "agg_of_agg": q_agg_of_agg,
+    "group_by_expression": q_group_by_expression,
+    "stations_by_region": q_stations_by_region,
+    "manifest_summary": q_manifest_summary,
+    "row_counts": q_row_counts,
+    "dedupe_last_wins": q_dedupe_last_wins,
+    # G
+    "sort_by_keys": q_sort_by_keys,
+    "sort_by_count_desc": q_sort_by_count_desc,
+    "sort_by_season": q_sort_by_season,
+    "station_union": q_station_union,
+    "append_observations": q_append_observations,
+    # H
+    "land_observations": q_land_observations,
+    "write_station_snapshot": q_write_station_snapshot,
+    "write_manifest": q_write_manifest,
+    "upsert_observations": q_upsert_observations,
+    "upsert_stations": q_upsert_stations,
+    "overwrite_view": q_overwrite_view,
+    # J
+    "job_transform_observations": q_job_transform_observations,
+    "job_refresh_stations": q_job_refresh_stations,
+    "job_presentation": q_job_presentation,
+})
+
+ORACLE: dict[str, str] = {k: v for k, v in oracle.ALL_SQL.items() if k in QUERIES}

@@ -28,9 +28,9 @@ RAW_OBSERVATION = _schema(
 )
 
 # A page envelope: declared total plus the page's results.
+RESULTSET = _schema(("offset", L, True), ("count", L, True), ("limit", L, True))
 PAGE_ENVELOPE = _schema(
-    ("metadata", _schema(("resultset", _schema(
-        ("offset", L, True), ("count", L, True), ("limit", L, True))), True)), True),
+    ("metadata", _schema(("resultset", RESULTSET, True)), True),
     ("results", T.ArrayType(RAW_OBSERVATION), True),
 )
 
