@@ -27,13 +27,14 @@ class Layout:
     """Where a deployment keeps its data (all paths on shared storage)."""
 
     root: str
+    raw: str | None = None  # landed raw observations, if kept elsewhere
 
     def _p(self, *parts: str) -> str:
         return "/".join([self.root.rstrip("/"), *parts])
 
     @property
     def raw_results(self) -> str:
-        return self._p("raw", "results")
+        return self.raw or self._p("raw", "results")
 
     @property
     def raw_stations(self) -> str:

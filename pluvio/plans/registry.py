@@ -91,9 +91,19 @@ def _scratch(spark, name: str) -> str:
     return work_path(spark, "queries", name, unique=True)
 
 
-def _landed(spark, sf, name: str) -> str:
+_LANDED: dict[tuple[int, str], str] = {}
+
+
+def _landed(spark, sf, name: str, shared: bool = True) -> str:
+    """Land the observations as raw day files; read-only users share one
+    landed copy per session and input folder."""
+    key = (id(spark), sf)
+    if shared and key in _LANDED:
+        return _LANDED[key]
     root = _scratch(spark, name) + "/raw/results"
     landing.land_observations(fx.fx_observations(spark, sf), root)
+    if shared:
+        _LANDED[key] = root
     return root
 
 
@@ -410,7 +420,7 @@ def q_stations_from_rows(spark, sf):
 def q_tolerant_scan(spark, sf):
     """Land, then drop one unreadable file into the first observed day: that
     whole day (every datatype) must disappear from the scan."""
-    root = _landed(spark, sf, "tolerant")
+    root = _landed(spark, sf, "tolerant", shared=False)
     first = _typed(spark, sf).agg(F.min("date").alias("d")).first()["d"]
     bad_dir = (f"{root}/datatype=TMAX/year={first.year}/month={first.month:02d}"
                f"/day={first.day:02d}")
@@ -424,7 +434,7 @@ def q_tolerant_scan(spark, sf):
 # --- H: sinks ---------------------------------------------------------------------------------
 
 def q_land_observations(spark, sf):
-    return src.scan_observations(spark, _landed(spark, sf, "land"))
+    return src.scan_observations(spark, _landed(spark, sf, "land", shared=False))
 
 
 def q_write_station_snapshot(spark, sf):
@@ -472,8 +482,7 @@ def q_overwrite_view(spark, sf):
 # --- J: jobs -------------------------------------------------------------------------------------
 
 def q_job_transform_observations(spark, sf):
-    layout = jobs.Layout(_scratch(spark, "job-obs"))
-    landing.land_observations(fx.fx_observations(spark, sf), layout.raw_results)
+    layout = jobs.Layout(_scratch(spark, "job-obs"), raw=_landed(spark, sf, "job-obs"))
     bounds = _typed(spark, sf).agg(F.min("date").alias("s"), F.max("date").alias("e")).first()
     jobs.job_transform_observations(spark, layout, bounds["s"], bounds["e"])
     return tables.read_table(spark, layout.results, "transformed_results").select(

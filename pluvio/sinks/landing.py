@@ -20,15 +20,21 @@ def land_observations(observations: DataFrame, root: str,
     ``datatype=/year=/month=/day=`` (month and day zero-padded).
 
     A rerun replaces exactly the (datatype, day) folders it writes and
-    leaves every other day alone (dynamic partition overwrite). No shuffle
-    is added: each task writes its rows into the folders they belong to,
-    sorted locally by partition; ``maxRecordsPerFile`` bounds file size.
+    leaves every other day alone (dynamic partition overwrite).
+
+    Rows are range-partitioned on the folder keys first: each task then
+    writes a contiguous run of folders (about one file per folder instead
+    of one per task and folder), and the sampled range bounds split a day
+    that holds a large share of the rows over several tasks instead of
+    sending it to one. ``maxRecordsPerFile`` bounds file size.
     """
     d = F.col("date").try_cast("timestamp_ntz").cast("date")
     parts = PF.day_parts(d)
     out = observations.select("station", "date", "datatype", "value",
                               parts["year"].alias("year"), parts["month"].alias("month"),
                               parts["day"].alias("day")).where(d.isNotNull())
+    n = int(observations.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    out = out.repartitionByRange(n, *OBS_PARTITIONS, "station")
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .option("maxRecordsPerFile", max_records_per_file)
      .partitionBy(*OBS_PARTITIONS).json(root))
