@@ -12,11 +12,12 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.conform import ContractError, conform_schema, null_violations
+from ..operators.joins import bounded_broadcast
 from ..schemas import PARTITIONING, PRESENTATION, TRANSFORMED_RESULTS, TRANSFORMED_STATIONS
 from ..session import work_path
 
@@ -96,8 +97,18 @@ def check_required(df: DataFrame, schema: T.StructType) -> None:
 
 def stage(df: DataFrame, spark: SparkSession, label: str, partition_by=None) -> DataFrame:
     """Write ``df`` to a fresh folder under the shared work area and return
-    the re-read copy (cuts lineage; survives executor loss)."""
+    the re-read copy (cuts lineage; survives executor loss).
+
+    With ``partition_by``, rows are range-partitioned on those columns
+    (plus the first other column as a tie-breaker) before the write: each
+    task writes a contiguous run of folders, so a folder gets a few files
+    instead of one per task, and a folder holding a large share of the
+    rows is split over several tasks.
+    """
     path = work_path(spark, "stage", label, unique=True)
+    if partition_by:
+        tie = [c for c in df.columns if c not in partition_by][:1]
+        df = df.repartitionByRange(*partition_by, *tie)
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -106,16 +117,35 @@ def stage(df: DataFrame, spark: SparkSession, label: str, partition_by=None) ->
         spark.read.parquet(path)
 
 
+def stage_checked(df: DataFrame, schema: T.StructType, label: str,
+                  partition_by=None) -> tuple[DataFrame, int]:
+    """Stage ``df`` (already conformed to ``schema``) and, in the same job,
+    count its rows and the NULLs of each required column (``observe``).
+    Raises ``ContractError`` before anything downstream is touched."""
+    spark = df.sparkSession
+    obs = Observation(f"contract-{label}")
+    req = [f.name for f in schema.fields if not f.nullable]
+    observed = df.observe(obs, F.count(F.lit(1)).alias("_rows"),
+                          *[F.count_if(F.col(c).isNull()).alias(c) for c in req])
+    staged = stage(observed, spark, label, partition_by)
+    metrics = obs.get
+    bad = {k: v for k, v in metrics.items() if k != "_rows" and v}
+    if bad:
+        raise ContractError(f"NULL in required columns of {label}: {bad}")
+    return staged, int(metrics.get("_rows", 0))
+
+
 def overwrite_view(df: DataFrame, path: str, view: str) -> int:
     """Replace a presentation table with ``df`` conformed to its contract.
-    Returns the number of rows written (observed during the write)."""
+
+    The result is staged (with the contract check and the row count taken
+    during that same write) and then copied over the table, so a failing
+    check never empties the published table. Returns the rows written.
+    """
     schema = PRESENTATION[view.removeprefix("presentation_")]
-    out = conform_schema(df, schema)
-    check_required(out, schema)
-    spark = df.sparkSession
-    staged = stage(out, spark, f"view-{view}")
+    staged, rows = stage_checked(conform_schema(df, schema), schema, f"view-{view}")
     staged.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
-    return spark.read.parquet(path).count()
+    return rows
 
 
 def upsert_observations(new: DataFrame, path: str) -> dict:
@@ -127,17 +157,16 @@ def upsert_observations(new: DataFrame, path: str) -> dict:
     NULLs included. An empty batch writes nothing.
     """
     spark = new.sparkSession
-    batch = conform_schema(new, TRANSFORMED_RESULTS)
-    batch = stage(_with_partition_columns(batch, "transformed_results"), spark, "results-batch")
-    if batch.isEmpty():
+    batch = _with_partition_columns(conform_schema(new, TRANSFORMED_RESULTS), "transformed_results")
+    batch, rows = stage_checked(batch, TRANSFORMED_RESULTS, "results-batch")
+    if rows == 0:
         return {"written": False, "rows": 0}
-    check_required(batch, TRANSFORMED_RESULTS)
     touched = batch.select("year", "month").distinct()
     existing = read_table(spark, path, "transformed_results")
     if "year" not in existing.columns:
         existing = _with_partition_columns(existing, "transformed_results")
-    # Touched months are bounded by the batch's period: broadcast is safe.
-    existing = existing.join(F.broadcast(touched), ["year", "month"], "left_semi")
+    # At most one row per month of the batch's period: a proven bound.
+    existing = existing.join(bounded_broadcast(touched, 100_000), ["year", "month"], "left_semi")
     kept = existing.join(batch.select("id"), "id", "left_anti")
     cols = TRANSFORMED_RESULTS.fieldNames() + ["year", "month"]
     merged = kept.select(*cols).unionByName(batch.select(*cols))
@@ -145,7 +174,7 @@ def upsert_observations(new: DataFrame, path: str) -> dict:
     (merged.select(*cols).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy("year", "month").parquet(path))
-    return {"written": True, "rows": batch.count()}
+    return {"written": True, "rows": rows}
 
 
 def upsert_stations(new: DataFrame, path: str) -> dict:
@@ -155,19 +184,18 @@ def upsert_stations(new: DataFrame, path: str) -> dict:
     done per partition: the whole table is merged, staged, then swapped.
     """
     spark = new.sparkSession
-    batch = conform_schema(new, TRANSFORMED_STATIONS)
-    batch = stage(batch, spark, "stations-batch")
-    if batch.isEmpty():
+    batch, rows = stage_checked(conform_schema(new, TRANSFORMED_STATIONS),
+                                TRANSFORMED_STATIONS, "stations-batch")
+    if rows == 0:
         return {"written": False, "rows": 0}
-    check_required(batch, TRANSFORMED_STATIONS)
     existing = read_table(spark, path, "transformed_stations")
     cols = TRANSFORMED_STATIONS.fieldNames()
     merged = existing.select(*cols).join(batch.select("id"), "id", "left_anti") \
         .unionByName(batch.select(*cols))
-    merged = stage(merged, spark, "stations-merged")
+    merged = stage(merged, spark, "stations-merged", partition_by=["state"])
     (merged.select(*cols).write.mode("overwrite").option("partitionOverwriteMode", "static")
      .partitionBy("state").parquet(path))
-    return {"written": True, "rows": batch.count()}
+    return {"written": True, "rows": rows}
 
 
 def today_utc() -> _dt.date:
