@@ -156,8 +156,11 @@ from (select station, cast(cast(date as timestamp) as date) as d, datatype, valu
 group by station, d"""
 
 
-def with_views(body: str, *views: str) -> str:
-    """Prefix ``body`` with the named bridge views as CTEs (DuckDB)."""
+def with_views(body: str, *views: str, overrides: dict | None = None) -> str:
+    """Prefix ``body`` with the named bridge views as CTEs (DuckDB).
+
+    ``overrides`` maps a view name to ``(sql, dependencies)``.
+    """
     known = {
         "fx_observations": SQL_FX_OBSERVATIONS,
         "fx_stations": SQL_FX_STATIONS,
@@ -170,6 +173,8 @@ def with_views(body: str, *views: str) -> str:
     needed: list[str] = []
     deps = {"transformed_results": ["fx_observations"],
             "transformed_stations": ["fx_stations"]}
+    for name, (sql, dep) in (overrides or {}).items():
+        known[name], deps[name] = sql, list(dep)
     for v in views:
         for d in deps.get(v, []):
             if d not in needed:

@@ -116,18 +116,21 @@ def job_presentation(spark: SparkSession, layout: Layout, views=None) -> dict[st
     return counts
 
 
-def job_pipeline(spark: SparkSession, layout: Layout, raw_observations: DataFrame,
+def job_pipeline(spark: SparkSession, layout: Layout, raw_observations: DataFrame | None,
                  requests: DataFrame, catalog: DataFrame, cells: DataFrame,
                  codes: DataFrame, as_of=None, run_date=None) -> dict:
     """Periods -> land -> observations -> stations -> presentation.
 
     All periods are handled by one scan over their overall range.
+    ``raw_observations`` is landed first unless it is None (already landed
+    under ``layout.raw_results``).
     """
     periods = generate_periods(requests, as_of)
     bounds = periods.agg(F.min("start").alias("s"), F.max("end").alias("e")).first()
     if bounds["s"] is None:
         return {"periods": 0}
-    landing.land_observations(raw_observations, layout.raw_results)
+    if raw_observations is not None:
+        landing.land_observations(raw_observations, layout.raw_results)
     obs = job_transform_observations(spark, layout, bounds["s"], bounds["e"])
     seen = tables.read_table(spark, layout.results, "transformed_results")
     st = job_refresh_stations(spark, layout, seen, catalog, cells, codes, run_date)

@@ -17,52 +17,52 @@ SEASON_CASE = """case when extract(month from date) in (12, 1, 2) then 'Verão'
                       when extract(month from date) in (6, 7, 8) then 'Inverno'
                       else 'Primavera' end"""
 
-VIEW_SQL = {
-    "monthly_avg_temp": with_views(f"""
+VIEW_BODIES = {
+    "monthly_avg_temp": (f"""
         select s.state, cast(date_trunc('month', r.date) as timestamp) as month,
                coalesce(avg(r.tavg), 0) as avg_temp
         from {RS}
         group by s.state, cast(date_trunc('month', r.date) as timestamp)
-        order by 1, 2""", *R_S),
-    "station_summary": with_views(f"""
+        order by 1, 2"""),
+    "station_summary": (f"""
         select r.station as station_id, s.state,
                cast(count(*) as integer) as total_measurements,
                coalesce(avg(r.tavg), 0) as avg_temp
         from {RS}
         group by r.station, s.state
-        order by total_measurements desc""", *R_S),
-    "total_stations_by_state": with_views("""
+        order by total_measurements desc"""),
+    "total_stations_by_state": ("""
         select state, cast(count(*) as integer) as total_stations
         from transformed_stations group by state
-        order by total_stations desc""", *R_S),
-    "total_measurements_by_station": with_views("""
+        order by total_stations desc"""),
+    "total_measurements_by_station": ("""
         select station as station_id, cast(count(*) as integer) as total_measurements
         from transformed_results group by station
-        order by total_measurements desc""", *R_S),
-    "precipitation_by_state_by_year": with_views(f"""
+        order by total_measurements desc"""),
+    "precipitation_by_state_by_year": (f"""
         select s.state, cast(date_trunc('year', r.date) as timestamp) as year,
                coalesce(sum(r.prcp), 0) as total_precipitation
         from {RS}
         group by s.state, cast(date_trunc('year', r.date) as timestamp)
-        order by 1, 2""", *R_S),
-    "central_tendence_tmin_tmax_by_month": with_views("""
+        order by 1, 2"""),
+    "central_tendence_tmin_tmax_by_month": ("""
         select cast(date_trunc('month', date) as timestamp) as month,
                coalesce(avg(tmin), 0) as avg_tmin, coalesce(avg(tmax), 0) as avg_tmax
         from transformed_results
         group by cast(date_trunc('month', date) as timestamp)
-        order by 1""", *R_S),
-    "extreme_temperature_by_state": with_views(f"""
+        order by 1"""),
+    "extreme_temperature_by_state": (f"""
         select s.state, coalesce(max(r.tmax), 0) as max_temp,
                coalesce(min(r.tmin), 0) as min_temp
         from {RS}
-        group by s.state order by s.state""", *R_S),
-    "avg_temp_by_season": with_views(f"""
+        group by s.state order by s.state"""),
+    "avg_temp_by_season": (f"""
         select {SEASON_CASE} as season, coalesce(avg(tavg), 0) as avg_temp
-        from transformed_results group by 1""", *R_S),
-    "preciptation_by_season": with_views(f"""
+        from transformed_results group by 1"""),
+    "preciptation_by_season": (f"""
         select {SEASON_CASE} as season, coalesce(sum(prcp), 0) as total_precipitation
-        from transformed_results group by 1""", *R_S),
-    "precipitation_anomaly_by_state_by_year": with_views(f"""
+        from transformed_results group by 1"""),
+    "precipitation_anomaly_by_state_by_year": (f"""
         , annual as (
             select s.state, cast(date_trunc('year', r.date) as timestamp) as year,
                    sum(r.prcp) as total_precipitation
@@ -78,16 +78,18 @@ VIEW_SQL = {
                coalesce(((a.total_precipitation - h.historical_avg_precipitation)
                          / nullif(h.historical_avg_precipitation, 0)) * 100, 0) as anomaly_pct
         from annual a join hist h on a.state = h.state
-        order by a.state, a.year""", *R_S),
-    "rainy_days_by_state_by_year": with_views(f"""
+        order by a.state, a.year"""),
+    "rainy_days_by_state_by_year": (f"""
         select s.state, cast(date_trunc('year', r.date) as timestamp) as year,
                cast(count(distinct r.date) as integer) as rainy_days
         from {RS}
         where r.prcp > 0
         group by s.state, cast(date_trunc('year', r.date) as timestamp)
-        order by 1, 2""", *R_S),
+        order by 1, 2"""),
 }
 
+VIEW_SQL = {name: with_views(body, *R_S) for name, body in VIEW_BODIES.items()}
+
 
 # --- operator entries ---------------------------------------------------------
 
@@ -359,3 +361,18 @@ OPERATOR_SQL = {
 }
 
 ALL_SQL = {**VIEW_SQL, **OPERATOR_SQL}
+
+# J4 starts from an empty deployment: every observed station is new, so
+# the dimension is the typed, resolvable part of the enriched catalog.
+PIPELINE_STATIONS = (f"select {TYPED_COLS} from ({ENRICHED_CATALOG}) where state is not null",
+                     CAT)
+OPERATOR_SQL["job_pipeline"] = " union all ".join(f"select * from ({part})" for part in
+    [with_views("select 'transformed_results' as \"table\", count(*) as rows "
+                "from transformed_results", "transformed_results"),
+     with_views("select 'transformed_stations' as \"table\", count(*) as rows "
+                "from transformed_stations", "transformed_stations",
+                overrides={"transformed_stations": PIPELINE_STATIONS})]
+    + [f"select 'presentation_{v}' as \"table\", count(*) as rows from ("
+       + with_views(body, *R_S, overrides={"transformed_stations": PIPELINE_STATIONS}) + ")"
+       for v, body in VIEW_BODIES.items()])
+ALL_SQL = {**VIEW_SQL, **OPERATOR_SQL}

@@ -515,6 +515,26 @@ def q_job_presentation(spark, sf):
     return obs_ops.append_observations(*parts)
 
 
+def q_job_pipeline(spark, sf):
+    """Whole chain from an empty deployment over the landed observations:
+    one monthly request spanning the data, then observations, stations
+    (all new) and every presentation table. Returns rows per table."""
+    layout = jobs.Layout(_scratch(spark, "job-pipeline"), raw=_landed(spark, sf, "job-pipeline"))
+    requests = _typed(spark, sf).agg(
+        F.min("date").cast("string").alias("start_date"),
+        F.max("date").cast("string").alias("end_date")).withColumn("frequency", F.lit("monthly"))
+    catalog, cells, codes = _aux(spark, sf)
+    report = jobs.job_pipeline(spark, layout, None, requests, catalog, cells, codes,
+                               as_of=RUN_DATE, run_date=RUN_DATE)
+    counts = [("transformed_results", layout.results, "transformed_results"),
+              ("transformed_stations", layout.stations, "transformed_stations")]
+    parts = [tables.read_table(spark, path, name).agg(F.count(F.lit(1)).alias("rows"))
+             .select(F.lit(label).alias("table"), "rows") for label, path, name in counts]
+    parts += [spark.read.parquet(layout.presentation(v)).agg(F.count(F.lit(1)).alias("rows"))
+              .select(F.lit(f"presentation_{v}").alias("table"), "rows") for v in report["views"]]
+    return obs_ops.append_observations(*parts)
+
+
 QUERIES: dict[str, Query] = {}
 for _name in VIEWS:
     def _view_query(spark, sf, _n=_name):
@@ -591,6 +611,7 @@ QUERIES.update({
     "job_transform_observations": q_job_transform_observations,
     "job_refresh_stations": q_job_refresh_stations,
     "job_presentation": q_job_presentation,
+    "job_pipeline": q_job_pipeline,
 })
 
 ORACLE: dict[str, str] = {k: v for k, v in oracle.ALL_SQL.items() if k in QUERIES}

@@ -15,7 +15,7 @@ from oracle_compare import compare, duck
 from conftest import SF_CHECK, SF_SMALL
 
 LANDING = {"scan_observations", "scan_observations_by_type", "tolerant_scan",
-           "land_observations", "job_transform_observations"}
+           "land_observations", "job_transform_observations", "job_pipeline"}
 NAMES = sorted(E.queries())
 
 
