@@ -61,7 +61,8 @@ def read_table(spark: SparkSession, path: str, name: str) -> DataFrame:
         if _is_missing(e):
             return spark.createDataFrame([], schema)
         raise
-    return df
+    extra = [p for p in parts if p not in schema.fieldNames()]
+    return df.select(*schema.fieldNames(), *extra)
 
 
 def ensure_table(spark: SparkSession, path: str, name: str) -> bool:
