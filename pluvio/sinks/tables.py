@@ -69,7 +69,9 @@ def ensure_table(spark: SparkSession, path: str, name: str) -> bool:
     """Create an empty table with its schema if the folder holds none.
     Returns True when it was created."""
     try:
-        spark.read.parquet(path).schema  # noqa: B018 - probe only
+        # With the schema given, an existing folder reads even when it
+        # holds no data file yet (an empty partitioned table has none).
+        spark.read.schema(table_schema(name)).parquet(path)
         return False
     except Exception as e:
         if not _is_missing(e):

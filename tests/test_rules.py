@@ -207,3 +207,13 @@ def test_state_lookup_unknown_is_null(spark):  # D4, D5
     got = {r.id: r.state for r in
            joins.lookup_state_code(joins.assign_state(pts, cells), codes).collect()}
     assert got == {"P1": "BA", "P2": None}
+
+
+def test_ensure_tables_creates_typed_empty_tables_once(spark, tmp_root):  # H7
+    created = tables.ensure_tables(spark, tmp_root)
+    assert all(created.values()) and len(created) == 13
+    assert not any(tables.ensure_tables(spark, tmp_root).values())
+    r = tables.read_table(spark, tmp_root + "/transformed_results", "transformed_results")
+    assert r.count() == 0 and r.columns[:7] == ["id", "station", "date", "tmax", "tmin", "tavg", "prcp"]
+    v = spark.read.parquet(tmp_root + "/presentation_rainy_days_by_state_by_year")
+    assert v.schema["rainy_days"].dataType.simpleString() == "int"
