@@ -291,11 +291,13 @@ OPERATOR_SQL = {
     "append_observations": _w(OBS_TYPED, *OBS),
     # A
     "scan_observations": _w(f"""
-        select station, date, datatype, value, year(d) as year, month(d) as month, day(d) as day
+        select station, date, datatype, value, cast(year(d) as integer) as year, cast(month(d) as integer) as month,
+               cast(day(d) as integer) as day
         from (select *, cast(cast(date as timestamp) as date) as d from fx_observations)
         where d between date '1996-01-01' and date '1998-12-31'""", *OBS),
     "scan_observations_by_type": _w(f"""
-        select station, date, datatype, value, year(d) as year, month(d) as month, day(d) as day
+        select station, date, datatype, value, cast(year(d) as integer) as year, cast(month(d) as integer) as month,
+               cast(day(d) as integer) as day
         from (select *, cast(cast(date as timestamp) as date) as d from fx_observations)
         where d between date '1996-01-01' and date '1998-12-31'
           and datatype in ('TMAX', 'PRCP')""", *OBS),
@@ -310,13 +312,15 @@ OPERATOR_SQL = {
     "scan_table": _w(f"select {RESULT_COLS} from transformed_results", "transformed_results"),
     "stations_from_rows": _w(f"select {AS_RECORDS} from ({ENRICHED_CATALOG})", *CAT),
     "tolerant_scan": _w("""
-        select station, date, datatype, value, year(d) as year, month(d) as month, day(d) as day
+        select station, date, datatype, value, cast(year(d) as integer) as year, cast(month(d) as integer) as month,
+               cast(day(d) as integer) as day
         from (select *, cast(cast(date as timestamp) as date) as d from fx_observations)
         where d <> (select min(cast(cast(date as timestamp) as date)) from fx_observations)""",
                         *OBS),
     # H
     "land_observations": _w("""
-        select station, date, datatype, value, year(d) as year, month(d) as month, day(d) as day
+        select station, date, datatype, value, cast(year(d) as integer) as year, cast(month(d) as integer) as month,
+               cast(day(d) as integer) as day
         from (select *, cast(cast(date as timestamp) as date) as d from fx_observations)""",
                             *OBS),
     "write_station_snapshot": _w(f"""
