@@ -217,3 +217,26 @@ def test_ensure_tables_creates_typed_empty_tables_once(spark, tmp_root):  # H7
     assert r.count() == 0 and r.columns[:7] == ["id", "station", "date", "tmax", "tmin", "tavg", "prcp"]
     v = spark.read.parquet(tmp_root + "/presentation_rainy_days_by_state_by_year")
     assert v.schema["rainy_days"].dataType.simpleString() == "int"
+
+
+def test_station_refresh_is_idempotent(spark, tmp_root):  # J2 rerun changes nothing
+    from pluvio.plans.jobs import Layout, job_refresh_stations
+
+    layout = Layout(tmp_root)
+    obs = _obs(spark, [("GHCND:S1", "2000-01-01T00:00:00", "TMAX", 1.0),
+                       ("GHCND:S2", "2000-01-01T00:00:00", "TMAX", 2.0),
+                       ("GHCND:S3", "2000-01-01T00:00:00", "TMAX", 3.0)])
+    catalog = spark.createDataFrame(
+        [("GHCND:S1", "one", -10.5, -40.5, 5.0, "METERS", 1.0, "2000-01-01", "2001-01-01"),
+         ("GHCND:S2", "two", 50.0, 50.0, 5.0, "METERS", 1.0, "2000-01-01", "2001-01-01")],
+        "id string, name string, latitude double, longitude double, elevation double, "
+        "elevationUnit string, datacoverage double, mindate string, maxdate string")
+    cells = spark.createDataFrame([(-11, -41, "Bahia")], "cell_lat int, cell_lon int, state_name string")
+    codes = spark.createDataFrame([("Bahia", "BA")], "state_name string, code string")
+    first = job_refresh_stations(spark, layout, obs, catalog, cells, codes, D(2024, 1, 1))
+    assert (first["new_stations"], first["upserted"], first["rejected"]) == (2, 1, 1)
+    assert first["written_regions"] == ["BA", "unknown"]
+    second = job_refresh_stations(spark, layout, obs, catalog, cells, codes, D(2024, 1, 1))
+    assert second["new_stations"] == 0 and second["written_regions"] == []
+    dim = tables.read_table(spark, layout.stations, "transformed_stations").collect()
+    assert [(r.id, r.state) for r in dim] == [("GHCND:S1", "BA")]
