@@ -240,3 +240,21 @@ def test_station_refresh_is_idempotent(spark, tmp_root):  # J2 rerun changes not
     assert second["new_stations"] == 0 and second["written_regions"] == []
     dim = tables.read_table(spark, layout.stations, "transformed_stations").collect()
     assert [(r.id, r.state) for r in dim] == [("GHCND:S1", "BA")]
+
+
+def test_page_completeness_flags_missing_pages(spark):  # A2, A3 (M23 deviation)
+    from pluvio.schemas import PAGE_ENVELOPE
+    from pluvio.sources.observations import explode_pages, page_completeness
+
+    row = ("GHCND:A", "2000-01-01T00:00:00", "TMAX", None, 1.0)
+    pages = spark.createDataFrame([
+        ({"resultset": {"offset": 1, "count": 3, "limit": 2}}, [row, row]),   # page 1 of 2 (TMAX)
+        ({"resultset": {"offset": 1, "count": 1, "limit": 2}}, [row]),        # complete request
+        ({"resultset": {"offset": 1, "count": 0, "limit": 2}}, None),         # no results key
+    ], PAGE_ENVELOPE)
+    pages = pages.withColumn("request", F.when(F.col("metadata.resultset.count") == 3, "a")
+                             .when(F.col("metadata.resultset.count") == 1, "b").otherwise("c"))
+    got = {r.request: (r.declared, r.received, r.complete)
+           for r in page_completeness(pages, ["request"]).collect()}
+    assert got == {"a": (3, 2, False), "b": (1, 1, True), "c": (0, 0, True)}
+    assert explode_pages(pages).count() == 3
