@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pluvio.llm import exact_dedup, mixing, simhash
+from pluvio.llm import exact_dedup, mixing, quality, simhash
 from pluvio.llm.common import table
 
 
@@ -24,6 +24,13 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(docs, max_bits=3, shingle=3)
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    scored = quality.score(docs, model)
+    return scored.select("doc_id", quality.held_out(scored["doc_id"]).alias("held_out"), "score", "predicted")
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -31,6 +38,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mixing": op2_mixing,
     "op7_simhash": op7_simhash,
+    "op8_quality": op8_quality,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
