@@ -9,11 +9,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pluvio.llm import exact_dedup, mixing, quality, simhash
+from pluvio.llm import exact_dedup, langid, mixing, quality, simhash
 from pluvio.llm.common import table
 
 
+def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = langid.identify(docs.select("doc_id", "text"), langid.fit(docs))
+    apart = F.coalesce(F.crc32(found["doc_id"].cast("string")) % 4 == 2, F.lit(False))
+    return found.select("doc_id", apart.alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
@@ -36,6 +44,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_langid": op1_langid,
     "op2_mixing": op2_mixing,
     "op7_simhash": op7_simhash,
     "op8_quality": op8_quality,
