@@ -112,8 +112,9 @@ def duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     An empty table gives an empty result. Other columns are not read.
     """
     members = staged(identities(docs, id_col, text_col, block_bytes), "identities")
-    groups = members.groupBy("n_blocks", "name").agg(
-        F.max(F.struct("doc_id", "row")).alias("top"), F.count(F.lit(1)).alias("group_size"))
+    # written first, so that the join has a shuffle of its own whose hot keys Spark can split
+    groups = staged(members.groupBy("n_blocks", "name").agg(
+        F.max(F.struct("doc_id", "row")).alias("top"), F.count(F.lit(1)).alias("group_size")), "groups")
     return members.join(groups, ["n_blocks", "name"]).select(
         "doc_id", F.col("top.doc_id").alias("keep_id"), "group_size",
         (F.col("row") == F.col("top.row")).alias("kept"), "text_sha256")
