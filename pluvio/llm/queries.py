@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pluvio.llm import exact_dedup, langid, mixing, quality, simhash
+from pluvio.llm import exact_dedup, langid, mixing, quality, secrets, simhash
 from pluvio.llm.common import table
 
 
@@ -27,6 +27,16 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.scan(docs, secrets.identifier_dictionary(docs))
+    count = lambda kind: F.size(F.filter("findings", lambda f: f["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id", *[count(kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")],
+        F.sha2(secrets.spans(F.col("findings"), ("assign", "access", "hex")), 256).alias("base_sha256"),
+        secrets.spans(F.col("findings")).alias("spans"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return simhash.near_duplicates(docs, max_bits=3, shingle=3)
@@ -46,6 +56,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_langid": op1_langid,
     "op2_mixing": op2_mixing,
+    "op4_secrets": op4_secrets,
     "op7_simhash": op7_simhash,
     "op8_quality": op8_quality,
     "op10_exact_dedup": op10_exact_dedup,
