@@ -1,22 +1,46 @@
-"""A training corpus from raw documents."""
+"""A training corpus from raw documents, in five stages.
+
+Every stage takes ``(spark, docs, sf_dir)`` and works on all rows that the
+one before it kept; all but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pluvio.llm import exact_dedup, mixing
+from pluvio.llm import exact_dedup, mixing, packing, quality, simhash
 from pluvio.llm.common import staged, table
 
 
+def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier does not reject."""
+    return quality.keep_good(docs, table(spark, sf_dir, "labels"))
+
+
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each text."""
     return exact_dedup.deduplicate(docs)
 
 
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group: shingles of 3 words, at most 3 bits apart."""
+    return simhash.deduplicate(docs, max_bits=3, shingle=3)
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them."""
     return mixing.mixed(docs)
 
 
-STAGES = [("exact dedup", exact), ("mixing", mix)]
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents in windows of 1024 tokens."""
+    return packing.pack(docs)
+
+
+STAGES = [("quality classifier", classify), ("exact dedup", exact), ("simhash near-dedup", near),
+          ("mixing sources", mix), ("packing", pack)]
+
+#: Classifier, fingerprints and tokens are beyond SQL; the stages are tested against plain code.
 ORACLE_SQL = None
 
 

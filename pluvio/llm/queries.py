@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pluvio.llm import exact_dedup, langid, mixing, quality, secrets, simhash
+from pluvio.llm import exact_dedup, langid, mixing, packing, quality, secrets, simhash
 from pluvio.llm.common import table
 
 
@@ -27,6 +27,12 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+                         "sequence_id", "offset")
+
+
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = secrets.scan(docs, secrets.identifier_dictionary(docs))
@@ -56,6 +62,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_langid": op1_langid,
     "op2_mixing": op2_mixing,
+    "op3_packing": op3_packing,
     "op4_secrets": op4_secrets,
     "op7_simhash": op7_simhash,
     "op8_quality": op8_quality,
