@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pluvio.llm import exact_dedup, langid, mixing, packing, quality, secrets, simhash
+from pluvio.llm import exact_dedup, langid, mixing, packing, quality, secrets, simhash, topk
 from pluvio.llm.common import table
 
 
@@ -43,6 +43,10 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         secrets.spans(F.col("findings")).alias("spans"))
 
 
+def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return simhash.near_duplicates(docs, max_bits=3, shingle=3)
@@ -64,12 +68,24 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mixing": op2_mixing,
     "op3_packing": op3_packing,
     "op4_secrets": op4_secrets,
+    "op5_topk": op5_topk,
     "op7_simhash": op7_simhash,
     "op8_quality": op8_quality,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
 ORACLE: dict[str, str] = {
+    "op5_topk": """
+        with v as (
+            select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)) as e from embeddings
+            where embedding is not null
+              and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+        s as (
+            select q.vec_id as query_id, c.vec_id, cast(list_dot_product(q.e, c.e) as bigint) as score
+            from v q, v c where q.vec_id % 20 = 0 and c.vec_id <> q.vec_id),
+        r as (
+            select *, row_number() over (partition by query_id order by score desc, vec_id) as n from s)
+        select query_id, cast(n as integer) as rank, vec_id, score from r where n <= 20""",
     "op10_exact_dedup": """
         select doc_id,
                max(doc_id) over (partition by coalesce(text, '')) as keep_id,
