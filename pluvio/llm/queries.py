@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pluvio.llm import exact_dedup, langid, mixing, packing, quality, secrets, simhash, topk
+from pluvio.llm import exact_dedup, langid, mixing, packing, quality, secrets, simhash, topk, warc
 from pluvio.llm.common import table
 
 
@@ -47,6 +47,12 @@ def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return warc.read(pages, warc.write(pages), with_payload=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return simhash.near_duplicates(docs, max_bits=3, shingle=3)
@@ -69,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_packing": op3_packing,
     "op4_secrets": op4_secrets,
     "op5_topk": op5_topk,
+    "op6_warc": op6_warc,
     "op7_simhash": op7_simhash,
     "op8_quality": op8_quality,
     "op10_exact_dedup": op10_exact_dedup,
@@ -86,6 +93,14 @@ ORACLE: dict[str, str] = {
         r as (
             select *, row_number() over (partition by query_id order by score desc, vec_id) as n from s)
         select query_id, cast(n as integer) as rank, vec_id, score from r where n <= 20""",
+    "op6_warc": """
+        with p as (
+            select page_id, coalesce(html, '') as payload,
+                   max(page_id) over (partition by coalesce(html, '')) as last from pages)
+        select page_id, strlen(payload) as payload_bytes, sha1(payload) as payload_digest,
+               case when strlen(payload) >= 1000 and page_id < last then 'revisit' else 'response' end as record_type,
+               case when strlen(payload) >= 1000 and page_id < last then last end as refers_to
+        from p""",
     "op10_exact_dedup": """
         select doc_id,
                max(doc_id) over (partition by coalesce(text, '')) as keep_id,
