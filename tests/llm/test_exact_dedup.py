@@ -1,0 +1,67 @@
+from __future__ import annotations
+
+import hashlib
+from collections import Counter, defaultdict
+
+import pytest
+
+from conftest import SF_SMALL
+from pluvio.llm import exact_dedup
+
+
+def _expected(rows):
+    groups = defaultdict(list)
+    for r in rows:
+        groups[r["text"] or ""].append(r["doc_id"])
+    return {t: (max((i for i in ids if i is not None), default=None), len(ids)) for t, ids in groups.items()}
+
+
+@pytest.mark.parametrize("block_bytes", [3, 64, 4096])
+def test_duplicates_match_brute_force(docs, block_bytes):
+    want = _expected(docs.collect())
+    by_digest = {hashlib.sha256(t.encode()).hexdigest(): v for t, v in want.items()}
+    got = exact_dedup.duplicates(docs.where("length(text) < 1000 or text is null") if block_bytes == 3 else docs,
+                                 block_bytes=block_bytes).collect()
+    kept = Counter()
+    for r in got:
+        assert (r["keep_id"], r["group_size"]) == by_digest[r["text_sha256"]]
+        kept[r["text_sha256"]] += r["kept"]
+        assert not r["kept"] or r["doc_id"] == r["keep_id"]
+    assert set(kept.values()) == {1}
+    if block_bytes != 3:
+        assert len(got) == docs.count()
+
+
+def test_texts_that_share_blocks_stay_apart(spark):
+    a, b = "a" * 8, "b" * 8
+    rows = [(1, a + b), (2, b + a), (3, a + b + a), (4, a), (5, a + b), (6, a + a), (7, a * 3 + "a"), (8, a * 3)]
+    got = exact_dedup.duplicates(spark.createDataFrame(rows, "doc_id long, text string"), block_bytes=8).collect()
+    assert {r["doc_id"]: (r["keep_id"], r["group_size"]) for r in got} == {
+        1: (5, 2), 2: (2, 1), 3: (3, 1), 4: (4, 1), 5: (5, 2), 6: (6, 1), 7: (7, 1), 8: (8, 1)}
+
+
+def test_colliding_signatures_are_widened(spark, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "_short", lambda block: exact_dedup._long(block)["c"])
+    rows = [(1, "abc"), (2, "xyz"), (3, "abc")]
+    got = exact_dedup.duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["keep_id"] for r in got} == {1: 3, 2: 2, 3: 3}
+
+
+def test_deduplicate_keeps_columns_and_one_row_each(docs):
+    left = exact_dedup.deduplicate(docs)
+    assert left.columns == docs.columns
+    rows = left.collect()
+    want = _expected(docs.collect())
+    assert Counter(r["text"] or "" for r in rows) == Counter(list(want))
+    assert all(r["doc_id"] == want[r["text"] or ""][0] for r in rows)
+
+
+def test_empty(no_docs):
+    assert exact_dedup.duplicates(no_docs).collect() == []
+    assert exact_dedup.deduplicate(no_docs).collect() == []
+
+
+def test_no_python_on_the_path(spark, capsys):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    exact_dedup.deduplicate(docs).explain()
+    assert not any(w in capsys.readouterr().out for w in ("Python", "Pandas", "Arrow"))

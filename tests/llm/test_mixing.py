@@ -1,0 +1,94 @@
+from __future__ import annotations
+
+import re
+from collections import defaultdict
+
+import pytest
+
+from pluvio.llm import mixing
+
+
+def _fill(sizes, share, cap, weights):
+    """Water-filling as stated: clamp, reshare by weight, again."""
+    order = sorted(sizes, key=lambda s: (s is None, s))
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(order)}
+    wanted, target, open_ = share * sum(sizes.values()), {}, set(order)
+    while open_:
+        rest = wanted - sum(target.values())
+        level = rest / sum(weight[s] for s in open_)
+        over = {s for s in open_ if weight[s] * level >= cap * sizes[s]}
+        if not over:
+            return target | {s: weight[s] * level for s in open_}
+        target |= {s: cap * sizes[s] for s in over}
+        open_ -= over
+    return target
+
+
+def _check(rows, share=1.5, slack=0.0):
+    sizes, taken, longest = defaultdict(int), defaultdict(int), defaultdict(int)
+    for r in rows:
+        n = len(re.findall(r"[^\x20\x09-\x0D]+", r["text"] or ""))
+        assert r["size"] == n
+        assert 0 <= r["taken"] <= 2 * n and r["taken"] == r["copies"] * n
+        sizes[r["source"]] += n
+        taken[r["source"]] += r["taken"]
+        longest[r["source"]] = max(longest[r["source"]], n)
+    target = _fill(dict(sizes), share, 2.0, (5, 2, 1))
+    for r in rows:
+        assert r["source_size"] == sizes[r["source"]]
+        assert r["target"] == pytest.approx(target[r["source"]], rel=1e-9)
+    for s in sizes:
+        assert abs(taken[s] - target[s]) <= max(longest[s], slack * target[s])
+
+
+def test_edge_rows(docs):
+    made = mixing.mix(docs)
+    assert made.columns == [c for c in docs.columns if c not in ("size", "copies")] + mixing.MADE
+    rows = made.collect()
+    assert len(rows) == docs.count()
+    _check(rows)
+
+
+def test_many_documents_hit_their_target(spark):
+    rows = [(i, "w " * (1 + i * 7 % 90), "en", "big" if i % 3 else f"s{i % 5}") for i in range(30_000)]
+    made = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()
+    _check(made, slack=0.001)
+    sums = defaultdict(lambda: [0, 0.0])
+    for r in made:
+        sums[r["source"]][0] += r["taken"]
+        sums[r["source"]][1] = r["target"]
+    assert all(abs(t - goal) <= 60 for t, goal in sums.values())
+
+
+def test_reruns_agree_whatever_the_partitions(docs):
+    a = mixing.mix(docs).orderBy("doc_id", "source", "size").collect()
+    b = mixing.mix(docs.repartition(7)).orderBy("doc_id", "source", "size").collect()
+    assert a == b
+
+
+def test_repetitions_are_rows(docs):
+    want = {}
+    for r in mixing.mix(docs).collect():
+        want[(r["doc_id"], r["source"], r["text"])] = want.get((r["doc_id"], r["source"], r["text"]), 0) + r["copies"]
+    got = mixing.mixed(docs)
+    assert got.columns == docs.columns
+    found = defaultdict(int)
+    for r in got.collect():
+        found[(r["doc_id"], r["source"], r["text"])] += 1
+    assert dict(found) == {k: v for k, v in want.items() if v}
+
+
+def test_only_empty_texts(spark):
+    docs = spark.createDataFrame([(1, None, "a"), (2, "", "a"), (3, " ", None)],
+                                 "doc_id long, text string, source string")
+    assert {(r["size"], r["target"], r["taken"]) for r in mixing.mix(docs).collect()} == {(0, 0.0, 0)}
+
+
+def test_empty(no_docs):
+    assert mixing.mix(no_docs).collect() == []
+    assert mixing.mixed(no_docs).collect() == []
+
+
+def test_no_python_on_the_path(docs, capsys):
+    mixing.mix(docs).explain()
+    assert not any(w in capsys.readouterr().out for w in ("Python", "Pandas", "Arrow"))

@@ -1,0 +1,117 @@
+from __future__ import annotations
+
+import gzip
+import hashlib
+import re
+
+import pytest
+from pyspark.sql import types as T
+
+from pluvio.llm import warc
+
+PAGES = T.StructType([T.StructField("page_id", T.LongType()), T.StructField("url", T.StringType()),
+                      T.StructField("html", T.StringType()), T.StructField("key", T.StringType()),
+                      T.StructField("payload", T.StringType())])
+BIG = "<p>é</p>" * 200
+
+
+def _rows():
+    rows = [(i, f"https://m.Host{i % 5}.example.com:8080/p{i % 7}?q={i}#top", f"<html>{i}</html>") for i in range(300)]
+    rows += [(1000 + i, "http://hot.example.com/", BIG) for i in range(50)]  # one URL, one payload
+    rows += [(400, None, None), (401, "", ""), (402, "no url at all", "x"), (None, "http://a.b/", BIG),
+             (None, None, None), (403, "http://a.b/c d\r\nX-Evil: 1", "y"), (5, rows[5][1], rows[5][2]),
+             (404, "http://a.b/", "z" * 999), (405, "http://a.b/", "z" * 999), (406, "http://ü.b/中", "w" * 1000),
+             (406, "http://ü.b/中", "w" * 1000), (380, "http://a.b/", "w" * 1000), (407, "http://l/", "l" * 3_000_000)]
+    return [(*r, "k", "p") for r in rows]
+
+
+@pytest.fixture(scope="module")
+def pages(spark):
+    return spark.createDataFrame(_rows(), PAGES).repartition(4)
+
+
+@pytest.fixture(scope="module")
+def index(pages):
+    return warc.write(pages)
+
+
+def _expected(rows):
+    best = {}
+    for page_id, _, html, *_ in rows:
+        if page_id is not None and len((html or "").encode()) >= 1000:
+            best[html] = max(best.get(html, page_id), page_id)
+    made = []
+    for page_id, _, html, *_ in rows:
+        payload = (html or "").encode()
+        to = best.get(html) if len(payload) >= 1000 else None
+        again = to is not None and to != page_id
+        made.append((page_id, "revisit" if again else "response", len(payload),
+                     hashlib.sha1(payload).hexdigest(), to if again else None))
+    return sorted(made, key=str)
+
+
+@pytest.mark.parametrize("block", [3, 512])
+def test_round_trip(pages, block, monkeypatch):
+    monkeypatch.setattr(warc, "BLOCK_ENTRIES", block)
+    made = warc.read(pages, warc.write(pages)).collect()
+    got = sorted(((r["page_id"], r["record_type"], r["payload_bytes"], r["payload_digest"], r["refers_to"])
+                  for r in made), key=str)
+    assert got == _expected(_rows())
+    payloads = {r[0]: (r[2] or "").encode() for r in _rows()}
+    assert all(bytes(r["payload"]) == payloads[r["page_id"]] for r in made
+               if r["record_type"] == "response" and r["page_id"] is not None)
+    assert all(r["payload"] is None for r in made if r["record_type"] == "revisit")
+
+
+def test_looked_up_pages_only(spark, pages, index):
+    some = spark.createDataFrame([(1003, "http://hot.example.com/"), (7, "https://m.host2.example.com/p0?q=7"),
+                                  (7, "http://elsewhere/"), (99999, "http://hot.example.com/"), (None, "http://a.b/"),
+                                  (1, "zzz"), (1, None)], "page_id long, url string")
+    got = warc.read(some, index).collect()
+    assert sorted(str(r["page_id"]) for r in got) == ["1003", "7", "None"]
+
+
+def test_archives_are_plain_warc_files(index):
+    kinds = []
+    for r in index.collect():
+        store, path = warc._store(r["path"])
+        content = gzip.decompress(store.open_input_file(path.replace(".idx", "-0.warc.gz")).readall())
+        while content:
+            head, _, rest = content.partition(b"\r\n\r\n")
+            assert head.startswith(b"WARC/1.1\r\n")
+            length = int(re.search(rb"Content-Length: (\d+)", head)[1])
+            kinds.append(re.search(rb"WARC-Type: (\w+)", head)[1].decode())
+            assert b"X-Evil: 1\r" not in head and rest[length:length + 4] == b"\r\n\r\n"
+            content = rest[length + 4:]
+    files = index.count()
+    assert len(kinds) == len(_rows()) + files and kinds.count("warcinfo") == files
+    assert sum(r["captures"] for r in index.collect()) == len(_rows())
+
+
+def test_keys(spark):
+    urls = ["https://m.Example.com:80/a/b?x=1#f", "//u:p@a.b", "http://a.b?x", "no url", "", None]
+    got = [r[0] for r in spark.createDataFrame([(u,) for u in urls], "url string").select(
+        warc.url_key(warc.F.col("url"))).collect()]
+    assert got == ["com,example,m)/a/b?x=1", "b,a)/", "b,a)?x", "no url", "", ""]
+
+
+def test_a_file_of_a_failed_task_is_not_read(index, pages):
+    first = index.first()["path"]
+    store, path = warc._store(first)
+    with store.open_output_stream(re.sub(r"-\d+\.idx$", "-999.idx", path)) as left_over:
+        left_over.write(b"half a block")
+    assert warc.read(pages, index, with_payload=False).count() == len(_rows())
+
+
+def test_damage_is_noticed():
+    made = bytearray(gzip.decompress(warc.record(1, "http://a/", b"hello", warc._digest(b"hello"), None)))
+    at = made.rindex(b"hello")
+    made[at:at + 5] = b"jello"
+    with pytest.raises(ValueError):
+        warc.parse(gzip.compress(bytes(made)))
+
+
+def test_empty(spark):
+    none = spark.createDataFrame([], PAGES)
+    index = warc.write(none)
+    assert index.count() == 0 and warc.read(none, index).collect() == []
