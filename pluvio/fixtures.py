@@ -12,21 +12,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
-          "events", "documents", "embeddings", "pages", "benchmark", "labels",
-          "conversations")
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _padded(key, width: int) -> F.Column:
+    """Zero-padded to at least ``width`` digits; longer keys stay whole."""
+    digits = key.cast("string")
+    return F.lpad(digits, F.greatest(F.lit(width), F.length(digits)), F.lit("0"))
+
+
 def _station_code(key) -> F.Column:
-    return F.concat(F.lit("GHCND:S"), F.lpad(key.cast("string"), 6, "0"))
+    return F.concat(F.lit("GHCND:S"), _padded(key, 6))
 
 
-def fx_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw long observations (station, date, datatype, value), one per line item."""
+def _place(key) -> tuple[F.Column, F.Column]:
+    """(row, column) of a supplier on a 35 x 35 grid."""
+    return key % 35, F.floor(key / 35) % 35
+
+
+def fx_raw_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw long observations as the API gives them, one per line item."""
     li = table(spark, sf_dir, "lineitem")
     slot = F.col("l_linenumber") % 4
     return li.select(
@@ -34,6 +41,7 @@ def fx_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss").alias("date"),
         F.when(slot == 0, "TMAX").when(slot == 1, "TMIN").when(slot == 2, "TAVG")
          .otherwise("PRCP").alias("datatype"),
+        F.concat_ws(",", "l_returnflag", "l_linestatus").alias("attributes"),
         F.when(slot == 0, F.col("l_quantity"))
          .when(slot == 1, F.col("l_quantity") - 30)
          .when(slot == 2, F.col("l_quantity") - 15)
@@ -41,15 +49,19 @@ def fx_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def fx_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Known station dimension; suppliers ending in 9 are withheld as new."""
-    s = table(spark, sf_dir, "supplier").where(F.col("s_suppkey") % 10 != 9)
+def fx_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw observations without their attributes."""
+    return fx_raw_observations(spark, sf_dir).drop("attributes")
+
+
+def fx_all_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A station dimension of all suppliers."""
+    s = table(spark, sf_dir, "supplier")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    k = F.col("s_suppkey")
+    row, column = _place(F.col("s_suppkey"))
     return s.join(n, s.s_nationkey == n.n_nationkey).select(
-        _station_code(k).alias("id"), F.col("s_name").alias("name"),
-        ((k % 35).cast("double") - 34.5).alias("latitude"),
-        (((k * 7) % 35).cast("double") - 69.5).alias("longitude"),
+        _station_code(F.col("s_suppkey")).alias("id"), F.col("s_name").alias("name"),
+        (row.cast("double") - 34.5).alias("latitude"), (column.cast("double") - 69.5).alias("longitude"),
         F.col("s_acctbal").alias("elevation"), F.lit("METERS").alias("elevation_unit"),
         F.col("n_name").alias("state"), F.lit(1.0).alias("datacoverage"),
         F.lit("1995-01-01").cast("date").alias("mindate"),
@@ -57,13 +69,18 @@ def fx_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def fx_station_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Station lookup source (every 20th supplier is missing; no state)."""
-    k = F.col("s_suppkey")
-    return table(spark, sf_dir, "supplier").where(k % 20 != 19).select(
-        _station_code(k).alias("id"), F.col("s_name").alias("name"),
-        ((k % 35).cast("double") - 34.5).alias("latitude"),
-        (((k * 7) % 35).cast("double") - 69.5).alias("longitude"),
+def fx_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Known station dimension; ids ending in 9 are withheld as new (the
+    feature of the new-station queries and of unknown stations in joins)."""
+    return fx_all_stations(spark, sf_dir).where(~F.col("id").endswith("9"))
+
+
+def fx_full_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Station lookup source of all suppliers (no state)."""
+    row, column = _place(F.col("s_suppkey"))
+    return table(spark, sf_dir, "supplier").select(
+        _station_code(F.col("s_suppkey")).alias("id"), F.col("s_name").alias("name"),
+        (row.cast("double") - 34.5).alias("latitude"), (column.cast("double") - 69.5).alias("longitude"),
         F.col("s_acctbal").alias("elevation"), F.lit("METERS").alias("elevationUnit"),
         F.lit(1.0).alias("datacoverage"),
         F.lit("1995-01-01").cast("date").alias("mindate"),
@@ -71,115 +88,135 @@ def fx_station_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def fx_station_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lookup source without every 20th supplier (the feature of
+    unresolved stations)."""
+    missing = table(spark, sf_dir, "supplier").where(F.col("s_suppkey") % 20 == 19)
+    return fx_full_catalog(spark, sf_dir).join(
+        missing.select(_station_code(F.col("s_suppkey")).alias("id")), "id", "left_anti")
+
+
 def fx_region_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """1-degree grid cells -> state name; some cells absent.
-
-    Rows are pairs of suppliers with keys below 35. The pairs are built by
-    expanding each row over the 35 candidate keys and keeping the ones that
-    exist (semi join), so no cartesian product is planned.
-    """
-    sup = table(spark, sf_dir, "supplier").where(F.col("s_suppkey") < 35)
-    a = sup.select(F.col("s_suppkey").alias("a"))
-    b_keys = sup.select(F.col("s_suppkey").alias("b"))
-    pairs = (a.select("a", F.explode(F.sequence(F.lit(0), F.lit(34))).alias("b"))
-             .join(F.broadcast(b_keys), "b", "left_semi"))
+    """1-degree grid cells of all suppliers -> state name; some cells absent."""
+    row, column = _place(F.col("s_suppkey"))
+    cells = (table(spark, sf_dir, "supplier").select(row.cast("int").alias("r"), column.cast("int").alias("c"))
+             .distinct().where((F.col("r") + F.col("c")) % 11 != 0))
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    pairs = pairs.where((F.col("a") + F.col("b")) % 11 != 0)
-    return pairs.join(F.broadcast(n), n.n_nationkey == (F.col("a") * 7 + F.col("b")) % 25).select(
-        (F.col("a") - 35).cast("int").alias("cell_lat"),
-        (F.col("b") - 70).cast("int").alias("cell_lon"),
-        F.col("n_name").alias("state_name"),
-    )
+    return cells.join(n, n.n_nationkey == (F.col("r") * 7 + F.col("c")) % 25).select(
+        (F.col("r") - 35).alias("cell_lat"), (F.col("c") - 70).alias("cell_lon"), F.col("n_name").alias("state_name"))
 
 
 def fx_state_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """State name -> code; one nation left out to exercise the NULL case."""
+    """State name -> code; one nation left out to exercise the NULL case.
+    Some codes have a space and an accent, as folder names may."""
     n = table(spark, sf_dir, "nation").where(F.col("n_nationkey") != 24)
-    return n.select(F.col("n_name").alias("state_name"),
-                    F.concat(F.lit("S"), F.lpad(F.col("n_nationkey").cast("string"), 2, "0"))
-                    .alias("code"))
+    key = F.col("n_nationkey")
+    return n.select(F.col("n_name").alias("state_name"), F.concat(
+        F.when(key % 5 == 0, "São ").otherwise("S"), _padded(key, 2)).alias("code"))
 
 
 # --- the same views in DuckDB SQL (oracle side) ----------------------------
 
-SQL_FX_OBSERVATIONS = """
-select concat('GHCND:S', lpad(cast(l_suppkey as varchar), 6, '0')) as station,
+def _sql_padded(key: str, width: int) -> str:
+    digits = f"cast({key} as varchar)"
+    return f"lpad({digits}, cast(greatest({width}, length({digits})) as integer), '0')"
+
+
+def _sql_code(key: str) -> str:
+    return f"'GHCND:S' || {_sql_padded(key, 6)}"
+
+
+SQL_FX_RAW_OBSERVATIONS = f"""
+select {_sql_code('l_suppkey')} as station,
        strftime(l_shipdate, '%Y-%m-%dT%H:%M:%S') as date,
        case l_linenumber % 4 when 0 then 'TMAX' when 1 then 'TMIN'
                              when 2 then 'TAVG' else 'PRCP' end as datatype,
+       l_returnflag || ',' || l_linestatus as attributes,
        case l_linenumber % 4 when 0 then l_quantity when 1 then l_quantity - 30
                              when 2 then l_quantity - 15
                              else round(l_discount * 100) end as value
 from lineitem"""
 
-SQL_FX_STATIONS = """
-select concat('GHCND:S', lpad(cast(s_suppkey as varchar), 6, '0')) as id, s_name as name,
+SQL_FX_ALL_STATIONS = f"""
+select {_sql_code('s_suppkey')} as id, s_name as name,
        cast(s_suppkey % 35 as double) - 34.5 as latitude,
-       cast((s_suppkey * 7) % 35 as double) - 69.5 as longitude,
+       cast((s_suppkey // 35) % 35 as double) - 69.5 as longitude,
        s_acctbal as elevation, 'METERS' as elevation_unit, n_name as state,
        cast(1 as double) as datacoverage, date '1995-01-01' as mindate,
        date '2001-12-31' as maxdate
-from supplier join nation on s_nationkey = n_nationkey
-where s_suppkey % 10 <> 9"""
+from supplier join nation on s_nationkey = n_nationkey"""
 
-SQL_FX_STATION_CATALOG = """
-select concat('GHCND:S', lpad(cast(s_suppkey as varchar), 6, '0')) as id, s_name as name,
+SQL_FX_FULL_CATALOG = f"""
+select {_sql_code('s_suppkey')} as id, s_name as name,
        cast(s_suppkey % 35 as double) - 34.5 as latitude,
-       cast((s_suppkey * 7) % 35 as double) - 69.5 as longitude,
+       cast((s_suppkey // 35) % 35 as double) - 69.5 as longitude,
        s_acctbal as elevation, 'METERS' as elevationUnit,
        cast(1 as double) as datacoverage, date '1995-01-01' as mindate,
        date '2001-12-31' as maxdate
-from supplier where s_suppkey % 20 <> 19"""
+from supplier"""
 
 SQL_FX_REGION_CELLS = """
-select cast(a.s_suppkey - 35 as int) as cell_lat, cast(b.s_suppkey - 70 as int) as cell_lon,
-       n_name as state_name
-from (select * from supplier where s_suppkey < 35) a
-cross join (select * from supplier where s_suppkey < 35) b
-join nation on n_nationkey = (a.s_suppkey * 7 + b.s_suppkey) % 25
-where (a.s_suppkey + b.s_suppkey) % 11 <> 0"""
-
-SQL_FX_STATE_CODES = """
-select n_name as state_name, concat('S', lpad(cast(n_nationkey as varchar), 2, '0')) as code
+select distinct cast(s_suppkey % 35 as integer) - 35 as cell_lat,
+       cast((s_suppkey // 35) % 35 as integer) - 70 as cell_lon, n_name as state_name
+from supplier join nation on n_nationkey = ((s_suppkey % 35) * 7 + (s_suppkey // 35) % 35) % 25
+where (s_suppkey % 35 + (s_suppkey // 35) % 35) % 11 <> 0"""
+
+SQL_FX_STATE_CODES = f"""
+select n_name as state_name,
+       case when n_nationkey % 5 = 0 then 'São ' else 'S' end || {_sql_padded('n_nationkey', 2)} as code
 from nation where n_nationkey <> 24"""
 
-# transformed_results over the fixture: pivot by (station, day), MAX per type.
+# transformed_results over the fixture: one row per (station, day), MAX per type.
 SQL_RESULTS = """
-select concat(replace(station, 'GHCND:', ''), '_', strftime(d, '%Y%m%d')) as id,
-       station, d as date,
-       max(case when datatype = 'TMAX' then cast(value as double) end) as tmax,
-       max(case when datatype = 'TMIN' then cast(value as double) end) as tmin,
-       max(case when datatype = 'TAVG' then cast(value as double) end) as tavg,
-       max(case when datatype = 'PRCP' then cast(value as double) end) as prcp
-from (select station, cast(cast(date as timestamp) as date) as d, datatype, value
-      from fx_observations)
-group by station, d"""
+select replace(station, 'GHCND:', '') || '_' || strftime(day, '%Y%m%d') as id, station, day as date,
+       max(value) filter (where datatype = 'TMAX') as tmax,
+       max(value) filter (where datatype = 'TMIN') as tmin,
+       max(value) filter (where datatype = 'TAVG') as tavg,
+       max(value) filter (where datatype = 'PRCP') as prcp
+from (select *, cast(left(date, 10) as date) as day from fx_observations)
+group by station, day"""
+
+# Facts with the state of their station, and the first day of their month and year.
+SQL_STATION_DAYS = """
+select f.*, d.state, cast(date_trunc('month', f.date) as timestamp) as month,
+       cast(date_trunc('year', f.date) as timestamp) as year
+from transformed_results f join transformed_stations d on d.id = f.station"""
+
+# The month table: season of each month, and the order in which seasons are shown.
+SQL_MONTHS = """
+select * from (values (1, 'Verão', 1), (2, 'Verão', 1), (3, 'Outono', 2), (4, 'Outono', 2), (5, 'Outono', 2),
+                      (6, 'Inverno', 3), (7, 'Inverno', 3), (8, 'Inverno', 3), (9, 'Primavera', 4),
+                      (10, 'Primavera', 4), (11, 'Primavera', 4), (12, 'Verão', 1)) m(m, season, place)"""
+
+SQL_VIEWS: dict[str, tuple[str, tuple[str, ...]]] = {
+    "fx_raw_observations": (SQL_FX_RAW_OBSERVATIONS, ()),
+    "fx_observations": ("select station, date, datatype, value from fx_raw_observations", ("fx_raw_observations",)),
+    "fx_all_stations": (SQL_FX_ALL_STATIONS, ()),
+    "fx_stations": ("select * from fx_all_stations where right(id, 1) <> '9'", ("fx_all_stations",)),
+    "fx_full_catalog": (SQL_FX_FULL_CATALOG, ()),
+    "fx_station_catalog": (f"""select * from fx_full_catalog where id not in (
+        select {_sql_code('s_suppkey')} from supplier where s_suppkey % 20 = 19)""", ("fx_full_catalog",)),
+    "fx_region_cells": (SQL_FX_REGION_CELLS, ()),
+    "fx_state_codes": (SQL_FX_STATE_CODES, ()),
+    "transformed_results": (SQL_RESULTS, ("fx_observations",)),
+    "transformed_stations": ("select * from fx_stations", ("fx_stations",)),
+    "station_days": (SQL_STATION_DAYS, ("transformed_results", "transformed_stations")),
+    "months": (SQL_MONTHS, ()),
+}
 
 
 def with_views(body: str, *views: str, overrides: dict | None = None) -> str:
-    """Prefix ``body`` with the named bridge views as CTEs (DuckDB).
-
-    ``overrides`` maps a view name to ``(sql, dependencies)``.
-    """
-    known = {
-        "fx_observations": SQL_FX_OBSERVATIONS,
-        "fx_stations": SQL_FX_STATIONS,
-        "fx_station_catalog": SQL_FX_STATION_CATALOG,
-        "fx_region_cells": SQL_FX_REGION_CELLS,
-        "fx_state_codes": SQL_FX_STATE_CODES,
-        "transformed_results": SQL_RESULTS,
-        "transformed_stations": "select * from fx_stations",
-    }
+    """Prefix ``body`` with the named bridge views, and those they need, as
+    CTEs (DuckDB). ``overrides`` maps a view name to ``(sql, dependencies)``."""
+    known = SQL_VIEWS | (overrides or {})
     needed: list[str] = []
-    deps = {"transformed_results": ["fx_observations"],
-            "transformed_stations": ["fx_stations"]}
-    for name, (sql, dep) in (overrides or {}).items():
-        known[name], deps[name] = sql, list(dep)
+
+    def add(name: str) -> None:
+        for d in known[name][1]:
+            add(d)
+        if name not in needed:
+            needed.append(name)
+
     for v in views:
-        for d in deps.get(v, []):
-            if d not in needed:
-                needed.append(d)
-        if v not in needed:
-            needed.append(v)
-    ctes = ",\n".join(f"{name} as ({known[name]})" for name in needed)
-    return f"with {ctes}\n{body}"
+        add(v)
+    return "with " + ",\n".join(f"{name} as ({known[name][0]})" for name in needed) + f"\n{body}"

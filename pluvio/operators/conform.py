@@ -16,29 +16,19 @@ def conform_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
 
     Casts run under the session's ANSI setting, so an integer overflow
     (e.g. a count above int32) raises instead of wrapping. NULLs in
-    required columns are checked by ``null_violations`` / ``assert_contract``
-    when the frame is written; this stays lazy.
+    required columns are counted when the frame is written (see
+    ``sinks.tables``) or by ``contract_violations``; this stays lazy.
     """
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def null_violations(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """One row: per required column, how many rows hold NULL there.
+def contract_violations(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """(column, violations): how many rows hold NULL in each required column.
 
-    A single global aggregate (partial per task), so checking a large
-    batch is one cheap pass.
+    A single global aggregate (partial per task), so checking a large batch
+    is one cheap pass.
     """
-    req = [f.name for f in schema.fields if not f.nullable]
-    if not req:
-        return df.agg(F.lit(0).alias("_none"))
-    return df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in req])
-
-
-def assert_contract(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Conform ``df`` and fail if a required column holds NULL."""
-    out = conform_schema(df, schema)
-    counts = null_violations(out, schema).first().asDict()
-    bad = {k: v for k, v in counts.items() if v}
-    if bad:
-        raise ContractError(f"NULL in required columns: {bad}")
-    return out
+    required = [f.name for f in schema.fields if not f.nullable]
+    counts = conform_schema(df, schema).agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in required])
+    return counts.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).alias("violations")) for c in required])).alias("v")).select("v.*")

@@ -83,13 +83,11 @@ def pivot_daily(observations: DataFrame) -> DataFrame:
     partial aggregation also absorbs hot stations.
 
     Grouping is by the cast day, so ``id`` stays unique even if times differ.
+    A row without a station or a date that parses has no key and gives no
+    row (``split_valid`` returns such rows); a value that is no number
+    counts as absent.
     """
-    typed = observations.select(
-        F.col("station").cast("string").alias("station"),
-        F.col("date").cast("timestamp_ntz").cast("date").alias("date"),
-        F.col("datatype"),
-        F.col("value").cast("double").alias("value"),
-    )
+    typed, _ = split_valid(typed_observations(observations))
     aggs = [F.max(F.when(F.col("datatype") == t, F.col("value"))).alias(t.lower())
             for t in DATATYPES]
     wide = typed.groupBy("station", "date").agg(*aggs)

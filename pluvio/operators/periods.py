@@ -24,7 +24,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.constants import DATATYPES, DEFAULT_CUSTOM_DAYS, PAGE_LIMIT
-from ..schemas import PERIOD
 
 DAILY, MONTHLY, YEARLY = "daily", "monthly", "yearly"
 
@@ -182,8 +181,3 @@ def expected_pages(totals: DataFrame, total: str = "total",
     return (totals.select("*", F.posexplode(offsets).alias("page_index", "offset"))
             .withColumn("page", F.col("page_index") + 1).drop("page_index"))
 
-
-__all__ = [
-    "periods_last_month", "generate_periods", "invalid_period_requests", "periods",
-    "expand_days", "expected_loads", "missing_loads", "expected_pages", "PERIOD",
-]

@@ -3,8 +3,6 @@ enrichment, regions, manifest, and last-wins deduplication."""
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,7 +27,7 @@ def station_projection(catalog: DataFrame) -> DataFrame:
 
 
 def enrich_stations(ids: DataFrame, catalog: DataFrame, cells: DataFrame,
-                    codes: DataFrame, resolution: float = 1.0,
+                    codes: DataFrame | None = None, resolution: float = 1.0,
                     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Station ids -> full station records with a state code.
 
@@ -62,7 +60,8 @@ def typed_stations(records: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     Returns ``(good, rejects)``. A row whose field is missing or does not
     convert goes to ``rejects`` with a reason, alone; the rest of the
-    batch is kept.
+    batch is kept. An empty ``id`` or ``state`` counts as missing (one is
+    the key, the other a folder of the table).
     """
     typed = records.select(
         F.col("id").cast("string").alias("id"),
@@ -80,6 +79,8 @@ def typed_stations(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     reason = None
     for c in RECORD_COLUMNS:
         missing = F.col(f"_raw_{c}").isNull()
+        if c in ("id", "state"):
+            missing = missing | (F.col(f"_raw_{c}") == "")
         bad = F.col(c).isNull() & ~missing
         cond_m = F.when(missing, F.lit(f"missing {c}"))
         cond_b = F.when(bad, F.lit(f"unparseable {c}"))
@@ -108,9 +109,9 @@ def manifest_summary(snapshot: DataFrame, last_updated, files: DataFrame | None
     """One row: last_updated, total_stations, sorted regions, sorted files.
 
     ``files`` is a DataFrame with a ``file`` column (e.g. distinct
-    ``_metadata.file_path`` of the snapshot). Both arrays hold one entry
-    per region / file, so their size is bounded by the layout, not by the
-    number of stations.
+    ``_metadata.file_path`` of the snapshot). The arrays are the manifest:
+    one entry per region and per file. A snapshot is written in runs of
+    folders, so it has at most one file per region plus one per write task.
     """
     parts = stations_by_region(snapshot).withColumn("file", F.lit(None).cast("string"))
     if files is not None:
@@ -150,6 +151,3 @@ def station_union(existing: DataFrame, new: DataFrame) -> DataFrame:
             .unionByName(new.select(*cols).withColumn("_rank", F.lit(1))))
     return dedupe_last_wins(both, "id", ("_rank",)).select(*cols)
 
-
-def union_all(frames) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), frames)

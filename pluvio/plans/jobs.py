@@ -1,24 +1,27 @@
 """Composite jobs: observations, stations, presentation, whole pipeline.
 
 Each job is a short chain of DataFrame operators ending in one sink, and
-returns what it wrote, read back. Nothing loops over days or periods on
-the driver: a job covers all its periods with one partition-pruned scan.
+returns a report of what it did. Nothing loops over days or periods on the
+driver: a job covers all its periods with one partition-pruned scan.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.constants import DATATYPES
 from ..operators.joins import bounded_broadcast, new_station_ids
 from ..operators.observations import pivot_daily
-from ..operators.periods import generate_periods
-from ..operators.stations import RECORD_COLUMNS, enrich_stations, station_union, typed_stations
-from ..sinks import landing, tables
-from ..sources.observations import DAY_KEYS, tolerant_scan
+from ..operators.periods import expand_days, expected_loads, generate_periods, missing_loads
+from ..operators.stations import RECORD_COLUMNS, enrich_stations, station_union, typed_stations, unresolved_stations
+from ..schemas import REJECTED_STATIONS
+from ..sinks import files, landing, tables
+from ..sources.observations import distinct_pages, explode_pages, page_completeness, tolerant_scan
 from .views import VIEWS
 
 
@@ -52,87 +55,148 @@ class Layout:
     def stations(self) -> str:
         return self._p("transformation", "transformed_stations")
 
+    @property
+    def rejects(self) -> str:
+        return self._p("transformation", "rejected_stations")
+
     def presentation(self, view: str) -> str:
         return self._p("presentation", view)
 
 
+def _day_keys(day: str = "day") -> list:
+    return [F.year(day).alias("year"), F.month(day).alias("month"), F.dayofmonth(day).alias("day")]
+
+
 def job_transform_observations(spark: SparkSession, layout: Layout, start, end,
-                               multiline: bool = False) -> dict:
+                               multiline: bool = False, days: DataFrame | None = None) -> dict:
     """Landed raw days of [start, end] -> wide daily rows -> upsert.
 
+    ``days`` (one ``day`` column) limits the load to these days of the span.
     Days holding an unreadable record or a row that does not type are
-    skipped whole and reported.
+    skipped whole and counted. The raw files are read once.
     """
-    rows, corrupt_days = tolerant_scan(spark, layout.raw_results, start, end, multiline=multiline)
-    valid = F.col("station").isNotNull() & F.col("date").try_cast("timestamp_ntz").isNotNull()
-    day_keys = [F.col(k).cast("int").alias(k) for k in DAY_KEYS]
-    untyped_days = rows.where(~valid).select(*day_keys).distinct()
-    # At most one row per day of the period: a proven bound for broadcast.
-    clean = (rows.where(valid).select("station", "date", "datatype", "value", *day_keys)
-             .join(bounded_broadcast(untyped_days, 1_000_000), list(DAY_KEYS), "left_anti"))
-    wide = pivot_daily(clean.select("station", "date", "datatype", "value"))
-    stats = tables.upsert_observations(wide, layout.results)
-    stats["skipped_days"] = corrupt_days.unionByName(untyped_days).distinct().count()
-    return stats
+    tables.ensure_table(spark, layout.results, "transformed_results")
+    wanted = None if days is None else days.select(*_day_keys())
+    rows, bad_days = tolerant_scan(spark, layout.raw_results, start, end, multiline=multiline, days=wanted)
+    stats = tables.upsert_observations(pivot_daily(rows), layout.results)
+    return stats | {"skipped_days": bad_days.count()}
 
 
 def job_refresh_stations(spark: SparkSession, layout: Layout, observations: DataFrame,
-                         catalog: DataFrame, cells: DataFrame, codes: DataFrame,
+                         catalog: DataFrame, cells: DataFrame, codes: DataFrame | None = None,
                          run_date=None, resolution: float = 1.0) -> dict:
     """Find stations seen in ``observations`` but not in the current
-    snapshot, enrich them, write the new snapshot and manifest, and upsert
-    the typed new stations into the dimension."""
+    snapshot, enrich them, upsert the typed ones into the dimension, record
+    the others in the reject table, and write the new snapshot and manifest.
+
+    The manifest, which decides what is new, is written last, and every step
+    before it can be repeated: a run that fails is repaired by the next one.
+    Stations without a catalog record are recorded as rejects too; they are
+    not in the snapshot, so each run tries them again.
+    """
     run_date = run_date or _dt.datetime.now(_dt.timezone.utc).date()
+    tables.ensure_table(spark, layout.stations, "transformed_stations")
+    tables.ensure_table(spark, layout.rejects, "rejected_stations")
     existing = landing.scan_station_snapshot(spark, layout.raw_stations, layout.manifest)
-    ids = new_station_ids(observations, existing)
-    new = enrich_stations(ids, catalog, cells, codes, resolution)
-    new = tables.stage(new.select(*[F.col(c).cast("string").alias(c) for c in RECORD_COLUMNS]),
-                       spark, "new-stations")
-    if new.isEmpty():
-        return {"new_stations": 0, "written_regions": [], "upserted": 0, "rejected": 0}
-    current = station_union(existing.select(*RECORD_COLUMNS), new)
-    current = tables.stage(current, spark, "station-snapshot")
-    regions = landing.write_station_snapshot(current, layout.raw_stations, run_date)
-    landing.write_manifest(spark, layout.raw_stations, layout.manifest, run_date, current)
+    ids, ids_path = tables.stage(new_station_ids(observations, existing), spark, "new-ids")
+    record = [F.col(c).cast("string").alias(c) for c in RECORD_COLUMNS]
+    new, new_path = tables.stage(enrich_stations(ids, catalog, cells, codes, resolution).select(*record),
+                                 spark, "new-stations")
     good, rejects = typed_stations(new)
-    stats = tables.upsert_stations(good, layout.stations)
-    return {"new_stations": new.count(), "written_regions": regions,
-            "upserted": stats["rows"], "rejected": rejects.count()}
-
-
-def job_presentation(spark: SparkSession, layout: Layout, views=None) -> dict[str, int]:
-    """Recompute every presentation table from the curated tables.
-
-    The fact-to-dimension join is a broadcast (map-side) join, so each view
-    rescans only the result columns it needs instead of sharing one
-    materialised copy of the joined fact table.
+    unknown = unresolved_stations(ids, catalog).select(
+        "id", *[F.lit(None).cast("string").alias(c) for c in RECORD_COLUMNS[1:]],
+        F.lit("not in the catalog").alias("reason"))
+    rejected = rejects.unionByName(unknown).select(*REJECTED_STATIONS.fieldNames())
+    report = {"new_stations": new.count(), "unresolved": unknown.count(), "rejected": rejects.count(),
+              "upserted": 0, "written_regions": 0}
+    if report["new_stations"] or report["unresolved"]:
+        report["upserted"] = tables.upsert_stations(good, layout.stations)["rows"]
+        tables.upsert_rejects(rejected, layout.rejects, good.select("id"))
+    if report["new_stations"]:
+        current, current_path = tables.stage(station_union(existing.select(*RECORD_COLUMNS), new),
+                                             spark, "station-snapshot")
+        regions = landing.write_station_snapshot(current, layout.raw_stations, run_date)
+        report["written_regions"] = regions.count()
+        landing.write_manifest(spark, layout.raw_stations, layout.manifest, run_date, current)
+        files.delete(spark, current_path)
+    files.delete(spark, ids_path)
+    files.delete(spark, new_path)
+    return report
+
+
+def job_presentation(spark: SparkSession, layout: Layout, views=None, at_once: int = 4) -> dict[str, int | str]:
+    """Recompute every presentation table from the curated tables; rows
+    written per view, or the error of a view that failed (the others go on,
+    and the failed one keeps its published version).
+
+    The dimension is checked for broadcast once. The views are independent,
+    so ``at_once`` of them are submitted together and fill each other's idle
+    tasks. The fact-to-dimension join is map-side, so each view rescans only
+    the result columns it needs instead of sharing one copy of the join.
     """
     results = tables.read_table(spark, layout.results, "transformed_results")
     stations = tables.read_table(spark, layout.stations, "transformed_stations")
-    counts = {}
-    for name in views or VIEWS:
-        df = VIEWS[name](results, stations)
-        counts[name] = tables.overwrite_view(df, layout.presentation(name), name)
-    return counts
+    dimension = bounded_broadcast(stations.select("id", "state"))
+
+    def refresh(name: str) -> int | str:
+        try:
+            made = VIEWS[name](results, dimension, ordered=False, checked=True)
+            return tables.overwrite_view(made, layout.presentation(name), name)
+        except Exception as e:  # reported: one broken view does not hold up ten good ones
+            return f"{type(e).__name__}: {e}"
+
+    names = list(views or VIEWS)
+    with ThreadPoolExecutor(at_once) as pool:
+        return dict(zip(names, pool.map(refresh, names)))
+
+
+def _months_of(results: DataFrame, first, last) -> DataFrame:
+    """Stored rows of a span of days, by folder literals and then by day."""
+    span = tables.months_between((first.year, first.month), (last.year, last.month))
+    return results.where(span & F.col("date").between(F.lit(first), F.lit(last)))
 
 
 def job_pipeline(spark: SparkSession, layout: Layout, raw_observations: DataFrame | None,
-                 requests: DataFrame, catalog: DataFrame, cells: DataFrame,
-                 codes: DataFrame, as_of=None, run_date=None) -> dict:
+                 requests: DataFrame, catalog: DataFrame, cells: DataFrame, codes: DataFrame | None = None,
+                 as_of=None, run_date=None, multiline: bool = False, datatypes=DATATYPES,
+                 pages: DataFrame | None = None, page_keys=("datatype",)) -> dict:
     """Periods -> land -> observations -> stations -> presentation.
 
-    All periods are handled by one scan over their overall range.
-    ``raw_observations`` is landed first unless it is None (already landed
-    under ``layout.raw_results``).
+    Only the days of the requested periods are loaded, by one scan over
+    their span that keeps these days. ``raw_observations`` are landed first
+    unless None (already landed). ``pages`` are landed API pages: their rows
+    are landed, and requests with missing, short or unreadable pages are
+    counted. New stations are looked for among the loaded days only. The
+    report also counts (period, datatype) pairs with nothing landed.
     """
-    periods = generate_periods(requests, as_of)
-    bounds = periods.agg(F.min("start").alias("s"), F.max("end").alias("e")).first()
+    periods, periods_path = tables.stage(generate_periods(requests, as_of), spark, "periods")
+    bounds = periods.agg(F.min("start").alias("s"), F.max("end").alias("e"), F.count(F.lit(1)).alias("n")).first()
     if bounds["s"] is None:
         return {"periods": 0}
+    report: dict = {"periods": bounds["n"]}
+    days = expand_days(periods).select("day").distinct()
+    if pages is not None:
+        found = page_completeness(pages, page_keys)
+        report["incomplete_requests"] = found.where(~F.col("complete")).count()
+        raw_observations = explode_pages(distinct_pages(pages, page_keys))
     if raw_observations is not None:
-        landing.land_observations(raw_observations, layout.raw_results)
-    obs = job_transform_observations(spark, layout, bounds["s"], bounds["e"])
-    seen = tables.read_table(spark, layout.results, "transformed_results")
-    st = job_refresh_stations(spark, layout, seen, catalog, cells, codes, run_date)
-    views = job_presentation(spark, layout)
-    return {"periods": periods.count(), "observations": obs, "stations": st, "views": views}
+        report["landed"] = landing.land_observations(raw_observations, layout.raw_results)
+    report["observations"] = job_transform_observations(
+        spark, layout, bounds["s"], bounds["e"], multiline=multiline, days=days)
+    results = tables.read_table(spark, layout.results, "transformed_results")
+    loaded = _months_of(results, bounds["s"], bounds["e"]).join(
+        bounded_broadcast(days.withColumnRenamed("day", "date"), 1_000_000), "date", "left_semi")
+    report["missing_loads"] = _missing(periods, loaded, datatypes).count()
+    report["stations"] = job_refresh_stations(spark, layout, loaded, catalog, cells, codes, run_date)
+    report["views"] = job_presentation(spark, layout)
+    files.delete(spark, periods_path)
+    return report
+
+
+def _missing(periods: DataFrame, loaded: DataFrame, datatypes) -> DataFrame:
+    """(start, end, datatype) of the periods that have no value stored."""
+    has = F.array_compact(F.array(*[F.when(F.col(t.lower()).isNotNull(), F.lit(t)) for t in datatypes]))
+    there = loaded.select(F.col("date").alias("day"), F.explode(has).alias("datatype")).distinct()
+    by_day = expand_days(periods.distinct()).join(there, "day")
+    return missing_loads(expected_loads(periods.distinct(), datatypes), by_day)
+

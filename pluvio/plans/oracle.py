@@ -8,87 +8,66 @@ the Spark results exactly.
 from __future__ import annotations
 
 from ..fixtures import with_views
+from ..functions.constants import STATE_CODES
+from .values import values_sql
 
-RS = "transformed_results r join transformed_stations s on r.station = s.id"
 R_S = ("transformed_results", "transformed_stations")
 
-SEASON_CASE = """case when extract(month from date) in (12, 1, 2) then 'Verão'
-                      when extract(month from date) in (3, 4, 5) then 'Outono'
-                      when extract(month from date) in (6, 7, 8) then 'Inverno'
-                      else 'Primavera' end"""
-
-VIEW_BODIES = {
-    "monthly_avg_temp": (f"""
-        select s.state, cast(date_trunc('month', r.date) as timestamp) as month,
-               coalesce(avg(r.tavg), 0) as avg_temp
-        from {RS}
-        group by s.state, cast(date_trunc('month', r.date) as timestamp)
-        order by 1, 2"""),
-    "station_summary": (f"""
-        select r.station as station_id, s.state,
-               cast(count(*) as integer) as total_measurements,
-               coalesce(avg(r.tavg), 0) as avg_temp
-        from {RS}
-        group by r.station, s.state
-        order by total_measurements desc"""),
+#: view -> (statement, the bridge views it reads)
+VIEW_BODIES: dict[str, tuple[str, tuple[str, ...]]] = {
+    "monthly_avg_temp": ("""
+        select state, month, ifnull(avg(tavg), 0) as avg_temp
+        from station_days group by all order by state, month""", ("station_days",)),
+    "station_summary": ("""
+        select station as station_id, state, cast(count(*) as integer) as total_measurements,
+               ifnull(avg(tavg), 0) as avg_temp
+        from station_days group by all order by total_measurements desc, station_id""", ("station_days",)),
     "total_stations_by_state": ("""
         select state, cast(count(*) as integer) as total_stations
-        from transformed_stations group by state
-        order by total_stations desc"""),
+        from transformed_stations group by all order by total_stations desc, state""", ("transformed_stations",)),
     "total_measurements_by_station": ("""
         select station as station_id, cast(count(*) as integer) as total_measurements
-        from transformed_results group by station
-        order by total_measurements desc"""),
-    "precipitation_by_state_by_year": (f"""
-        select s.state, cast(date_trunc('year', r.date) as timestamp) as year,
-               coalesce(sum(r.prcp), 0) as total_precipitation
-        from {RS}
-        group by s.state, cast(date_trunc('year', r.date) as timestamp)
-        order by 1, 2"""),
+        from transformed_results group by all order by total_measurements desc, station_id""",
+                                      ("transformed_results",)),
+    "precipitation_by_state_by_year": ("""
+        select state, year, ifnull(sum(prcp), 0) as total_precipitation
+        from station_days group by all order by state, year""", ("station_days",)),
     "central_tendence_tmin_tmax_by_month": ("""
         select cast(date_trunc('month', date) as timestamp) as month,
-               coalesce(avg(tmin), 0) as avg_tmin, coalesce(avg(tmax), 0) as avg_tmax
-        from transformed_results
-        group by cast(date_trunc('month', date) as timestamp)
-        order by 1"""),
-    "extreme_temperature_by_state": (f"""
-        select s.state, coalesce(max(r.tmax), 0) as max_temp,
-               coalesce(min(r.tmin), 0) as min_temp
-        from {RS}
-        group by s.state order by s.state"""),
-    "avg_temp_by_season": (f"""
-        select {SEASON_CASE} as season, coalesce(avg(tavg), 0) as avg_temp
-        from transformed_results group by 1"""),
-    "preciptation_by_season": (f"""
-        select {SEASON_CASE} as season, coalesce(sum(prcp), 0) as total_precipitation
-        from transformed_results group by 1"""),
-    "precipitation_anomaly_by_state_by_year": (f"""
-        , annual as (
-            select s.state, cast(date_trunc('year', r.date) as timestamp) as year,
-                   sum(r.prcp) as total_precipitation
-            from {RS}
-            group by s.state, cast(date_trunc('year', r.date) as timestamp)),
-        hist as (
-            select state, avg(total_precipitation) as historical_avg_precipitation
-            from annual group by state)
-        select a.state, a.year,
-               coalesce(a.total_precipitation, 0) as total_precipitation,
-               coalesce(h.historical_avg_precipitation, 0) as historical_avg_precipitation,
-               coalesce(a.total_precipitation - h.historical_avg_precipitation, 0) as anomaly_mm,
-               coalesce(((a.total_precipitation - h.historical_avg_precipitation)
-                         / nullif(h.historical_avg_precipitation, 0)) * 100, 0) as anomaly_pct
-        from annual a join hist h on a.state = h.state
-        order by a.state, a.year"""),
-    "rainy_days_by_state_by_year": (f"""
-        select s.state, cast(date_trunc('year', r.date) as timestamp) as year,
-               cast(count(distinct r.date) as integer) as rainy_days
-        from {RS}
-        where r.prcp > 0
-        group by s.state, cast(date_trunc('year', r.date) as timestamp)
-        order by 1, 2"""),
+               ifnull(avg(tmin), 0) as avg_tmin, ifnull(avg(tmax), 0) as avg_tmax
+        from transformed_results group by all order by month""", ("transformed_results",)),
+    "extreme_temperature_by_state": ("""
+        select state, ifnull(max(tmax), 0) as max_temp, ifnull(min(tmin), 0) as min_temp
+        from station_days group by all order by state""", ("station_days",)),
+    "avg_temp_by_season": ("""
+        select season, ifnull(avg(tavg), 0) as avg_temp
+        from months join transformed_results on month(date) = m
+        group by season, place order by place""", ("months", "transformed_results")),
+    "preciptation_by_season": ("""
+        select season, ifnull(sum(prcp), 0) as total_precipitation
+        from months join transformed_results on month(date) = m
+        group by season, place order by place""", ("months", "transformed_results")),
+    "precipitation_anomaly_by_state_by_year": ("""
+        , totals as (select state, year, sum(prcp) as mm from station_days group by all),
+        beside as (select *, avg(mm) over (partition by state) as usual from totals)
+        select state, year, ifnull(mm, 0) as total_precipitation,
+               ifnull(usual, 0) as historical_avg_precipitation, ifnull(mm - usual, 0) as anomaly_mm,
+               case when usual <> 0 and mm is not null then (mm - usual) / usual * 100 else 0 end as anomaly_pct
+        from beside order by state, year""", ("station_days",)),
+    "rainy_days_by_state_by_year": ("""
+        select state, year, cast(count(distinct date) as integer) as rainy_days
+        from station_days where prcp > 0 group by all order by state, year""", ("station_days",)),
 }
 
-VIEW_SQL = {name: with_views(body, *R_S) for name, body in VIEW_BODIES.items()}
+
+def view_sql(name: str, overrides: dict | None = None) -> str:
+    body, views = VIEW_BODIES[name]
+    return with_views(body, *views, overrides=overrides)
+
+
+VIEW_SQL = {name: view_sql(name) for name in VIEW_BODIES}
+VIEW_SQL["total_stations_by_state"] = view_sql("total_stations_by_state", {
+    "transformed_stations": ("select * from fx_all_stations", ("fx_all_stations",))})
 
 
 # --- operator entries ---------------------------------------------------------
@@ -107,10 +86,12 @@ from (select station, s, e,
 ENRICHED_CATALOG = """select c.id, c.name, c.latitude, c.longitude, c.elevation,
        c.elevationUnit as elevation_unit, k.code as state, c.datacoverage,
        c.mindate, c.maxdate
-from fx_station_catalog c
+from fx_full_catalog c
 left join fx_region_cells g
   on g.cell_lat = cast(floor(c.latitude) as int) and g.cell_lon = cast(floor(c.longitude) as int)
 left join fx_state_codes k on k.state_name = g.state_name"""
+# The same without the ids that the lookup source does not have.
+ENRICHED = f"select * from ({ENRICHED_CATALOG}) where id in (select id from fx_station_catalog)"
 NEW_IDS = """select distinct station as id from fx_observations
 where station is not null and station <> ''
   and station not in (select id from fx_stations)"""
@@ -118,8 +99,15 @@ RECORD_COLS = ("id", "name", "latitude", "longitude", "elevation", "elevation_un
                "state", "datacoverage", "mindate", "maxdate")
 AS_RECORDS = ", ".join(f"cast({c} as varchar) as {c}" for c in RECORD_COLS)
 TYPED_COLS = ", ".join(RECORD_COLS)
-CAT = ("fx_station_catalog", "fx_region_cells", "fx_state_codes")
+CAT = ("fx_full_catalog", "fx_station_catalog", "fx_region_cells", "fx_state_codes")
 OBS = ("fx_observations",)
+RAW = ("fx_raw_observations",)
+# A landed row: the raw fields and its day folder.
+LANDED = """select station, date, datatype, attributes, value, cast(year(d) as integer) as year,
+       cast(month(d) as integer) as month, cast(day(d) as integer) as day, d
+from (select *, cast(left(date, 10) as date) as d from fx_raw_observations)"""
+KNOWN_STATES = "[" + ", ".join(f"'{name}'" for name, _ in STATE_CODES) + "]"
+KNOWN_CODES = "[" + ", ".join(f"'{code}'" for _, code in STATE_CODES) + "]"
 RESULT_COLS = "id, station, date, tmax, tmin, tavg, prcp"
 
 
@@ -186,12 +174,18 @@ OPERATOR_SQL = {
         select * from fx_observations where station is not null and station <> ''""", *OBS),
     "station_projection": _w("""
         select id, name, latitude, longitude, elevation, elevationUnit as elevation_unit,
-               datacoverage, mindate, maxdate from fx_station_catalog""", *CAT),
+               datacoverage, mindate, maxdate from fx_full_catalog""", *CAT),
     "typed_stations": _w(f"""
         select {TYPED_COLS} from ({ENRICHED_CATALOG}) where state is not null""", *CAT),
     "reject_stations": _w(f"""
         select {AS_RECORDS}, 'missing state' as reason
         from ({ENRICHED_CATALOG}) where state is null""", *CAT),
+    "contract_violations": _w("""
+        , broken as (select case when right(station, 1) <> '9' then station end as station,
+                            case when day(date) <> 5 then date end as date from transformed_results)
+        select 'id' as "column", count(*) filter (where station is null or date is null) as violations from broken
+        union all select 'station', count(*) filter (where station is null) from broken
+        union all select 'date', count(*) filter (where date is null) from broken""", "transformed_results"),
     "conform_schema": _w(f"select {RESULT_COLS} from transformed_results",
                          "transformed_results"),
     "rainy_filter": _w(f"select {RESULT_COLS} from transformed_results where prcp > 0",
@@ -202,29 +196,24 @@ OPERATOR_SQL = {
         select * from ({OBS_TYPED})
         where date between date '1996-01-01' and date '1998-12-31'""", *OBS),
     # D
-    "join_observations_stations": _w(f"""
-        select r.id, r.station, r.date, r.tmax, r.tmin, r.tavg, r.prcp, s.state
-        from {RS}""", *R_S),
-    "join_annual_to_history": _w(f"""
-        , annual as (
-            select s.state, cast(date_trunc('year', r.date) as timestamp) as year,
-                   sum(r.prcp) as total_precipitation
-            from {RS} group by 1, 2)
-        select a.*, h.historical_avg_precipitation
-        from annual a join (select state, avg(total_precipitation) as historical_avg_precipitation
-                            from annual group by state) h on a.state = h.state""", *R_S),
+    "join_observations_stations": _w("""
+        select id, station, date, tmax, tmin, tavg, prcp, state from station_days""", "station_days"),
+    "join_annual_to_history": _w("""
+        , totals as (select state, year, sum(prcp) as total_precipitation from station_days group by all)
+        select *, avg(total_precipitation) over (partition by state) as historical_avg_precipitation
+        from totals""", "station_days"),
     "new_station_ids": _w(NEW_IDS, "fx_observations", "fx_stations"),
-    "lookup_state_code": _w("""
-        select s.id, s.state as state_name, k.code
-        from fx_stations s left join fx_state_codes k on k.state_name = s.state""",
-                            "fx_stations", "fx_state_codes"),
+    "lookup_state_code": _w(f"""
+        select id, ifnull({KNOWN_STATES}[n], 'Nowhere') as state_name, {KNOWN_CODES}[n] as code
+        from (select id, cast(right(id, -7) as bigint) % 28 + 1 as n from fx_all_stations)""",
+                            "fx_all_stations"),
     "assign_state": _w("""
         select c.id, c.latitude, c.longitude, g.state_name
-        from fx_station_catalog c left join fx_region_cells g
+        from fx_full_catalog c left join fx_region_cells g
           on g.cell_lat = cast(floor(c.latitude) as int)
          and g.cell_lon = cast(floor(c.longitude) as int)""", *CAT),
     "enrich_stations": _w(f"""
-        select e.* from ({ENRICHED_CATALOG}) e where e.id in ({NEW_IDS})""",
+        select e.* from ({ENRICHED}) e where e.id in ({NEW_IDS})""",
                           "fx_observations", "fx_stations", *CAT),
     "unresolved_stations": _w(f"""
         select id from ({NEW_IDS}) where id not in (select id from fx_station_catalog)""",
@@ -251,12 +240,12 @@ OPERATOR_SQL = {
               from transformed_results group by 1, 2)
         group by station""", "transformed_results"),
     "group_by_expression": _w(f"""
-        select cast(date_trunc('year', date) as timestamp) as year, {SEASON_CASE} as season,
+        select cast(date_trunc('year', date) as timestamp) as year, season,
                cast(count(*) as integer) as station_days
-        from transformed_results group by 1, 2""", "transformed_results"),
+        from transformed_results join months on month(date) = m group by 1, 2""", "transformed_results", "months"),
     "stations_by_region": _w("""
         select coalesce(nullif(state, ''), 'unknown') as region, count(*) as stations
-        from fx_stations group by 1""", "fx_stations"),
+        from fx_all_stations group by 1""", "fx_all_stations"),
     "manifest_summary": _w(f"""
         select date '2002-01-01' as last_updated, cast(count(*) as integer) as total_stations,
                list_sort(list(distinct coalesce(nullif(state, ''), 'unknown'))) as regions,
@@ -281,74 +270,74 @@ OPERATOR_SQL = {
         select station, count(*) as observations from fx_observations
         group by station order by 2 desc, 1""", *OBS),
     "sort_by_season": _w(f"""
-        select {SEASON_CASE} as season, coalesce(avg(tmax), 0) as avg_tmax
-        from transformed_results group by 1""", "transformed_results"),
+        select season, ifnull(avg(tmax), 0) as avg_tmax
+        from transformed_results join months on month(date) = m
+        group by season, place order by place""", "transformed_results", "months"),
     "station_union": _w(f"""
-        select {AS_RECORDS} from fx_stations
+        select {AS_RECORDS} from ({ENRICHED})
         union all
-        select {AS_RECORDS} from ({ENRICHED_CATALOG}) where id in ({NEW_IDS})""",
-                        "fx_observations", "fx_stations", *CAT),
+        select {AS_RECORDS} from fx_all_stations where id not in (select id from ({ENRICHED}))""",
+                        "fx_all_stations", *CAT),
     "append_observations": _w(OBS_TYPED, *OBS),
     # A
     "scan_observations": _w(f"""
-        select station, date, datatype, value, cast(year(d) as integer) as year, cast(month(d) as integer) as month,
-               cast(day(d) as integer) as day
-        from (select *, cast(cast(date as timestamp) as date) as d from fx_observations)
-        where d between date '1996-01-01' and date '1998-12-31'""", *OBS),
+        select * exclude (d) from ({LANDED})
+        where d between date '1996-01-01' and date '1998-12-31'""", *RAW),
     "scan_observations_by_type": _w(f"""
-        select station, date, datatype, value, cast(year(d) as integer) as year, cast(month(d) as integer) as month,
-               cast(day(d) as integer) as day
-        from (select *, cast(cast(date as timestamp) as date) as d from fx_observations)
+        select * exclude (d) from ({LANDED})
         where d between date '1996-01-01' and date '1998-12-31'
-          and datatype in ('TMAX', 'PRCP')""", *OBS),
-    "explode_pages": _w("select station, date, datatype, value from fx_observations", *OBS),
-    "page_completeness": _w("""
-        select datatype, count(*) as declared, count(*) as received, true as complete
-        from fx_observations group by datatype""", *OBS),
+          and datatype in ('TMAX', 'PRCP')""", *RAW),
+    "explode_pages": _w("select station, date, datatype, attributes, value from fx_raw_observations", *RAW),
+    "page_completeness": _w(f"""
+        , requests as (
+            select datatype, 'm' || strftime(d, '%Y%m') as request, month(d) as mm, count(*) as n
+            from ({LANDED}) group by all),
+        pages as (
+            select *, datatype = 'TMAX' and mm % 3 = 0 as short, datatype = 'PRCP' and mm % 4 = 0 as broken,
+                   cast(ceil(n / 100.0) as bigint) as whole from requests)
+        select datatype, request, n as declared, case when short then (whole - 1) * 100 else n end as received,
+               case when short then whole - 1 else whole end as pages, whole as expected_pages,
+               cast(broken as bigint) as unreadable, not short and not broken as complete
+        from pages where not (short and whole = 1)""", *RAW),
     "scan_station_snapshot": _w(f"""
         select {AS_RECORDS}, date '2002-01-01' as snapshot_date,
                coalesce(state, 'unknown') as region
         from ({ENRICHED_CATALOG})""", *CAT),
     "scan_table": _w(f"select {RESULT_COLS} from transformed_results", "transformed_results"),
     "stations_from_rows": _w(f"select {AS_RECORDS} from ({ENRICHED_CATALOG})", *CAT),
-    "tolerant_scan": _w("""
-        select station, date, datatype, value, cast(year(d) as integer) as year, cast(month(d) as integer) as month,
-               cast(day(d) as integer) as day
-        from (select *, cast(cast(date as timestamp) as date) as d from fx_observations)
-        where d <> (select min(cast(cast(date as timestamp) as date)) from fx_observations)""",
-                        *OBS),
+    "tolerant_scan": _w(f"""
+        , landed as ({LANDED})
+        select * exclude (d) from landed
+        where d not in (select min(d) from landed) and d not in (select max(d) from landed)""", *RAW),
     # H
-    "land_observations": _w("""
-        select station, date, datatype, value, cast(year(d) as integer) as year, cast(month(d) as integer) as month,
-               cast(day(d) as integer) as day
-        from (select *, cast(cast(date as timestamp) as date) as d from fx_observations)""",
-                            *OBS),
+    "land_observations": _w(f"""
+        select * exclude (d), cast(null as varchar) as reason from ({LANDED})
+        union all
+        select min(station), 'not a date', 'TMAX', 'x', 1.0, null, null, null, 'unparseable date'
+        from fx_raw_observations""", *RAW),
+    "write_manifest": _w(f"""
+        , regions as (
+            select list_sort(list(distinct ifnull(nullif(state, ''), 'unknown'))) as found, count(*) as n
+            from ({ENRICHED_CATALOG}))
+        select date '2002-01-01' as last_updated, cast(n as integer) as total_stations,
+               found as regions, found as file_regions from regions""", *CAT),
     "write_station_snapshot": _w(f"""
         select {AS_RECORDS}, date '2002-01-01' as snapshot_date,
                coalesce(state, 'unknown') as region
         from ({ENRICHED_CATALOG})""", *CAT),
     "upsert_observations": _w(f"""
-        , raw as (select station, cast(cast(date as timestamp) as date) as d, datatype, value
-                  from fx_observations),
-        b1 as (select concat(replace(station, 'GHCND:', ''), '_', strftime(d, '%Y%m%d')) as id,
-                      station, d as date,
-                      max(case when datatype = 'TMAX' then value end) as tmax,
-                      max(case when datatype = 'TMIN' then value end) as tmin,
-                      max(case when datatype = 'TAVG' then value end) as tavg,
-                      cast(null as double) as prcp
-               from raw where datatype in ('TMAX', 'TMIN', 'TAVG') group by station, d),
-        b2 as (select concat(replace(station, 'GHCND:', ''), '_', strftime(d, '%Y%m%d')) as id,
-                      station, d as date, cast(null as double) as tmax,
-                      cast(null as double) as tmin,
-                      max(case when datatype = 'TAVG' then value end) as tavg,
-                      max(case when datatype = 'PRCP' then value end) as prcp
-               from raw where datatype in ('PRCP', 'TAVG') and d >= date '1998-01-01'
-               group by station, d)
-        select * from b1 where id not in (select id from b2)
-        union all select * from b2""", *OBS),
+        , later as (select * replace (cast(null as double) as tmax, cast(null as double) as tmin)
+                    from transformed_results
+                    where (tavg is not null or prcp is not null) and date >= date '1998-01-01'),
+        first as (select * replace (cast(null as double) as prcp) from transformed_results
+                  where tmax is not null or tmin is not null or tavg is not null)
+        select {RESULT_COLS} from later
+        union all by name
+        select {RESULT_COLS} from first anti join later using (id)""", "transformed_results"),
     "upsert_stations": _w(f"""
         , good as (select {TYPED_COLS} from ({ENRICHED_CATALOG}) where state is not null)
-        select {TYPED_COLS} from fx_stations where id not in (select id from good)
+        select {TYPED_COLS.replace('state', 'right(id, 2) as state')} from fx_stations
+        where id not in (select id from good)
         union all select * from good""", "fx_stations", *CAT),
     "overwrite_view": VIEW_SQL["precipitation_anomaly_by_state_by_year"],
     # J
@@ -357,26 +346,73 @@ OPERATOR_SQL = {
     "job_refresh_stations": _w(f"""
         select {TYPED_COLS} from fx_stations
         union all
-        select {TYPED_COLS} from ({ENRICHED_CATALOG})
+        select {TYPED_COLS} from ({ENRICHED})
         where id in ({NEW_IDS}) and state is not null""",
                                "fx_observations", "fx_stations", *CAT),
+    "rejected_stations": _w(f"""
+        select {AS_RECORDS}, 'missing state' as reason from ({ENRICHED})
+        where id in ({NEW_IDS}) and state is null
+        union all by name
+        select id, 'not in the catalog' as reason from ({NEW_IDS})
+        where id not in (select id from fx_station_catalog)""", "fx_observations", "fx_stations", *CAT),
     "job_presentation": " union all ".join(
-        f"select '{v}' as view, count(*) as rows from ({sql})" for v, sql in VIEW_SQL.items()),
+        f"({values_sql(v, view_sql(v))})" for v in VIEW_BODIES),
 }
 
-ALL_SQL = {**VIEW_SQL, **OPERATOR_SQL}
+# J4 starts from an empty deployment and loads two spans of days: every
+# station observed there is new, so the dimension is the typed, resolvable
+# part of the enriched catalog.
+SPANS = {
+    "fx_observations": ("""
+        select station, date, datatype, value
+        from (select *, cast(left(date, 10) as date) as d, min(d) over () as low, max(d) over () as high
+              from fx_raw_observations)
+        where d - low < 40 or high - d < 40""", ("fx_raw_observations",)),
+    "transformed_stations": (f"""
+        select {TYPED_COLS} from ({ENRICHED})
+        where state is not null and id in (select station from fx_observations)""", (*CAT, "fx_observations")),
+}
+OPERATOR_SQL["job_pipeline"] = " union all ".join(
+    [f"({values_sql(t, with_views(f'select * from {t}', t, overrides=SPANS))})" for t in R_S]
+    + [f"({values_sql(v, view_sql(v, SPANS))})" for v in VIEW_BODIES])
+
+# H7: what every table is made of, and its rows once the curated tables are loaded.
+TABLE_COLUMNS = {
+    "transformed_results": "id string!, station string!, date date!, tmax double, tmin double, tavg double, "
+                           "prcp double, year int*, month int*",
+    "transformed_stations": "id string!, name string!, latitude double!, longitude double!, elevation double!, "
+                            "elevation_unit string!, state string!*, datacoverage double!, mindate date!, "
+                            "maxdate date!",
+    "monthly_avg_temp": "state string!, month timestamp_ntz!, avg_temp double!",
+    "station_summary": "station_id string!, state string!, total_measurements int!, avg_temp double!",
+    "total_stations_by_state": "state string!, total_stations int!",
+    "total_measurements_by_station": "station_id string!, total_measurements int!",
+    "precipitation_by_state_by_year": "state string!, year timestamp_ntz!, total_precipitation double!",
+    "central_tendence_tmin_tmax_by_month": "month timestamp_ntz!, avg_tmin double!, avg_tmax double!",
+    "extreme_temperature_by_state": "state string!, max_temp double!, min_temp double!",
+    "avg_temp_by_season": "season string!, avg_temp double!",
+    "preciptation_by_season": "season string!, total_precipitation double!",
+    "precipitation_anomaly_by_state_by_year":
+        "state string!, year timestamp_ntz!, total_precipitation double!, historical_avg_precipitation double!, "
+        "anomaly_mm double!, anomaly_pct double!",
+    "rainy_days_by_state_by_year": "state string!, year timestamp_ntz!, rainy_days int!",
+}
+
+
+def _table_columns_sql() -> str:
+    rows = []
+    for name, columns in TABLE_COLUMNS.items():
+        label = name if name in R_S else f"presentation_{name}"
+        for column in columns.split(", "):
+            c, kind = column.split(" ")
+            rows.append(f"('{label}', '{c}', '{kind.rstrip('!*')}', {'!' in kind}, {'*' in kind})")
+    return f"""
+        , described as (select * from (values {', '.join(rows)}) t("table", "column", type, required, "partition"))
+        select d.*, case d."table" when 'transformed_results' then (select count(*) from transformed_results)
+                                   when 'transformed_stations' then (select count(*) from transformed_stations)
+                                   else 0 end as rows
+        from described d"""
+
 
-# J4 starts from an empty deployment: every observed station is new, so
-# the dimension is the typed, resolvable part of the enriched catalog.
-PIPELINE_STATIONS = (f"select {TYPED_COLS} from ({ENRICHED_CATALOG}) where state is not null",
-                     CAT)
-OPERATOR_SQL["job_pipeline"] = " union all ".join(f"select * from ({part})" for part in
-    [with_views("select 'transformed_results' as \"table\", count(*) as rows "
-                "from transformed_results", "transformed_results"),
-     with_views("select 'transformed_stations' as \"table\", count(*) as rows "
-                "from transformed_stations", "transformed_stations",
-                overrides={"transformed_stations": PIPELINE_STATIONS})]
-    + [f"select 'presentation_{v}' as \"table\", count(*) as rows from ("
-       + with_views(body, *R_S, overrides={"transformed_stations": PIPELINE_STATIONS}) + ")"
-       for v, body in VIEW_BODIES.items()])
+OPERATOR_SQL["ensure_tables"] = _w(_table_columns_sql(), *R_S)
 ALL_SQL = {**VIEW_SQL, **OPERATOR_SQL}

@@ -12,18 +12,20 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import fixtures as fx
 from .. import functions as PF
 from ..operators import conform, joins, periods, stations
 from ..operators import observations as obs_ops
-from ..schemas import STATION_RECORD, TRANSFORMED_RESULTS
+from ..functions.constants import STATE_CODES
+from ..schemas import PARTITIONING, STATION_RECORD, TRANSFORMED_RESULTS
 from ..session import work_path
 from ..sinks import landing, tables
 from ..sources import observations as src
 from . import jobs, oracle
+from .values import as_values
 from .views import VIEWS
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,7 +72,8 @@ def _aux(spark, sf):
 
 
 def _enriched_catalog(spark, sf) -> DataFrame:
-    catalog, cells, codes = _aux(spark, sf)
+    _, cells, codes = _aux(spark, sf)
+    catalog = fx.fx_full_catalog(spark, sf)
     return stations.enrich_stations(catalog.select("id"), catalog, cells, codes)
 
 
@@ -91,17 +94,17 @@ def _scratch(spark, name: str) -> str:
     return work_path(spark, "queries", name, unique=True)
 
 
-_LANDED: dict[tuple[int, str], str] = {}
+_LANDED: dict[tuple[str, str], str] = {}
 
 
 def _landed(spark, sf, name: str, shared: bool = True) -> str:
     """Land the observations as raw day files; read-only users share one
     landed copy per session and input folder."""
-    key = (id(spark), sf)
+    key = (spark.sparkContext.applicationId, sf)
     if shared and key in _LANDED:
         return _LANDED[key]
     root = _scratch(spark, name) + "/raw/results"
-    landing.land_observations(fx.fx_observations(spark, sf), root)
+    landing.land_observations(fx.fx_raw_observations(spark, sf), root)
     if shared:
         _LANDED[key] = root
     return root
@@ -138,9 +141,8 @@ def q_expected_loads(spark, sf):
     """(station, monthly period, datatype) pairs with nothing landed."""
     exp = periods.expected_loads(_periods(spark, sf, periods.MONTHLY)) \
         .withColumn("m", F.trunc("start", "MM"))
-    landed = _typed(spark, sf).select("station", F.trunc("date", "MM").alias("m"),
-                                      "datatype").distinct()
-    return exp.join(landed, ["station", "m", "datatype"], "left_anti").drop("m")
+    landed = _typed(spark, sf).select("station", F.trunc("date", "MM").alias("m"), "datatype")
+    return periods.missing_loads(exp, landed, ("station", "m", "datatype")).drop("m")
 
 
 def q_expected_pages(spark, sf):
@@ -168,7 +170,7 @@ def q_valid_station_ids(spark, sf):
 
 
 def q_station_projection(spark, sf):
-    return stations.station_projection(fx.fx_station_catalog(spark, sf))
+    return stations.station_projection(fx.fx_full_catalog(spark, sf))
 
 
 def q_typed_stations(spark, sf):
@@ -186,6 +188,18 @@ def q_conform_schema(spark, sf):
     return conform.conform_schema(results, TRANSFORMED_RESULTS)
 
 
+def q_contract_violations(spark, sf):
+    """Rows that break the contract: no station for ids ending in 9, no date
+    on the fifth of a month."""
+    results, _ = curated_inputs(spark, sf)
+    broken = results.withColumns({
+        "station": F.when(~F.col("station").endswith("9"), F.col("station")),
+        "date": F.when(F.dayofmonth("date") != 5, F.col("date")),
+        "tmax": F.lit(None).cast("double")})
+    return conform.contract_violations(broken.withColumn("id", PF.observation_id("station", "date")),
+                                       TRANSFORMED_RESULTS)
+
+
 def q_rainy_filter(spark, sf):
     results, _ = curated_inputs(spark, sf)
     return obs_ops.rainy_filter(results)
@@ -217,12 +231,16 @@ def q_new_station_ids(spark, sf):
 
 
 def q_lookup_state_code(spark, sf):
-    s = fx.fx_stations(spark, sf).select("id", F.col("state").alias("state_name"))
-    return joins.lookup_state_code(s, fx.fx_state_codes(spark, sf), out="code")
+    """Codes of the 27 known states; every 28th supplier is in none of them."""
+    names = F.array(*[F.lit(name) for name, _ in STATE_CODES])
+    nth = F.regexp_extract("id", "([0-9]+)$", 1).cast("long") % 28
+    s = fx.fx_all_stations(spark, sf).select(
+        "id", F.coalesce(F.get(names, nth.cast("int")), F.lit("Nowhere")).alias("state_name"))
+    return joins.lookup_state_code(s, out="code")
 
 
 def q_assign_state(spark, sf):
-    cat = fx.fx_station_catalog(spark, sf).select("id", "latitude", "longitude")
+    cat = fx.fx_full_catalog(spark, sf).select("id", "latitude", "longitude")
     return joins.assign_state(cat, fx.fx_region_cells(spark, sf))
 
 
@@ -284,7 +302,7 @@ def q_group_by_expression(spark, sf):
 
 
 def q_stations_by_region(spark, sf):
-    return stations.stations_by_region(fx.fx_stations(spark, sf))
+    return stations.stations_by_region(fx.fx_all_stations(spark, sf))
 
 
 def q_manifest_summary(spark, sf):
@@ -331,14 +349,16 @@ def q_sort_by_season(spark, sf):
 
 
 def q_station_union(spark, sf):
-    return stations.station_union(_as_records(fx.fx_stations(spark, sf)),
-                                  _as_records(_enriched_new(spark, sf)))
+    """Every station is in the existing set; most come anew with a state code."""
+    catalog, cells, codes = _aux(spark, sf)
+    new = stations.enrich_stations(catalog.select("id"), catalog, cells, codes)
+    return stations.station_union(_as_records(fx.fx_all_stations(spark, sf)), _as_records(new))
 
 
 def q_append_observations(spark, sf):
     typed = _typed(spark, sf)
-    parts = [typed.where(F.col("datatype") == t) for t in ("TMAX", "TMIN", "TAVG", "PRCP")]
-    return obs_ops.append_observations(*parts)
+    rain = F.coalesce(F.col("datatype") == "PRCP", F.lit(False))
+    return obs_ops.append_observations(typed.where(rain), typed.where(~rain))
 
 
 # --- A: sources ---------------------------------------------------------------------------
@@ -352,41 +372,50 @@ def q_scan_observations_by_type(spark, sf):
     return src.scan_observations_by_type(spark, root, *PERIOD, ["TMAX", "PRCP"])
 
 
-def _land_pages(spark, sf, name: str) -> str:
-    """Land the observations as API page envelopes of at most 1,000 rows.
+PAGE_ROWS = 100
+
+
+def _land_pages(spark, sf, name: str, defects: bool = False) -> str:
+    """Land the observations as API pages of at most 100 rows, a request
+    being a datatype and a month. Each envelope declares its request's total.
 
-    A page is a run of at most 1,000 consecutive rows of one input task
-    (position from ``monotonically_increasing_id``), so every page is
-    bounded and no group is gathered in one task. Each envelope declares
-    its datatype's total, as the API does.
+    With ``defects``, of every third month the last TMAX page is missing and
+    all TMIN pages are there twice, and every fourth month has an
+    unreadable PRCP page.
     """
-    obs = fx.fx_observations(spark, sf).withColumn("_mid", F.monotonically_increasing_id())
-    pos = F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))
-    part = F.shiftright(F.col("_mid"), 33)
-    paged = obs.withColumn("_page", F.concat_ws("-", part, F.floor(pos / 1000)))
-    totals = obs.groupBy("datatype").agg(F.count(F.lit(1)).alias("count"))
-    pages = (paged.groupBy("datatype", "_page")
-             .agg(F.collect_list(F.struct("station", "date", "datatype",
-                                          F.lit(None).cast("string").alias("attributes"),
-                                          "value")).alias("results"))
-             .join(joins.bounded_broadcast(totals, 10_000), "datatype")
-             .select("datatype", F.struct(F.struct(
-                 F.lit(1).cast("long").alias("offset"), F.col("count"),
-                 F.lit(1000).cast("long").alias("limit")).alias("resultset")).alias("metadata"),
-                 "results"))
+    obs = fx.fx_raw_observations(spark, sf).withColumn(
+        "request", F.concat(F.lit("m"), F.date_format(F.to_date("date"), "yyyyMM")))
+    nth = F.row_number().over(Window.partitionBy("datatype", "request").orderBy("station", "date", "value"))
+    total = F.count(F.lit(1)).over(Window.partitionBy("datatype", "request"))
+    paged = obs.withColumns({"offset": F.floor((nth - 1) / PAGE_ROWS) * PAGE_ROWS + 1, "total": total})
+    row = F.struct("station", "date", "datatype", "attributes", "value")
+    pages = (paged.groupBy("datatype", "request", "offset", "total").agg(F.collect_list(row).alias("results"))
+             .select("datatype", "request", F.struct(F.struct(
+                 "offset", F.col("total").alias("count"), F.lit(PAGE_ROWS).cast("long").alias("limit"))
+                 .alias("resultset")).alias("metadata"), "results"))
     root = _scratch(spark, name) + "/raw/pages"
-    pages.write.mode("overwrite").partitionBy("datatype").json(root)
+    keys = ["datatype", "request"]
+    if defects:
+        month = F.substring("request", 6, 2).cast("int")
+        span = F.col("metadata.resultset")
+        lost = (F.col("datatype") == "TMAX") & (month % 3 == 0) & (span["offset"] + PAGE_ROWS > span["count"])
+        twice = F.when((F.col("datatype") == "TMIN") & (month % 3 == 0), 2).otherwise(1)
+        pages = (pages.where(~lost).withColumn("copy", F.explode(F.sequence(F.lit(1), twice))).drop("copy"))
+        broken = (obs.where((F.col("datatype") == "PRCP") & (month % 4 == 0)).select(*keys).distinct()
+                  .withColumn("value", F.lit('{"metadata": {"resultset"')))
+        broken.write.partitionBy(*keys).text(root)
+    pages.write.mode("append").partitionBy(*keys).json(root)
     return root
 
 
 def q_explode_pages(spark, sf):
     pages = src.read_pages(spark, _land_pages(spark, sf, "pages"))
-    return src.explode_pages(pages).select("station", "date", "datatype", "value")
+    return src.explode_pages(pages).select("station", "date", "datatype", "attributes", "value")
 
 
 def q_page_completeness(spark, sf):
-    pages = src.read_pages(spark, _land_pages(spark, sf, "pages-check"))
-    return src.page_completeness(pages, ["datatype"]).drop("pages")
+    pages = src.read_pages(spark, _land_pages(spark, sf, "pages-check", defects=True))
+    return src.page_completeness(pages, ["datatype", "request"])
 
 
 def _snapshot_layout(spark, sf, name: str) -> jobs.Layout:
@@ -402,9 +431,15 @@ def q_scan_station_snapshot(spark, sf):
     return landing.scan_station_snapshot(spark, layout.raw_stations, layout.manifest)
 
 
+def _table(spark, name: str, table: str) -> str:
+    path = _scratch(spark, name) + "/" + table
+    tables.ensure_table(spark, path, table)
+    return path
+
+
 def q_scan_table(spark, sf):
     r, _ = curated_inputs(spark, sf)
-    path = _scratch(spark, "scan-table") + "/transformed_results"
+    path = _table(spark, "scan-table", "transformed_results")
     tables.upsert_observations(r, path)
     df = tables.read_table(spark, path, "transformed_results")
     df.createOrReplaceTempView("transformed_results")
@@ -418,15 +453,14 @@ def q_stations_from_rows(spark, sf):
 
 
 def q_tolerant_scan(spark, sf):
-    """Land, then drop one unreadable file into the first observed day: that
-    whole day (every datatype) must disappear from the scan."""
+    """Land, then drop an unreadable file into the first observed day and a
+    row without a date that parses into the last: both days (every
+    datatype) must disappear from the scan."""
     root = _landed(spark, sf, "tolerant", shared=False)
-    first = _typed(spark, sf).agg(F.min("date").alias("d")).first()["d"]
-    bad_dir = (f"{root}/datatype=TMAX/year={first.year}/month={first.month:02d}"
-               f"/day={first.day:02d}")
-    (fx.fx_observations(spark, sf).limit(1)
-     .select(F.lit("{ this line is not json").alias("value"))
-     .write.mode("append").text(bad_dir))
+    span = _typed(spark, sf).agg(F.min("date").alias("first"), F.max("date").alias("last")).first()
+    for day, line in ((span["first"], "{ this line is not json"), (span["last"], '{"station": "X", "date": "soon"}')):
+        folder = f"{root}/datatype=TMAX/year={day.year}/month={day.month:02d}/day={day.day:02d}"
+        spark.range(1).select(F.lit(line).alias("value")).write.mode("append").text(folder)
     rows, _bad = src.tolerant_scan(spark, root)
     return rows
 
@@ -434,7 +468,15 @@ def q_tolerant_scan(spark, sf):
 # --- H: sinks ---------------------------------------------------------------------------------
 
 def q_land_observations(spark, sf):
-    return src.scan_observations(spark, _landed(spark, sf, "land", shared=False))
+    """What was landed, and one row whose date does not parse, as rejected."""
+    raw = fx.fx_raw_observations(spark, sf)
+    undated = raw.groupBy().agg(F.min("station").alias("station")).select(
+        "station", F.lit("not a date").alias("date"), F.lit("TMAX").alias("datatype"),
+        F.lit("x").alias("attributes"), F.lit(1.0).alias("value"))
+    root = _scratch(spark, "land") + "/raw/results"
+    landing.land_observations(raw.unionByName(undated), root)
+    landed = src.scan_observations(spark, root).withColumn("reason", F.lit(None).cast("string"))
+    return landed.unionByName(landing.read_rejected(spark, root), allowMissingColumns=True)
 
 
 def q_write_station_snapshot(spark, sf):
@@ -443,8 +485,34 @@ def q_write_station_snapshot(spark, sf):
 
 
 def q_write_manifest(spark, sf):
+    """The manifest; its (random) file names give way to the regions that
+    their folders name."""
     layout = _snapshot_layout(spark, sf, "manifest")
-    return landing.read_manifest(spark, layout.manifest)
+    regions = F.transform("files", lambda f: F.url_decode(F.replace(
+        F.regexp_extract(f, "region=([^/]+)/", 1), F.lit("+"), F.lit("%2B"))))
+    return landing.read_manifest(spark, layout.manifest).select(
+        "last_updated", "total_stations", "regions", F.array_sort(F.array_distinct(regions)).alias("file_regions"))
+
+
+def q_ensure_tables(spark, sf):
+    """Every column of every table, as created and stored, and the rows of
+    the table after the curated ones were loaded."""
+    root = _scratch(spark, "ensure")
+    tables.ensure_tables(spark, root)
+    r, s = curated_inputs(spark, sf)
+    tables.upsert_observations(r, f"{root}/transformed_results")
+    tables.upsert_stations(s, f"{root}/transformed_stations")
+    parts = []
+    for name in tables.table_names():
+        stored = tables.read_table(spark, f"{root}/{name}", name)
+        contract, folders = tables.table_schema(name), PARTITIONING.get(name, [])
+        columns = F.array(*[F.struct(
+            F.lit(f.name).alias("column"), F.lit(f.dataType.simpleString()).alias("type"),
+            F.lit(f.name in contract.fieldNames() and not contract[f.name].nullable).alias("required"),
+            F.lit(f.name in folders).alias("partition")) for f in stored.schema.fields])
+        parts.append(stored.agg(F.count(F.lit(1)).alias("rows")).select(
+            F.lit(name).alias("table"), F.explode(columns).alias("c"), "rows").select("table", "c.*", "rows"))
+    return obs_ops.append_observations(*parts)
 
 
 def _upsert_batches(spark, sf):
@@ -457,7 +525,7 @@ def _upsert_batches(spark, sf):
 
 def q_upsert_observations(spark, sf):
     b1, b2 = _upsert_batches(spark, sf)
-    path = _scratch(spark, "upsert-results") + "/transformed_results"
+    path = _table(spark, "upsert-results", "transformed_results")
     tables.upsert_observations(b1, path)
     tables.upsert_observations(b2, path)
     return tables.read_table(spark, path, "transformed_results").select(
@@ -465,8 +533,9 @@ def q_upsert_observations(spark, sf):
 
 
 def q_upsert_stations(spark, sf):
-    path = _scratch(spark, "upsert-stations") + "/transformed_stations"
-    tables.upsert_stations(fx.fx_stations(spark, sf), path)
+    """Stations whose state is two digits, most replaced by the catalog's."""
+    path = _table(spark, "upsert-stations", "transformed_stations")
+    tables.upsert_stations(fx.fx_stations(spark, sf).withColumn("state", F.substring("id", -2, 2)), path)
     good, _ = stations.typed_stations(_as_records(_enriched_catalog(spark, sf)))
     tables.upsert_stations(good, path)
     return tables.read_table(spark, path, "transformed_stations")
@@ -475,8 +544,8 @@ def q_upsert_stations(spark, sf):
 def q_overwrite_view(spark, sf):
     name = "precipitation_anomaly_by_state_by_year"
     path = _scratch(spark, "view") + f"/presentation_{name}"
-    tables.overwrite_view(VIEWS[name](*curated_inputs(spark, sf)), path, name)
-    return spark.read.parquet(path)
+    tables.overwrite_view(VIEWS[name](*curated_inputs(spark, sf), ordered=False), path, name)
+    return tables.read_table(spark, path, f"presentation_{name}")
 
 
 # --- J: jobs -------------------------------------------------------------------------------------
@@ -489,50 +558,69 @@ def q_job_transform_observations(spark, sf):
         *TRANSFORMED_RESULTS.fieldNames())
 
 
-def q_job_refresh_stations(spark, sf):
+def _refreshed(spark, sf, name: str) -> jobs.Layout:
     """Seed snapshot + dimension with the known stations, then refresh from
     the observations: only the new, resolvable stations are added."""
-    layout = jobs.Layout(_scratch(spark, "job-stations"))
+    layout = jobs.Layout(_scratch(spark, name))
     known = _as_records(fx.fx_stations(spark, sf))
     landing.write_station_snapshot(known, layout.raw_stations, OLD_SNAPSHOT_DATE)
     landing.write_manifest(spark, layout.raw_stations, layout.manifest, OLD_SNAPSHOT_DATE, known)
+    tables.ensure_table(spark, layout.stations, "transformed_stations")
     tables.upsert_stations(fx.fx_stations(spark, sf), layout.stations)
     catalog, cells, codes = _aux(spark, sf)
     jobs.job_refresh_stations(spark, layout, fx.fx_observations(spark, sf),
                               catalog, cells, codes, RUN_DATE)
+    return layout
+
+
+def q_job_refresh_stations(spark, sf):
+    layout = _refreshed(spark, sf, "job-stations")
     return tables.read_table(spark, layout.stations, "transformed_stations")
 
 
+def q_rejected_stations(spark, sf):
+    """The reject table after the same refresh: stations without a catalog
+    record, and those whose record does not type."""
+    layout = _refreshed(spark, sf, "job-rejects")
+    return tables.read_table(spark, layout.rejects, "rejected_stations")
+
+
+def _stored_values(spark, layout: jobs.Layout, views) -> DataFrame:
+    parts = [as_values(name, tables.read_table(spark, layout.presentation(name), f"presentation_{name}"))
+             for name in views]
+    return obs_ops.append_observations(*parts)
+
+
 def q_job_presentation(spark, sf):
+    """All values of all presentation tables."""
     layout = jobs.Layout(_scratch(spark, "job-presentation"))
     r, s = curated_inputs(spark, sf)
+    tables.ensure_table(spark, layout.results, "transformed_results")
+    tables.ensure_table(spark, layout.stations, "transformed_stations")
     tables.upsert_observations(r, layout.results)
     tables.upsert_stations(s, layout.stations)
-    counts = jobs.job_presentation(spark, layout)
-    parts = [spark.read.parquet(layout.presentation(v)).agg(
-        F.count(F.lit(1)).alias("rows")).select(F.lit(v).alias("view"), "rows")
-        for v in counts]
-    return obs_ops.append_observations(*parts)
+    return _stored_values(spark, layout, jobs.job_presentation(spark, layout))
 
 
 def q_job_pipeline(spark, sf):
-    """Whole chain from an empty deployment over the landed observations:
-    one monthly request spanning the data, then observations, stations
-    (all new) and every presentation table. Returns rows per table."""
+    """Whole chain from an empty deployment over the landed observations,
+    for two requests far apart: the first forty days and the last forty.
+    Returns all values of all tables."""
     layout = jobs.Layout(_scratch(spark, "job-pipeline"), raw=_landed(spark, sf, "job-pipeline"))
-    requests = _typed(spark, sf).agg(
-        F.min("date").cast("string").alias("start_date"),
-        F.max("date").cast("string").alias("end_date")).withColumn("frequency", F.lit("monthly"))
+    span = _typed(spark, sf).agg(F.min("date").alias("first"), F.max("date").alias("last"))
+    requests = span.select(F.explode(F.array(
+        F.struct(F.col("first").alias("s"), F.date_add("first", 39).alias("e")),
+        F.struct(F.date_sub("last", 39).alias("s"), F.col("last").alias("e")))).alias("r")).select(
+        F.col("r.s").cast("string").alias("start_date"), F.col("r.e").cast("string").alias("end_date"),
+        F.lit("monthly").alias("frequency"))
     catalog, cells, codes = _aux(spark, sf)
     report = jobs.job_pipeline(spark, layout, None, requests, catalog, cells, codes,
                                as_of=RUN_DATE, run_date=RUN_DATE)
-    counts = [("transformed_results", layout.results, "transformed_results"),
-              ("transformed_stations", layout.stations, "transformed_stations")]
-    parts = [tables.read_table(spark, path, name).agg(F.count(F.lit(1)).alias("rows"))
-             .select(F.lit(label).alias("table"), "rows") for label, path, name in counts]
-    parts += [spark.read.parquet(layout.presentation(v)).agg(F.count(F.lit(1)).alias("rows"))
-              .select(F.lit(f"presentation_{v}").alias("table"), "rows") for v in report["views"]]
-    return obs_ops.append_observations(*parts)
+    results = tables.read_table(spark, layout.results, "transformed_results")
+    dimension = tables.read_table(spark, layout.stations, "transformed_stations")
+    return obs_ops.append_observations(
+        as_values("transformed_results", results), as_values("transformed_stations", dimension),
+        _stored_values(spark, layout, report["views"]))
 
 
 QUERIES: dict[str, Query] = {}
@@ -541,7 +629,15 @@ for _name in VIEWS:
         return VIEWS[_n](*curated_inputs(spark, sf))
     QUERIES[_name] = _view_query
 
+
+def q_total_stations_by_state(spark, sf):
+    results, _ = curated_inputs(spark, sf)
+    return VIEWS["total_stations_by_state"](results, fx.fx_all_stations(spark, sf))
+
+
 QUERIES.update({
+    # F3 reads the dimension alone: all of it
+    "total_stations_by_state": q_total_stations_by_state,
     # A
     "scan_observations": q_scan_observations,
     "explode_pages": q_explode_pages,
@@ -569,6 +665,7 @@ QUERIES.update({
     "typed_stations": q_typed_stations,
     "reject_stations": q_reject_stations,
     "conform_schema": q_conform_schema,
+    "contract_violations": q_contract_violations,
     "rainy_filter": q_rainy_filter,
     "datatype_filter": q_datatype_filter,
     "period_filter": q_period_filter,
@@ -604,12 +701,14 @@ QUERIES.update({
     "land_observations": q_land_observations,
     "write_station_snapshot": q_write_station_snapshot,
     "write_manifest": q_write_manifest,
+    "ensure_tables": q_ensure_tables,
     "upsert_observations": q_upsert_observations,
     "upsert_stations": q_upsert_stations,
     "overwrite_view": q_overwrite_view,
     # J
     "job_transform_observations": q_job_transform_observations,
     "job_refresh_stations": q_job_refresh_stations,
+    "rejected_stations": q_rejected_stations,
     "job_presentation": q_job_presentation,
     "job_pipeline": q_job_pipeline,
 })

@@ -34,13 +34,6 @@ PAGE_ENVELOPE = _schema(
     ("results", T.ArrayType(RAW_OBSERVATION), True),
 )
 
-# Station record as the station catalog serves it (camelCase unit field).
-STATION_CATALOG = _schema(
-    ("id", S, True), ("name", S, True), ("latitude", D, True),
-    ("longitude", D, True), ("elevation", D, True), ("elevationUnit", S, True),
-    ("datacoverage", D, True), ("mindate", S, True), ("maxdate", S, True),
-)
-
 # Station record after enrichment, before typing (dates still strings,
 # numbers possibly unparsed text when they come from loose JSON).
 STATION_RECORD = _schema(
@@ -62,11 +55,6 @@ MANIFEST = _schema(
 
 PERIOD = _schema(("start", DT, False), ("end", DT, False))
 
-STATE_CODES = _schema(("state_name", S, False), ("code", S, False))
-
-REGION_CELLS = _schema(("cell_lat", I, False), ("cell_lon", I, False),
-                       ("state_name", S, False))
-
 # --- curated tables -------------------------------------------------------
 
 TRANSFORMED_RESULTS = _schema(
@@ -81,8 +69,10 @@ TRANSFORMED_STATIONS = _schema(
     ("maxdate", DT, False),
 )
 
-REJECT_STATIONS = T.StructType(STATION_RECORD.fields + [
-    T.StructField("reason", S, False)])
+# Station rows that were refused, as they came, and why.
+REJECTED_STATIONS = T.StructType(
+    [T.StructField("id", S, False)] + STATION_RECORD.fields[1:]
+    + [T.StructField("reason", S, False)])
 
 # --- presentation tables (public names, misspellings kept) ----------------
 

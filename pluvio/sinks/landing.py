@@ -2,89 +2,117 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import functions as PF
+from ..operators.joins import bounded_broadcast
 from ..operators.stations import RECORD_COLUMNS, manifest_summary, region_of
-from ..schemas import MANIFEST, STATION_SNAPSHOT
+from ..schemas import MANIFEST, RAW_OBSERVATION, STATION_SNAPSHOT
+from . import files
 
 OBS_PARTITIONS = ("datatype", "year", "month", "day")
 SNAPSHOT_PARTITIONS = ("snapshot_date", "region")
+RAW_COLUMNS = tuple(RAW_OBSERVATION.fieldNames())
 
 
-def land_observations(observations: DataFrame, root: str,
-                      max_records_per_file: int = 1_000_000) -> None:
+def rejected_root(root: str) -> str:
+    """Where observations that have no day are kept, beside the landing zone."""
+    return root.rstrip("/") + "-rejected"
+
+
+def land_observations(observations: DataFrame, root: str, max_records_per_file: int = 1_000_000) -> dict:
     """Write raw observations as JSON lines under
-    ``datatype=/year=/month=/day=`` (month and day zero-padded).
+    ``datatype=/year=/month=/day=`` (month and day zero-padded), every raw
+    field included.
 
     A rerun replaces exactly the (datatype, day) folders it writes and
-    leaves every other day alone (dynamic partition overwrite).
+    leaves every other day alone (dynamic partition overwrite). A row whose
+    date does not parse has no day folder: it goes to ``rejected_root(root)``
+    with a reason. Returns the rows landed and rejected.
 
     Rows are range-partitioned on the folder keys first: each task then
-    writes a contiguous run of folders (about one file per folder instead
-    of one per task and folder), and the sampled range bounds split a day
-    that holds a large share of the rows over several tasks instead of
-    sending it to one. ``maxRecordsPerFile`` bounds file size.
+    writes a contiguous run of folders, and the sampled range bounds split a
+    day that holds a large share of the rows over several tasks instead of
+    sending it to one. ``maxRecordsPerFile`` bounds file size. How many tasks
+    there are is left to adaptive execution.
     """
-    d = F.col("date").try_cast("timestamp_ntz").cast("date")
-    parts = PF.day_parts(d)
-    out = observations.select("station", "date", "datatype", "value",
-                              parts["year"].alias("year"), parts["month"].alias("month"),
-                              parts["day"].alias("day")).where(d.isNotNull())
-    n = int(observations.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    out = out.repartitionByRange(n, *OBS_PARTITIONS, "station")
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    day = F.col("date").try_cast("timestamp_ntz").cast("date")
+    raw = observations.select(*[F.col(c) if c in observations.columns else F.lit(None).cast("string").alias(c)
+                                for c in RAW_COLUMNS])
+    parts = PF.day_parts(day)
+    keyed = raw.select("*", *[parts[k].alias(k) for k in ("year", "month", "day")], day.isNotNull().alias("_dated"))
+    counts = Observation("landing")
+    counted = keyed.repartitionByRange(*OBS_PARTITIONS, "station").observe(
+        counts, F.count_if("_dated").alias("landed"), F.count_if(~F.col("_dated")).alias("rejected"))
+    (counted.where("_dated").drop("_dated").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .option("maxRecordsPerFile", max_records_per_file)
      .partitionBy(*OBS_PARTITIONS).json(root))
+    found = {k: int(v) for k, v in counts.get.items()}
+    if found["rejected"]:  # a second pass only where there is something to reject
+        (raw.where(day.isNull()).withColumn("reason", F.lit("unparseable date"))
+         .write.mode("append").json(rejected_root(root)))
+    return found
 
 
-def _fingerprints(df: DataFrame) -> DataFrame:
-    """Per region: row count and an order-independent content hash."""
-    h = F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in RECORD_COLUMNS])
-    return df.groupBy("region").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(h).alias("fp"))
+def read_rejected(spark: SparkSession, root: str) -> DataFrame:
+    """Rejected observations of a landing zone; empty if nothing was rejected."""
+    schema = T.StructType([*RAW_OBSERVATION.fields, T.StructField("reason", T.StringType())])
+    if not files.exists(spark, rejected_root(root)):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).json(rejected_root(root))
 
 
-def read_snapshot(spark: SparkSession, root: str) -> DataFrame:
-    try:
-        return spark.read.schema(STATION_SNAPSHOT).json(root)
-    except Exception as e:
-        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
-            return spark.createDataFrame([], STATION_SNAPSHOT)
-        raise
+# --- station snapshots ---------------------------------------------------------
 
+def _fingerprints(df: DataFrame) -> DataFrame:
+    """Per region: row count and two order-independent content hashes. Equal
+    rows do not cancel in the sum."""
+    content = [F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in RECORD_COLUMNS]
+    return df.groupBy("region").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(*content).cast("decimal(20,0)")).alias("total"),
+        F.bit_xor(F.xxhash64(F.lit("second"), *content)).alias("mix"))
+
+
+def read_snapshot(spark: SparkSession, root: str, snapshot_date=None) -> DataFrame:
+    """Snapshot rows, of one date if given (only its folders are read).
+    Before the first snapshot there is no folder, and the result is empty."""
+    if not files.exists(spark, root):
+        return spark.createDataFrame([], STATION_SNAPSHOT)
+    rows = spark.read.schema(STATION_SNAPSHOT).json(root)
+    return rows if snapshot_date is None else rows.where(
+        F.col("snapshot_date") == F.lit(snapshot_date).cast("date"))
 
-def write_station_snapshot(stations: DataFrame, root: str, snapshot_date) -> list[str]:
+
+def write_station_snapshot(stations: DataFrame, root: str, snapshot_date) -> DataFrame:
     """Full station snapshot of ``snapshot_date``, one folder per region.
 
     A region whose content equals what is already stored for the same
-    snapshot date is not rewritten. Content is compared by row count and
-    an XOR of row hashes per region (both partial aggregates). Returns the
-    regions written. The set of regions is small (one per state), so the
-    list of changed regions is the only thing that reaches the driver.
+    snapshot date is not rewritten; content is compared by row count and two
+    hashes per region (partial aggregates). Returns the regions written, as
+    rows: ``state`` is free text, so their number has no bound.
     """
     spark = stations.sparkSession
     snap = (stations.select(*[F.col(c).cast("string").alias(c) for c in RECORD_COLUMNS])
             .withColumn("region", region_of("state")))
-    stored = read_snapshot(spark, root).where(
-        F.col("snapshot_date") == F.lit(snapshot_date).cast("date"))
-    new_fp, old_fp = _fingerprints(snap), _fingerprints(stored.select(*RECORD_COLUMNS, "region"))
-    changed = [r["region"] for r in
-               new_fp.join(old_fp, ["region", "n", "fp"], "left_anti").select("region").collect()]
-    if changed:
-        (snap.where(F.col("region").isin(changed))
+    stored = read_snapshot(spark, root, snapshot_date)
+    new, old = _fingerprints(snap), _fingerprints(stored.select(*RECORD_COLUMNS, "region"))
+    # kept from here on: the folders that it is compared with are about to change
+    changed = new.join(old, ["region", "n", "total", "mix"], "left_anti").select("region").checkpoint()
+    if not changed.isEmpty():
+        (snap.join(changed, "region", "left_semi")
          .withColumn("snapshot_date", F.lit(snapshot_date).cast("date"))
+         .repartitionByRange("region", "id")
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*SNAPSHOT_PARTITIONS).json(root))
-    return sorted(changed)
+    return changed
 
 
 def snapshot_files(spark: SparkSession, root: str, snapshot_date) -> DataFrame:
-    """Distinct data files of one snapshot date (``file`` column)."""
-    return (read_snapshot(spark, root)
-            .where(F.col("snapshot_date") == F.lit(snapshot_date).cast("date"))
-            .select(F.col("_metadata.file_path").alias("file")).distinct())
+    """(region, file): the distinct data files of one snapshot date."""
+    return (read_snapshot(spark, root, snapshot_date)
+            .select("region", F.col("_metadata.file_path").alias("file")).distinct())
 
 
 def write_manifest(spark: SparkSession, snapshot_root: str, manifest_path: str,
@@ -95,35 +123,30 @@ def write_manifest(spark: SparkSession, snapshot_root: str, manifest_path: str,
     regions are those present now, so a region emptied by a same-day rerun
     stays on disk but is no longer listed.
     """
-    snap = stations.withColumn("region", region_of("state"))
-    current_regions = snap.select("region").distinct()
-    files = (snapshot_files(spark, snapshot_root, snapshot_date)
-             .withColumn("region", F.regexp_extract("file", r"region=([^/]+)/", 1))
-             .join(current_regions, "region", "left_semi").select("file"))
-    m = manifest_summary(stations, snapshot_date, files)
-    m.coalesce(1).write.mode("overwrite").json(manifest_path)
+    current = stations.select(region_of("state").alias("region")).distinct()
+    listed = snapshot_files(spark, snapshot_root, snapshot_date).join(current, "region", "left_semi")
+    summary = manifest_summary(stations, snapshot_date, listed.select("file"))
+    summary.coalesce(1).write.mode("overwrite").json(manifest_path)
     return read_manifest(spark, manifest_path)
 
 
 def read_manifest(spark: SparkSession, manifest_path: str) -> DataFrame:
-    try:
-        return spark.read.schema(MANIFEST).json(manifest_path)
-    except Exception as e:
-        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
-            return spark.createDataFrame([], MANIFEST)
-        raise
+    """The manifest (one row); no row before the first snapshot."""
+    if not files.exists(spark, manifest_path):
+        return spark.createDataFrame([], MANIFEST)
+    return spark.read.schema(MANIFEST).json(manifest_path)
 
 
 def scan_station_snapshot(spark: SparkSession, snapshot_root: str, manifest_path: str) -> DataFrame:
     """Stations of the snapshot the manifest points to (date and regions).
 
-    Done as a semi join with the manifest's (date, region) pairs, so it
-    stays lazy; no manifest means an empty result with the schema.
+    The manifest's date is read first (one row), so older snapshots are
+    pruned by folder. No manifest means an empty result with the schema.
     """
-    pairs = read_manifest(spark, manifest_path).select(
-        F.col("last_updated").alias("snapshot_date"), F.explode("regions").alias("region"))
-    snap = read_snapshot(spark, snapshot_root)
-    return snap.join(F.broadcast(pairs), ["snapshot_date", "region"], "left_semi")
-
-
-SNAPSHOT_SCHEMA: T.StructType = STATION_SNAPSHOT
+    manifest = read_manifest(spark, manifest_path)
+    last = manifest.select("last_updated").first()
+    if last is None:
+        return spark.createDataFrame([], STATION_SNAPSHOT)
+    regions = bounded_broadcast(manifest.select(F.explode("regions").alias("region")))
+    return read_snapshot(spark, snapshot_root, last["last_updated"]).join(regions, "region", "left_semi").select(
+        *STATION_SNAPSHOT.fieldNames())

@@ -1,37 +1,64 @@
 """Table layer over parquet folders: create, overwrite, keyed upserts.
 
-Without a transactional table format, a table is a parquet folder with
-a fixed schema and partitioning. Every rewrite first stages the new
-content under the shared work folder and then replaces the target from
-the staged copy, so the target is never overwritten while being read and
-a failed run leaves the staged rows to recover from. Executor loss is
-retried by Spark per task; the stage boundary also cuts the lineage.
+A table that is rewritten whole (the station dimension, the reject table,
+the presentation tables) keeps each version in a folder of its own, and a
+one-line pointer file names the current one. A rewrite fills a new folder,
+checks it, and moves the pointer last, so a reader sees the old or the new
+version and a run that dies leaves the old one.
+
+The observation table is rewritten by (year, month) folder. The merged
+folders are staged first and named in a journal; if a run dies while they
+replace the stored ones, the next reader or writer finishes the copy.
+
+Staged copies and versions that are no longer needed are deleted. A table
+must have been created (``ensure_table``): a mistyped path is an error, not
+an empty table.
 """
 
 from __future__ import annotations
 
-import datetime as _dt
+import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.conform import ContractError, conform_schema, null_violations
+from ..operators.conform import ContractError, conform_schema
 from ..operators.joins import bounded_broadcast
-from ..schemas import PARTITIONING, PRESENTATION, TRANSFORMED_RESULTS, TRANSFORMED_STATIONS
+from ..schemas import PARTITIONING, PRESENTATION, REJECTED_STATIONS, TRANSFORMED_RESULTS, TRANSFORMED_STATIONS
 from ..session import work_path
+from . import files
 
 CURATED = {
     "transformed_results": TRANSFORMED_RESULTS,
     "transformed_stations": TRANSFORMED_STATIONS,
 }
+REJECTS = {"rejected_stations": REJECTED_STATIONS}
+POINTER = "_current"
+JOURNAL = "_pending"
+MONTH_KEYS = ("year", "month")
+
+
+class MissingTable(FileNotFoundError):
+    """The table was never created at this path."""
+
+
+def table_names() -> list[str]:
+    """The thirteen published tables."""
+    return list(CURATED) + [f"presentation_{v}" for v in PRESENTATION]
 
 
 def table_schema(name: str) -> T.StructType:
-    if name in CURATED:
-        return CURATED[name]
-    view = name.removeprefix("presentation_")
-    return PRESENTATION[view]
+    if name in CURATED or name in REJECTS:
+        return (CURATED | REJECTS)[name]
+    return PRESENTATION[name.removeprefix("presentation_")]
+
+
+def _stored_schema(name: str) -> T.StructType:
+    """The contract and the folder columns that are derived from it."""
+    schema = table_schema(name)
+    return T.StructType(schema.fields + [T.StructField(p, T.IntegerType()) for p in PARTITIONING.get(name, [])
+                                         if p not in schema.fieldNames()])
 
 
 def _with_partition_columns(df: DataFrame, name: str) -> DataFrame:
@@ -40,166 +67,232 @@ def _with_partition_columns(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
-def _is_missing(e: Exception) -> bool:
-    s = str(e)
-    return "PATH_NOT_FOUND" in s or "Path does not exist" in s or "UNABLE_TO_INFER_SCHEMA" in s
+# --- versions ---------------------------------------------------------------
 
+def _by_month(name: str) -> bool:
+    return name == "transformed_results"
 
-def read_table(spark: SparkSession, path: str, name: str) -> DataFrame:
-    """Read a curated or presentation table with its contract schema.
 
-    Partition columns derived from data (year/month of results) are
-    dropped from the result but usable in filters before that.
-    """
-    schema = table_schema(name)
-    parts = PARTITIONING.get(name, [])
-    full = T.StructType(schema.fields + [T.StructField(p, T.IntegerType()) for p in parts
-                                         if p not in schema.fieldNames()])
+def _version(spark: SparkSession, path: str) -> str:
+    current = files.read_text(spark, f"{path}/{POINTER}")
+    if current is None:
+        raise MissingTable(f"no table at {path}: create it with ensure_table")
+    return f"{path}/{current.strip()}"
+
+
+def _write(df: DataFrame, path: str, name: str) -> None:
+    writer = df.write.mode("errorifexists")
+    if PARTITIONING.get(name):
+        writer = writer.partitionBy(*PARTITIONING[name])
+    writer.parquet(path)
+
+
+def _publish(df: DataFrame, path: str, name: str) -> int:
+    """Write ``df`` (conformed) as the next version and point to it; returns
+    its rows. The version before stays for readers that are under way."""
+    spark = df.sparkSession
+    old = files.read_text(spark, f"{path}/{POINTER}")
+    number = int(old.strip().split("-")[1]) + 1 if old else 1
+    new = f"version-{number:08d}-{uuid.uuid4().hex[:8]}"
     try:
-        df = spark.read.schema(full).parquet(path)
-    except Exception as e:
-        if _is_missing(e):
-            return spark.createDataFrame([], schema)
+        # counted after the shuffle: what lies before one may run twice, for its sample
+        checked, counts = _observed(_spread(df, PARTITIONING.get(name, [])), table_schema(name), name)
+        _write(checked, f"{path}/{new}", name)
+        rows = _verified(counts, name)
+    except Exception:
+        files.delete(spark, f"{path}/{new}")
         raise
-    extra = [p for p in parts if p not in schema.fieldNames()]
-    return df.select(*schema.fieldNames(), *extra)
+    files.write_text(spark, f"{path}/{POINTER}", new)
+    keep = {new, old.strip() if old else new}
+    for folder in files.folders(spark, path):
+        if folder.startswith("version-") and folder not in keep:
+            files.delete(spark, f"{path}/{folder}")
+    return rows
 
 
-def ensure_table(spark: SparkSession, path: str, name: str) -> bool:
-    """Create an empty table with its schema if the folder holds none.
-    Returns True when it was created."""
+def _spread(df: DataFrame, partition_by: list[str]) -> DataFrame:
+    """Range-partition on the folder columns and a tie-breaker: each task
+    writes a run of folders, and a folder with a large share of the rows is
+    split over several tasks."""
+    if not partition_by:
+        return df
+    tie = [c for c in df.columns if c not in partition_by][:1]
+    return df.repartitionByRange(*partition_by, *tie)
+
+
+# --- contract checks ----------------------------------------------------------
+
+def _observed(df: DataFrame, schema: T.StructType, label: str) -> tuple[DataFrame, Observation]:
+    """``df`` and what is counted in the job that writes it: rows, NULLs of
+    required columns, empty strings in folder columns (they have no folder)."""
+    counts = Observation(f"contract-{label}")
+    required = [F.count_if(F.col(f.name).isNull()).alias(f.name) for f in schema.fields if not f.nullable]
+    empty = [F.count_if(F.col(p) == "").alias(f"empty {p}") for p in PARTITIONING.get(label, [])
+             if p in schema.fieldNames()]
+    return df.observe(counts, F.count(F.lit(1)).alias("_rows"), *required, *empty), counts
+
+
+def _verified(counts: Observation, label: str) -> int:
+    found = counts.get
+    bad = {k: v for k, v in found.items() if k != "_rows" and v}
+    if bad:
+        raise ContractError(f"NULL or empty values in required columns of {label}: {bad}")
+    return int(found.get("_rows", 0))
+
+
+def _unique(df: DataFrame, key: str, label: str) -> None:
+    """An upsert replaces rows by key, so a batch holds each key once."""
+    again = df.groupBy(key).count().where("count > 1").select(key).limit(5).collect()
+    if again:
+        raise ContractError(f"repeated {key} in {label}: {[r[0] for r in again]}")
+
+
+def stage(df: DataFrame, spark: SparkSession, label: str) -> tuple[DataFrame, str]:
+    """Write ``df`` to a fresh folder under the shared work area; returns the
+    re-read copy (with the schema of ``df``) and its path, to be deleted."""
+    path = work_path(spark, "stage", label, unique=True)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def _staged_batch(df: DataFrame, name: str, key: str = "id") -> tuple[DataFrame, str, int]:
+    """A batch, staged once and checked against its contract and for repeated keys."""
+    spark = df.sparkSession
+    checked, counts = _observed(df, table_schema(name), name)
+    batch, path = stage(checked, spark, f"{name}-batch")
     try:
-        # With the schema given, an existing folder reads even when it
-        # holds no data file yet (an empty partitioned table has none).
-        spark.read.schema(table_schema(name)).parquet(path)
+        rows = _verified(counts, name)
+        _unique(batch, key, name)
+    except ContractError:
+        files.delete(spark, path)
+        raise
+    return batch, path, rows
+
+
+# --- tables -------------------------------------------------------------------
+
+def ensure_table(spark: SparkSession, path: str, name: str) -> bool:
+    """Create an empty table if there is none. True when it was created."""
+    if files.exists(spark, f"{path}/{POINTER}"):
         return False
-    except Exception as e:
-        if not _is_missing(e):
-            raise
-    empty = spark.createDataFrame([], table_schema(name))
-    empty = _with_partition_columns(empty, name)
-    w = empty.write.mode("overwrite")
-    if PARTITIONING.get(name):
-        w = w.partitionBy(*PARTITIONING[name])
-    w.parquet(path)
+    empty = spark.createDataFrame([], _stored_schema(name))
+    if _by_month(name):  # its folders are replaced one by one, in one fixed place
+        _write(empty, f"{path}/months", name)
+        files.write_text(spark, f"{path}/{POINTER}", "months")
+    else:
+        _publish(empty, path, name)
     return True
 
 
 def ensure_tables(spark: SparkSession, root: str, names=None) -> dict[str, bool]:
     """Create the curated and presentation tables under ``root`` if absent."""
-    names = names or list(CURATED) + [f"presentation_{v}" for v in PRESENTATION]
-    return {n: ensure_table(spark, f"{root.rstrip('/')}/{n}", n) for n in names}
+    return {n: ensure_table(spark, f"{root.rstrip('/')}/{n}", n) for n in names or table_names()}
 
 
-def check_required(df: DataFrame, schema: T.StructType) -> None:
-    counts = null_violations(df, schema).first().asDict()
-    bad = {k: v for k, v in counts.items() if v}
-    if bad:
-        raise ContractError(f"NULL in required columns: {bad}")
+def read_table(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """The current version of a table with its contract schema, then the
+    folder columns derived from it. Raises ``MissingTable`` if it was never
+    created."""
+    if _by_month(name):
+        _finish(spark, path)
+    return spark.read.schema(_stored_schema(name)).parquet(_version(spark, path))
 
 
-def stage(df: DataFrame, spark: SparkSession, label: str, partition_by=None) -> DataFrame:
-    """Write ``df`` to a fresh folder under the shared work area and return
-    the re-read copy (cuts lineage; survives executor loss).
+def overwrite_view(df: DataFrame, path: str, view: str) -> int:
+    """Replace a presentation table with ``df`` conformed to its contract;
+    returns the rows written. A failing check leaves the published version."""
+    name = f"presentation_{view.removeprefix('presentation_')}"
+    ensure_table(df.sparkSession, path, name)
+    return _publish(conform_schema(df, table_schema(name)), path, name)
 
-    With ``partition_by``, rows are range-partitioned on those columns
-    (plus the first other column as a tie-breaker) before the write: each
-    task writes a contiguous run of folders, so a folder gets a few files
-    instead of one per task, and a folder holding a large share of the
-    rows is split over several tasks.
-    """
-    path = work_path(spark, "stage", label, unique=True)
-    if partition_by:
-        tie = [c for c in df.columns if c not in partition_by][:1]
-        df = df.repartitionByRange(*partition_by, *tie)
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    return spark.read.schema(df.schema).parquet(path) if not partition_by else \
-        spark.read.parquet(path)
-
-
-def stage_checked(df: DataFrame, schema: T.StructType, label: str,
-                  partition_by=None) -> tuple[DataFrame, int]:
-    """Stage ``df`` (already conformed to ``schema``) and, in the same job,
-    count its rows and the NULLs of each required column (``observe``).
-    Raises ``ContractError`` before anything downstream is touched."""
-    spark = df.sparkSession
-    obs = Observation(f"contract-{label}")
-    req = [f.name for f in schema.fields if not f.nullable]
-    observed = df.observe(obs, F.count(F.lit(1)).alias("_rows"),
-                          *[F.count_if(F.col(c).isNull()).alias(c) for c in req])
-    staged = stage(observed, spark, label, partition_by)
-    metrics = obs.get
-    bad = {k: v for k, v in metrics.items() if k != "_rows" and v}
-    if bad:
-        raise ContractError(f"NULL in required columns of {label}: {bad}")
-    return staged, int(metrics.get("_rows", 0))
 
+# --- observations: replaced by month ----------------------------------------------
 
-def overwrite_view(df: DataFrame, path: str, view: str) -> int:
-    """Replace a presentation table with ``df`` conformed to its contract.
+def _finish(spark: SparkSession, path: str) -> None:
+    """Carry out a replacement that a run began and did not end."""
+    staged = files.read_text(spark, f"{path}/{JOURNAL}")
+    if staged:
+        _replace_months(spark, staged.strip(), path)
+
+
+def _replace_months(spark: SparkSession, staged: str, path: str) -> None:
+    merged = spark.read.schema(_stored_schema("transformed_results")).parquet(staged)
+    (_spread(merged, list(MONTH_KEYS)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*MONTH_KEYS).parquet(f"{path}/months"))
+    files.delete(spark, f"{path}/{JOURNAL}")
+    files.delete(spark, staged)
 
-    The result is staged (with the contract check and the row count taken
-    during that same write) and then copied over the table, so a failing
-    check never empties the published table. Returns the rows written.
-    """
-    schema = PRESENTATION[view.removeprefix("presentation_")]
-    staged, rows = stage_checked(conform_schema(df, schema), schema, f"view-{view}")
-    staged.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
-    return rows
+
+def months_between(first: tuple[int, int], last: tuple[int, int]):
+    """Folders from one (year, month) to another, as literals that prune the scan."""
+    y, m = F.col("year"), F.col("month")
+    return (y.between(first[0], last[0]) & ((y > first[0]) | (m >= first[1]))
+            & ((y < last[0]) | (m <= last[1])))
+
+
+def touched_months(existing: DataFrame, batch: DataFrame) -> DataFrame | None:
+    """The stored rows of the months that ``batch`` touches: first the span
+    from its first to its last month by literal, so that only these folders
+    are listed and read, then the months themselves by semi join. None for
+    an empty batch."""
+    months = batch.select(*MONTH_KEYS).distinct()
+    span = months.agg(F.min(F.struct(*MONTH_KEYS)).alias("first"), F.max(F.struct(*MONTH_KEYS)).alias("last")).first()
+    if span["first"] is None:
+        return None
+    inside = existing.where(months_between(tuple(span["first"]), tuple(span["last"])))
+    return inside.join(bounded_broadcast(months, 100_000), list(MONTH_KEYS), "left_semi")
 
 
 def upsert_observations(new: DataFrame, path: str) -> dict:
     """Full-row upsert of daily rows by ``id`` into ``transformed_results``.
 
-    Only the (year, month) partitions the batch touches are read and
-    rewritten (``id`` embeds the date, so a key never moves partition).
-    Within them, stored rows whose id is in the batch are replaced whole,
-    NULLs included. An empty batch writes nothing.
+    Only the (year, month) folders that the batch touches are read and
+    rewritten (``id`` embeds the date, so a key never moves). Within them,
+    stored rows whose id is in the batch are replaced whole, NULLs included.
+    An empty batch writes nothing; a batch with a repeated id is refused.
     """
+    spark, name = new.sparkSession, "transformed_results"
+    existing = read_table(spark, path, name)
+    batch, batch_path, rows = _staged_batch(_with_partition_columns(conform_schema(new, TRANSFORMED_RESULTS), name),
+                                            name)
+    if rows:
+        cols = _stored_schema(name).fieldNames()
+        kept = touched_months(existing, batch).join(batch.select(*MONTH_KEYS, "id"), [*MONTH_KEYS, "id"], "left_anti")
+        _, merged_path = stage(kept.select(*cols).unionByName(batch.select(*cols)), spark, "results-merged")
+        files.write_text(spark, f"{path}/{JOURNAL}", merged_path)
+        _replace_months(spark, merged_path, path)
+    files.delete(spark, batch_path)
+    return {"written": bool(rows), "rows": rows}
+
+
+# --- stations and rejects: replaced whole -------------------------------------------
+
+def _upsert(new: DataFrame, path: str, name: str, without: DataFrame | None = None) -> dict:
+    """Rows of ``new`` replace stored rows of the same id; ids of ``without`` go."""
     spark = new.sparkSession
-    batch = _with_partition_columns(conform_schema(new, TRANSFORMED_RESULTS), "transformed_results")
-    batch, rows = stage_checked(batch, TRANSFORMED_RESULTS, "results-batch")
-    if rows == 0:
-        return {"written": False, "rows": 0}
-    touched = batch.select("year", "month").distinct()
-    existing = read_table(spark, path, "transformed_results")
-    if "year" not in existing.columns:
-        existing = _with_partition_columns(existing, "transformed_results")
-    # At most one row per month of the batch's period: a proven bound.
-    existing = existing.join(bounded_broadcast(touched, 100_000), ["year", "month"], "left_semi")
-    kept = existing.join(batch.select("id"), "id", "left_anti")
-    cols = TRANSFORMED_RESULTS.fieldNames() + ["year", "month"]
-    merged = kept.select(*cols).unionByName(batch.select(*cols))
-    merged = stage(merged, spark, "results-merged", partition_by=["year", "month"])
-    (merged.select(*cols).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic")
-     .partitionBy("year", "month").parquet(path))
-    return {"written": True, "rows": rows}
+    existing = read_table(spark, path, name)
+    batch, batch_path, rows = _staged_batch(conform_schema(new, table_schema(name)), name)
+    try:
+        gone = batch.select("id") if without is None else batch.select("id").unionByName(without.select("id"))
+        if rows or without is not None:
+            kept = existing.join(gone.distinct(), "id", "left_anti")
+            cols = table_schema(name).fieldNames()
+            _publish(kept.select(*cols).unionByName(batch.select(*cols)), path, name)
+    finally:
+        files.delete(spark, batch_path)
+    return {"written": bool(rows), "rows": rows}
 
 
 def upsert_stations(new: DataFrame, path: str) -> dict:
     """Full-row upsert of stations by ``id`` over the whole table.
 
-    A station may change state, which is its partition, so this cannot be
-    done per partition: the whole table is merged, staged, then swapped.
+    A station may change state, which is its folder, so the table is merged
+    whole into its next version. An empty batch writes nothing; a repeated
+    id, or an empty state, is refused.
     """
-    spark = new.sparkSession
-    batch, rows = stage_checked(conform_schema(new, TRANSFORMED_STATIONS),
-                                TRANSFORMED_STATIONS, "stations-batch")
-    if rows == 0:
-        return {"written": False, "rows": 0}
-    existing = read_table(spark, path, "transformed_stations")
-    cols = TRANSFORMED_STATIONS.fieldNames()
-    merged = existing.select(*cols).join(batch.select("id"), "id", "left_anti") \
-        .unionByName(batch.select(*cols))
-    merged = stage(merged, spark, "stations-merged", partition_by=["state"])
-    (merged.select(*cols).write.mode("overwrite").option("partitionOverwriteMode", "static")
-     .partitionBy("state").parquet(path))
-    return {"written": True, "rows": rows}
-
-
-def today_utc() -> _dt.date:
-    return _dt.datetime.now(_dt.timezone.utc).date()
+    return _upsert(new, path, "transformed_stations")
+
+
+def upsert_rejects(new: DataFrame, path: str, resolved: DataFrame) -> dict:
+    """Record rejected stations by ``id``; those of ``resolved`` leave the table."""
+    return _upsert(new, path, "rejected_stations", resolved)

@@ -13,42 +13,40 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import functions as PF
+from ..functions.constants import PAGE_LIMIT
 from ..operators.joins import bounded_broadcast
 from ..operators.periods import _lit_date
 from ..schemas import PAGE_ENVELOPE, RAW_OBSERVATION
+from ..session import work_path
 
 CORRUPT = "_corrupt_record"
 DAY_KEYS = ("year", "month", "day")
+OBSERVED = ("station", "date", "datatype", "attributes", "value")
+
+
+def _with_corrupt(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
 
 
 def _reader(spark: SparkSession, schema: T.StructType, multiline: bool, mode: str = "PERMISSIVE"):
-    r = (spark.read.schema(schema).option("multiLine", multiline).option("mode", mode)
-         .option("columnNameOfCorruptRecord", CORRUPT))
-    return r
+    return (spark.read.schema(schema).option("multiLine", multiline).option("mode", mode)
+            .option("columnNameOfCorruptRecord", CORRUPT))
 
 
-def _period_predicate(start, end):
-    day = PF.make_day("year", "month", "day")
-    return day.between(_lit_date(start), _lit_date(end))
+def _limited(df: DataFrame, start, end, datatypes) -> DataFrame:
+    if start is not None and end is not None:
+        df = df.where(PF.make_day(*DAY_KEYS).between(_lit_date(start), _lit_date(end)))
+    return df if datatypes is None else df.where(F.col("datatype").isin(list(datatypes)))
 
 
 def scan_observations(spark: SparkSession, root: str, start=None, end=None,
                       datatypes=None, multiline: bool = False) -> DataFrame:
     """Raw observations of every datatype (or ``datatypes``) landed for the
-    days in ``[start, end]``. Columns: station, date, datatype, value,
-    year, month, day. A missing root is an empty result; a corrupt record
-    fails the scan (use ``tolerant_scan`` to skip such days instead)."""
-    try:
-        df = _reader(spark, RAW_OBSERVATION, multiline, "FAILFAST").json(root)
-    except Exception as e:  # PATH_NOT_FOUND: nothing landed yet
-        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
-            return _empty(spark)
-        raise
-    if start is not None and end is not None:
-        df = df.where(_period_predicate(start, end))
-    if datatypes is not None:
-        df = df.where(F.col("datatype").isin(list(datatypes)))
-    return df.select("station", "date", "datatype", "value", *DAY_KEYS)
+    days in ``[start, end]``: the raw fields, then year, month, day. A root
+    that does not exist is an error (Spark's), and so is a corrupt record;
+    ``tolerant_scan`` skips the days of such records instead."""
+    df = _reader(spark, RAW_OBSERVATION, multiline, "FAILFAST").json(root)
+    return _limited(df, start, end, datatypes).select(*OBSERVED, *DAY_KEYS)
 
 
 def scan_observations_by_type(spark: SparkSession, root: str, start, end, datatypes,
@@ -58,69 +56,85 @@ def scan_observations_by_type(spark: SparkSession, root: str, start, end, dataty
 
 
 def tolerant_scan(spark: SparkSession, root: str, start=None, end=None, datatypes=None,
-                  multiline: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Scan that skips whole days holding an unreadable record.
+                  multiline: bool = False, days: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Scan that skips whole days holding an unusable record.
 
     Returns ``(rows, bad_days)``. A day with any unusable record (a bad
-    line, a whole unreadable multi-line file, or a record without station
-    or date) is dropped for every
-    datatype, so the later upsert never overwrites a stored good value
-    with a partial day. The bad-day set has at most one row per day of
-    the scanned range, which is the bound checked before it is broadcast.
+    line, a whole unreadable multi-line file, or a record without a station
+    or a date that parses) is dropped for every datatype, so the later
+    upsert never overwrites a stored good value with a partial day.
+
+    ``days`` (year, month, day) limits the scan to these days inside the
+    period. The raw files are read once: the flagged rows are staged as
+    parquet in the shared folder, and the bad days, at most one row per day
+    of the period, are found there by their flag.
     """
-    schema = T.StructType(RAW_OBSERVATION.fields + [T.StructField(CORRUPT, T.StringType())])
-    try:
-        df = _reader(spark, schema, multiline).json(root)
-    except Exception as e:
-        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
-            return _empty(spark), spark.createDataFrame([], "year int, month int, day int")
-        raise
-    if start is not None and end is not None:
-        df = df.where(_period_predicate(start, end))
-    if datatypes is not None:
-        df = df.where(F.col("datatype").isin(list(datatypes)))
-    # A record is unusable when it did not parse, or parsed without its
-    # station or date; either way its whole day is skipped.
-    broken = F.col(CORRUPT).isNotNull() | F.col("station").isNull() | F.col("date").isNull()
-    bad_days = (df.where(broken)
-                .select(*[F.col(k).cast("int").alias(k) for k in DAY_KEYS]).distinct())
-    good = df.where(~broken)
-    good = good.join(bounded_broadcast(bad_days, 1_000_000), list(DAY_KEYS), "left_anti")
-    return good.select("station", "date", "datatype", "value", *DAY_KEYS), bad_days
-
-
-def _empty(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], "station string, date string, datatype string, "
-                                     "value double, year int, month int, day int")
+    df = _limited(_reader(spark, _with_corrupt(RAW_OBSERVATION), multiline).json(root), start, end, datatypes)
+    keys = [F.col(k).cast("int").alias(k) for k in DAY_KEYS]
+    dated = F.col("date").try_cast("timestamp_ntz").isNotNull()
+    usable = F.col(CORRUPT).isNull() & F.col("station").isNotNull() & dated
+    flagged = df.select(*OBSERVED, *keys, usable.alias("usable"))
+    if days is not None:
+        wanted = days.select(*keys).distinct()
+        flagged = flagged.join(bounded_broadcast(wanted, 1_000_000), list(DAY_KEYS), "left_semi").select(
+            *flagged.columns)
+    path = work_path(spark, "stage", "raw-days", unique=True)
+    flagged.write.parquet(path)
+    staged = spark.read.schema(flagged.schema).parquet(path)
+    bad_days = staged.where(~F.col("usable")).select(*DAY_KEYS).distinct()
+    good = staged.where("usable").join(bounded_broadcast(bad_days, 1_000_000), list(DAY_KEYS), "left_anti")
+    return good.select(*OBSERVED, *DAY_KEYS), bad_days
 
 
 # --- page envelopes ---------------------------------------------------------
 
 def read_pages(spark: SparkSession, root: str, multiline: bool = False) -> DataFrame:
-    """Landed page envelopes; request keys come from the folder names."""
-    return _reader(spark, PAGE_ENVELOPE, multiline).json(root)
+    """Landed page envelopes; request keys come from the folder names. A page
+    that does not parse is a row with its text in ``_corrupt_record``."""
+    return _reader(spark, _with_corrupt(PAGE_ENVELOPE), multiline).json(root)
 
 
 def explode_pages(pages: DataFrame, keep=()) -> DataFrame:
     """Flatten envelopes to observation rows; a page without ``results``
-    contributes nothing."""
+    contributes nothing (``page_completeness`` reports it)."""
     keep = list(keep)
-    return (pages.select(*keep, F.explode_outer(F.coalesce(
-        F.col("results"), F.array().cast(PAGE_ENVELOPE["results"].dataType))).alias("r"))
-        .where(F.col("r").isNotNull())
-        .select(*keep, "r.station", "r.date", "r.datatype", "r.attributes", "r.value"))
+    return (pages.select(*keep, F.explode("results").alias("r"))
+            .select(*keep, "r.station", "r.date", "r.datatype", "r.attributes", "r.value"))
+
+
+def distinct_pages(pages: DataFrame, keys) -> DataFrame:
+    """One page per request and offset, so that a page that was landed twice
+    counts once: the one with most results. Unreadable pages drop out."""
+    best = F.max(F.struct(F.coalesce(F.size("results"), F.lit(0)).alias("size"), "results", "metadata"))
+    return (pages.where(F.col("metadata.resultset.offset").isNotNull())
+            .groupBy(*keys, F.col("metadata.resultset.offset").alias("offset")).agg(best.alias("page"))
+            .select(*keys, "offset", "page.results", "page.metadata"))
 
 
-def page_completeness(pages: DataFrame, keys=("datatype", "start", "end")) -> DataFrame:
-    """Per request: the declared total vs the rows actually landed.
+def page_completeness(pages: DataFrame, keys=("datatype", "start", "end"), limit: int = PAGE_LIMIT) -> DataFrame:
+    """Per request: the declared total against the rows and pages landed.
 
-    ``complete`` is false when pages are missing (the reference stops
-    paging on a failed page and keeps the partial result silently).
+    A page that was landed twice counts once. ``complete`` is false when an
+    expected offset is missing, rows are missing, or a page is unreadable
+    (the reference stops paging on a failed page and keeps the partial
+    result silently).
     """
     keys = list(keys)
-    got = F.coalesce(F.size(F.col("results")), F.lit(0))
-    return (pages.groupBy(*keys)
-            .agg(F.coalesce(F.max("metadata.resultset.count"), F.lit(0)).alias("declared"),
-                 F.sum(F.when(got > 0, got).otherwise(0)).alias("received"),
-                 F.count(F.lit(1)).alias("pages"))
-            .withColumn("complete", F.col("received") >= F.col("declared")))
+    set_ = F.col("metadata.resultset")
+    got = F.greatest(F.coalesce(F.size("results"), F.lit(0)), F.lit(0))
+    unreadable = F.col(CORRUPT).isNotNull() if CORRUPT in pages.columns else F.lit(False)
+    offset = F.when(~unreadable, F.coalesce(set_["offset"], F.lit(1)))
+    per_page = pages.groupBy(*keys, offset.alias("offset")).agg(
+        F.max(set_["count"]).alias("declared"), F.max(set_["limit"]).alias("limit"),
+        F.max(got).alias("rows"), F.count_if(unreadable).alias("unreadable"))
+    steps = F.coalesce("limit", F.lit(limit))
+    expected = F.col("offset").isNotNull() & ((F.col("offset") - 1) % steps == 0)
+    per_request = per_page.groupBy(*keys).agg(
+        F.coalesce(F.max("declared"), F.lit(0)).alias("declared"),
+        F.coalesce(F.sum(F.when(F.col("offset").isNotNull(), F.col("rows"))), F.lit(0)).alias("received"),
+        F.count_if(expected & (F.col("rows") > 0)).alias("pages"),
+        F.ceil(F.coalesce(F.max("declared"), F.lit(0)) / F.coalesce(F.max("limit"), F.lit(limit))).alias("expected_pages"),
+        F.sum("unreadable").alias("unreadable"))
+    return per_request.withColumn(
+        "complete", (F.col("unreadable") == 0) & (F.col("received") >= F.col("declared"))
+        & (F.col("pages") >= F.col("expected_pages")))

@@ -20,10 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.joins import bounded_broadcast
 from ..operators.observations import pivot_daily
 from ..schemas import RAW_OBSERVATION
-from ..session import work_path
 from ..sinks import tables
 from ..sources.observations import DAY_KEYS, tolerant_scan
 
@@ -37,29 +35,26 @@ _STREAM_SCHEMA = T.StructType(
 def load_days(spark: SparkSession, raw_root: str, results_path: str, days: DataFrame) -> dict:
     """Re-read, pivot and upsert the given days (columns year, month, day).
 
-    ``days`` is bounded by the number of distinct days in a micro-batch,
-    which is what makes broadcasting it safe.
+    One scan over the span of the days keeps these days only.
     """
     days = days.select(*[F.col(k).cast("int").alias(k) for k in DAY_KEYS]).distinct()
     bounds = days.select(F.make_date("year", "month", "day").alias("d")) \
         .agg(F.min("d").alias("s"), F.max("d").alias("e")).first()
     if bounds["s"] is None:
         return {"written": False, "rows": 0}
-    rows, _bad = tolerant_scan(spark, raw_root, bounds["s"], bounds["e"])
-    rows = rows.join(bounded_broadcast(days, 1_000_000), list(DAY_KEYS), "left_semi")
-    valid = F.col("date").try_cast("timestamp_ntz").isNotNull()
-    untyped = rows.where(~valid).select(*DAY_KEYS).distinct()
-    rows = rows.where(valid).join(bounded_broadcast(untyped, 1_000_000), list(DAY_KEYS), "left_anti")
+    rows, _bad = tolerant_scan(spark, raw_root, bounds["s"], bounds["e"], days=days)
     return tables.upsert_observations(pivot_daily(rows), results_path)
 
 
 def start_incremental_load(spark: SparkSession, raw_root: str, results_path: str,
-                           checkpoint: str | None = None, max_files_per_trigger: int = 10_000):
+                           checkpoint: str, max_files_per_trigger: int = 10_000):
     """Start the availableNow stream; returns the ``StreamingQuery``.
 
-    Call ``.awaitTermination()`` on it to process everything landed so far.
+    ``checkpoint`` is a folder of the deployment that outlives the session:
+    it holds which files were seen. Call ``.awaitTermination()`` on the query
+    to process everything landed so far.
     """
-    checkpoint = checkpoint or work_path(spark, "streams", "incremental-observations")
+    tables.ensure_table(spark, results_path, "transformed_results")
     stream = (spark.readStream.schema(_STREAM_SCHEMA)
               .option("maxFilesPerTrigger", max_files_per_trigger)
               .option("columnNameOfCorruptRecord", "_corrupt_record")
@@ -76,8 +71,7 @@ def start_incremental_load(spark: SparkSession, raw_root: str, results_path: str
             .start())
 
 
-def run_incremental_load(spark: SparkSession, raw_root: str, results_path: str,
-                         checkpoint: str | None = None) -> None:
+def run_incremental_load(spark: SparkSession, raw_root: str, results_path: str, checkpoint: str) -> None:
     """Process every landed file not seen before, then stop."""
     q = start_incremental_load(spark, raw_root, results_path, checkpoint)
     q.awaitTermination()

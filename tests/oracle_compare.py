@@ -1,8 +1,8 @@
 """Run a registered Spark query and its DuckDB oracle; compare results.
 
 Rows are compared as multisets after sorting columns by name, the way the
-driver's correctness gate does. Doubles are compared after rounding to 9
-significant digits and exactly, both reported.
+driver's correctness gate does, or in the order they come. Doubles are
+compared after rounding to 9 significant digits and exactly, both reported.
 """
 
 from __future__ import annotations
@@ -45,13 +45,13 @@ def _norm(v, digits: int | None):
     return v
 
 
-def _rows(cols, rows, digits):
+def _rows(cols, rows, digits, ordered=False):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
     out = [tuple(_norm(r[i], digits) for i in order) for r in rows]
-    return sorted(out, key=lambda t: tuple((x is None, str(type(x)), str(x)) for x in t))
+    return out if ordered else sorted(out, key=lambda t: tuple((x is None, str(type(x)), str(x)) for x in t))
 
 
-def compare(spark, name: str, sf_dir: str, con=None) -> dict:
+def compare(spark, name: str, sf_dir: str, con=None, ordered: bool = False) -> dict:
     import __spark_entry__ as E
 
     df = E.queries()[name](spark, sf_dir)
@@ -72,7 +72,7 @@ def compare(spark, name: str, sf_dir: str, con=None) -> dict:
         res["spark_cols"], res["duck_cols"] = s_cols, d_cols
         res["match"] = False
         return res
-    a, b = _rows(s_cols, s_rows, 9), _rows(d_cols, d_rows, 9)
+    a, b = _rows(s_cols, s_rows, 9, ordered), _rows(d_cols, d_rows, 9, ordered)
     res["match"] = a == b
     res["exact"] = _rows(s_cols, s_rows, None) == _rows(d_cols, d_rows, None)
     if not res["match"]:

@@ -3,17 +3,21 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from pluvio import fixtures as fx
 from pluvio.operators import joins
 from pluvio.operators.observations import pivot_daily
 from pluvio.operators.periods import periods
 from pluvio.plans import views
 from pluvio.plans.registry import curated_inputs
-from pluvio.sinks import landing
+from pluvio.sinks import landing, tables
+from pluvio.sources import observations
 from pluvio.sources.observations import scan_observations
 
 from conftest import SF_SMALL
@@ -56,6 +60,46 @@ def test_period_scan_prunes_partitions(spark, tmp_root):
     assert sorted(r.day for r in df.collect()) == [2, 3]
 
 
+def test_upsert_prunes_stored_months_by_literal(spark, tmp_root):
+    path = tmp_root + "/results"
+    tables.ensure_table(spark, path, "transformed_results")
+    rows = [(f"A_{y}{m:02d}01", "A", dt.date(y, m, 1), 1.0, None, None, None) for y in (1999, 2000, 2001)
+            for m in range(1, 13)]
+    stored = spark.createDataFrame(rows, tables.TRANSFORMED_RESULTS)
+    tables.upsert_observations(stored, path)
+    batch = stored.where("date = '2000-05-01'").selectExpr("*", "year(date) as year", "month(date) as month")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    kept = tables.touched_months(tables.read_table(spark, path, "transformed_results"), batch)
+    plan = kept._jdf.queryExecution().sparkPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    filters = re.search(r"PartitionFilters: \[(.*?)\], PushedFilters", plan)[1]
+    assert "2000" in filters and ">= 5" in filters and "<= 5" in filters
+    assert [r.id for r in kept.collect()] == ["A_20000501"]
+
+
+def test_observation_job_reads_raw_files_once(spark, tmp_root, monkeypatch):
+    from pluvio.plans import jobs
+
+    layout = jobs.Layout(tmp_root)
+    landing.land_observations(spark.createDataFrame(
+        [("GHCND:A", f"2000-01-{d:02d}T00:00:00", t, float(d)) for d in range(1, 21) for t in ("TMAX", "PRCP")],
+        "station string, date string, datatype string, value double"), layout.raw_results)
+    read = spark.sparkContext.accumulator(0)
+    counted = F.udf(lambda c: read.add(1) or c, "string")
+    reader = observations._reader
+
+    def watched(spark, schema, multiline, mode="PERMISSIVE"):
+        class Reader:
+            def json(self, root):
+                return reader(spark, schema, multiline, mode).json(root).withColumn("station", counted("station"))
+        return Reader()
+
+    monkeypatch.setattr(observations, "_reader", watched)
+    got = jobs.job_transform_observations(spark, layout, "2000-01-01", "2000-01-31")
+    assert (got["rows"], got["skipped_days"]) == (20, 0)
+    assert read.value == 40  # every landed row was read once
+
+
 def test_rainy_filter_reaches_scan(spark, tmp_root):
     r, s = curated_inputs(spark, SF_SMALL)
     path = tmp_root + "/r"

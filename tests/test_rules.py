@@ -6,14 +6,18 @@ from __future__ import annotations
 import datetime as dt
 import os
 
+import duckdb
+import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pluvio.operators import joins, stations
+from pluvio.operators.conform import ContractError, conform_schema
 from pluvio.operators.observations import pivot_daily
 from pluvio.operators.periods import generate_periods, invalid_period_requests, periods
 from pluvio.plans import views
-from pluvio.schemas import TRANSFORMED_STATIONS
-from pluvio.session import local_path
+from pluvio.schemas import PRESENTATION, TRANSFORMED_STATIONS
+from pluvio.session import local_path, work_path
 from pluvio.sinks import landing, tables
 from pluvio.sources.observations import scan_observations, tolerant_scan
 
@@ -131,6 +135,7 @@ def test_dedupe_last_wins_and_union(spark):  # M22, G4
 
 def test_upsert_observations_null_overwrites_and_empty(spark, tmp_root):  # M6, M7
     path = tmp_root + "/results"
+    tables.ensure_table(spark, path, "transformed_results")
     schema = "id string, station string, date date, tmax double, tmin double, tavg double, prcp double"
     first = spark.createDataFrame([("A_20000101", "A", D(2000, 1, 1), 1.0, 2.0, 3.0, 4.0),
                                    ("A_20000201", "A", D(2000, 2, 1), 1.0, 2.0, 3.0, 4.0)], schema)
@@ -151,6 +156,7 @@ def test_upsert_observations_null_overwrites_and_empty(spark, tmp_root):  # M6,
 
 def test_upsert_stations_state_change(spark, tmp_root):  # H5
     path = tmp_root + "/stations"
+    tables.ensure_table(spark, path, "transformed_stations")
     tables.upsert_stations(_stations(spark, [("S1", "SP"), ("S2", "RJ")]), path)
     tables.upsert_stations(_stations(spark, [("S1", "MG")]), path)
     got = sorted((r.id, r.state) for r in tables.read_table(spark, path, "transformed_stations").collect())
@@ -185,9 +191,11 @@ def test_snapshot_skips_unchanged_region(spark, tmp_root):  # H2, H3, A5
     snap_root, manifest = tmp_root + "/snap", tmp_root + "/meta"
     rec = _stations(spark, [("S1", "SP"), ("S2", "RJ")])
     recs = rec.select(*[F.col(c).cast("string").alias(c) for c in stations.RECORD_COLUMNS])
-    assert landing.write_station_snapshot(recs, snap_root, D(2024, 1, 1)) == ["RJ", "SP"]
+    written = landing.write_station_snapshot(recs, snap_root, D(2024, 1, 1))
+    assert sorted(r.region for r in written.collect()) == ["RJ", "SP"]
     changed = recs.withColumn("name", F.when(F.col("id") == "S1", "renamed").otherwise(F.col("name")))
-    assert landing.write_station_snapshot(changed, snap_root, D(2024, 1, 1)) == ["SP"]
+    written = landing.write_station_snapshot(changed, snap_root, D(2024, 1, 1))
+    assert [r.region for r in written.collect()] == ["SP"]
     m = landing.write_manifest(spark, snap_root, manifest, D(2024, 1, 1), changed).first()
     assert (m.total_stations, m.regions) == (2, ["RJ", "SP"])
     assert m.files and all("region=" in f for f in m.files)
@@ -215,7 +223,8 @@ def test_ensure_tables_creates_typed_empty_tables_once(spark, tmp_root):  # H7
     assert not any(tables.ensure_tables(spark, tmp_root).values())
     r = tables.read_table(spark, tmp_root + "/transformed_results", "transformed_results")
     assert r.count() == 0 and r.columns[:7] == ["id", "station", "date", "tmax", "tmin", "tavg", "prcp"]
-    v = spark.read.parquet(tmp_root + "/presentation_rainy_days_by_state_by_year")
+    name = "presentation_rainy_days_by_state_by_year"
+    v = tables.read_table(spark, f"{tmp_root}/{name}", name)
     assert v.schema["rainy_days"].dataType.simpleString() == "int"
 
 
@@ -234,27 +243,270 @@ def test_station_refresh_is_idempotent(spark, tmp_root):  # J2 rerun changes not
     cells = spark.createDataFrame([(-11, -41, "Bahia")], "cell_lat int, cell_lon int, state_name string")
     codes = spark.createDataFrame([("Bahia", "BA")], "state_name string, code string")
     first = job_refresh_stations(spark, layout, obs, catalog, cells, codes, D(2024, 1, 1))
-    assert (first["new_stations"], first["upserted"], first["rejected"]) == (2, 1, 1)
-    assert first["written_regions"] == ["BA", "unknown"]
+    assert (first["new_stations"], first["upserted"], first["rejected"], first["unresolved"]) == (2, 1, 1, 1)
+    assert first["written_regions"] == 2
     second = job_refresh_stations(spark, layout, obs, catalog, cells, codes, D(2024, 1, 1))
-    assert second["new_stations"] == 0 and second["written_regions"] == []
+    assert (second["new_stations"], second["written_regions"], second["unresolved"]) == (0, 0, 1)
+    rejects = tables.read_table(spark, layout.rejects, "rejected_stations").collect()
+    assert {r.id: r.reason for r in rejects} == {"GHCND:S2": "missing state", "GHCND:S3": "not in the catalog"}
     dim = tables.read_table(spark, layout.stations, "transformed_stations").collect()
     assert [(r.id, r.state) for r in dim] == [("GHCND:S1", "BA")]
 
 
-def test_page_completeness_flags_missing_pages(spark):  # A2, A3 (M23 deviation)
+def _page(request, offset, count, rows):
+    row = ("GHCND:A", "2000-01-01T00:00:00", "TMAX", None, 1.0)
+    return ({"resultset": {"offset": offset, "count": count, "limit": 2}}, None if rows is None else [row] * rows,
+            None, request)
+
+
+def test_page_completeness_counts_pages_not_rows(spark):  # A2, A3 (M23 deviation)
     from pluvio.schemas import PAGE_ENVELOPE
-    from pluvio.sources.observations import explode_pages, page_completeness
+    from pluvio.sources.observations import CORRUPT, distinct_pages, explode_pages, page_completeness
 
-    row = ("GHCND:A", "2000-01-01T00:00:00", "TMAX", None, 1.0)
     pages = spark.createDataFrame([
-        ({"resultset": {"offset": 1, "count": 3, "limit": 2}}, [row, row]),   # page 1 of 2 (TMAX)
-        ({"resultset": {"offset": 1, "count": 1, "limit": 2}}, [row]),        # complete request
-        ({"resultset": {"offset": 1, "count": 0, "limit": 2}}, None),         # no results key
-    ], PAGE_ENVELOPE)
-    pages = pages.withColumn("request", F.when(F.col("metadata.resultset.count") == 3, "a")
-                             .when(F.col("metadata.resultset.count") == 1, "b").otherwise("c"))
-    got = {r.request: (r.declared, r.received, r.complete)
+        _page("short", 1, 3, 2),
+        _page("whole", 1, 3, 2), _page("whole", 3, 3, 1),
+        _page("nothing", 1, 0, None),
+        _page("doubled", 1, 4, 2), _page("doubled", 1, 4, 2),  # as many rows as declared, one page missing
+        (None, None, "{broken", "unreadable"),
+        _page("both", 1, 1, 1), (None, None, "{broken", "both"),
+    ], T.StructType([*PAGE_ENVELOPE.fields, T.StructField(CORRUPT, T.StringType()),
+                     T.StructField("request", T.StringType())]))
+    got = {r.request: (r.declared, r.received, r.unreadable, r.complete)
            for r in page_completeness(pages, ["request"]).collect()}
-    assert got == {"a": (3, 2, False), "b": (1, 1, True), "c": (0, 0, True)}
-    assert explode_pages(pages).count() == 3
+    assert got == {"short": (3, 2, 0, False), "whole": (3, 3, 0, True), "nothing": (0, 0, 0, True),
+                   "doubled": (4, 2, 0, False), "unreadable": (0, 0, 1, False), "both": (1, 1, 1, False)}
+    assert explode_pages(pages).count() == 10
+    assert explode_pages(distinct_pages(pages, ["request"])).count() == 8
+
+
+def test_long_keys_stay_apart(spark, tmp_path):  # keys of seven digits
+    from pluvio import fixtures as fx
+
+    spark.createDataFrame([(k, 1, 1.0, 0.0, "A", "F", dt.datetime(2000, 1, 1)) for k in (100000, 1000000, 7)],
+                          "l_suppkey long, l_linenumber int, l_quantity double, l_discount double, "
+                          "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz").write.parquet(
+        f"{tmp_path}/lineitem.parquet")
+    got = {r.station for r in fx.fx_observations(spark, str(tmp_path)).collect()}
+    assert got == {"GHCND:S100000", "GHCND:S1000000", "GHCND:S000007"}
+    con = duckdb.connect()
+    con.execute(f"create view lineitem as select * from read_parquet('{tmp_path}/lineitem.parquet/*.parquet')")
+    assert {r[0] for r in con.sql(fx.with_views("select station from fx_observations", "fx_observations")
+                                  ).fetchall()} == got
+
+
+def test_landing_keeps_attributes_and_rejects(spark, tmp_root):  # H1
+    root = tmp_root + "/raw"
+    rows = spark.createDataFrame([("GHCND:A", "2000-01-01T00:00:00", "TMAX", ",,W", 1.0),
+                                  ("GHCND:A", "soon", "TMAX", "x", 2.0), ("GHCND:B", None, "PRCP", None, 3.0)],
+                                 "station string, date string, datatype string, attributes string, value double")
+    assert landing.land_observations(rows, root) == {"landed": 1, "rejected": 2}
+    assert [(r.station, r.attributes) for r in scan_observations(spark, root).collect()] == [("GHCND:A", ",,W")]
+    got = sorted((r.station, r.date, r.attributes, r.value, r.reason)
+                 for r in landing.read_rejected(spark, root).collect())
+    assert got == [("GHCND:A", "soon", "x", 2.0, "unparseable date"),
+                   ("GHCND:B", None, None, 3.0, "unparseable date")]
+
+
+def test_missing_root_and_table_are_errors(spark, tmp_root):  # A1, A6
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        scan_observations(spark, tmp_root + "/mistyped").count()
+    with pytest.raises(tables.MissingTable):
+        tables.read_table(spark, tmp_root + "/mistyped", "transformed_results")
+    with pytest.raises(tables.MissingTable):
+        tables.upsert_stations(_stations(spark, [("S1", "SP")]), tmp_root + "/mistyped")
+
+
+def test_digit_states_empty_states_and_repeated_keys(spark, tmp_root):  # H4, H5
+    path = tmp_root + "/stations"
+    tables.ensure_table(spark, path, "transformed_stations")
+    tables.upsert_stations(_stations(spark, [("S1", "01"), ("S2", "02")]), path)
+    read = lambda: sorted((r.id, r.state) for r in
+                          tables.read_table(spark, path, "transformed_stations").collect())
+    assert read() == [("S1", "01"), ("S2", "02")]
+    for bad in ([("S3", "")], [("S4", "SP"), ("S4", "RJ")]):
+        with pytest.raises(ContractError):
+            tables.upsert_stations(_stations(spark, bad), path)
+        assert read() == [("S1", "01"), ("S2", "02")]
+    results = tmp_root + "/results"
+    tables.ensure_table(spark, results, "transformed_results")
+    twice = spark.createDataFrame([("A_20000101", "A", D(2000, 1, 1), 1.0, None, None, None)] * 2,
+                                  tables.TRANSFORMED_RESULTS)
+    with pytest.raises(ContractError):
+        tables.upsert_observations(twice, results)
+    assert tables.read_table(spark, results, "transformed_results").count() == 0
+
+
+def test_a_rewrite_that_dies_leaves_the_old_version(spark, tmp_root, monkeypatch):  # H5, H6
+    path = tmp_root + "/stations"
+    tables.ensure_table(spark, path, "transformed_stations")
+    tables.upsert_stations(_stations(spark, [("S1", "SP")]), path)
+
+    def die(*_):
+        raise OSError("no pointer today")
+
+    monkeypatch.setattr(tables.files, "write_text", die)
+    with pytest.raises(OSError):
+        tables.upsert_stations(_stations(spark, [("S2", "RJ")]), path)
+    monkeypatch.undo()
+    assert [r.id for r in tables.read_table(spark, path, "transformed_stations").collect()] == ["S1"]
+    tables.upsert_stations(_stations(spark, [("S2", "RJ")]), path)
+    assert tables.read_table(spark, path, "transformed_stations").count() == 2
+    kept = [f for f in tables.files.folders(spark, path) if f.startswith("version-")]
+    assert len(kept) == 2  # the current one, and the one before for readers under way
+
+
+def test_a_month_replacement_that_dies_is_finished(spark, tmp_root, monkeypatch):  # H4
+    path = tmp_root + "/results"
+    tables.ensure_table(spark, path, "transformed_results")
+    row = lambda i, d, v: (f"{i}_{d:%Y%m%d}", i, d, v, None, None, None)
+    tables.upsert_observations(spark.createDataFrame(
+        [row("A", D(2000, 1, 1), 1.0), row("B", D(2000, 1, 2), 2.0)], tables.TRANSFORMED_RESULTS), path)
+
+    def die(spark, staged, path):  # the stored month is gone, the new one not yet there
+        tables.files.delete(spark, f"{path}/months/year=2000/month=1")
+        raise OSError("lost")
+
+    monkeypatch.setattr(tables, "_replace_months", die)
+    with pytest.raises(OSError):
+        tables.upsert_observations(spark.createDataFrame([row("A", D(2000, 1, 1), 9.0)],
+                                                         tables.TRANSFORMED_RESULTS), path)
+    monkeypatch.undo()
+    got = {r.id: r.tmax for r in tables.read_table(spark, path, "transformed_results").collect()}
+    assert got == {"A_20000101": 9.0, "B_20000102": 2.0}
+
+
+def test_staged_copies_are_deleted(spark, tmp_root):
+    path = tmp_root + "/results"
+    tables.ensure_table(spark, path, "transformed_results")
+    stage = work_path(spark, "stage", "transformed_results-batch")
+    before = tables.files.folders(spark, stage) if tables.files.exists(spark, stage) else []
+    tables.upsert_observations(spark.createDataFrame(
+        [("A_20000101", "A", D(2000, 1, 1), 1.0, None, None, None)], tables.TRANSFORMED_RESULTS), path)
+    assert tables.files.folders(spark, stage) == before
+
+
+def test_snapshot_sees_rows_that_would_cancel(spark, tmp_root):  # H2
+    rec = lambda name: _stations(spark, [("S1", "SP"), ("S1", "SP")]).select(
+        *[F.lit(name).alias(c) if c == "name" else F.col(c).cast("string").alias(c)
+          for c in stations.RECORD_COLUMNS])
+    landing.write_station_snapshot(rec("old"), tmp_root, D(2024, 1, 1))
+    assert landing.write_station_snapshot(rec("new"), tmp_root, D(2024, 1, 1)).count() == 1
+    assert {r.name for r in landing.read_snapshot(spark, tmp_root).collect()} == {"new"}
+
+
+def test_manifest_lists_files_of_odd_regions(spark, tmp_root):  # H3
+    recs = _stations(spark, [("S1", "RJ"), ("S2", "São Paulo"), ("S3", "UNITED STATES"), ("S4", "a+b")]).select(
+        *[F.col(c).cast("string").alias(c) for c in stations.RECORD_COLUMNS])
+    landing.write_station_snapshot(recs, tmp_root + "/snap", D(2024, 1, 1))
+    m = landing.write_manifest(spark, tmp_root + "/snap", tmp_root + "/meta", D(2024, 1, 1), recs).first()
+    assert m.regions == ["RJ", "São Paulo", "UNITED STATES", "a+b"] and len(m.files) >= 4
+    cur = landing.scan_station_snapshot(spark, tmp_root + "/snap", tmp_root + "/meta")
+    assert sorted(r.id for r in cur.collect()) == ["S1", "S2", "S3", "S4"]
+
+
+def test_refresh_repairs_a_failed_run(spark, tmp_root, monkeypatch):  # J2
+    from pluvio.plans.jobs import Layout, job_refresh_stations
+
+    obs = _obs(spark, [("GHCND:S1", "2000-01-01T00:00:00", "TMAX", 1.0)])
+    catalog = spark.createDataFrame(
+        [("GHCND:S1", "one", -10.5, -40.5, 5.0, "METERS", 1.0, "2000-01-01", "2001-01-01")],
+        "id string, name string, latitude double, longitude double, elevation double, "
+        "elevationUnit string, datacoverage double, mindate string, maxdate string")
+    cells = spark.createDataFrame([(-11, -41, "Bahia"), (-11, -41, "Bahia")],  # a doubled cell
+                                  "cell_lat int, cell_lon int, state_name string")
+    layout = Layout(tmp_root)
+
+    def fail(*_):
+        raise OSError("lost")
+
+    monkeypatch.setattr(tables, "upsert_stations", fail)
+    with pytest.raises(OSError):
+        job_refresh_stations(spark, layout, obs, catalog, cells, None, D(2024, 1, 1))
+    monkeypatch.undo()
+    again = job_refresh_stations(spark, layout, obs, catalog, cells, None, D(2024, 1, 1))
+    assert (again["new_stations"], again["upserted"]) == (1, 1)
+    dim = tables.read_table(spark, layout.stations, "transformed_stations").collect()
+    assert [(r.id, r.state) for r in dim] == [("GHCND:S1", "BA")]
+
+
+def test_pipeline_loads_requested_days_only(spark, tmp_root):  # J4
+    from pluvio.plans.jobs import Layout, job_pipeline
+
+    layout = Layout(tmp_root)
+    obs = _obs(spark, [("GHCND:S1", "1990-01-05T00:00:00", "TMAX", 1.0),
+                       ("GHCND:S2", "2000-06-01T00:00:00", "TMAX", 2.0),
+                       ("GHCND:S3", "2020-01-07T00:00:00", "TMIN", 3.0)])
+    requests = spark.createDataFrame([("1990-01-01", "1990-01-31"), ("2020-01-01", "2020-01-31")],
+                                     "start_date string, end_date string")
+    catalog = spark.createDataFrame(
+        [(f"GHCND:S{i}", "n", -10.5, -40.5, 5.0, "METERS", 1.0, "1990-01-01", "2001-01-01") for i in (1, 2, 3)],
+        "id string, name string, latitude double, longitude double, elevation double, "
+        "elevationUnit string, datacoverage double, mindate string, maxdate string")
+    cells = spark.createDataFrame([(-11, -41, "Bahia")], "cell_lat int, cell_lon int, state_name string")
+    report = job_pipeline(spark, layout, obs, requests, catalog, cells, run_date=D(2024, 1, 1))
+    stored = tables.read_table(spark, layout.results, "transformed_results").collect()
+    assert sorted(r.id for r in stored) == ["S1_19900105", "S3_20200107"]
+    dim = tables.read_table(spark, layout.stations, "transformed_stations").collect()
+    assert sorted(r.id for r in dim) == ["GHCND:S1", "GHCND:S3"]
+    assert (report["periods"], report["missing_loads"], report["landed"]["landed"]) == (2, 6, 3)
+    assert all(isinstance(n, int) for n in report["views"].values())
+
+
+def test_a_broken_view_does_not_hold_up_the_others(spark, tmp_root, monkeypatch):  # J3, M25
+    from pluvio.plans import jobs
+
+    layout = jobs.Layout(tmp_root)
+    tables.ensure_table(spark, layout.results, "transformed_results")
+    tables.ensure_table(spark, layout.stations, "transformed_stations")
+    tables.upsert_stations(_stations(spark, [("S1", "SP")]), layout.stations)
+
+    def broken(*_, **__):
+        raise ValueError("no such season")
+
+    monkeypatch.setitem(jobs.VIEWS, "avg_temp_by_season", broken)
+    report = jobs.job_presentation(spark, layout)
+    assert report["avg_temp_by_season"] == "ValueError: no such season"
+    assert report["total_stations_by_state"] == 1 and len(report) == 11
+
+
+def test_overflow_is_refused(spark):  # C7
+    from pyspark.errors import ArithmeticException
+
+    big = spark.createDataFrame([("X", 1 << 40)], "state string, total_stations long")
+    with pytest.raises(ArithmeticException):
+        conform_schema(big, PRESENTATION["total_stations_by_state"]).collect()
+
+
+def test_bad_values_do_not_break_the_pivot(spark):  # E1
+    rows = spark.createDataFrame([("GHCND:A", "2000-01-01", "TMAX", "warm"), ("GHCND:A", "2000-01-01", "TMIN", "2"),
+                                  ("GHCND:A", "soon", "TMAX", "3")],
+                                 "station string, date string, datatype string, value string")
+    assert [(r.id, r.tmax, r.tmin) for r in pivot_daily(rows).collect()] == [("A_20000101", None, 2.0)]
+
+
+def test_known_states(spark):  # D4
+    names = spark.createDataFrame([("Bahia",), ("São Paulo",), ("Nowhere",), (None,)], "state_name string")
+    got = {r.state_name: r.state for r in joins.lookup_state_code(names).collect()}
+    assert got == {"Bahia": "BA", "São Paulo": "SP", "Nowhere": None, None: None}
+    assert joins.state_codes(spark).count() == 27
+
+
+def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
+    from pluvio import session
+
+    class Context:
+        master, applicationId = "spark://host:7077", "app"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:  # noqa: N801
+            get = staticmethod(lambda key, default=None: default)
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.work_path(Session(), "x")
+    assert session.work_path(spark, "x") == session.work_path(spark, "x")
