@@ -110,6 +110,11 @@ def _landed(spark, sf, name: str, shared: bool = True) -> str:
     return root
 
 
+def landed_root(spark, sf) -> str:
+    """The session's shared landed copy (for timing what reads it)."""
+    return _landed(spark, sf, "shared")
+
+
 # --- B: periods ---------------------------------------------------------------
 
 def q_periods_last_month(spark, sf):
