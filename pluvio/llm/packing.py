@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pluvio.llm.common import staged
 from pluvio.llm.tokens import default_paths, encoder
 
 WINDOW = 1024
@@ -30,8 +31,6 @@ SHARD_TOKENS, SHARD_DOCS = 1 << 20, 2048
 K1, B = 1.2, 0.75
 #: Terms of a seed that make its query, and documents that a query returns.
 QUERY_TERMS, NEIGHBOURS = 24, 16
-#: Texts tokenised at a time, by characters.
-TOKENISED = 1 << 21
 
 
 class Bm25:
@@ -129,17 +128,11 @@ def tokenised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         own = encoder(*paths)
         end = np.array([END], own.dtype).tobytes()
         for b in batches:
-            sizes = np.cumsum([len(t.as_buffer() or b"") for t in b["text"]])
-            at = 0
-            while at < b.num_rows:
-                stop = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + TOKENISED)))
-                part = b.slice(at, stop - at)
-                made = [ids + end for ids in own.encode(part["text"].to_pylist())]
-                yield pa.RecordBatch.from_arrays(
-                    [part["doc_id"], pa.array([_sketch(np.frombuffer(m, own.dtype)) for m in made], pa.int64()),
-                     pa.array([xxhash.xxh64_intdigest(m) - (1 << 63) for m in made], pa.int64()),
-                     pa.array(made, pa.binary())], ["doc_id", "sketch", "tie", "tokens"])
-                at = stop
+            made = [own.encode(t.as_py()) + end for t in b["text"]]
+            yield pa.RecordBatch.from_arrays(
+                [b["doc_id"], pa.array([_sketch(np.frombuffer(m, own.dtype)) for m in made], pa.int64()),
+                 pa.array([xxhash.xxh64_intdigest(m) - (1 << 63) for m in made], pa.int64()),
+                 pa.array(made, pa.binary())], ["doc_id", "sketch", "tie", "tokens"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(work, f"doc_id {kind}, sketch long, tie long, tokens binary")
@@ -156,7 +149,8 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window
     An empty table gives no pieces; columns beside the two are not read.
     """
     paths = paths or default_paths()
-    rows = tokenised(docs, id_col, text_col, paths)
+    # written first: the range shuffle reads its input twice, once for a sample
+    rows = staged(tokenised(docs, id_col, text_col, paths), "tokens")
     fields = [rows.schema["doc_id"], *(T.StructField(n, T.LongType()) for n in ("start", "length")),
               T.StructField("ids", T.BinaryType()),
               *(T.StructField(n, T.LongType()) for n in ("doc_tokens", "sequence_id", "offset"))]

@@ -1,15 +1,10 @@
 """Token ids of whole texts with a public byte-level BPE vocabulary.
 
 Two files hold the same vocabulary, one for each of two libraries.
-``tokenizers`` defines the ids. ``tiktoken`` is several times as fast on
-unseen words and gives the same ids where both agree on what a letter and a
-space is, so it encodes words of plain Latin characters; ``tokenizers``
-encodes the rest.
-
-Words repeat, so a text is split at its single spaces and newlines, where
-no token can cross by the vocabulary's splitting rule, and each word is
-encoded once and then looked up. A text with white space of any other form,
-or with a special token in it, is encoded whole.
+``tokenizers`` defines the ids. ``tiktoken`` is several times as fast and
+gives the same ids where both agree on what a letter and a space is, so it
+encodes texts of plain Latin characters; ``tokenizers`` encodes every other
+text, and those with a special token in them.
 """
 
 from __future__ import annotations
@@ -24,8 +19,6 @@ import public_tokenizers
 import tiktoken
 from tokenizers import Tokenizer
 
-#: Words kept at a time; the table starts anew beyond.
-KEPT_WORDS = 500_000
 #: Characters on which the libraries might differ: controls, odd spaces, all beyond Latin.
 _ODD = re.compile("[^\t\n\r\x20-\x7e\xa1-\xac\xae-ɏ]")
 
@@ -47,53 +40,14 @@ class Encoder:
         narrow = self._tokenizer.get_vocab_size() <= 1 << 16
         self.dtype, self._code = np.dtype("<u2" if narrow else "<u4"), "H" if narrow else "I"
         self._special = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
-        # words to their ids as bytes, or None for one that cannot stand alone
-        self._first: dict[str, bytes | None] = {}  # at the start of a line
-        self._later: dict[str, bytes | None] = {}  # after a space
-        self._newline = self._bytes(self._fast("\n"))
 
-    def _bytes(self, ids: list[int]) -> bytes:
+    def encode(self, text: str) -> bytes:
+        if _ODD.search(text) or any(s in text for s in self._special):
+            ids = self._tokenizer.encode(text, add_special_tokens=False).ids
+        else:
+            ids = self._fast(text)
         return array(self._code, ids).tobytes()
 
-    def _whole(self, text: str) -> bytes:
-        return self._bytes(self._tokenizer.encode(text, add_special_tokens=False).ids)
-
-    def _learn(self, words: dict[str, bytes | None], before: str, wanted: set[str]) -> None:
-        """Encode the words that are not known yet, all in one call: each
-        after a newline, whose id then shows where the next one begins."""
-        if len(words) > KEPT_WORDS:
-            words.clear()
-        new, plain = [w for w in wanted if w not in words], []
-        for w in new:
-            if not w or w[0].isspace() or w[-1].isspace() or any(s in w for s in self._special):
-                words[w] = None
-            elif _ODD.search(w):
-                words[w] = self._whole(before + w)
-            else:
-                plain.append(w)
-        if not plain:
-            return
-        ids = self._fast("".join([f"\n{before}{w}" for w in plain]))
-        found = np.array(ids, self.dtype)
-        width, raw = self.dtype.itemsize, found.tobytes()
-        starts = np.flatnonzero(found == np.frombuffer(self._newline, self.dtype)[0]) * width
-        ends = [*starts[1:].tolist(), len(raw)]
-        for w, s, e in zip(plain, starts.tolist(), ends, strict=True):
-            words[w] = raw[s + width:e]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text; call it with a batch of bounded size."""
-        lines = [[line.split(" ") for line in text.split("\n")] for text in texts]
-        self._learn(self._first, "", {line[0] for text in lines for line in text})
-        self._learn(self._later, " ", set().union(*[line[1:] for text in lines for line in text]))
-        first, later, made = self._first, self._later.__getitem__, []
-        for text, parts in zip(texts, lines):
-            try:
-                made.append(self._newline.join([first[p[0]] + b"".join(map(later, p[1:])) for p in parts]))
-            except TypeError:  # some word cannot stand alone
-                made.append(self._whole(text))
-        return made
-
 
 @lru_cache(maxsize=2)
 def encoder(json_path: str, ranks_path: str) -> Encoder:
