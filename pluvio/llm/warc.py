@@ -316,5 +316,6 @@ def read(captures: DataFrame, index: DataFrame, with_payload: bool = True) -> Da
             if found:
                 yield pa.RecordBatch.from_pylist(found, schema)
 
+    # as many tasks as index files: the keys are few bytes, what they make a task read is not
     order = ["key", "page_id"]
-    return wanted.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(work, RECORD)
+    return wanted.repartitionByRange(max(1, len(parts)), *order).sortWithinPartitions(*order).mapInArrow(work, RECORD)
