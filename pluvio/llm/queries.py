@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pluvio.llm import exact_dedup, langid, mixing, packing, quality, secrets, simhash, topk, warc
+from pluvio.llm import binary, exact_dedup, langid, mixing, packing, quality, secrets, simhash, topk, warc
 from pluvio.llm.common import table
 
 
@@ -65,6 +65,13 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", quality.held_out(scored["doc_id"]).alias("held_out"), "score", "predicted")
 
 
+def op9_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    pieces = binary.read(binary.write(docs))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+                         "sequence_id", "offset")
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -78,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_warc": op6_warc,
     "op7_simhash": op7_simhash,
     "op8_quality": op8_quality,
+    "op9_binary": op9_binary,
     "op10_exact_dedup": op10_exact_dedup,
 }
 

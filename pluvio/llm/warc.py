@@ -117,7 +117,7 @@ def parse(member: bytes) -> dict:
 
 # --- files ----------------------------------------------------------------
 
-def _store(uri: str) -> tuple[pafs.FileSystem, str]:
+def open_store(uri: str) -> tuple[pafs.FileSystem, str]:
     local = re.match(r"(?:file:/{0,2})?(/.*)", uri)
     return (pafs.LocalFileSystem(), local[1]) if local else pafs.FileSystem.from_uri(uri)
 
@@ -171,7 +171,7 @@ class _Index:
 
     def _directory(self, part: int) -> tuple:
         if self._open is None or self._open[0] != part:
-            store, path = _store(self._parts[part][2])
+            store, path = open_store(self._parts[part][2])
             file = store.open_input_file(path)
             size = file.size()
             trailer = file.read_at(40, size - 40)
@@ -235,7 +235,7 @@ def write(pages: DataFrame, folder: str | None = None) -> DataFrame:
         F.col("original.url").alias("original_url"), "payload")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, base = _store(folder)
+        store, base = open_store(folder)
         task = TaskContext.get()
         name = f"{base}/part-{task.partitionId():06d}-{task.taskAttemptId()}"
         index = archive = first = None
@@ -303,7 +303,7 @@ def read(captures: DataFrame, index: DataFrame, with_payload: bool = True) -> Da
                     part = search.part_path()
                     path = f"{part[:-len('.idx')]}-{entry[2]}.warc.gz"
                     if path != opened:
-                        store, at = _store(path)
+                        store, at = open_store(path)
                         archive, opened = store.open_input_file(at), path
                     made = parse(archive.read_at(entry[4], entry[3]))
                     if not keep:

@@ -74,7 +74,7 @@ def test_looked_up_pages_only(spark, pages, index):
 def test_archives_are_plain_warc_files(index):
     kinds = []
     for r in index.collect():
-        store, path = warc._store(r["path"])
+        store, path = warc.open_store(r["path"])
         content = gzip.decompress(store.open_input_file(path.replace(".idx", "-0.warc.gz")).readall())
         while content:
             head, _, rest = content.partition(b"\r\n\r\n")
@@ -97,7 +97,7 @@ def test_keys(spark):
 
 def test_a_file_of_a_failed_task_is_not_read(index, pages):
     first = index.first()["path"]
-    store, path = warc._store(first)
+    store, path = warc.open_store(first)
     with store.open_output_stream(re.sub(r"-\d+\.idx$", "-999.idx", path)) as left_over:
         left_over.write(b"half a block")
     assert warc.read(pages, index, with_payload=False).count() == len(_rows())
