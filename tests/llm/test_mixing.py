@@ -92,3 +92,9 @@ def test_empty(no_docs):
 def test_no_python_on_the_path(docs, capsys):
     mixing.mix(docs).explain()
     assert not any(w in capsys.readouterr().out for w in ("Python", "Pandas", "Arrow"))
+
+
+def test_many_sources_are_joined_not_broadcast(docs, monkeypatch):
+    want = mixing.mix(docs).orderBy("doc_id", "source", "size").collect()
+    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 0)
+    assert mixing.mix(docs).orderBy("doc_id", "source", "size").collect() == want

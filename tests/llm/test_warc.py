@@ -115,3 +115,11 @@ def test_empty(spark):
     none = spark.createDataFrame([], PAGES)
     index = warc.write(none)
     assert index.count() == 0 and warc.read(none, index).collect() == []
+
+
+def test_many_duplicate_groups_are_joined_not_broadcast(pages, monkeypatch):
+    monkeypatch.setattr(warc, "BROADCAST_GROUPS", 0)
+    made = warc.read(pages, warc.write(pages), with_payload=False).collect()
+    got = sorted(((r["page_id"], r["record_type"], r["payload_bytes"], r["payload_digest"], r["refers_to"])
+                  for r in made), key=str)
+    assert got == _expected(_rows())
