@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pluvio.session import work_path
+from pluvio.session import ship_package, work_path
 
 #: A word: a run of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -23,6 +23,8 @@ def staged(df: DataFrame, label: str) -> DataFrame:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """An input table, in a session whose Python workers know this package."""
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
