@@ -375,6 +375,18 @@ SPANS = {
 OPERATOR_SQL["job_pipeline"] = " union all ".join(
     [f"({values_sql(t, with_views(f'select * from {t}', t, overrides=SPANS))})" for t in R_S]
     + [f"({values_sql(v, view_sql(v, SPANS))})" for v in VIEW_BODIES])
+# The same over the observed span but for the calendar month in its middle.
+WIDE = SPANS | {
+    "fx_observations": ("""
+        select station, date, datatype, value
+        from (select *, cast(left(date, 10) as date) as d, min(d) over () as low, max(d) over () as high
+              from fx_raw_observations)
+        where date_trunc('month', d) <> date_trunc('month', low + cast((high - low) // 2 as integer))""",
+                        ("fx_raw_observations",)),
+}
+OPERATOR_SQL["job_pipeline_span"] = " union all ".join(
+    [f"({values_sql(t, with_views(f'select * from {t}', t, overrides=WIDE))})" for t in R_S]
+    + [f"({values_sql(v, view_sql(v, WIDE))})" for v in VIEW_BODIES])
 
 # H7: what every table is made of, and its rows once the curated tables are loaded.
 TABLE_COLUMNS = {

@@ -607,17 +607,12 @@ def q_job_presentation(spark, sf):
     return _stored_values(spark, layout, jobs.job_presentation(spark, layout))
 
 
-def q_job_pipeline(spark, sf):
-    """Whole chain from an empty deployment over the landed observations,
-    for two requests far apart: the first forty days and the last forty.
-    Returns all values of all tables."""
-    layout = jobs.Layout(_scratch(spark, "job-pipeline"), raw=_landed(spark, sf, "job-pipeline"))
-    span = _typed(spark, sf).agg(F.min("date").alias("first"), F.max("date").alias("last"))
-    requests = span.select(F.explode(F.array(
-        F.struct(F.col("first").alias("s"), F.date_add("first", 39).alias("e")),
-        F.struct(F.date_sub("last", 39).alias("s"), F.col("last").alias("e")))).alias("r")).select(
-        F.col("r.s").cast("string").alias("start_date"), F.col("r.e").cast("string").alias("end_date"),
-        F.lit("monthly").alias("frequency"))
+def _pipeline_values(spark, sf, name: str, ranges: DataFrame) -> DataFrame:
+    """Whole chain from an empty deployment over the landed observations, for
+    requests from ``s`` to ``e``. Returns all values of all tables."""
+    layout = jobs.Layout(_scratch(spark, name), raw=_landed(spark, sf, name))
+    requests = ranges.select(F.col("s").cast("string").alias("start_date"), F.col("e").cast("string").alias("end_date"),
+                             F.lit("monthly").alias("frequency"))
     catalog, cells, codes = _aux(spark, sf)
     report = jobs.job_pipeline(spark, layout, None, requests, catalog, cells, codes,
                                as_of=RUN_DATE, run_date=RUN_DATE)
@@ -628,6 +623,35 @@ def q_job_pipeline(spark, sf):
         _stored_values(spark, layout, report["views"]))
 
 
+def _observed_span(spark, sf) -> DataFrame:
+    return _typed(spark, sf).agg(F.min("date").alias("first"), F.max("date").alias("last"))
+
+
+def q_job_pipeline(spark, sf):
+    """The chain for two short requests far apart: the first forty days and
+    the last forty. See :func:`q_job_pipeline_span` for the whole span."""
+    ranges = _observed_span(spark, sf).select(F.inline(F.array(
+        F.struct(F.col("first").alias("s"), F.date_add("first", 39).alias("e")),
+        F.struct(F.date_sub("last", 39).alias("s"), F.col("last").alias("e")))))
+    return _pipeline_values(spark, sf, "job-pipeline", ranges)
+
+
+def span_requests(span: DataFrame) -> DataFrame:
+    """Two disjoint ranges (s, e) that cover the days from ``first`` to
+    ``last`` but for the calendar month in the middle."""
+    days = F.datediff("last", "first")
+    middle = F.date_add("first", F.floor(days / 2).cast("int"))
+    return span.select(F.inline(F.array(
+        F.struct(F.col("first").alias("s"), F.date_sub(F.trunc(middle, "month"), 1).alias("e")),
+        F.struct(F.date_add(F.last_day(middle), 1).alias("s"), F.col("last").alias("e"))))).where("s <= e")
+
+
+def q_job_pipeline_span(spark, sf):
+    """The chain for two requests that cover the observed span but for one
+    month, whose landed days must be left out."""
+    return _pipeline_values(spark, sf, "job-pipeline-span", span_requests(_observed_span(spark, sf)))
+
+
 QUERIES: dict[str, Query] = {}
 for _name in VIEWS:
     def _view_query(spark, sf, _n=_name):
@@ -716,6 +740,7 @@ QUERIES.update({
     "rejected_stations": q_rejected_stations,
     "job_presentation": q_job_presentation,
     "job_pipeline": q_job_pipeline,
+    "job_pipeline_span": q_job_pipeline_span,
 })
 
 ORACLE: dict[str, str] = {k: v for k, v in oracle.ALL_SQL.items() if k in QUERIES}
