@@ -4,7 +4,8 @@ Pattern findings are reported as they match. Beyond them, every string of
 letters and digits that follows a sensitive word closely is a candidate. Its novelty is the marginal
 compressed size, in bytes a character, that it adds to the code around it, with a compressor primed with the
 identifiers that most documents of the corpus use: names and words are
-cheap there, a random string costs most of its length. Candidates above
+cheap there, a random string costs most of its length. Other occurrences of a
+candidate in the code around it do not count as known. Candidates above
 ``NOVELTY`` are reported.
 """
 
@@ -31,6 +32,7 @@ ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
 #: What a candidate may be: a run of these, with letters and digits in it.
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{12,}")
+VALUE = re.compile(r"[A-Za-z0-9+/_-]{12,}")
 SENSITIVE = re.compile(r"(?ai:pass(?:word|wd|phrase|code)|pwd|secret|token|(?:api|access|private|signing)[_ -]?key"
                        r"|credential|authorization|bearer|signature|session[_ -]?id)")
 SENSITIVE_WORDS = ("pass", "pwd", "secret", "token", "key", "credential", "authorization", "bearer",
@@ -95,16 +97,21 @@ class Scanner:
         return len(zstandard.ZstdCompressor(level=3, dict_data=primed, write_checksum=False,
                                             write_content_size=False, write_dict_id=False).compress(content))
 
-    def novelty(self, text: str, start: int, end: int) -> float:
-        """Marginal compressed bytes a character of a span, its surroundings known."""
-        around = text[max(0, start - AROUND):start] + " " + text[end:end + AROUND]
+    def novelty(self, text: str, start: int, end: int, alone: bool = False) -> float:
+        """Marginal compressed bytes a character of a span, its surroundings
+        known; with ``alone``, other occurrences of its runs are blanked there."""
+        before, after = text[max(0, start - AROUND - (end - start)):start], text[end:end + AROUND + (end - start)]
+        if alone:  # the value of "key=value" may stand elsewhere without its key
+            for run in sorted({text[start:end], *VALUE.findall(text, start, end)}, key=len, reverse=True):
+                before, after = (side.replace(run, " " * len(run)) for side in (before, after))
+        around = before[-AROUND:] + " " + after[:AROUND]
         primer = self._dictionary + b" " + around.encode() + b" " * 8
         return (self._size(primer, text[start:end].encode()) - self._size(primer, b"")) / (end - start)
 
     def scan(self, text: str) -> list[dict]:
         lowered = text.lower()
         base = base_findings(text, lowered)
-        found = [(s, e, kind, self.novelty(text, s, e)) for s, e, kind in base]
+        found = [(s, e, kind, self.novelty(text, s, e, alone=True)) for s, e, kind in base]
         if any(w in lowered for w in SENSITIVE_WORDS):
             seen = 0
             for word in SENSITIVE.finditer(text):
@@ -118,7 +125,7 @@ class Scanner:
                         continue
                     if any(s < end and m.start() < e for s, e, _ in base):
                         continue
-                    if (novelty := self.novelty(text, m.start(), end)) >= NOVELTY:
+                    if (novelty := self.novelty(text, m.start(), end, alone=True)) >= NOVELTY:
                         found.append((m.start(), end, "novel", novelty))
         found.sort(key=lambda f: (f[0], KINDS.index(f[2])))
         return [{"kind": k, "start": s, "end": e, "novelty": n} for s, e, k, n in found]
