@@ -3,7 +3,7 @@
 Pattern findings are reported as they match. Beyond them, every string of
 letters and digits that follows a sensitive word closely is a candidate. Its novelty is the marginal
 compressed size, in bytes a character, that it adds to the code around it, with a compressor primed with the
-identifiers that most documents of the corpus use: names and words are
+identifiers that most distinct texts of the corpus use: names and words are
 cheap there, a random string costs most of its length. Other occurrences of a
 candidate in the code around it do not count as known. Candidates above
 ``NOVELTY`` are reported.
@@ -11,8 +11,8 @@ candidate in the code around it do not count as known. Candidates above
 
 from __future__ import annotations
 
+import hashlib
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -43,36 +43,9 @@ NEAR = 64
 AROUND = 256
 #: Least marginal bytes a character that make a candidate novel.
 NOVELTY = 0.6
-#: Identifiers in the dictionary, and the entries a task counts before it hands them on.
-DICTIONARY_WORDS, COUNTED = 4096, 200_000
-IDENTIFIER = re.compile(rb"[A-Za-z_]{4,24}")
-
-
-def identifier_dictionary(docs: DataFrame, text_col: str = "text", words: int = DICTIONARY_WORDS) -> bytes:
-    """The identifiers that occur in most documents of the whole table, the
-    commonest last, where a compressor reaches them at least cost."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tally: Counter[bytes] = Counter()
-
-        def counted() -> pa.RecordBatch:
-            made = pa.RecordBatch.from_arrays(
-                [pa.array([w.decode() for w in tally], pa.string()), pa.array(tally.values(), pa.int64())],
-                ["word", "n"])
-            tally.clear()
-            return made
-
-        for b in batches:
-            for text in b["text"]:
-                tally.update(set(IDENTIFIER.findall(text.as_buffer())))
-                if len(tally) > COUNTED:
-                    yield counted()
-        yield counted()
-
-    texts = docs.select(F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
-    top = (texts.mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-           .where("n > 1").orderBy(F.desc("n"), "word").limit(words).collect())
-    return " ".join(r["word"] for r in reversed(top)).encode()
+#: Identifiers in the dictionary.
+DICTIONARY_WORDS = 4096
+IDENTIFIER = re.compile(r"[A-Za-z_]{4,24}")
 
 
 def base_findings(text: str, lowered: str) -> list[tuple[int, int, str]]:
@@ -86,6 +59,60 @@ def base_findings(text: str, lowered: str) -> list[tuple[int, int, str]]:
     return sorted(found, key=lambda f: (f[0], KINDS.index(f[2])))
 
 
+def candidates(text: str, lowered: str, base: list[tuple[int, int, str]]) -> Iterator[tuple[int, int]]:
+    """(start, end) of the runs after a sensitive word that no pattern has found."""
+    if not any(w in lowered for w in SENSITIVE_WORDS):
+        return
+    seen = 0
+    for word in SENSITIVE.finditer(text):
+        for m in CANDIDATE.finditer(text, max(word.end(), seen), min(len(text), word.end() + NEAR)):
+            end = CANDIDATE.match(text, m.start()).end()  # the whole run, beyond the window too
+            if m.start() > 0 and m.start() > word.end() and CANDIDATE.match(text, m.start() - 1):
+                continue  # the window began inside a run
+            seen = max(seen, end)
+            run = text[m.start():end]
+            if not (any(map(str.isdigit, run)) and any(map(str.isalpha, run))):
+                continue
+            if any(s < end and m.start() < e for s, e, _ in base):
+                continue
+            yield m.start(), end
+
+
+def _without_candidates(text: str) -> str:
+    """A text with its findings and candidates blanked."""
+    lowered = text.lower()
+    base = base_findings(text, lowered)
+    blank = [(s, e) for s, e, _ in base] + list(candidates(text, lowered, base))
+    runs = {text[s:e] for s, e in blank} | {v for s, e in blank for v in VALUE.findall(text, s, e)}
+    for run in sorted(runs, key=len, reverse=True):
+        text = text.replace(run, " ")
+    return text
+
+
+def identifier_dictionary(docs: DataFrame, text_col: str = "text", words: int = DICTIONARY_WORDS) -> bytes:
+    """The identifiers that occur in most distinct texts of the whole table,
+    findings and candidates left out, the commonest last, where a compressor
+    reaches them at least cost."""
+
+    def distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            hashes, made = [], []
+            for t in b["text"]:
+                text = t.as_py()
+                hashes.append(hashlib.sha256(text.encode()).digest())
+                made.append(" ".join(sorted(set(IDENTIFIER.findall(_without_candidates(text))))))
+            yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.binary()), pa.array(made, pa.string())],
+                                             ["text_hash", "words"])
+
+    texts = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    once = (texts.mapInArrow(distinct_words, "text_hash binary, words string")
+            .groupBy("text_hash").agg(F.first("words").alias("words")))
+    top = (once.select(F.explode(F.split("words", " ")).alias("word")).where("word <> ''")
+           .groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+           .where("n > 1").orderBy(F.desc("n"), "word").limit(words).collect())
+    return " ".join(r["word"] for r in reversed(top)).encode()
+
+
 class Scanner:
     """Scans texts with a compressor primed by the dictionary and the code around a span."""
 
@@ -112,21 +139,9 @@ class Scanner:
         lowered = text.lower()
         base = base_findings(text, lowered)
         found = [(s, e, kind, self.novelty(text, s, e, alone=True)) for s, e, kind in base]
-        if any(w in lowered for w in SENSITIVE_WORDS):
-            seen = 0
-            for word in SENSITIVE.finditer(text):
-                for m in CANDIDATE.finditer(text, max(word.end(), seen), min(len(text), word.end() + NEAR)):
-                    end = CANDIDATE.match(text, m.start()).end()  # the whole run, beyond the window too
-                    if m.start() > 0 and m.start() > word.end() and CANDIDATE.match(text, m.start() - 1):
-                        continue  # the window began inside a run
-                    seen = max(seen, end)
-                    run = text[m.start():end]
-                    if not (any(map(str.isdigit, run)) and any(map(str.isalpha, run))):
-                        continue
-                    if any(s < end and m.start() < e for s, e, _ in base):
-                        continue
-                    if (novelty := self.novelty(text, m.start(), end, alone=True)) >= NOVELTY:
-                        found.append((m.start(), end, "novel", novelty))
+        for start, end in candidates(text, lowered, base):
+            if (novelty := self.novelty(text, start, end, alone=True)) >= NOVELTY:
+                found.append((start, end, "novel", novelty))
         found.sort(key=lambda f: (f[0], KINDS.index(f[2])))
         return [{"kind": k, "start": s, "end": e, "novelty": n} for s, e, k, n in found]
 
