@@ -1,18 +1,21 @@
 """Secret scan: patterns, and zstandard novelty primed with a dictionary.
 
 Pattern findings are reported as they match. Beyond them, every string of
-letters and digits that follows a sensitive word closely is a candidate. Its novelty is the marginal
+letters and digits close to a sensitive word, on either side, is a candidate, and so
+are runs on the lines directly after one. Its novelty is the marginal
 compressed size, in bytes a character, that it adds to the code around it, with a compressor primed with the
 identifiers that most distinct texts of the corpus use: names and words are
 cheap there, a random string costs most of its length. Other occurrences of a
 candidate in the code around it do not count as known. Candidates above
-``NOVELTY`` are reported.
+``NOVELTY``, or what their own alphabet allows, are reported.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -31,18 +34,24 @@ HEX = re.compile(r"[0-9a-f]{16,}")
 ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
 #: What a candidate may be: a run of these, with letters and digits in it.
+LEAST_RUN = 12
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{12,}")
 VALUE = re.compile(r"[A-Za-z0-9+/_-]{12,}")
 SENSITIVE = re.compile(r"(?ai:pass(?:word|wd|phrase|code)|pwd|secret|token|(?:api|access|private|signing)[_ -]?key"
                        r"|credential|authorization|bearer|signature|session[_ -]?id)")
 SENSITIVE_WORDS = ("pass", "pwd", "secret", "token", "key", "credential", "authorization", "bearer",
                    "signature", "session")
-#: Characters between a sensitive word and a candidate, at most.
+#: Characters between a sensitive word and a candidate on either side of it, at most.
 NEAR = 64
+#: Between a candidate and one on the next line.
+NEXT_LINE = re.compile(r"""[\x20\t"'+,\\\r]{0,8}\n[\x20\t"'#*>]*""")
 #: Characters of code around a candidate that it is measured against, each side.
 AROUND = 256
 #: Least marginal bytes a character that make a candidate novel.
 NOVELTY = 0.6
+#: Alphabets of random strings and their sizes; the share of a character's entropy that is asked for.
+ALPHABETS = ((re.compile("[0-9A-F]+|[0-9a-f]+"), 16), (re.compile("[0-9A-Z]+|[0-9a-z]+"), 36))
+OF_ALPHABET, SIGNS = 0.9, re.compile("[+/_=-]")
 #: Identifiers in the dictionary.
 DICTIONARY_WORDS = 4096
 IDENTIFIER = re.compile(r"[A-Za-z_]{4,24}")
@@ -60,22 +69,41 @@ def base_findings(text: str, lowered: str) -> list[tuple[int, int, str]]:
 
 
 def candidates(text: str, lowered: str, base: list[tuple[int, int, str]]) -> Iterator[tuple[int, int]]:
-    """(start, end) of the runs after a sensitive word that no pattern has found."""
+    """(start, end) of the runs that no pattern has found, near a sensitive
+    word on either side, or on the line directly after such a run."""
     if not any(w in lowered for w in SENSITIVE_WORDS):
         return
-    seen = 0
-    for word in SENSITIVE.finditer(text):
-        for m in CANDIDATE.finditer(text, max(word.end(), seen), min(len(text), word.end() + NEAR)):
-            end = CANDIDATE.match(text, m.start()).end()  # the whole run, beyond the window too
-            if m.start() > 0 and m.start() > word.end() and CANDIDATE.match(text, m.start() - 1):
-                continue  # the window began inside a run
-            seen = max(seen, end)
-            run = text[m.start():end]
+    words = [m.span() for m in SENSITIVE.finditer(text)]
+    starts, ends = [s for s, _ in words], [e for _, e in words]
+    last = None  # end of the last run in sensitive context
+    for m in CANDIDATE.finditer(text):
+        for start, end in _beside_word(*m.span(), words, ends):
+            run = text[start:end]
             if not (any(map(str.isdigit, run)) and any(map(str.isalpha, run))):
                 continue
-            if any(s < end and m.start() < e for s, e, _ in base):
+            before, after = bisect_right(ends, start) - 1, bisect_left(starts, end)
+            near = (before >= 0 and start - ends[before] <= NEAR) or (after < len(words) and starts[after] - end <= NEAR)
+            if not near and (last is None or not NEXT_LINE.fullmatch(text, last, start)):
                 continue
-            yield m.start(), end
+            last = end
+            if not any(s < end and start < e for s, e, _ in base):
+                yield start, end
+
+
+def _beside_word(start: int, end: int, words: list[tuple[int, int]], ends: list[int]) -> list[tuple[int, int]]:
+    """A run, or what lies before and after the first sensitive word in it."""
+    first = bisect_right(ends, start)
+    if first == len(words) or words[first][0] >= end:
+        return [(start, end)]
+    s, e = words[first]
+    return [(x, y) for x, y in ((start, s), (e, end)) if y - x >= LEAST_RUN]
+
+
+def least_novelty(run: str) -> float:
+    """``NOVELTY``, or less where the alphabet of the run allows less."""
+    letters = SIGNS.sub("", run)
+    size = next((n for alphabet, n in ALPHABETS if alphabet.fullmatch(letters)), 64)
+    return min(NOVELTY, OF_ALPHABET * math.log2(size) / 8)
 
 
 def _without_candidates(text: str) -> str:
@@ -140,7 +168,7 @@ class Scanner:
         base = base_findings(text, lowered)
         found = [(s, e, kind, self.novelty(text, s, e, alone=True)) for s, e, kind in base]
         for start, end in candidates(text, lowered, base):
-            if (novelty := self.novelty(text, start, end, alone=True)) >= NOVELTY:
+            if (novelty := self.novelty(text, start, end, alone=True)) >= least_novelty(text[start:end]):
                 found.append((start, end, "novel", novelty))
         found.sort(key=lambda f: (f[0], KINDS.index(f[2])))
         return [{"kind": k, "start": s, "end": e, "novelty": n} for s, e, k, n in found]
