@@ -4,8 +4,9 @@ Documents are tokenised and sorted by a sketch (the minimum of their hashed
 token trigrams), so that similar ones are neighbours. Runs of that order,
 bounded in tokens and documents, are the shards. Each shard has a BM25
 inverted index over token ids: a seed document opens a window, the index
-returns the unused documents nearest to it, and these fill the window
-greedily, those that fit first. What room is left takes the beginning of
+returns the unused documents by their score over all its terms, and these fill
+the window greedily, those that fit first; when no scored one is left, the next
+document in order is the seed. What room is left takes the beginning of
 the best one that does not fit, and its rest opens the next window. So only
 the last window of a shard has padding.
 """
@@ -29,8 +30,8 @@ WINDOW = 1024
 END = 0  # the id after each document
 SHARD_TOKENS, SHARD_DOCS = 1 << 20, 2048
 K1, B = 1.2, 0.75
-#: Terms of a seed that make its query, and documents that a query returns.
-QUERY_TERMS, NEIGHBOURS = 24, 16
+#: Documents that a query returns: as many as a shard has.
+NEIGHBOURS = SHARD_DOCS
 
 
 class Bm25:
@@ -54,20 +55,15 @@ class Bm25:
         self._posting = np.r_[0, np.cumsum(df)]
 
     def nearest(self, seed: int, used: np.ndarray) -> np.ndarray:
-        """Unused documents by score, ties by place."""
-        own = slice(self._first[seed], self._first[seed + 1])
-        terms, weight = self._term[own], self._weight[own]
-        if len(terms) > QUERY_TERMS:
-            terms = terms[np.argpartition(-weight, QUERY_TERMS)[:QUERY_TERMS]]
-        score = np.zeros(self.n, np.float32)
-        for t in terms.tolist():
-            s, e = self._posting[t], self._posting[t + 1]
-            score[self._posting_doc[s:e]] += self._posting_weight[s:e]
+        """Unused documents by score over all terms of the seed, ties by place."""
+        terms = self._term[self._first[seed]:self._first[seed + 1]]
+        start, size = self._posting[terms], self._posting[terms + 1] - self._posting[terms]
+        start, size = start[size > 1], size[size > 1]  # the others are shared with no document
+        at = np.arange(size.sum()) + np.repeat(start - np.cumsum(size) + size, size)
+        score = np.bincount(self._posting_doc[at], self._posting_weight[at], self.n)
         score[used] = 0
         found = np.flatnonzero(score)
-        if len(found) > NEIGHBOURS:
-            found = found[np.argpartition(-score[found], NEIGHBOURS)[:NEIGHBOURS]]
-        return found[np.lexsort((found, -score[found]))]
+        return found[np.lexsort((found, -score[found]))][:NEIGHBOURS]
 
 
 def pack_shard(docs: list[np.ndarray], window: int = WINDOW) -> Iterator[tuple[int, int, int, int, int]]:
@@ -86,7 +82,7 @@ def pack_shard(docs: list[np.ndarray], window: int = WINDOW) -> Iterator[tuple[i
             for n in chosen:
                 if room and lengths[n] <= room:
                     yield n, 0, lengths[n], sequence, window - room
-                    used[n], seed, room = True, n, room - lengths[n]
+                    used[n], room = True, room - lengths[n]
             left = [n for n in chosen if not used[n]]
             if room and (left or not chosen):
                 if not left:  # nothing is near: go on with the next document in order
@@ -94,15 +90,17 @@ def pack_shard(docs: list[np.ndarray], window: int = WINDOW) -> Iterator[tuple[i
                         fresh += 1
                     if fresh == len(docs):
                         return
-                    left = [fresh]
+                    left, seed = [fresh], fresh
                 opened = (left[0], 0)
                 used[left[0]] = True
         if opened is not None:
             n, start = opened
             length = min(room, lengths[n] - start)
             yield n, start, length, sequence, window - room
+            if room == window:  # a window keeps the seed that opens it
+                seed = n
             room -= length
-            seed, opened = n, (n, start + length) if start + length < lengths[n] else None
+            opened = (n, start + length) if start + length < lengths[n] else None
         if not room:
             sequence, room = sequence + 1, window
 
