@@ -29,6 +29,8 @@ SHARD_ROWS, QUERY_ROWS, LEAF_ROWS, BLOCK = 4096, 4096, 64, 256
 #: Ranks of ids share a number with the score: score * PLACES + (PLACES - 1 - rank).
 PLACES = 1 << 16
 LOWEST = np.iinfo(np.int64).min
+#: Scores below this share their number with a rank; a cell with larger ones is searched without the tree.
+NARROW = 1 << 46
 
 
 class BallTree:
@@ -115,13 +117,24 @@ def integer_vectors(rows: DataFrame, id_col: str, vector_col: str, scale: int) -
             .groupBy("id").agg(F.max("v").alias("v")))
 
 
-def _stack(vectors: pd.Series, width: int) -> np.ndarray:
-    made = np.zeros((len(vectors), width))
+def _stack(vectors: pd.Series, width: int, kind: type = np.float64) -> np.ndarray:
+    made = np.zeros((len(vectors), width), kind)
     for i, v in enumerate(vectors):
         made[i, :len(v)] = v
     return made
 
 
+def _wide(points: np.ndarray, queries: np.ndarray, own: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
+    """(query row, point row, score) of the k best points of each query, by whole numbers."""
+    scores = queries @ points.T
+    order = np.argsort(-scores, axis=1, kind="stable")[:, :k + 1]
+    keep = order != own[:, None]
+    keep &= np.cumsum(keep, axis=1) <= k
+    row, column = np.nonzero(keep)
+    place = order[row, column]
+    return row, place, scores[row, place]
+
+
 def _cell(k: int):
     """Search of one group of queries in one shard."""
 
@@ -136,14 +149,19 @@ def _cell(k: int):
             for at in range(0, len(queries), BLOCK):
                 block = queries.iloc[at:at + BLOCK]
                 q, q_ids = _stack(block["v"], width), block["id"].to_numpy()
-                top = max(np.abs(points).max(initial=0), np.abs(q).max(initial=0)) ** 2 * width
-                if top >= 1 << 46:
-                    raise ValueError("scores of 2^46 and more are not supported")
+                top = float(np.abs(points).max(initial=0)) * float(np.abs(q).max(initial=0)) * width
+                if top >= 1 << 63:
+                    raise ValueError("scores that may not fit a long are not supported")
                 place = np.searchsorted(ids, q_ids)
                 own = np.where(ids[np.minimum(place, len(ids) - 1)] == q_ids, place, -1)
+                if max(np.abs(points).max(initial=0), np.abs(q).max(initial=0)) ** 2 * width >= NARROW:
+                    row, place, score = _wide(_stack(shard["v"], width, np.int64),
+                                              _stack(block["v"], width, np.int64), own, k)
+                    found.append(pd.DataFrame({"query_id": q_ids[row], "vec_id": ids[place], "score": score}))
+                    continue
                 known = block["kth_score"].notna().to_numpy()
                 rank = np.searchsorted(ids, block["kth_id"].fillna(0).astype("int64").to_numpy())
-                floor = np.where(known, block["kth_score"].fillna(0).astype("int64").to_numpy() * PLACES
+                floor = np.where(known, block["kth_score"].fillna(0).astype("int64").clip(-NARROW, NARROW).to_numpy() * PLACES
                                  + (PLACES - 1 - rank), LOWEST)
                 best = tree.search(q, own, floor, k)
                 row, column = np.nonzero(best > LOWEST)
@@ -173,6 +191,8 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id"
     the k rows with the highest integer inner products, itself excluded, all
     if there are fewer; ties go to the smaller id.
 
+    Any score that fits a long is exact; a shard whose largest query component
+    times its largest component times the width reaches 2^63 is refused.
     Shorter vectors count as filled up with zeros. See
     :func:`integer_vectors` for the rows that take part. With no query or no
     candidate the result is empty.
