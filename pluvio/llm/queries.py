@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pluvio.llm import binary, exact_dedup, langid, mixing, packing, quality, secrets, simhash, topk, warc
+from pluvio.llm import binary, centroids, exact_dedup, langid, mixing, packing, quality, secrets, simhash, topk, warc
 from pluvio.llm.common import table
 
 
@@ -76,6 +76,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"), k=16, rounds=3, components=64, scale=64, seed=1)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_langid": op1_langid,
     "op2_mixing": op2_mixing,
@@ -87,8 +91,48 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_binary": op9_binary,
     "op10_exact_dedup": op10_exact_dedup,
+    "op12_centroids": op12_centroids,
 }
 
+
+def _centroid_sql(k: int = 16, rounds: int = 3, components: int = 64) -> str:
+    """Clustering around centroids: one group of CTEs a round."""
+    each = f"range(1, {components + 1})"
+    ctes = [f"""
+        v as (
+            select row_number() over () as n, vec_id, list_transform(embedding, lambda x:
+                   cast(floor(64 * x::double) as bigint)) as e
+            from embeddings
+            where len(embedding) = {components}
+              and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0)""", f"""
+        c0 as (
+            select row_number() over (order by sha256('1:' || vec_id), e) - 1 as cluster, e from v
+            qualify cluster < {k})"""]
+    for i in range(rounds + 1):
+        ctes.append(f"""
+        a{i} as (
+            select n, min({{'distance': list_sum(list_transform({each}, lambda i: (v.e[i] - c.e[i]) * (v.e[i] - c.e[i]))),
+                            'cluster': c.cluster}}) as near
+            from v, c{i} c group by n)""")
+        if i < rounds:
+            ctes.append(f"""
+        s{i} as (
+            select near.cluster as cluster, i, sum(e[i]) as s, count(*) as n
+            from a{i} join v using (n), range(1, {components + 1}) r(i) group by all)""")
+            ctes.append(f"""
+        c{i + 1} as (
+            select c.cluster, coalesce(m.e, c.e) as e from c{i} c left join (
+                select cluster, list(cast((s - ((s % n) + n) % n) // n as bigint) order by i) as e
+                from s{i} group by cluster) m using (cluster))""")
+    return f"""
+        with {",".join(ctes)}
+        select v.vec_id, cast(near.cluster as integer) as cluster, cast(near.distance as bigint) as distance,
+               cast(sum(near.distance) over (partition by near.cluster) as bigint) as cluster_inertia,
+               cast(sum(near.distance) over () as bigint) as inertia,
+               sha256(array_to_string(c.e, ',')) as centroid_sha256
+        from a{rounds} join v using (n) join c{rounds} c on c.cluster = near.cluster"""
+
+
 ORACLE: dict[str, str] = {
     "op5_topk": """
         with v as (
@@ -116,4 +160,5 @@ ORACLE: dict[str, str] = {
                doc_id = max(doc_id) over (partition by coalesce(text, '')) as kept,
                sha256(coalesce(text, '')) as text_sha256
         from documents""",
+    "op12_centroids": _centroid_sql(),
 }
