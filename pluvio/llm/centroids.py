@@ -2,9 +2,9 @@
 
 Vectors are turned into integers, so that distances, sums and means have
 one right value in whatever order Spark adds them. A distance is
-``aggregate`` over ``zip_with`` of the vector and a literal centroid array;
-``array_min`` over the structs (distance, number) picks the cluster, ties to
-the smaller number. A round adds up each component in a column of its own,
+v.v - 2 v.c + c.c: v.v is computed once, and v.c is ``aggregate`` over
+``zip_with`` of the vector and a literal centroid array. ``array_min`` over the
+structs (distance, number) picks the cluster, ties to the smaller number. A round adds up each component in a column of its own,
 so the vectors are aggregated where they are read: one row for each
 cluster and task is shuffled, and one for each cluster comes to the driver.
 """
@@ -37,13 +37,18 @@ def whole_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str =
             .select(F.col(f"`{id_col}`").alias("vec_id"), F.transform(v, whole).alias("e")))
 
 
+def _dot(left: Column, right: Column, number: str) -> Column:
+    """The inner product of two arrays of ``number``."""
+    return F.aggregate(F.zip_with(left, right, lambda a, b: (a * b).cast(number)),
+                       F.lit(0).cast(number), lambda total, x: (total + x).cast(number))
+
+
 def _nearest(centroids: list[list[int]], number: str) -> Column:
-    """(distance, cluster) of the nearest centroid to the vector ``e``."""
+    """(distance, cluster) of the nearest centroid to the vector ``e``, whose inner product with itself is ``own``."""
     def distance(centroid: list[int]) -> Column:
-        literal = F.array(*[F.lit(c) for c in centroid]).cast(f"array<{number}>")
-        squares = F.zip_with(F.col("e").cast(f"array<{number}>"), literal,
-                             lambda a, b: ((a - b) * (a - b)).cast(number))
-        return F.aggregate(squares, F.lit(0).cast(number), lambda total, x: (total + x).cast(number))
+        literal = F.expr(f"array({','.join(str(-2 * c) for c in centroid)})").cast(f"array<{number}>")
+        square = F.lit(sum(c * c for c in centroid)).cast(number)
+        return (F.col("own") + square + _dot(F.col("e").cast(f"array<{number}>"), literal, number)).cast(number)
 
     return F.array_min(F.array(*[
         F.struct(distance(c).alias("distance"), F.lit(n).alias("cluster")) for n, c in enumerate(centroids)]))
@@ -54,7 +59,7 @@ def _moved(vectors: DataFrame, centroids: list[list[int]], number: str) -> list[
     size = len(centroids[0])
     sums = (vectors.select(_nearest(centroids, number)["cluster"].alias("cluster"), "e")
             .groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), *[
-                F.sum(F.get("e", F.lit(i)).cast(number)).alias(f"s{i}") for i in range(size)]))
+                F.expr(f"sum(cast(get(e, {i}) as {number})) as s{i}") for i in range(size)]))
     new = list(centroids)
     for row in sums.collect():  # one row a cluster
         new[row["cluster"]] = [int(row[f"s{i}"]) // row["n"] for i in range(size)]
@@ -82,6 +87,8 @@ def cluster(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
     n, largest = whole.agg(F.count(F.lit(1)), F.max(F.array_max(F.transform("e", F.abs)))).first()
     largest = largest or 0
     number = "long" if max(components * (2 * largest) ** 2, n * largest) <= LONGEST else WIDE
+    itself = F.col("e").cast(f"array<{number}>")
+    whole = staged(whole.withColumn("own", _dot(itself, itself, number)), "vectors")
     order = F.sha2(F.concat(F.lit(f"{seed}:"), F.col("vec_id").cast("string")), 256)
     first = whole.orderBy(order.asc_nulls_last(), "e").limit(k).collect()  # k rows
     centroids = [list(row["e"]) for row in first]

@@ -91,6 +91,6 @@ def test_empty(spark):
 def test_no_python_on_the_path_and_partial_sums(spark, capsys):
     whole = centroids.whole_vectors(_table(spark, _rows(4)), components=4)
     near = centroids._nearest([[0, 0, 0, 0], [1, 2, 3, 4]], "long")
-    whole.select(near["cluster"].alias("c")).groupBy("c").count().explain()
+    whole.withColumn("own", centroids._dot(whole["e"], whole["e"], "long")).select(near["cluster"].alias("c")).groupBy("c").count().explain()
     plan = capsys.readouterr().out
     assert "partial_count" in plan and not any(w in plan for w in ("Python", "Pandas", "Arrow"))
