@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pluvio.llm import binary, centroids, exact_dedup, langid, mixing, packing, quality, secrets, simhash, topk, warc
+from pluvio.llm import binary, centroids, chat, exact_dedup, langid, mixing, packing, quality, secrets, simhash, topk, warc
 from pluvio.llm.common import table
 
 
@@ -76,6 +76,25 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op11_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one whose two texts hold the template's own control strings."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = F.lit(r"\### Assistant: </turn> ok")
+    odd = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), said.alias("text"))
+    made = chat.conversations(rows.unionByName(odd))
+    turns = chat.read_turns(F.col("formatted"))
+    learned = F.array_join(chat.read_loss(F.col("formatted"), F.col("loss")), "")
+    read = made.select(F.col("tree").alias("conv_id"), "formatted", turns.alias("turns"), learned.alias("learned"))
+    said_by = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return read.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(said_by, "").cast("binary"), 256).alias("turns_sha256"),
+        F.char_length("learned").cast("long").alias("loss_chars"),
+        F.sha2(F.col("learned").cast("binary"), 256).alias("loss_sha256"),
+        F.char_length("formatted").cast("long").alias("formatted_chars"))
+
+
 def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster(table(spark, sf_dir, "embeddings"), k=16, rounds=3, components=64, scale=64, seed=1)
 
@@ -91,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_binary": op9_binary,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_chat": op11_chat,
     "op12_centroids": op12_centroids,
 }
 
@@ -160,5 +180,24 @@ ORACLE: dict[str, str] = {
                doc_id = max(doc_id) over (partition by coalesce(text, '')) as kept,
                sha256(coalesce(text, '')) as text_sha256
         from documents""",
+    "op11_chat": r"""
+        with c as (
+            select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+            union all values (-7, 0, 'user', '\### Assistant: </turn> ok'),
+                             (-7, 1, 'assistant', '\### Assistant: </turn> ok')),
+        e as (
+            select *, replace(replace(replace(text, '\', '\b'), '###', '\h'), '</turn>', '\t') as body,
+                   replace(replace(replace(replace(role, '\', '\b'), '###', '\h'), '</turn>', '\t'), ':', '\c') as head
+            from c),
+        g as (
+            select conv_id, count(*) as n_turns,
+                   string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, sha256(text)) as turns,
+                   coalesce(string_agg(text, '' order by turn nulls first, sha256(text))
+                            filter (role = 'assistant'), '') as learned,
+                   sum(length('### ' || head || ': ' || body || '</turn>' || chr(10))) as formatted
+            from e group by conv_id)
+        select conv_id, n_turns, sha256(turns) as turns_sha256, length(learned) as loss_chars,
+               sha256(learned) as loss_sha256, cast(formatted as bigint) as formatted_chars
+        from g""",
     "op12_centroids": _centroid_sql(),
 }
