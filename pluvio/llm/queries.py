@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pluvio.llm import binary, centroids, chat, exact_dedup, langid, mixing, packing, quality, secrets, simhash, topk, warc
+from pluvio.llm import (binary, centroids, chat, exact_dedup, langid, mixing, packing, phrases, quality, secrets, simhash,
+                        topk, warc)
 from pluvio.llm.common import table
 
 
@@ -99,6 +100,11 @@ def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster(table(spark, sf_dir, "embeddings"), k=16, rounds=3, components=64, scale=64, seed=1)
 
 
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("lang", "text")
+    return phrases.collocations(docs, max_words=4, min_count=30, top=2000, absorb_percent=80)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_langid": op1_langid,
     "op2_mixing": op2_mixing,
@@ -112,6 +118,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_exact_dedup": op10_exact_dedup,
     "op11_chat": op11_chat,
     "op12_centroids": op12_centroids,
+    "op13_phrases": op13_phrases,
 }
 
 
@@ -200,4 +207,33 @@ ORACLE: dict[str, str] = {
                sha256(learned) as loss_sha256, cast(formatted as bigint) as formatted_chars
         from g""",
     "op12_centroids": _centroid_sql(),
+    "op13_phrases": r"""
+        with p as (
+            select coalesce(lang, 'und') as lang, unnest(string_split_regex(translate(text,
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+            from documents where text is not null),
+        w as (
+            select lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') as ws from p),
+        f as (
+            select lang, k, g as ws, count(*) as a from (
+                select lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: ws[i:i + k - 1])) as g
+                from w, range(1, 5) t(k) where len(ws) >= k)
+            group by all having count(*) >= 30),
+        s as (
+            select c.lang, c.ws, c.k, c.a, min({'score': 2000000::hugeint * c.a // (l.a + r.a), 'cut': cut,
+                                                'l': l.a, 'r': r.a}) as least
+            from f c, range(1, 4) t(cut), f l, f r
+            where c.k > cut and l.lang = c.lang and l.ws = c.ws[1:cut] and r.lang = c.lang and r.ws = c.ws[cut + 1:]
+            group by all),
+        i as (
+            select lang, ws[b:b + m - 1] as ws, max(a) as longer
+            from s, range(2, 4) t(m), range(1, 4) u(b) where m < k and b + m - 1 <= k group by all),
+        n as (select lang, sum(len(ws)) as n from w group by lang),
+        d as (
+            select s.lang, array_to_string(s.ws, ' ') as phrase, a, least.l as l, least.r as r, least.score as score
+            from s left join i on i.lang = s.lang and i.ws = s.ws
+            where longer is null or 100 * longer < 80 * a)
+        select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank,
+               phrase, a, l, r, cast(n as bigint) as n, cast(score as bigint) as score
+        from d join n using (lang) qualify rank <= 2000""",
 }

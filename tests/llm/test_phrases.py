@@ -1,0 +1,132 @@
+from __future__ import annotations
+
+import random
+import re
+from collections import Counter, defaultdict
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from conftest import SF_SMALL
+from pluvio.llm import phrases
+
+SCHEMA = "doc_id long, text string, lang string, phrase string, n string, K string, rank string, chunk string"
+
+
+def _table(spark, rows):
+    return spark.createDataFrame([(i, *r, "p", "n", "k", "r", "c") for i, r in enumerate(rows)], SCHEMA)
+
+
+def _pieces(text):
+    plain = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    return [re.findall(r"[^\x20\x09]+", p) for p in re.split(r"[.,;:!?\x0A-\x0D]", plain)]
+
+
+def _plain(rows, max_words=4, min_count=30, top=2000, absorb=80):
+    """The definition by loops over plain Python counters."""
+    out = []
+    by_lang = defaultdict(list)
+    for text, lang in rows:
+        by_lang[lang or "und"] += _pieces(text)
+    for lang, pieces in by_lang.items():
+        f = Counter()
+        for words in pieces:
+            for k in range(1, max_words + 1):
+                f.update(tuple(words[i:i + k]) for i in range(len(words) - k + 1))
+        n = sum(len(w) for w in pieces)
+        candidates = {p: a for p, a in f.items() if len(p) > 1 and a >= min_count}
+        found = []
+        for p, a in candidates.items():
+            score, _, l, r = min((2_000_000 * a // (f[p[:k]] + f[p[k:]]), k, f[p[:k]], f[p[k:]]) for k in range(1, len(p)))
+            inside = [b for q, b in candidates.items() if len(q) > len(p)
+                      and any(q[i:i + len(p)] == p for i in range(len(q) - len(p) + 1))]
+            if not any(100 * b >= absorb * a for b in inside):
+                found.append((score, a, " ".join(p), l, r))
+        found.sort(key=lambda x: (-x[0], -x[1], x[2].encode()))
+        out += [(lang, rank + 1, p, a, l, r, n, s) for rank, (s, a, p, l, r) in enumerate(found[:top])]
+    return sorted(out)
+
+
+def _rows(n=150, seed=4):
+    rng = random.Random(seed)
+    words = "the of To new York city hall é 中文 x\x00 STRASSE ß".split(" ") + [" ", "K"]
+    rows = []
+    for _ in range(n):
+        text = "".join(rng.choice(words) + rng.choice([" "] * 12 + ["  ", "\t", ". ", ",", "\n", "\x0b", " ! "])
+                       for _ in range(rng.randint(0, 120)))
+        rows.append((text, rng.choice(["en", "en", "de", None])))
+    rows += [("a shared passage of exactly eight words here", "en")] * 60  # many copies
+    rows += [("same " * 500, "de"), ("", "en"), (None, None), (None, "fr"), (" \t ", "fr"), (".,;", "en"), ("I und I", "und")]
+    return rows
+
+
+@pytest.mark.parametrize("options", [{}, {"min_count": 8}, {"min_count": 5, "max_words": 2}, {"min_count": 9, "max_words": 3, "top": 5},
+                                     {"min_count": 12, "max_words": 5, "trigger": 2, "block": 64},
+                                     {"min_count": 8, "power": 4}])
+def test_matches_plain_code(spark, options):
+    rows = _rows()
+    want = _plain(rows, **{k: v for k, v in options.items() if k not in ("trigger", "block", "power")})
+    got = phrases.collocations(_table(spark, rows), **options)
+    assert sorted(map(tuple, got.collect())) == want and want
+
+
+def test_a_third_of_all_rows_and_long_texts(spark):
+    rng = random.Random(8)
+    long_text = " ".join(rng.choice("abcdefgh") for _ in range(30_000))
+    rows = [("one hot row, again and again", "en")] * 300 + [(long_text, "en"), ("w" * 300_000 + " end", "en")] + _rows(60)
+    got = phrases.collocations(_table(spark, rows).repartition(7), block=10_000)
+    assert sorted(map(tuple, got.collect())) == _plain(rows)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.text(alphabet="ab .\nC\té", max_size=200), st.integers(1, 4), st.integers(1, 5), st.integers(1, 40))
+def test_each_run_is_owned_once(text, overlap, trigger, block):
+    want = Counter()
+    for words in _pieces(text):
+        for k in range(1, overlap + 2):
+            want.update(tuple(words[i:i + k]) for i in range(len(words) - k + 1))
+    got = Counter()
+    for full, partly in phrases.chunks(phrases.normal(text.encode()), overlap, trigger, block):
+        for chunk, owned in [(c, None) for c in full] + partly:
+            words = chunk.decode().split(" ")
+            for k in range(1, overlap + 2):
+                got.update(tuple(words[i:i + k]) for i in range(len(words) - k + 1) if owned is None or i < owned)
+    assert got == want
+
+
+def test_equal_passages_give_equal_chunks():
+    rng = random.Random(1)
+    words = [f"w{rng.randrange(500)}" for _ in range(2000)]
+    passage = " ".join(words).encode()
+
+    def parse(text):
+        return Counter(c for full, partly in phrases.chunks(text) for c in [*full, *(p[0] for p in partly)])
+
+    alone, inside = parse(passage), parse(b"other words before it " + passage + b" and behind")
+    assert sum((alone & inside).values()) >= 0.95 * sum(alone.values()) and len(alone) > 60
+
+
+def test_the_bitmap_has_a_fixed_size(spark):
+    hashed = spark.range(5000).selectExpr("xxhash64(id) as h")
+    bits = phrases._bitmap(hashed, 16)
+    places = {(r["h"] % (1 << 64)) >> 48 for r in hashed.collect()}
+    assert len(bits) == 1 << 13
+    assert {i for i in range(1 << 16) if bits[i >> 3] >> (i & 7) & 1} == places
+
+
+def test_scores_pass_64_bits(spark, monkeypatch):
+    big = 3 * 10**18
+    found = spark.createDataFrame([("en", "a", 1, big), ("en", "b", 1, big - 1), ("en", "a b", 2, big - 2)],
+                                  "lang string, phrase string, k int, n long")
+    totals = spark.createDataFrame([("en", big)], "lang string, n long")
+    monkeypatch.setattr(phrases, "frequent", lambda *a: (found, totals))
+    row, = phrases.collocations(_table(spark, [("x", "en")])).collect()
+    assert row["score"] == 2_000_000 * (big - 2) // (2 * big - 1)
+
+
+def test_empty(spark):
+    got = phrases.collocations(_table(spark, []))
+    assert got.collect() == [] and phrases.collocations(_table(spark, [(None, None)])).collect() == []
+    assert got.dtypes == [("lang", "string"), ("rank", "bigint"), ("phrase", "string"), *[(c, "bigint") for c in "alrn"],
+                          ("score", "bigint")]

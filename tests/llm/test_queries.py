@@ -21,7 +21,7 @@ def test_matches_sql(spark, name):
 
 def test_all_are_registered():
     names = entry.queries()
-    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 13)}
+    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 14)}
     assert "pipeline" in names
 
 
