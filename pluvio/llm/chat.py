@@ -40,10 +40,10 @@ def unescape(text: Column, role: bool = False) -> Column:
 
 
 def _key(*parts: Column) -> Column:
-    """What tells a message's words apart: its place, its role and a digest of its text."""
+    """What tells a message's words apart: its place, its role and 128 bits of its text's SHA-256."""
     *place, role, text = parts
     return F.struct(*[p.alias(f"at{i}") for i, p in enumerate(place)], F.coalesce(role, F.lit("")).alias("role"),
-                    F.unhex(F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256)).alias("digest"))
+                    F.unhex(F.substring(F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256), 1, 32)).alias("digest"))
 
 
 def turns(rows: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
@@ -59,7 +59,7 @@ def turns(rows: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", ro
     said = (texts.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
             .select("key", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))).alias("copy")))
     order = [F.col("key.at0"), F.col("key.at1"), F.col("key.role"), F.col("key.digest"), F.col("copy")]
-    ranked = staged(global_rank(said, "node", *order), "turns")
+    ranked = global_rank(said, "node", *order)
     before = ranked.select((F.col("node") + 1).alias("node"), F.struct("key.at0").alias("last"))
     nodes = ranked.join(before, "node", "left").select(
         "node", F.when(F.col("last") == F.struct("key.at0"), F.col("node") - 1).alias("parent"),
@@ -102,22 +102,24 @@ def paths(nodes: DataFrame, branches: int | None = None) -> DataFrame:
     of them is a path of its own.
     """
     nodes = staged(nodes, "nodes")
-    state = staged(nodes.select("node", F.col("parent").alias("up"), F.lit(1).alias("hops"),
-                                F.col("score").alias("total")), "state")
-    steps, left, before = [], state.where("up is not null").count(), None
-    while left and left != before:
-        steps.append(state.where("up is not null").select("node", "up"))
-        above = state.select(F.col("node").alias("up"), F.col("up").alias("next"),
-                             F.col("hops").alias("more"), F.col("total").alias("gain"))
-        state = staged(state.join(above, "up", "left").select(
-            "node", F.col("next").alias("up"), (F.col("hops") + F.coalesce("more", F.lit(0))).alias("hops"),
-            (F.col("total") + F.coalesce("gain", F.lit(0.0))).alias("total")), "state")
-        before, left = left, state.where("up is not null").count()
+    here = staged(nodes.select("node", F.col("parent").alias("up"), F.lit(1).alias("hops"),
+                               F.col("score").alias("total")), "state")
+    done, steps, before = here.where("up is null"), [], None
+    left = here.where("up is not null").count()
+    while left and left != before:  # only messages whose root is not reached go on
+        steps.append(here.where("up is not null").select("node", "up"))
+        above = done.unionByName(here.where("up is not null")).select(
+            F.col("node").alias("up"), F.col("up").alias("next"), F.col("hops").alias("more"), F.col("total").alias("gain"))
+        here = staged(here.where("up is not null").join(above, "up").select(
+            "node", F.col("next").alias("up"), (F.col("hops") + F.col("more")).alias("hops"),
+            (F.col("total") + F.col("gain")).alias("total")), "state")
+        done = done.unionByName(here.where("up is null"))
+        before, left = left, here.where("up is not null").count()
     answered = nodes.where("parent is not null").select(F.col("parent").alias("node")).distinct()
-    ends = state.where("up is null").join(answered, "node", "left_anti")
+    ends = done.join(answered, "node", "left_anti")
     leaves = ends.select("node", "hops", (F.col("total") / F.col("hops")).alias("mean"))
     if left:  # these go round in circles
-        own = nodes.select("node", "score").join(state.where("up is not null").select("node"), "node", "left_semi")
+        own = nodes.select("node", "score").join(here.where("up is not null").select("node"), "node", "left_semi")
         leaves = leaves.unionByName(own.select("node", F.lit(1).alias("hops"), F.col("score").alias("mean")))
     leaves = leaves.join(nodes.select("node", "tree"), "node")
     placed = staged(global_rank(leaves, "place", F.col("tree"), F.col("mean").desc(), F.col("node")), "leaves")
@@ -125,15 +127,16 @@ def paths(nodes: DataFrame, branches: int | None = None) -> DataFrame:
     chosen = placed.withColumn("of", F.struct("tree")).join(firsts, "of").select(
         F.col("node").alias("leaf"), "node", "hops", F.lit(0).alias("back"), (F.col("place") - F.col("first")).alias("branch"),
         F.col("mean"))
-    if branches is not None:
-        chosen = chosen.where(F.col("branch") < branches)
-    walked = chosen
+    chosen = staged(chosen if branches is None else chosen.where(F.col("branch") < branches), "chosen")
+    walked = chosen.where(F.col("hops") > 1 << len(steps))  # none
     for k in reversed(range(len(steps))):  # from every place on a path, the one 2^k messages further up
+        walked = walked.unionByName(chosen.where((F.col("hops") > 1 << k) & (F.col("hops") <= 2 << k)))
         further = F.struct(F.col("up").alias("node"), (F.col("back") + (1 << k)).alias("back"))
         both = F.array_compact(F.array(F.struct("node", "back"), F.when(
             F.col("up").isNotNull() & (F.col("back") + (1 << k) < F.col("hops")), further)))
         walked = walked.join(steps[k], "node", "left").select(
             "leaf", "branch", "mean", "hops", F.explode(both).alias("at")).select("*", "at.*").drop("at")
+    walked = walked.unionByName(chosen.where("hops = 1"))
     return staged(walked.join(nodes.select("node", "tree", "key"), "node").select(
         "leaf", "tree", F.col("branch").cast("long").alias("branch"), F.col("mean").alias("score"), "node", "key",
         (F.col("hops") - 1 - F.col("back")).alias("pos")), "paths")
