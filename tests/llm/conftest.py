@@ -32,6 +32,8 @@ def edge_rows(n: int = 60, seed: int = 3):
              (None, "a text without an id", "en", "src0"), (None, None, None, None),
              (7, rows[7][1], "en", "src1"),  # a repeated row
              (106, rows[3][1], None, "src2"), (107, rows[3][1], "en", "src0"),
+             # white space of two million characters
+             (110, "before" + " " * 1_000_000 + "\n" * 600_000 + "\t" * 400_000 + "behind", "en", "src0"),
              (108, "İstanbul ſ K 中文 \U0001f600 é\x00z", "tr", ""), (109, "x", "en", "src0")]
     return rows
 
