@@ -47,55 +47,77 @@ class Bm25:
         df = np.bincount(self._term, minlength=size)
         idf = np.log1p((self.n - df + 0.5) / (df + 0.5))
         norm = K1 * (1 - B + B * lengths / max(lengths.mean(), 1))
-        self._weight = (idf[self._term] * tf * (K1 + 1) / (tf + norm[self._doc])).astype(np.float32)
-        self._weight[df[self._term] < 2] = 0  # shared with no other document
+        weight = (idf[self._term] * tf * (K1 + 1) / (tf + norm[self._doc])).astype(np.float32).astype(float)
         self._first = np.searchsorted(self._doc, np.arange(self.n + 1))
-        by_term = np.argsort(self._term, kind="stable")
-        self._posting_doc, self._posting_weight = self._doc[by_term], self._weight[by_term]
-        self._posting = np.r_[0, np.cumsum(df)]
+        shared = df[self._term] > 1  # the others are in no other document
+        by_term = np.argsort(self._term[shared], kind="stable")
+        self._size, self._left = size, self.n
+        self._index(*(x[shared][by_term] for x in (self._term, self._doc, weight)))
+
+    def _index(self, term: np.ndarray, doc: np.ndarray, weight: np.ndarray) -> None:
+        """Postings of the terms, in order of term and document."""
+        self._posting_term, self._posting_doc, self._posting_weight = term, doc, weight
+        self._posting = np.r_[0, np.cumsum(np.bincount(term, minlength=self._size))]
+
+    def _forget(self, used: np.ndarray) -> None:
+        """Without the postings of used documents, whenever half of those that had some are used."""
+        left = self.n - int(used.sum())
+        if 2 * left < self._left:
+            self._left = left
+            keep = ~used[self._posting_doc]
+            self._index(self._posting_term[keep], self._posting_doc[keep], self._posting_weight[keep])
 
     def nearest(self, seed: int, used: np.ndarray) -> np.ndarray:
         """Unused documents by score over all terms of the seed, ties by place."""
+        self._forget(used)
         terms = self._term[self._first[seed]:self._first[seed + 1]]
         start, size = self._posting[terms], self._posting[terms + 1] - self._posting[terms]
-        start, size = start[size > 1], size[size > 1]  # the others are shared with no document
         at = np.arange(size.sum()) + np.repeat(start - np.cumsum(size) + size, size)
         score = np.bincount(self._posting_doc[at], self._posting_weight[at], self.n)
         score[used] = 0
         found = np.flatnonzero(score)
-        return found[np.lexsort((found, -score[found]))][:NEIGHBOURS]
+        return found[np.argsort(-score[found], kind="stable")][:NEIGHBOURS]
 
 
 def pack_shard(docs: list[np.ndarray], window: int = WINDOW) -> Iterator[tuple[int, int, int, int, int]]:
     """(document, start, length, sequence, offset) of each piece; documents
     end with the end id. Every id lies in exactly one piece."""
     index = Bm25([d[:-1] for d in docs])
-    used, lengths, fresh = np.zeros(len(docs), bool), [len(d) for d in docs], 0
+    lengths = np.array([len(d) for d in docs])
+    used, fresh = np.zeros(len(docs), bool), 0
     sequence, room, seed, opened = 0, window, None, None  # opened: a document with a rest to place
 
     while True:
         if opened is None:
-            if seed is None or room == window:
-                chosen = []
+            best = None
+            if seed is not None and room < window:
+                chosen = index.nearest(seed, used)
+                size, at = lengths[chosen], 0
+                while room and at < len(chosen):
+                    fits = size[at:] <= room
+                    step = int(fits.argmax())
+                    if best is None and (step or not fits[0]):
+                        best = int(chosen[at])  # the first that does not fit
+                    if not fits[step]:
+                        break
+                    n, length, at = int(chosen[at + step]), int(size[at + step]), at + step + 1
+                    yield n, 0, length, sequence, window - room
+                    used[n], room = True, room - length
+                near = len(chosen) > 0
             else:
-                chosen = index.nearest(seed, used).tolist()
-            for n in chosen:
-                if room and lengths[n] <= room:
-                    yield n, 0, lengths[n], sequence, window - room
-                    used[n], room = True, room - lengths[n]
-            left = [n for n in chosen if not used[n]]
-            if room and (left or not chosen):
-                if not left:  # nothing is near: go on with the next document in order
+                near = False
+            if room and (best is not None or not near):
+                if best is None:  # nothing is near: go on with the next document in order
                     while fresh < len(docs) and used[fresh]:
                         fresh += 1
                     if fresh == len(docs):
                         return
-                    left, seed = [fresh], fresh
-                opened = (left[0], 0)
-                used[left[0]] = True
+                    best = seed = fresh
+                opened = (best, 0)
+                used[best] = True
         if opened is not None:
             n, start = opened
-            length = min(room, lengths[n] - start)
+            length = min(room, int(lengths[n]) - start)
             yield n, start, length, sequence, window - room
             if room == window:  # a window keeps the seed that opens it
                 seed = n
