@@ -115,6 +115,33 @@ def fx_state_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(key % 5 == 0, "São ").otherwise("S"), _padded(key, 2)).alias("code"))
 
 
+def _corner(row: F.Column, column: F.Column) -> F.Column:
+    """A corner of the 6 x 6 lattice between the nations, moved by quarter degrees."""
+    return F.struct((row * 7 - 35 + ((row * 3 + column * 5) % 7 - 3) * 0.25).cast("double").alias("latitude"),
+                    (column * 7 - 70 + ((row * 5 + column * 2) % 7 - 3) * 0.5).cast("double").alias("longitude"))
+
+
+def fx_region_rings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Borders of all nations: crooked quadrilaterals that tile the plane of
+    the stations. Every third nation has a lake, which is in no state."""
+    key = F.col("n_nationkey")
+    row, column = F.floor(key / 5), key % 5
+    border = F.array(_corner(row, column), _corner(row, column + 1), _corner(row + 1, column + 1), _corner(row + 1, column))
+    middle = [(-1.25, -1.0), (0.0, 1.5), (1.25, -0.5)]
+    lake = F.array(*[F.struct((row * 7 - 31.5 + y).cast("double").alias("latitude"),
+                              (column * 7 - 66.5 + x).cast("double").alias("longitude")) for y, x in middle])
+    rings = F.array_compact(F.array(border, F.when(key % 3 == 0, lake)))
+    return table(spark, sf_dir, "nation").select(F.col("n_name").alias("state_name"), F.explode(rings).alias("ring"))
+
+
+def fx_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A coordinate for each order, many of them on borders and corners."""
+    key = F.col("o_orderkey")
+    return table(spark, sf_dir, "orders").select(
+        key.alias("id"), ((key * 7919 % 1441) * 0.025 - 35.5).alias("latitude"),
+        ((key * 104729 % 1477) * 0.025 - 71).alias("longitude"))
+
+
 # --- the same views in DuckDB SQL (oracle side) ----------------------------
 
 def _sql_padded(key: str, width: int) -> str:
@@ -166,6 +193,25 @@ select n_name as state_name,
        case when n_nationkey % 5 = 0 then 'São ' else 'S' end || {_sql_padded('n_nationkey', 2)} as code
 from nation where n_nationkey <> 24"""
 
+# Sides of the rings, from south to north.
+SQL_FX_REGION_SIDES = """
+select state_name, least(a, b).y as y1, least(a, b).x as x1, greatest(a, b).y as y2, greatest(a, b).x as x2
+from (select state_name, unnest(ring) as a, unnest(list_concat(ring[2:], ring[1:1])) as b
+      from (select n_name as state_name, unnest(case when n_nationkey % 3 = 0 then [border, lake] else [border] end) as ring
+            from (select *, [{'y': c.r * 7 - 31.5 - 1.25, 'x': c.c * 7 - 66.5 - 1.0},
+                             {'y': c.r * 7 - 31.5, 'x': c.c * 7 - 66.5 + 1.5},
+                             {'y': c.r * 7 - 31.5 + 1.25, 'x': c.c * 7 - 66.5 - 0.5}] as lake,
+                         list_transform([{'r': c.r, 'c': c.c}, {'r': c.r, 'c': c.c + 1}, {'r': c.r + 1, 'c': c.c + 1},
+                                         {'r': c.r + 1, 'c': c.c}], lambda p: {
+                             'y': cast(p.r * 7 - 35 as double) + ((p.r * 3 + p.c * 5) % 7 - 3) * 0.25,
+                             'x': cast(p.c * 7 - 70 as double) + ((p.r * 5 + p.c * 2) % 7 - 3) * 0.5}) as border
+                  from (select *, {'r': n_nationkey // 5, 'c': n_nationkey % 5} as c from nation))))"""
+
+SQL_FX_PLACES = """
+select o_orderkey as id, (o_orderkey * 7919 % 1441) * cast(0.025 as double) - 35.5 as latitude,
+       (o_orderkey * 104729 % 1477) * cast(0.025 as double) - 71 as longitude
+from orders"""
+
 # transformed_results over the fixture: one row per (station, day), MAX per type.
 SQL_RESULTS = """
 select replace(station, 'GHCND:', '') || '_' || strftime(day, '%Y%m%d') as id, station, day as date,
@@ -198,6 +244,8 @@ SQL_VIEWS: dict[str, tuple[str, tuple[str, ...]]] = {
         select {_sql_code('s_suppkey')} from supplier where s_suppkey % 20 = 19)""", ("fx_full_catalog",)),
     "fx_region_cells": (SQL_FX_REGION_CELLS, ()),
     "fx_state_codes": (SQL_FX_STATE_CODES, ()),
+    "fx_region_sides": (SQL_FX_REGION_SIDES, ()),
+    "fx_places": (SQL_FX_PLACES, ()),
     "transformed_results": (SQL_RESULTS, ("fx_observations",)),
     "transformed_stations": ("select * from fx_stations", ("fx_stations",)),
     "station_days": (SQL_STATION_DAYS, ("transformed_results", "transformed_stations")),

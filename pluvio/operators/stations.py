@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..functions.constants import UNKNOWN_REGION
 from ..schemas import TRANSFORMED_STATIONS
 from .joins import DEFAULT_BROADCAST_ROWS, assign_state, lookup_state_code
+from .regions import assign_region
 
 RECORD_COLUMNS = ("id", "name", "latitude", "longitude", "elevation", "elevation_unit",
                   "state", "datacoverage", "mindate", "maxdate")
@@ -28,16 +29,18 @@ def station_projection(catalog: DataFrame) -> DataFrame:
 
 def enrich_stations(ids: DataFrame, catalog: DataFrame, cells: DataFrame,
                     codes: DataFrame | None = None, resolution: float = 1.0,
-                    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                    exact: bool = False) -> DataFrame:
     """Station ids -> full station records with a state code.
 
     Ids without a catalog record are dropped (see ``unresolved_stations``).
-    The state is the code of the region whose grid cell holds the station;
-    NULL when there is no cell or the region has no code.
+    The state is the code of the region whose grid cell holds the station,
+    or, with ``exact``, whose borders do (``cells`` is then a region index of
+    this resolution); NULL when there is none or the region has no code.
     """
     found = ids.select("id").distinct().join(catalog, "id", "inner")
     rec = station_projection(found)
-    rec = assign_state(rec, cells, resolution, out="_state_name")
+    rec = (assign_region if exact else assign_state)(rec, cells, resolution, out="_state_name")
     rec = lookup_state_code(rec, codes, name_col="_state_name", out="state")
     return rec.select(*RECORD_COLUMNS)
 

@@ -212,6 +212,15 @@ OPERATOR_SQL = {
         from fx_full_catalog c left join fx_region_cells g
           on g.cell_lat = cast(floor(c.latitude) as int)
          and g.cell_lon = cast(floor(c.longitude) as int)""", *CAT),
+    "assign_region": _w("""
+        , crossings as (
+            select p.id, s.state_name, count(*) as n
+            from fx_places p join fx_region_sides s on s.y1 <= p.latitude and p.latitude < s.y2
+             and p.longitude < (s.x2 - s.x1) * (p.latitude - s.y1) / (s.y2 - s.y1) + s.x1
+            group by all)
+        select p.id, p.latitude, p.longitude, min(c.state_name) as state_name
+        from fx_places p left join crossings c on c.id = p.id and c.n % 2 = 1 group by all""",
+                        "fx_places", "fx_region_sides"),
     "enrich_stations": _w(f"""
         select e.* from ({ENRICHED}) e where e.id in ({NEW_IDS})""",
                           "fx_observations", "fx_stations", *CAT),

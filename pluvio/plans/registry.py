@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from .. import fixtures as fx
 from .. import functions as PF
-from ..operators import conform, joins, periods, stations
+from ..operators import conform, joins, periods, regions, stations
 from ..operators import observations as obs_ops
 from ..functions.constants import STATE_CODES
 from ..schemas import PARTITIONING, STATION_RECORD, TRANSFORMED_RESULTS
@@ -249,6 +249,12 @@ def q_assign_state(spark, sf):
     return joins.assign_state(cat, fx.fx_region_cells(spark, sf))
 
 
+def q_assign_region(spark, sf):
+    """The exact state of every place, by an index that is written once."""
+    index, _path = tables.stage(regions.region_index(fx.fx_region_rings(spark, sf)), spark, "region-index")
+    return regions.assign_region(fx.fx_places(spark, sf), index)
+
+
 def q_enrich_stations(spark, sf):
     return _enriched_new(spark, sf)
 
@@ -704,6 +710,7 @@ QUERIES.update({
     "new_station_ids": q_new_station_ids,
     "lookup_state_code": q_lookup_state_code,
     "assign_state": q_assign_state,
+    "assign_region": q_assign_region,
     "enrich_stations": q_enrich_stations,
     "unresolved_stations": q_unresolved_stations,
     # E
