@@ -22,7 +22,7 @@ from ..operators.stations import RECORD_COLUMNS, enrich_stations, station_union,
 from ..schemas import REJECTED_STATIONS
 from ..sinks import files, landing, tables
 from ..sources.observations import distinct_pages, explode_pages, page_completeness, tolerant_scan
-from .views import VIEWS
+from .cube import VIEWS, month_cube
 
 
 @dataclass(frozen=True)
@@ -59,6 +59,10 @@ class Layout:
     def rejects(self) -> str:
         return self._p("transformation", "rejected_stations")
 
+    @property
+    def cube(self) -> str:
+        return self._p("transformation", "month_cube")
+
     def presentation(self, view: str) -> str:
         return self._p("presentation", view)
 
@@ -124,23 +128,35 @@ def job_refresh_stations(spark: SparkSession, layout: Layout, observations: Data
     return report
 
 
-def job_presentation(spark: SparkSession, layout: Layout, views=None, at_once: int = 4) -> dict[str, int | str]:
+def refresh_cube(spark: SparkSession, layout: Layout, months: DataFrame | None = None) -> int:
+    """Recompute the month cube from the daily rows, or only its ``months``
+    (columns year, month), whose folders alone are read and replaced. Without
+    a cube all of it is made. Returns the rows written."""
+    results = tables.read_table(spark, layout.results, "transformed_results")
+    whole = months is None or not files.exists(spark, layout.cube)
+    rows = results if whole else tables.touched_months(results, months)
+    return 0 if rows is None else tables.replace_months(month_cube(rows), layout.cube, whole=whole)
+
+
+def job_presentation(spark: SparkSession, layout: Layout, views=None, at_once: int = 4,
+                     months: DataFrame | None = None) -> dict[str, int | str]:
     """Recompute every presentation table from the curated tables; rows
     written per view, or the error of a view that failed (the others go on,
-    and the failed one keeps its published version).
+    and the failed one keeps its published rows).
 
-    The dimension is checked for broadcast once. The views are independent,
-    so ``at_once`` of them are submitted together and fill each other's idle
-    tasks. The fact-to-dimension join is map-side, so each view rescans only
-    the result columns it needs instead of sharing one copy of the join.
+    The daily rows are read once, into the month cube; with ``months`` only
+    those months of them. All views are rolled up from the cube. The
+    dimension is checked for broadcast once. The views are independent, so
+    ``at_once`` of them are submitted together and fill each other's idle tasks.
     """
-    results = tables.read_table(spark, layout.results, "transformed_results")
+    refresh_cube(spark, layout, months)
+    cube = tables.read_table(spark, layout.cube, "month_cube")
     stations = tables.read_table(spark, layout.stations, "transformed_stations")
     dimension = bounded_broadcast(stations.select("id", "state"))
 
     def refresh(name: str) -> int | str:
         try:
-            made = VIEWS[name](results, dimension, ordered=False, checked=True)
+            made = VIEWS[name](cube, dimension, ordered=False, checked=True)
             return tables.overwrite_view(made, layout.presentation(name), name)
         except Exception as e:  # reported: one broken view does not hold up ten good ones
             return f"{type(e).__name__}: {e}"
@@ -172,6 +188,7 @@ def job_pipeline(spark: SparkSession, layout: Layout, raw_observations: DataFram
     periods, periods_path = tables.stage(generate_periods(requests, as_of), spark, "periods")
     bounds = periods.agg(F.min("start").alias("s"), F.max("end").alias("e"), F.count(F.lit(1)).alias("n")).first()
     if bounds["s"] is None:
+        files.delete(spark, periods_path)
         return {"periods": 0}
     report: dict = {"periods": bounds["n"]}
     days = expand_days(periods).select("day").distinct()
@@ -188,7 +205,8 @@ def job_pipeline(spark: SparkSession, layout: Layout, raw_observations: DataFram
         bounded_broadcast(days.withColumnRenamed("day", "date"), 1_000_000), "date", "left_semi")
     report["missing_loads"] = _missing(periods, loaded, datatypes).count()
     report["stations"] = job_refresh_stations(spark, layout, loaded, catalog, cells, codes, run_date)
-    report["views"] = job_presentation(spark, layout)
+    months = days.select(F.year("day").alias("year"), F.month("day").alias("month")).distinct()
+    report["views"] = job_presentation(spark, layout, months=months)
     files.delete(spark, periods_path)
     return report
 

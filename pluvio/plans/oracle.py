@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from ..fixtures import with_views
 from ..functions.constants import STATE_CODES
+from ..schemas import MEASURES
 from .values import values_sql
 
 R_S = ("transformed_results", "transformed_stations")
@@ -252,6 +253,11 @@ OPERATOR_SQL = {
         select cast(date_trunc('year', date) as timestamp) as year, season,
                cast(count(*) as integer) as station_days
         from transformed_results join months on month(date) = m group by 1, 2""", "transformed_results", "months"),
+    "month_cube": _w(f"""
+        select station, year(date) as year, month(date) as month, count(*) as days, {', '.join(
+            f'count({m}) as {m}_n, sum({m}) as {m}_sum, min({m}) as {m}_min, max({m}) as {m}_max' for m in MEASURES)},
+               cast(bit_or(1 << (day(date) - 1)::integer) filter (where prcp > 0) as integer) as wet
+        from transformed_results group by station, year(date), month(date)""", "transformed_results"),
     "stations_by_region": _w("""
         select coalesce(nullif(state, ''), 'unknown') as region, count(*) as stations
         from fx_all_stations group by 1""", "fx_all_stations"),
@@ -368,15 +374,19 @@ OPERATOR_SQL = {
         f"({values_sql(v, view_sql(v))})" for v in VIEW_BODIES),
 }
 
-# J4 starts from an empty deployment and loads two spans of days: every
-# station observed there is new, so the dimension is the typed, resolvable
-# part of the enriched catalog.
+OPERATOR_SQL["job_delta_refresh"] = OPERATOR_SQL["job_presentation"]
+OPERATOR_SQL["rainy_days_bitmap"] = VIEW_SQL["rainy_days_by_state_by_year"]
+
+# J4 starts from an empty deployment and loads the observed span but for the calendar month in
+# its middle: every station observed there is new, so the dimension is the typed, resolvable part of
+# the enriched catalog.
 SPANS = {
     "fx_observations": ("""
         select station, date, datatype, value
         from (select *, cast(left(date, 10) as date) as d, min(d) over () as low, max(d) over () as high
               from fx_raw_observations)
-        where d - low < 40 or high - d < 40""", ("fx_raw_observations",)),
+        where date_trunc('month', d) <> date_trunc('month', low + cast((high - low) // 2 as integer))""",
+                        ("fx_raw_observations",)),
     "transformed_stations": (f"""
         select {TYPED_COLS} from ({ENRICHED})
         where state is not null and id in (select station from fx_observations)""", (*CAT, "fx_observations")),
@@ -384,18 +394,6 @@ SPANS = {
 OPERATOR_SQL["job_pipeline"] = " union all ".join(
     [f"({values_sql(t, with_views(f'select * from {t}', t, overrides=SPANS))})" for t in R_S]
     + [f"({values_sql(v, view_sql(v, SPANS))})" for v in VIEW_BODIES])
-# The same over the observed span but for the calendar month in its middle.
-WIDE = SPANS | {
-    "fx_observations": ("""
-        select station, date, datatype, value
-        from (select *, cast(left(date, 10) as date) as d, min(d) over () as low, max(d) over () as high
-              from fx_raw_observations)
-        where date_trunc('month', d) <> date_trunc('month', low + cast((high - low) // 2 as integer))""",
-                        ("fx_raw_observations",)),
-}
-OPERATOR_SQL["job_pipeline_span"] = " union all ".join(
-    [f"({values_sql(t, with_views(f'select * from {t}', t, overrides=WIDE))})" for t in R_S]
-    + [f"({values_sql(v, view_sql(v, WIDE))})" for v in VIEW_BODIES])
 
 # H7: what every table is made of, and its rows once the curated tables are loaded.
 TABLE_COLUMNS = {

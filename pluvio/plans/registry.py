@@ -24,7 +24,7 @@ from ..schemas import PARTITIONING, STATION_RECORD, TRANSFORMED_RESULTS
 from ..session import work_path
 from ..sinks import landing, tables
 from ..sources import observations as src
-from . import jobs, oracle
+from . import cube, jobs, oracle
 from .values import as_values
 from .views import VIEWS
 
@@ -312,6 +312,15 @@ def q_group_by_expression(spark, sf):
             .agg(F.count(F.lit(1)).cast("int").alias("station_days")))
 
 
+def q_month_cube(spark, sf):
+    r, _ = curated_inputs(spark, sf)
+    return cube.month_cube(r)
+
+
+def q_rainy_days_bitmap(spark, sf):
+    return cube.rainy_days_by_bitmap(*curated_inputs(spark, sf))
+
+
 def q_stations_by_region(spark, sf):
     return stations.stations_by_region(fx.fx_all_stations(spark, sf))
 
@@ -613,6 +622,32 @@ def q_job_presentation(spark, sf):
     return _stored_values(spark, layout, jobs.job_presentation(spark, layout))
 
 
+def _middle_month(results: DataFrame) -> dict:
+    """Year and month of the day in the middle of the observed span."""
+    span = results.agg(F.min("date").alias("first"), F.max("date").alias("last"))
+    middle = F.date_add("first", F.floor(F.datediff("last", "first") / 2).cast("int"))
+    return span.select(F.year(middle).alias("year"), F.month(middle).alias("month")).first().asDict()
+
+
+def q_job_delta_refresh(spark, sf):
+    """All values of all presentation tables, refreshed whole while one month
+    had no rain and no TMAX, and again for that month alone when it was loaded."""
+    layout = jobs.Layout(_scratch(spark, "job-delta"))
+    r, s = curated_inputs(spark, sf)
+    late = _middle_month(r)
+    is_late = (F.year("date") == late["year"]) & (F.month("date") == late["month"])
+    tables.ensure_table(spark, layout.results, "transformed_results")
+    tables.ensure_table(spark, layout.stations, "transformed_stations")
+    tables.upsert_stations(s, layout.stations)
+    early = {c: F.when(~is_late, F.col(c)) for c in ("tmax", "prcp")}
+    tables.upsert_observations(r.withColumns(early), layout.results)
+    jobs.job_presentation(spark, layout)
+    load = r.where(is_late)
+    tables.upsert_observations(load, layout.results)
+    months = load.select(F.year("date").alias("year"), F.month("date").alias("month")).distinct()
+    return _stored_values(spark, layout, jobs.job_presentation(spark, layout, months=months))
+
+
 def _pipeline_values(spark, sf, name: str, ranges: DataFrame) -> DataFrame:
     """Whole chain from an empty deployment over the landed observations, for
     requests from ``s`` to ``e``. Returns all values of all tables."""
@@ -633,15 +668,6 @@ def _observed_span(spark, sf) -> DataFrame:
     return _typed(spark, sf).agg(F.min("date").alias("first"), F.max("date").alias("last"))
 
 
-def q_job_pipeline(spark, sf):
-    """The chain for two short requests far apart: the first forty days and
-    the last forty. See :func:`q_job_pipeline_span` for the whole span."""
-    ranges = _observed_span(spark, sf).select(F.inline(F.array(
-        F.struct(F.col("first").alias("s"), F.date_add("first", 39).alias("e")),
-        F.struct(F.date_sub("last", 39).alias("s"), F.col("last").alias("e")))))
-    return _pipeline_values(spark, sf, "job-pipeline", ranges)
-
-
 def span_requests(span: DataFrame) -> DataFrame:
     """Two disjoint ranges (s, e) that cover the days from ``first`` to
     ``last`` but for the calendar month in the middle."""
@@ -652,10 +678,10 @@ def span_requests(span: DataFrame) -> DataFrame:
         F.struct(F.date_add(F.last_day(middle), 1).alias("s"), F.col("last").alias("e"))))).where("s <= e")
 
 
-def q_job_pipeline_span(spark, sf):
+def q_job_pipeline(spark, sf):
     """The chain for two requests that cover the observed span but for one
     month, whose landed days must be left out."""
-    return _pipeline_values(spark, sf, "job-pipeline-span", span_requests(_observed_span(spark, sf)))
+    return _pipeline_values(spark, sf, "job-pipeline", span_requests(_observed_span(spark, sf)))
 
 
 QUERIES: dict[str, Query] = {}
@@ -723,6 +749,8 @@ QUERIES.update({
     "agg_count_distinct": q_agg_count_distinct,
     "agg_of_agg": q_agg_of_agg,
     "group_by_expression": q_group_by_expression,
+    "month_cube": q_month_cube,
+    "rainy_days_bitmap": q_rainy_days_bitmap,
     "stations_by_region": q_stations_by_region,
     "manifest_summary": q_manifest_summary,
     "row_counts": q_row_counts,
@@ -746,8 +774,8 @@ QUERIES.update({
     "job_refresh_stations": q_job_refresh_stations,
     "rejected_stations": q_rejected_stations,
     "job_presentation": q_job_presentation,
+    "job_delta_refresh": q_job_delta_refresh,
     "job_pipeline": q_job_pipeline,
-    "job_pipeline_span": q_job_pipeline_span,
 })
 
 ORACLE: dict[str, str] = {k: v for k, v in oracle.ALL_SQL.items() if k in QUERIES}

@@ -112,16 +112,19 @@ def precipitation_anomaly_by_state_by_year(results: DataFrame, stations: DataFra
     """
     annual = (_rs(results, stations, checked).groupBy("state", PF.year_start("date").alias("year"))
               .agg(F.sum("prcp").alias("total_precipitation")))
-    hist = join_annual_to_history(annual)
+    return _sorted(anomaly_columns(join_annual_to_history(annual)), ordered, "state", "year")
+
+
+def anomaly_columns(hist: DataFrame) -> DataFrame:
+    """The published columns of a table of yearly totals with the state's mean."""
     total, mean = F.col("total_precipitation"), F.col("historical_avg_precipitation")
     diff = total - mean
-    made = hist.select(
+    return hist.select(
         "state", "year",
         PF.zero_if_null(total).alias("total_precipitation"),
         PF.zero_if_null(mean).alias("historical_avg_precipitation"),
         PF.zero_if_null(diff).alias("anomaly_mm"),
         PF.zero_if_null(PF.safe_ratio(diff, mean) * 100).alias("anomaly_pct"))
-    return _sorted(made, ordered, "state", "year")
 
 
 def rainy_days_by_state_by_year(results: DataFrame, stations: DataFrame, ordered: bool = True,

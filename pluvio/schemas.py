@@ -74,6 +74,14 @@ REJECTED_STATIONS = T.StructType(
     [T.StructField("id", S, False)] + STATION_RECORD.fields[1:]
     + [T.StructField("reason", S, False)])
 
+# Measures of a daily row, and what the month cube keeps of them by station and month.
+MEASURES = ("tmax", "tmin", "tavg", "prcp")
+MONTH_CUBE = _schema(
+    ("station", S, False), ("days", L, False),
+    *[(f"{m}_{x}", L if x == "n" else D, x != "n") for m in MEASURES for x in ("n", "sum", "min", "max")],
+    ("wet", I, True), ("year", I, False), ("month", I, False),
+)
+
 # --- presentation tables (public names, misspellings kept) ----------------
 
 PRESENTATION = {
@@ -107,4 +115,5 @@ PRESENTATION = {
 PARTITIONING = {
     "transformed_results": ["year", "month"],
     "transformed_stations": ["state"],
+    "month_cube": ["year", "month"],
 }

@@ -26,30 +26,3 @@ def folders(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders directly under ``path``."""
     _, fs, target = _fs(spark, path)
     return sorted(s.getPath().getName() for s in fs.listStatus(target) if s.isDirectory())
-
-
-def read_text(spark: SparkSession, path: str) -> str | None:
-    """The content of a small file, or None if there is none."""
-    jvm, fs, target = _fs(spark, path)
-    if not fs.exists(target):
-        return None
-    stream = fs.open(target)
-    try:
-        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
-
-
-def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Replace a small file in one step: written beside it, then renamed over it."""
-    jvm, fs, target = _fs(spark, path)
-    beside = jvm.org.apache.hadoop.fs.Path(path + ".new")
-    stream = fs.create(beside, True)
-    stream.write(bytearray(text.encode("utf-8")))
-    stream.close()
-    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
-        target.toUri() if target.toUri().getScheme() else fs.getUri(), fs.getConf())
-    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
-    options = spark.sparkContext._gateway.new_array(rename, 1)
-    options[0] = rename.OVERWRITE
-    context.rename(beside, target, options)

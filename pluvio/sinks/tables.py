@@ -1,31 +1,31 @@
 """Table layer over parquet folders: create, overwrite, keyed upserts.
 
-A table that is rewritten whole (the station dimension, the reject table,
-the presentation tables) keeps each version in a folder of its own, and a
-one-line pointer file names the current one. A rewrite fills a new folder,
-checks it, and moves the pointer last, so a reader sees the old or the new
-version and a run that dies leaves the old one.
-
-The observation table is rewritten by (year, month) folder. The merged
-folders are staged first and named in a journal; if a run dies while they
-replace the stored ones, the next reader or writer finishes the copy.
-
-Staged copies and versions that are no longer needed are deleted. A table
-must have been created (``ensure_table``): a mistyped path is an error, not
-an empty table.
+New content is always staged first: merged with what stays, checked against
+the contract, and only then written over the table from the staged copy. A
+check that fails, or a run that dies before, leaves the table as it was. The
+observation table and the month cube are replaced by (year, month) folder,
+the other tables whole.
+
+A write from the staged copy that fails raises ``ReplaceFailed`` and leaves
+that copy, which ``restore_table`` writes again. A run that died in between is
+repaired like this or by running its load again: upserts are idempotent, and
+a landed month or snapshot holds all rows of its folders. Readers hold no
+state and repair nothing; they should not run while a table is replaced.
+
+Staged copies are deleted when they are no longer needed. A table must have
+been created (``ensure_table``): a mistyped path is an error, not an empty table.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.conform import ContractError, conform_schema
 from ..operators.joins import bounded_broadcast
-from ..schemas import PARTITIONING, PRESENTATION, REJECTED_STATIONS, TRANSFORMED_RESULTS, TRANSFORMED_STATIONS
+from ..schemas import (MONTH_CUBE, PARTITIONING, PRESENTATION, REJECTED_STATIONS, TRANSFORMED_RESULTS,
+                       TRANSFORMED_STATIONS)
 from ..session import work_path
 from . import files
 
@@ -33,9 +33,7 @@ CURATED = {
     "transformed_results": TRANSFORMED_RESULTS,
     "transformed_stations": TRANSFORMED_STATIONS,
 }
-REJECTS = {"rejected_stations": REJECTED_STATIONS}
-POINTER = "_current"
-JOURNAL = "_pending"
+UNPUBLISHED = {"rejected_stations": REJECTED_STATIONS, "month_cube": MONTH_CUBE}
 MONTH_KEYS = ("year", "month")
 
 
@@ -43,14 +41,22 @@ class MissingTable(FileNotFoundError):
     """The table was never created at this path."""
 
 
+class ReplaceFailed(RuntimeError):
+    """A table was not written completely; its new content is staged."""
+
+    def __init__(self, path: str, staged: str) -> None:
+        super().__init__(f"{path} was not replaced completely: restore_table it from {staged}")
+        self.path, self.staged = path, staged
+
+
 def table_names() -> list[str]:
     """The thirteen published tables."""
     return list(CURATED) + [f"presentation_{v}" for v in PRESENTATION]
 
 
 def table_schema(name: str) -> T.StructType:
-    if name in CURATED or name in REJECTS:
-        return (CURATED | REJECTS)[name]
+    if name in CURATED or name in UNPUBLISHED:
+        return (CURATED | UNPUBLISHED)[name]
     return PRESENTATION[name.removeprefix("presentation_")]
 
 
@@ -67,57 +73,50 @@ def _with_partition_columns(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
-# --- versions ---------------------------------------------------------------
+# --- staging ----------------------------------------------------------------------
 
-def _by_month(name: str) -> bool:
-    return name == "transformed_results"
+def stage(df: DataFrame, spark: SparkSession, label: str) -> tuple[DataFrame, str]:
+    """Write ``df`` to a fresh folder under the shared work area; returns the
+    re-read copy (with the schema of ``df``) and its path, to be deleted."""
+    path = work_path(spark, "stage", label, unique=True)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
 
 
-def _version(spark: SparkSession, path: str) -> str:
-    current = files.read_text(spark, f"{path}/{POINTER}")
-    if current is None:
-        raise MissingTable(f"no table at {path}: create it with ensure_table")
-    return f"{path}/{current.strip()}"
+def _spread(df: DataFrame, partition_by: list[str]) -> DataFrame:
+    """Range-partition on the folder columns and a tie-breaker: each task
+    writes a run of folders, and a folder with a large share of the rows is
+    split over several tasks."""
+    if not partition_by:
+        return df
+    tie = [c for c in df.columns if c not in partition_by][:1]
+    return df.repartitionByRange(*partition_by, *tie)
 
 
-def _write(df: DataFrame, path: str, name: str) -> None:
-    writer = df.write.mode("errorifexists")
+def _write(df: DataFrame, path: str, name: str, by_folder: bool = False) -> None:
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if by_folder else "static")
     if PARTITIONING.get(name):
         writer = writer.partitionBy(*PARTITIONING[name])
     writer.parquet(path)
 
 
-def _publish(df: DataFrame, path: str, name: str) -> int:
-    """Write ``df`` (conformed) as the next version and point to it; returns
-    its rows. The version before stays for readers that are under way."""
+def _replace(df: DataFrame, path: str, name: str, by_folder: bool = False) -> None:
+    """Stage ``df`` in the order of the table's folders, then write the table
+    (or, ``by_folder``, the folders that ``df`` has) from that copy."""
     spark = df.sparkSession
-    old = files.read_text(spark, f"{path}/{POINTER}")
-    number = int(old.strip().split("-")[1]) + 1 if old else 1
-    new = f"version-{number:08d}-{uuid.uuid4().hex[:8]}"
+    copy, staged = stage(_spread(df, PARTITIONING.get(name, [])), spark, f"{name}-next")
     try:
-        # counted after the shuffle: what lies before one may run twice, for its sample
-        checked, counts = _observed(_spread(df, PARTITIONING.get(name, [])), table_schema(name), name)
-        _write(checked, f"{path}/{new}", name)
-        rows = _verified(counts, name)
-    except Exception:
-        files.delete(spark, f"{path}/{new}")
-        raise
-    files.write_text(spark, f"{path}/{POINTER}", new)
-    keep = {new, old.strip() if old else new}
-    for folder in files.folders(spark, path):
-        if folder.startswith("version-") and folder not in keep:
-            files.delete(spark, f"{path}/{folder}")
-    return rows
+        _write(copy, path, name, by_folder)
+    except Exception as error:
+        raise ReplaceFailed(path, staged) from error
+    files.delete(spark, staged)
 
 
-def _spread(df: DataFrame, partition_by: list[str]) -> DataFrame:
-    """Range-partition on the folder columns and a tie-breaker: each task
-    writes a run of folders, and a folder with a large share of the rows is
-    split over several tasks."""
-    if not partition_by:
-        return df
-    tie = [c for c in df.columns if c not in partition_by][:1]
-    return df.repartitionByRange(*partition_by, *tie)
+def restore_table(spark: SparkSession, path: str, name: str, staged: str) -> None:
+    """Write what a failed replacement left staged."""
+    schema = _stored_schema(name)
+    _write(spark.read.schema(schema).parquet(staged), path, name, by_folder=tuple(PARTITIONING.get(name, ())) == MONTH_KEYS)
+    files.delete(spark, staged)
 
 
 # --- contract checks ----------------------------------------------------------
@@ -128,7 +127,7 @@ def _observed(df: DataFrame, schema: T.StructType, label: str) -> tuple[DataFram
     counts = Observation(f"contract-{label}")
     required = [F.count_if(F.col(f.name).isNull()).alias(f.name) for f in schema.fields if not f.nullable]
     empty = [F.count_if(F.col(p) == "").alias(f"empty {p}") for p in PARTITIONING.get(label, [])
-             if p in schema.fieldNames()]
+             if p in schema.fieldNames() and schema[p].dataType == T.StringType()]
     return df.observe(counts, F.count(F.lit(1)).alias("_rows"), *required, *empty), counts
 
 
@@ -147,22 +146,15 @@ def _unique(df: DataFrame, key: str, label: str) -> None:
         raise ContractError(f"repeated {key} in {label}: {[r[0] for r in again]}")
 
 
-def stage(df: DataFrame, spark: SparkSession, label: str) -> tuple[DataFrame, str]:
-    """Write ``df`` to a fresh folder under the shared work area; returns the
-    re-read copy (with the schema of ``df``) and its path, to be deleted."""
-    path = work_path(spark, "stage", label, unique=True)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path), path
-
-
-def _staged_batch(df: DataFrame, name: str, key: str = "id") -> tuple[DataFrame, str, int]:
+def _staged_batch(df: DataFrame, name: str, key: str | None = "id") -> tuple[DataFrame, str, int]:
     """A batch, staged once and checked against its contract and for repeated keys."""
     spark = df.sparkSession
     checked, counts = _observed(df, table_schema(name), name)
     batch, path = stage(checked, spark, f"{name}-batch")
     try:
         rows = _verified(counts, name)
-        _unique(batch, key, name)
+        if key:
+            _unique(batch, key, name)
     except ContractError:
         files.delete(spark, path)
         raise
@@ -173,14 +165,9 @@ def _staged_batch(df: DataFrame, name: str, key: str = "id") -> tuple[DataFrame,
 
 def ensure_table(spark: SparkSession, path: str, name: str) -> bool:
     """Create an empty table if there is none. True when it was created."""
-    if files.exists(spark, f"{path}/{POINTER}"):
+    if files.exists(spark, path):
         return False
-    empty = spark.createDataFrame([], _stored_schema(name))
-    if _by_month(name):  # its folders are replaced one by one, in one fixed place
-        _write(empty, f"{path}/months", name)
-        files.write_text(spark, f"{path}/{POINTER}", "months")
-    else:
-        _publish(empty, path, name)
+    _write(spark.createDataFrame([], _stored_schema(name)), path, name)
     return True
 
 
@@ -190,38 +177,28 @@ def ensure_tables(spark: SparkSession, root: str, names=None) -> dict[str, bool]
 
 
 def read_table(spark: SparkSession, path: str, name: str) -> DataFrame:
-    """The current version of a table with its contract schema, then the
-    folder columns derived from it. Raises ``MissingTable`` if it was never
-    created."""
-    if _by_month(name):
-        _finish(spark, path)
-    return spark.read.schema(_stored_schema(name)).parquet(_version(spark, path))
+    """A table with its contract schema, then the folder columns derived from
+    it. Raises ``MissingTable`` if it was never created."""
+    if not files.exists(spark, path):
+        raise MissingTable(f"no table at {path}: create it with ensure_table")
+    return spark.read.schema(_stored_schema(name)).parquet(path)
 
 
 def overwrite_view(df: DataFrame, path: str, view: str) -> int:
     """Replace a presentation table with ``df`` conformed to its contract;
-    returns the rows written. A failing check leaves the published version."""
+    returns the rows written. A failing check leaves the published table."""
     name = f"presentation_{view.removeprefix('presentation_')}"
-    ensure_table(df.sparkSession, path, name)
-    return _publish(conform_schema(df, table_schema(name)), path, name)
-
-
-# --- observations: replaced by month ----------------------------------------------
-
-def _finish(spark: SparkSession, path: str) -> None:
-    """Carry out a replacement that a run began and did not end."""
-    staged = files.read_text(spark, f"{path}/{JOURNAL}")
-    if staged:
-        _replace_months(spark, staged.strip(), path)
-
-
-def _replace_months(spark: SparkSession, staged: str, path: str) -> None:
-    merged = spark.read.schema(_stored_schema("transformed_results")).parquet(staged)
-    (_spread(merged, list(MONTH_KEYS)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*MONTH_KEYS).parquet(f"{path}/months"))
-    files.delete(spark, f"{path}/{JOURNAL}")
+    spark = df.sparkSession
+    made, staged, rows = _staged_batch(conform_schema(df, table_schema(name)), name, key=None)
+    try:
+        _write(made, path, name)
+    except Exception as error:
+        raise ReplaceFailed(path, staged) from error
     files.delete(spark, staged)
+    return rows
+
 
+# --- observations and the cube: replaced by month -------------------------------------
 
 def months_between(first: tuple[int, int], last: tuple[int, int]):
     """Folders from one (year, month) to another, as literals that prune the scan."""
@@ -258,13 +235,26 @@ def upsert_observations(new: DataFrame, path: str) -> dict:
     if rows:
         cols = _stored_schema(name).fieldNames()
         kept = touched_months(existing, batch).join(batch.select(*MONTH_KEYS, "id"), [*MONTH_KEYS, "id"], "left_anti")
-        _, merged_path = stage(kept.select(*cols).unionByName(batch.select(*cols)), spark, "results-merged")
-        files.write_text(spark, f"{path}/{JOURNAL}", merged_path)
-        _replace_months(spark, merged_path, path)
+        _replace(kept.select(*cols).unionByName(batch.select(*cols)), path, name, by_folder=True)
     files.delete(spark, batch_path)
     return {"written": bool(rows), "rows": rows}
 
 
+def replace_months(cube: DataFrame, path: str, name: str = "month_cube", whole: bool = False) -> int:
+    """Write the months of ``cube`` over those stored (or, ``whole``, over the
+    table); returns the rows written."""
+    spark = cube.sparkSession
+    ensure_table(spark, path, name)
+    made, staged, rows = _staged_batch(conform_schema(cube, table_schema(name)), name, key=None)
+    try:
+        if rows or whole:
+            _write(made.repartition(*MONTH_KEYS), path, name, by_folder=not whole)
+    except Exception as error:
+        raise ReplaceFailed(path, staged) from error
+    files.delete(spark, staged)
+    return rows
+
+
 # --- stations and rejects: replaced whole -------------------------------------------
 
 def _upsert(new: DataFrame, path: str, name: str, without: DataFrame | None = None) -> dict:
@@ -272,14 +262,12 @@ def _upsert(new: DataFrame, path: str, name: str, without: DataFrame | None = No
     spark = new.sparkSession
     existing = read_table(spark, path, name)
     batch, batch_path, rows = _staged_batch(conform_schema(new, table_schema(name)), name)
-    try:
-        gone = batch.select("id") if without is None else batch.select("id").unionByName(without.select("id"))
-        if rows or without is not None:
-            kept = existing.join(gone.distinct(), "id", "left_anti")
-            cols = table_schema(name).fieldNames()
-            _publish(kept.select(*cols).unionByName(batch.select(*cols)), path, name)
-    finally:
-        files.delete(spark, batch_path)
+    gone = batch.select("id") if without is None else batch.select("id").unionByName(without.select("id"))
+    if rows or without is not None:
+        kept = existing.join(gone.distinct(), "id", "left_anti")
+        cols = table_schema(name).fieldNames()
+        _replace(kept.select(*cols).unionByName(batch.select(*cols)), path, name)
+    files.delete(spark, batch_path)
     return {"written": bool(rows), "rows": rows}
 
 
@@ -287,8 +275,8 @@ def upsert_stations(new: DataFrame, path: str) -> dict:
     """Full-row upsert of stations by ``id`` over the whole table.
 
     A station may change state, which is its folder, so the table is merged
-    whole into its next version. An empty batch writes nothing; a repeated
-    id, or an empty state, is refused.
+    and written whole. An empty batch writes nothing; a repeated id, or an
+    empty state, is refused.
     """
     return _upsert(new, path, "transformed_stations")
 

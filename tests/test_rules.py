@@ -337,43 +337,54 @@ def test_digit_states_empty_states_and_repeated_keys(spark, tmp_root):  # H4, H5
     assert tables.read_table(spark, results, "transformed_results").count() == 0
 
 
-def test_a_rewrite_that_dies_leaves_the_old_version(spark, tmp_root, monkeypatch):  # H5, H6
+def test_a_load_that_dies_before_the_write_leaves_the_table(spark, tmp_root, monkeypatch):  # H4 - H6
     path = tmp_root + "/stations"
     tables.ensure_table(spark, path, "transformed_stations")
     tables.upsert_stations(_stations(spark, [("S1", "SP")]), path)
 
-    def die(*_):
-        raise OSError("no pointer today")
+    def die(*_, **__):
+        raise OSError("lost")
 
-    monkeypatch.setattr(tables.files, "write_text", die)
+    monkeypatch.setattr(tables, "_replace", die)
     with pytest.raises(OSError):
         tables.upsert_stations(_stations(spark, [("S2", "RJ")]), path)
     monkeypatch.undo()
     assert [r.id for r in tables.read_table(spark, path, "transformed_stations").collect()] == ["S1"]
-    tables.upsert_stations(_stations(spark, [("S2", "RJ")]), path)
+    tables.upsert_stations(_stations(spark, [("S2", "RJ")]), path)  # run again
     assert tables.read_table(spark, path, "transformed_stations").count() == 2
-    kept = [f for f in tables.files.folders(spark, path) if f.startswith("version-")]
-    assert len(kept) == 2  # the current one, and the one before for readers under way
 
 
-def test_a_month_replacement_that_dies_is_finished(spark, tmp_root, monkeypatch):  # H4
-    path = tmp_root + "/results"
-    tables.ensure_table(spark, path, "transformed_results")
+@pytest.mark.parametrize("name", ["transformed_results", "transformed_stations"])
+def test_a_failed_write_is_restored_or_run_again(spark, tmp_root, monkeypatch, name):  # H4, H5
+    path = f"{tmp_root}/{name}"
     row = lambda i, d, v: (f"{i}_{d:%Y%m%d}", i, d, v, None, None, None)
-    tables.upsert_observations(spark.createDataFrame(
-        [row("A", D(2000, 1, 1), 1.0), row("B", D(2000, 1, 2), 2.0)], tables.TRANSFORMED_RESULTS), path)
-
-    def die(spark, staged, path):  # the stored month is gone, the new one not yet there
-        tables.files.delete(spark, f"{path}/months/year=2000/month=1")
+    if name == "transformed_results":
+        upsert, make = tables.upsert_observations, lambda rows: spark.createDataFrame(rows, tables.TRANSFORMED_RESULTS)
+        first, later = [row("A", D(2000, 1, 1), 1.0), row("B", D(2000, 1, 2), 2.0), row("C", D(2000, 3, 1), 3.0)], [
+            row("A", D(2000, 1, 1), 9.0)]
+        want = {"A_20000101": 9.0, "B_20000102": 2.0, "C_20000301": 3.0}
+        broken, value = f"{path}/year=2000/month=1", "tmax"
+    else:
+        upsert, make = tables.upsert_stations, lambda rows: _stations(spark, rows)
+        first, later, want = [("S1", "SP"), ("S2", "RJ")], [("S1", "MG")], {"S1": "MG", "S2": "RJ"}
+        broken, value = f"{path}/state=RJ", "state"
+    tables.ensure_table(spark, path, name)
+    upsert(make(first), path)
+    write = tables._write
+
+    def die(df, where, *_, **__):  # part of the table is gone, the new content not yet there
+        tables.files.delete(spark, broken)
         raise OSError("lost")
 
-    monkeypatch.setattr(tables, "_replace_months", die)
-    with pytest.raises(OSError):
-        tables.upsert_observations(spark.createDataFrame([row("A", D(2000, 1, 1), 9.0)],
-                                                         tables.TRANSFORMED_RESULTS), path)
-    monkeypatch.undo()
-    got = {r.id: r.tmax for r in tables.read_table(spark, path, "transformed_results").collect()}
-    assert got == {"A_20000101": 9.0, "B_20000102": 2.0}
+    monkeypatch.setattr(tables, "_write", die)
+    with pytest.raises(tables.ReplaceFailed) as failed:
+        upsert(make(later), path)
+    monkeypatch.setattr(tables, "_write", write)
+    tables.restore_table(spark, path, name, failed.value.staged)
+    read = lambda: {r["id"]: r[value] for r in tables.read_table(spark, path, name).collect()}
+    assert read() == want and not tables.files.exists(spark, failed.value.staged)
+    upsert(make(later), path)  # and running the load again changes nothing
+    assert read() == want
 
 
 def test_staged_copies_are_deleted(spark, tmp_root):
@@ -384,6 +395,8 @@ def test_staged_copies_are_deleted(spark, tmp_root):
     tables.upsert_observations(spark.createDataFrame(
         [("A_20000101", "A", D(2000, 1, 1), 1.0, None, None, None)], tables.TRANSFORMED_RESULTS), path)
     assert tables.files.folders(spark, stage) == before
+    stage = work_path(spark, "stage", "transformed_results-next")
+    assert not tables.files.exists(spark, stage) or tables.files.folders(spark, stage) == []
 
 
 def test_snapshot_sees_rows_that_would_cancel(spark, tmp_root):  # H2
