@@ -37,7 +37,7 @@ TRIGGER, BLOCK = 16, 1 << 20
 #: Size of a level's bitmap as a power of two: 2^26 bits are 8 MB.
 BITS, BITMAP = 26, 1 << 15
 #: A task hands on its counts when it holds so many.
-HELD = 1 << 18
+HELD = 1 << 19
 
 _LETTERS = bytes(range(65, 91))
 _BREAKS, _LINE = b".,;:!?\n\x0b\x0c\r", 10
@@ -154,8 +154,9 @@ def _table(columns: list, names: list[str]) -> pa.RecordBatch:
 
 def dictionary(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", overlap: int = MAX_WORDS - 1,
                trigger: int = TRIGGER, block: int = BLOCK) -> DataFrame:
-    """(lang, owned, chunk, n): the distinct chunks and how often each is parsed;
-    ``owned`` is -1 for all of a chunk's words. Null languages are ``und``, null texts empty."""
+    """(lang, owned, chunk, n): the distinct chunks, each with a line feed behind
+    it, and how often each is parsed; ``owned`` is -1 for all of a chunk's
+    words. Null languages are ``und``, null texts empty."""
     rows = docs.select(F.coalesce(F.col(f"`{lang_col}`"), F.lit("und")).alias("lang"),
                        F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary").alias("text"))
 
@@ -167,7 +168,7 @@ def dictionary(docs: DataFrame, lang_col: str = "lang", text_col: str = "text",
                 n = len(full) + len(partly)
                 yield _table([pa.array([lang] * n, pa.string()),
                               pa.array([-1] * len(full) + [k[1] for k in partly], pa.int32()),
-                              pa.array([*full, *(k[0] for k in partly)], pa.binary()),
+                              pa.array([c + b"\n" for c in (*full, *(k[0] for k in partly))], pa.binary()),
                               pa.array([*full.values(), *partly.values()], pa.int64())],
                              ["lang", "owned", "chunk", "n"])
             held.clear()
@@ -193,20 +194,45 @@ def _seed(lang: str) -> int:
     return xxhash.xxh64_intdigest(lang.encode())
 
 
-def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Words, list[str], np.ndarray, np.ndarray, np.ndarray]]:
-    """Of each batch of the dictionary: its words, the language of each chunk,
-    the seed of each word's language, whether its chunk owns it, its chunk's frequency."""
-    for b in batches:
-        if not b.num_rows:
-            continue
-        words = Words(b"\n".join(b["chunk"].to_pylist()))
-        langs = b["lang"].to_pylist()
-        seeds = {lang: _seed(lang) for lang in set(langs)}
-        chunk_seed = np.array([seeds[x] for x in langs], np.uint64)
-        owned = b["owned"].to_numpy(zero_copy_only=False)
+class Batch:
+    """A batch of the dictionary: its words, and of each word the code and the seed of its
+    language, whether its chunk owns it, and its chunk's frequency."""
+
+    def __init__(self, b: pa.RecordBatch) -> None:
+        chunk, lang = b["chunk"], b["lang"].dictionary_encode()
+        ends = np.frombuffer(chunk.buffers()[1], np.int64 if pa.types.is_large_binary(chunk.type) else np.int32)
+        ends = ends[chunk.offset:chunk.offset + len(chunk) + 1]
+        self.words = words = Words(chunk.buffers()[2][int(ends[0]):int(ends[-1])].to_pybytes())
+        self.langs = lang.dictionary.to_pylist()
+        self.lang = lang.indices.to_numpy(zero_copy_only=False)[words.line]
+        self.seed = np.array([_seed(x) for x in self.langs], np.uint64)[self.lang]
+        self.n = b["n"].to_numpy(zero_copy_only=False)[words.line]
+        limit = b["owned"].to_numpy(zero_copy_only=False)[words.line]
         place = np.arange(len(words.line)) - np.searchsorted(words.line, words.line)
-        limit = owned[words.line]
-        yield words, langs, chunk_seed[words.line], (limit < 0) | (place < limit), b["n"].to_numpy()[words.line]
+        self.mine = (limit < 0) | (place < limit)
+
+    def summed(self, at: np.ndarray, k: int, key: np.ndarray) -> Iterator[tuple[int, bytes, int]]:
+        """(language, phrase, frequency) of the runs of ``k`` words that begin at
+        ``at``, those with the same ``key`` and the same bytes as one."""
+        at = at[np.argsort(key[at], kind="stable")]
+        start, end, lang = self.words.start[at], self.words.end[at + k - 1], self.lang[at]
+        again = np.r_[False, key[at[1:]] == key[at[:-1]]][:len(at)]
+        if not self._alike(np.flatnonzero(again), start, end, lang):
+            again[:] = False
+        first = np.flatnonzero(~again)
+        total = np.add.reduceat(self.n[at], first) if len(first) else first
+        block = self.words.block
+        for x, s, e, n in zip(lang[first].tolist(), start[first].tolist(), end[first].tolist(), total.tolist()):
+            yield x, block[s:e], n
+
+    def _alike(self, again: np.ndarray, start: np.ndarray, end: np.ndarray, lang: np.ndarray) -> bool:
+        """Whether all runs of ``again`` are, byte by byte, like the ones before them."""
+        size = end[again] - start[again]
+        if (size != end[again - 1] - start[again - 1]).any() or (lang[again] != lang[again - 1]).any():
+            return False
+        step = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+        data = np.frombuffer(self.words.block, np.uint8)
+        return bool((data[np.repeat(start[again], size) + step] == data[np.repeat(start[again - 1], size) + step]).all())
 
 
 def _marked(bits: np.ndarray, hashes: np.ndarray, power: int) -> np.ndarray:
@@ -239,23 +265,19 @@ def _counted(parsed: DataFrame, sizes: tuple[int, ...], known: int, bits, power:
                               pa.array(list(counts.values()), pa.int64())], ["lang", "phrase", "k", "h", "n"])
             held.clear()
 
-        for words, langs, seed, mine, n in _batches(batches):
-            hashes = words.runs(max(known, 1), seed)
+        for b in (Batch(b) for b in batches if b.num_rows):
+            hashes = b.words.runs(max(known, *sizes), b.seed)
             for k in sizes:
-                take = mine & words.whole(k)
+                take = b.mine & b.words.whole(k)
                 if known:
                     sound = _marked(shared.value, hashes[known - 1], power)
                     for _ in range(k - known + 1):
                         take &= sound
                         sound = _ahead(sound)
-                at = np.flatnonzero(take)
-                start, end = words.start[at].tolist(), words.end[at + k - 1].tolist()
-                for s, e, line, weight in zip(start, end, words.line[at].tolist(), n[at].tolist()):
-                    counts = held.get((langs[line], k))
-                    if counts is None:
-                        counts = held[langs[line], k] = {}
-                    phrase = words.block[s:e]
-                    counts[phrase] = counts.get(phrase, 0) + weight
+                mine = [held.setdefault((lang, k), {}) for lang in b.langs]
+                for lang, phrase, n in b.summed(np.flatnonzero(take), k, hashes[k - 1]):
+                    counts = mine[lang]
+                    counts[phrase] = counts.get(phrase, 0) + n
                 if sum(map(len, held.values())) > HELD:
                     yield from given()
         yield from given()
@@ -282,14 +304,14 @@ def _bigram_hashes(parsed: DataFrame, bits, power: int) -> DataFrame:
             keys.clear(), weights.clear()
             size = 0
 
-        for words, _, seed, mine, n in _batches(batches):
-            ones, twos = words.runs(2, seed)
+        for b in (Batch(b) for b in batches if b.num_rows):
+            ones, twos = b.words.runs(2, b.seed)
             sound = _marked(shared.value, ones, power)
-            take = mine & words.whole(2) & sound & _ahead(sound)
+            take = b.mine & b.words.whole(2) & sound & _ahead(sound)
             keys.append(twos[take])
-            weights.append(n[take])
+            weights.append(b.n[take])
             size += len(keys[-1])
-            if size > 8 * HELD:
+            if size > 4 * HELD:
                 yield from given()
         yield from given()
 

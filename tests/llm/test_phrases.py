@@ -4,6 +4,8 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -107,6 +109,18 @@ def test_equal_passages_give_equal_chunks():
     assert sum((alone & inside).values()) >= 0.95 * sum(alone.values()) and len(alone) > 60
 
 
+def test_runs_with_the_same_hash_stay_apart():
+    chunks = ["one two\n", "one six\n", "one two\n", "ten\n"]
+    b = phrases.Batch(phrases._table([pa.array(["en", "en", "en", "de"]), pa.array([-1] * 4, pa.int32()),
+                                     pa.array([c.encode() for c in chunks]), pa.array([5, 7, 11, 13])],
+                                    ["lang", "owned", "chunk", "n"]))
+    for key in (b.words.hash, np.zeros(7, np.uint64)):  # the second: all collide
+        got = Counter()
+        for lang, phrase, n in b.summed(np.arange(7), 1, key):
+            got[b.langs[lang], phrase] += n
+        assert got == {("en", b"one"): 23, ("en", b"two"): 16, ("en", b"six"): 7, ("de", b"ten"): 13}
+
+
 def test_the_bitmap_has_a_fixed_size(spark):
     hashed = spark.range(5000).selectExpr("xxhash64(id) as h")
     bits = phrases._bitmap(hashed, 16)
