@@ -21,6 +21,7 @@ from ..operators.periods import expand_days, expected_loads, generate_periods, m
 from ..operators.stations import RECORD_COLUMNS, enrich_stations, station_union, typed_stations, unresolved_stations
 from ..schemas import REJECTED_STATIONS
 from ..sinks import files, landing, tables
+from ..staging import scratch, stage
 from ..sources.observations import distinct_pages, explode_pages, page_completeness, tolerant_scan
 from .cube import VIEWS, month_cube
 
@@ -81,9 +82,10 @@ def job_transform_observations(spark: SparkSession, layout: Layout, start, end,
     """
     tables.ensure_table(spark, layout.results, "transformed_results")
     wanted = None if days is None else days.select(*_day_keys())
-    rows, bad_days = tolerant_scan(spark, layout.raw_results, start, end, multiline=multiline, days=wanted)
-    stats = tables.upsert_observations(pivot_daily(rows), layout.results)
-    return stats | {"skipped_days": bad_days.count()}
+    with scratch(spark):
+        rows, bad_days = tolerant_scan(spark, layout.raw_results, start, end, multiline=multiline, days=wanted)
+        stats = tables.upsert_observations(pivot_daily(rows), layout.results)
+        return stats | {"skipped_days": bad_days.count()}
 
 
 def job_refresh_stations(spark: SparkSession, layout: Layout, observations: DataFrame,
@@ -101,31 +103,27 @@ def job_refresh_stations(spark: SparkSession, layout: Layout, observations: Data
     run_date = run_date or _dt.datetime.now(_dt.timezone.utc).date()
     tables.ensure_table(spark, layout.stations, "transformed_stations")
     tables.ensure_table(spark, layout.rejects, "rejected_stations")
-    existing = landing.scan_station_snapshot(spark, layout.raw_stations, layout.manifest)
-    ids, ids_path = tables.stage(new_station_ids(observations, existing), spark, "new-ids")
-    record = [F.col(c).cast("string").alias(c) for c in RECORD_COLUMNS]
-    new, new_path = tables.stage(enrich_stations(ids, catalog, cells, codes, resolution).select(*record),
-                                 spark, "new-stations")
-    good, rejects = typed_stations(new)
-    unknown = unresolved_stations(ids, catalog).select(
-        "id", *[F.lit(None).cast("string").alias(c) for c in RECORD_COLUMNS[1:]],
-        F.lit("not in the catalog").alias("reason"))
-    rejected = rejects.unionByName(unknown).select(*REJECTED_STATIONS.fieldNames())
-    report = {"new_stations": new.count(), "unresolved": unknown.count(), "rejected": rejects.count(),
-              "upserted": 0, "written_regions": 0}
-    if report["new_stations"] or report["unresolved"]:
-        report["upserted"] = tables.upsert_stations(good, layout.stations)["rows"]
-        tables.upsert_rejects(rejected, layout.rejects, good.select("id"))
-    if report["new_stations"]:
-        current, current_path = tables.stage(station_union(existing.select(*RECORD_COLUMNS), new),
-                                             spark, "station-snapshot")
-        regions = landing.write_station_snapshot(current, layout.raw_stations, run_date)
-        report["written_regions"] = regions.count()
-        landing.write_manifest(spark, layout.raw_stations, layout.manifest, run_date, current)
-        files.delete(spark, current_path)
-    files.delete(spark, ids_path)
-    files.delete(spark, new_path)
-    return report
+    with scratch(spark):
+        existing = landing.scan_station_snapshot(spark, layout.raw_stations, layout.manifest)
+        ids, _ = stage(new_station_ids(observations, existing), spark, "new-ids")
+        record = [F.col(c).cast("string").alias(c) for c in RECORD_COLUMNS]
+        new, _ = stage(enrich_stations(ids, catalog, cells, codes, resolution).select(*record), spark, "new-stations")
+        good, rejects = typed_stations(new)
+        unknown = unresolved_stations(ids, catalog).select(
+            "id", *[F.lit(None).cast("string").alias(c) for c in RECORD_COLUMNS[1:]],
+            F.lit("not in the catalog").alias("reason"))
+        rejected = rejects.unionByName(unknown).select(*REJECTED_STATIONS.fieldNames())
+        report = {"new_stations": new.count(), "unresolved": unknown.count(), "rejected": rejects.count(),
+                  "upserted": 0, "written_regions": 0}
+        if report["new_stations"] or report["unresolved"]:
+            report["upserted"] = tables.upsert_stations(good, layout.stations)["rows"]
+            tables.upsert_rejects(rejected, layout.rejects, good.select("id"))
+        if report["new_stations"]:
+            current, _ = stage(station_union(existing.select(*RECORD_COLUMNS), new), spark, "station-snapshot")
+            regions = landing.write_station_snapshot(current, layout.raw_stations, run_date)
+            report["written_regions"] = regions.count()
+            landing.write_manifest(spark, layout.raw_stations, layout.manifest, run_date, current)
+        return report
 
 
 def refresh_cube(spark: SparkSession, layout: Layout, months: DataFrame | None = None) -> int:
@@ -185,30 +183,29 @@ def job_pipeline(spark: SparkSession, layout: Layout, raw_observations: DataFram
     counted. New stations are looked for among the loaded days only. The
     report also counts (period, datatype) pairs with nothing landed.
     """
-    periods, periods_path = tables.stage(generate_periods(requests, as_of), spark, "periods")
-    bounds = periods.agg(F.min("start").alias("s"), F.max("end").alias("e"), F.count(F.lit(1)).alias("n")).first()
-    if bounds["s"] is None:
-        files.delete(spark, periods_path)
-        return {"periods": 0}
-    report: dict = {"periods": bounds["n"]}
-    days = expand_days(periods).select("day").distinct()
-    if pages is not None:
-        found = page_completeness(pages, page_keys)
-        report["incomplete_requests"] = found.where(~F.col("complete")).count()
-        raw_observations = explode_pages(distinct_pages(pages, page_keys))
-    if raw_observations is not None:
-        report["landed"] = landing.land_observations(raw_observations, layout.raw_results)
-    report["observations"] = job_transform_observations(
-        spark, layout, bounds["s"], bounds["e"], multiline=multiline, days=days)
-    results = tables.read_table(spark, layout.results, "transformed_results")
-    loaded = _months_of(results, bounds["s"], bounds["e"]).join(
-        bounded_broadcast(days.withColumnRenamed("day", "date"), 1_000_000), "date", "left_semi")
-    report["missing_loads"] = _missing(periods, loaded, datatypes).count()
-    report["stations"] = job_refresh_stations(spark, layout, loaded, catalog, cells, codes, run_date)
-    months = days.select(F.year("day").alias("year"), F.month("day").alias("month")).distinct()
-    report["views"] = job_presentation(spark, layout, months=months)
-    files.delete(spark, periods_path)
-    return report
+    with scratch(spark):
+        periods, _ = stage(generate_periods(requests, as_of), spark, "periods")
+        bounds = periods.agg(F.min("start").alias("s"), F.max("end").alias("e"), F.count(F.lit(1)).alias("n")).first()
+        if bounds["s"] is None:
+            return {"periods": 0}
+        report: dict = {"periods": bounds["n"]}
+        days = expand_days(periods).select("day").distinct()
+        if pages is not None:
+            found = page_completeness(pages, page_keys)
+            report["incomplete_requests"] = found.where(~F.col("complete")).count()
+            raw_observations = explode_pages(distinct_pages(pages, page_keys))
+        if raw_observations is not None:
+            report["landed"] = landing.land_observations(raw_observations, layout.raw_results)
+        report["observations"] = job_transform_observations(
+            spark, layout, bounds["s"], bounds["e"], multiline=multiline, days=days)
+        results = tables.read_table(spark, layout.results, "transformed_results")
+        loaded = _months_of(results, bounds["s"], bounds["e"]).join(
+            bounded_broadcast(days.withColumnRenamed("day", "date"), 1_000_000), "date", "left_semi")
+        report["missing_loads"] = _missing(periods, loaded, datatypes).count()
+        report["stations"] = job_refresh_stations(spark, layout, loaded, catalog, cells, codes, run_date)
+        months = days.select(F.year("day").alias("year"), F.month("day").alias("month")).distinct()
+        report["views"] = job_presentation(spark, layout, months=months)
+        return report
 
 
 def _missing(periods: DataFrame, loaded: DataFrame, datatypes) -> DataFrame:

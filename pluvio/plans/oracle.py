@@ -111,6 +111,20 @@ KNOWN_STATES = "[" + ", ".join(f"'{name}'" for name, _ in STATE_CODES) + "]"
 KNOWN_CODES = "[" + ", ".join(f"'{code}'" for _, code in STATE_CODES) + "]"
 RESULT_COLS = "id, station, date, tmax, tmin, tavg, prcp"
 
+CHANGE_VALUES = [c for c in RECORD_COLS if c != "id"]
+# The feed from the known stations to the catalog without ids that end in 4 or 8.
+STATION_CHANGES = f"""
+    select coalesce(n.id, o.id) as id,
+           case when o.id is null then 'insert' when n.id is null then 'delete' else 'update' end as change,
+           case when o.id is null or n.id is null then cast([] as varchar[]) else list_filter([{', '.join(
+               f"case when o.{c} is distinct from n.{c} then '{c}' end" for c in CHANGE_VALUES)}],
+               lambda x: x is not null) end as changed,
+           {', '.join(f'n.{c}' for c in CHANGE_VALUES)}
+    from (select {AS_RECORDS} from fx_stations) o full join (
+        select {AS_RECORDS} from ({ENRICHED_CATALOG}) where right(id, 1) not in ('4', '8')) n on n.id = o.id
+    where o.id is null or n.id is null or ({', '.join(f'o.{c}' for c in CHANGE_VALUES)}) is distinct from
+          ({', '.join(f'n.{c}' for c in CHANGE_VALUES)})"""
+
 
 def _w(body: str, *views: str) -> str:
     return with_views(body, *views)
@@ -159,6 +173,31 @@ OPERATOR_SQL = {
         from (select datatype, year, total, unnest(generate_series(1, total, 1000)) as o
               from (select datatype, cast(year(date) as integer) as year, count(*) as total
                     from ({OBS_TYPED}) group by 1, 2))""", *OBS),
+    "missing_pages": _w(f"""
+        , requests as (
+            select datatype, 'm' || strftime(d, '%Y%m') as request, month(d) as mm, count(*) as total
+            from ({LANDED}) group by all),
+        lost as (
+            select *, p - row_number() over (partition by datatype, request order by p) as run
+            from (select *, unnest(range(0, (total + 9) // 10)) as p from requests)
+            where p % 7 between 2 and 4 or mm % 6 = 0)
+        select datatype, request, min(p) * 10 + 1 as "offset", count(*) as pages,
+               least(count(*) * 10, total - min(p) * 10) as rows
+        from lost group by datatype, request, total, run""", *RAW),
+    "gap_requests": _w(f"""
+        , days as (select distinct station, datatype, date from ({OBS_TYPED})),
+        span as (select min(date) as low, max(date) as high from days),
+        wanted as (
+            select station, datatype, cast(unnest(generate_series(cast(low as timestamp), cast(high as timestamp),
+                                                                  interval 1 day)) as date) as date
+            from (select distinct station, datatype from days), span),
+        islands as (
+            select station, datatype, min(date) as s, max(date) as e
+            from (select *, date - cast(row_number() over (partition by station, datatype order by date) as integer) as run
+                  from wanted anti join days using (station, datatype, date))
+            group by station, datatype, run)
+        select station, datatype, s + cast(i as integer) as start, least(s + cast(i + 29 as integer), e) as "end"
+        from (select *, unnest(generate_series(0, datediff('day', s, e), 30)) as i from islands)""", *OBS),
     # C
     "observation_key": _w(f"""
         select station, date, datatype, value,
@@ -199,6 +238,8 @@ OPERATOR_SQL = {
     # D
     "join_observations_stations": _w("""
         select id, station, date, tmax, tmin, tavg, prcp, state from station_days""", "station_days"),
+    "join_bucketed": _w("""
+        select id, station, date, tmax, tmin, tavg, prcp, state from station_days""", "station_days"),
     "join_annual_to_history": _w("""
         , totals as (select state, year, sum(prcp) as total_precipitation from station_days group by all)
         select *, avg(total_precipitation) over (partition by state) as historical_avg_precipitation
@@ -336,6 +377,10 @@ OPERATOR_SQL = {
             from ({ENRICHED_CATALOG}))
         select date '2002-01-01' as last_updated, cast(n as integer) as total_stations,
                found as regions, found as file_regions from regions""", *CAT),
+    "compacted_scan": _w(f"select * exclude (d) from ({LANDED})", *RAW),
+    "station_changes": _w(STATION_CHANGES, "fx_stations", *CAT),
+    "apply_station_changes": _w(f"""
+        select {AS_RECORDS} from ({ENRICHED_CATALOG}) where right(id, 1) not in ('4', '8')""", *CAT),
     "write_station_snapshot": _w(f"""
         select {AS_RECORDS}, date '2002-01-01' as snapshot_date,
                coalesce(state, 'unknown') as region
@@ -356,6 +401,7 @@ OPERATOR_SQL = {
         union all select * from good""", "fx_stations", *CAT),
     "overwrite_view": VIEW_SQL["precipitation_anomaly_by_state_by_year"],
     # J
+    "incremental_load": _w(f"select {RESULT_COLS} from transformed_results", "transformed_results"),
     "job_transform_observations": _w(f"select {RESULT_COLS} from transformed_results",
                                      "transformed_results"),
     "job_refresh_stations": _w(f"""

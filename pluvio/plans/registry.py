@@ -10,6 +10,7 @@ DuckDB SQL where one exists (see ``oracle.py``).
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -17,13 +18,14 @@ from pyspark.sql import functions as F
 
 from .. import fixtures as fx
 from .. import functions as PF
-from ..operators import conform, joins, periods, regions, stations
+from ..operators import changes, conform, gaps, joins, periods, regions, stations
 from ..operators import observations as obs_ops
 from ..functions.constants import STATE_CODES
 from ..schemas import PARTITIONING, STATION_RECORD, TRANSFORMED_RESULTS
 from ..session import work_path
-from ..sinks import landing, tables
+from ..sinks import bucketed, compaction, landing, tables
 from ..sources import observations as src
+from ..streaming import incremental
 from . import cube, jobs, oracle
 from .values import as_values
 from .views import VIEWS
@@ -395,9 +397,10 @@ def q_scan_observations_by_type(spark, sf):
 PAGE_ROWS = 100
 
 
-def _land_pages(spark, sf, name: str, defects: bool = False) -> str:
-    """Land the observations as API pages of at most 100 rows, a request
+def _land_pages(spark, sf, name: str, defects: bool = False, page_rows: int = PAGE_ROWS, lost=None) -> str:
+    """Land the observations as API pages of at most ``page_rows`` rows, a request
     being a datatype and a month. Each envelope declares its request's total.
+    Pages for which ``lost(month, page)`` holds are not landed.
 
     With ``defects``, of every third month the last TMAX page is missing and
     all TMIN pages are there twice, and every fourth month has an
@@ -407,20 +410,22 @@ def _land_pages(spark, sf, name: str, defects: bool = False) -> str:
         "request", F.concat(F.lit("m"), F.date_format(F.to_date("date"), "yyyyMM")))
     nth = F.row_number().over(Window.partitionBy("datatype", "request").orderBy("station", "date", "value"))
     total = F.count(F.lit(1)).over(Window.partitionBy("datatype", "request"))
-    paged = obs.withColumns({"offset": F.floor((nth - 1) / PAGE_ROWS) * PAGE_ROWS + 1, "total": total})
+    paged = obs.withColumns({"offset": F.floor((nth - 1) / page_rows) * page_rows + 1, "total": total})
     row = F.struct("station", "date", "datatype", "attributes", "value")
     pages = (paged.groupBy("datatype", "request", "offset", "total").agg(F.collect_list(row).alias("results"))
              .select("datatype", "request", F.struct(F.struct(
-                 "offset", F.col("total").alias("count"), F.lit(PAGE_ROWS).cast("long").alias("limit"))
+                 "offset", F.col("total").alias("count"), F.lit(page_rows).cast("long").alias("limit"))
                  .alias("resultset")).alias("metadata"), "results"))
     root = _scratch(spark, name) + "/raw/pages"
     keys = ["datatype", "request"]
+    month = F.substring("request", 6, 2).cast("int")
+    if lost is not None:
+        pages = pages.where(~lost(month, F.floor((F.col("metadata.resultset.offset") - 1) / page_rows)))
     if defects:
-        month = F.substring("request", 6, 2).cast("int")
         span = F.col("metadata.resultset")
-        lost = (F.col("datatype") == "TMAX") & (month % 3 == 0) & (span["offset"] + PAGE_ROWS > span["count"])
+        last = (F.col("datatype") == "TMAX") & (month % 3 == 0) & (span["offset"] + page_rows > span["count"])
         twice = F.when((F.col("datatype") == "TMIN") & (month % 3 == 0), 2).otherwise(1)
-        pages = (pages.where(~lost).withColumn("copy", F.explode(F.sequence(F.lit(1), twice))).drop("copy"))
+        pages = (pages.where(~last).withColumn("copy", F.explode(F.sequence(F.lit(1), twice))).drop("copy"))
         broken = (obs.where((F.col("datatype") == "PRCP") & (month % 4 == 0)).select(*keys).distinct()
                   .withColumn("value", F.lit('{"metadata": {"resultset"')))
         broken.write.partitionBy(*keys).text(root)
@@ -438,6 +443,79 @@ def q_page_completeness(spark, sf):
     return src.page_completeness(pages, ["datatype", "request"])
 
 
+GAP_PAGE_ROWS, REQUEST_DAYS = 10, 30
+
+
+def q_missing_pages(spark, sf):
+    """Runs of missing pages: of every seven pages the third to the fifth are
+    lost, and all of the requests of every sixth month."""
+    root = _land_pages(spark, sf, "page-gaps", page_rows=GAP_PAGE_ROWS,
+                       lost=lambda month, page: (page % 7).between(2, 4) | (month % 6 == 0))
+    requests = _typed(spark, sf).groupBy("datatype", F.concat(F.lit("m"), F.date_format("date", "yyyyMM")).alias(
+        "request")).agg(F.count(F.lit(1)).alias("total"))
+    return gaps.missing_pages(requests, src.read_pages(spark, root), ["datatype", "request"], limit=GAP_PAGE_ROWS)
+
+
+def q_gap_requests(spark, sf):
+    """The fewest requests of at most thirty days for all days of the observed
+    span on which a station has no value of a datatype."""
+    typed = _typed(spark, sf)
+    first, last = _observed_span(spark, sf).first()
+    spans = typed.select("station", "datatype").distinct().select(
+        "*", F.lit(first).alias("start"), F.lit(last).alias("end"))
+    missing = gaps.missing_days(spans, typed.withColumnRenamed("date", "day"), ["station", "datatype"])
+    return gaps.fewest_requests(missing, REQUEST_DAYS)
+
+
+def q_station_changes(spark, sf):
+    """The feed from the known stations to the enriched catalog, from which
+    ids that end in 4 or 8 are gone."""
+    new = _as_records(_enriched_catalog(spark, sf)).where(~F.substring("id", -1, 1).isin("4", "8"))
+    return changes.snapshot_changes(_as_records(fx.fx_stations(spark, sf)), new)
+
+
+def q_apply_station_changes(spark, sf):
+    """The known stations after that feed."""
+    old = _as_records(fx.fx_stations(spark, sf))
+    feed, _path = tables.stage(q_station_changes(spark, sf), spark, "station-changes")
+    return changes.apply_changes(old, feed)
+
+
+def q_compacted_scan(spark, sf):
+    """Raw rows of both zones: all months are compacted, then the first one is
+    landed again."""
+    raw, compact = _landed(spark, sf, "compact", shared=False), _scratch(spark, "compact") + "/compact"
+    first, last = _observed_span(spark, sf).first()
+    compaction.compact_months(spark, raw, compact, first, last)
+    observations = fx.fx_raw_observations(spark, sf)
+    landing.land_observations(observations.where(F.col("date").startswith(f"{first:%Y-%m}")), raw)
+    return compaction.scan_landed(spark, raw, compact)
+
+
+def q_incremental_load(spark, sf):
+    """The curated table after two runs of the incremental load: before the
+    second, the later half of the span and all TAVG values are landed."""
+    root = _scratch(spark, "incremental")
+    raw, results, seen = f"{root}/raw", f"{root}/transformed_results", f"{root}/seen"
+    observations = fx.fx_raw_observations(spark, sf)
+    first, last = _observed_span(spark, sf).first()
+    middle = first + (last - first) / 2
+    early = (F.col("date") < F.lit(middle.isoformat())) & (F.col("datatype") != "TAVG")
+    for part in (observations.where(early), observations.where(~early)):
+        landing.land_observations(part, raw)
+        incremental.run_incremental_load(spark, raw, results, seen)
+    return tables.read_table(spark, results, "transformed_results").select(*TRANSFORMED_RESULTS.fieldNames())
+
+
+def q_join_bucketed(spark, sf):
+    """The fact-to-dimension join of two tables bucketed by station."""
+    results, dim = curated_inputs(spark, sf)
+    root, tag = _scratch(spark, "bucketed"), uuid.uuid4().hex[:12]
+    return bucketed.join_bucketed(
+        spark, bucketed.write_bucketed(results, f"pluvio_results_{tag}", f"{root}/results", "station", buckets=8),
+        bucketed.write_bucketed(dim, f"pluvio_stations_{tag}", f"{root}/stations", "id", buckets=8))
+
+
 def _snapshot_layout(spark, sf, name: str) -> jobs.Layout:
     layout = jobs.Layout(_scratch(spark, name))
     current = _as_records(_enriched_catalog(spark, sf))
@@ -717,6 +795,8 @@ QUERIES.update({
     "expand_days": q_expand_days,
     "expected_loads": q_expected_loads,
     "expected_pages": q_expected_pages,
+    "missing_pages": q_missing_pages,
+    "gap_requests": q_gap_requests,
     # C
     "observation_key": q_observation_key,
     "typed_observations": q_typed_observations,
@@ -732,6 +812,7 @@ QUERIES.update({
     "period_filter": q_period_filter,
     # D
     "join_observations_stations": q_join_observations_stations,
+    "join_bucketed": q_join_bucketed,
     "join_annual_to_history": q_join_annual_to_history,
     "new_station_ids": q_new_station_ids,
     "lookup_state_code": q_lookup_state_code,
@@ -763,7 +844,10 @@ QUERIES.update({
     "append_observations": q_append_observations,
     # H
     "land_observations": q_land_observations,
+    "compacted_scan": q_compacted_scan,
     "write_station_snapshot": q_write_station_snapshot,
+    "station_changes": q_station_changes,
+    "apply_station_changes": q_apply_station_changes,
     "write_manifest": q_write_manifest,
     "ensure_tables": q_ensure_tables,
     "upsert_observations": q_upsert_observations,
@@ -775,6 +859,7 @@ QUERIES.update({
     "rejected_stations": q_rejected_stations,
     "job_presentation": q_job_presentation,
     "job_delta_refresh": q_job_delta_refresh,
+    "incremental_load": q_incremental_load,
     "job_pipeline": q_job_pipeline,
 })
 

@@ -26,7 +26,7 @@ from ..operators.conform import ContractError, conform_schema
 from ..operators.joins import bounded_broadcast
 from ..schemas import (MONTH_CUBE, PARTITIONING, PRESENTATION, REJECTED_STATIONS, TRANSFORMED_RESULTS,
                        TRANSFORMED_STATIONS)
-from ..session import work_path
+from ..staging import keep, stage
 from . import files
 
 CURATED = {
@@ -73,15 +73,7 @@ def _with_partition_columns(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
-# --- staging ----------------------------------------------------------------------
-
-def stage(df: DataFrame, spark: SparkSession, label: str) -> tuple[DataFrame, str]:
-    """Write ``df`` to a fresh folder under the shared work area; returns the
-    re-read copy (with the schema of ``df``) and its path, to be deleted."""
-    path = work_path(spark, "stage", label, unique=True)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path), path
-
+# --- replacing ------------------------------------------------------------------
 
 def _spread(df: DataFrame, partition_by: list[str]) -> DataFrame:
     """Range-partition on the folder columns and a tie-breaker: each task
@@ -108,6 +100,7 @@ def _replace(df: DataFrame, path: str, name: str, by_folder: bool = False) -> No
     try:
         _write(copy, path, name, by_folder)
     except Exception as error:
+        keep(staged)
         raise ReplaceFailed(path, staged) from error
     files.delete(spark, staged)
 
@@ -193,6 +186,7 @@ def overwrite_view(df: DataFrame, path: str, view: str) -> int:
     try:
         _write(made, path, name)
     except Exception as error:
+        keep(staged)
         raise ReplaceFailed(path, staged) from error
     files.delete(spark, staged)
     return rows
@@ -250,6 +244,7 @@ def replace_months(cube: DataFrame, path: str, name: str = "month_cube", whole:
         if rows or whole:
             _write(made.repartition(*MONTH_KEYS), path, name, by_folder=not whole)
     except Exception as error:
+        keep(staged)
         raise ReplaceFailed(path, staged) from error
     files.delete(spark, staged)
     return rows

@@ -17,7 +17,7 @@ from ..functions.constants import PAGE_LIMIT
 from ..operators.joins import bounded_broadcast
 from ..operators.periods import _lit_date
 from ..schemas import PAGE_ENVELOPE, RAW_OBSERVATION
-from ..session import work_path
+from ..staging import stage
 
 CORRUPT = "_corrupt_record"
 DAY_KEYS = ("year", "month", "day")
@@ -66,10 +66,12 @@ def tolerant_scan(spark: SparkSession, root: str, start=None, end=None, datatype
 
     ``days`` (year, month, day) limits the scan to these days inside the
     period. The raw files are read once: the flagged rows are staged as
-    parquet in the shared folder, and the bad days, at most one row per day
-    of the period, are found there by their flag.
+    parquet in the shared folder (a job does this inside ``scratch``), and the
+    bad days, at most one row per day of the period, are found there by their flag.
     """
-    df = _limited(_reader(spark, _with_corrupt(RAW_OBSERVATION), multiline).json(root), start, end, datatypes)
+    # the folder columns are named, as a root whose days are all compacted has no folder to find them in
+    schema = T.StructType([*RAW_OBSERVATION.fields, *(T.StructField(k, T.IntegerType()) for k in DAY_KEYS)])
+    df = _limited(_reader(spark, _with_corrupt(schema), multiline).json(root), start, end, datatypes)
     keys = [F.col(k).cast("int").alias(k) for k in DAY_KEYS]
     dated = F.col("date").try_cast("timestamp_ntz").isNotNull()
     usable = F.col(CORRUPT).isNull() & F.col("station").isNotNull() & dated
@@ -78,9 +80,7 @@ def tolerant_scan(spark: SparkSession, root: str, start=None, end=None, datatype
         wanted = days.select(*keys).distinct()
         flagged = flagged.join(bounded_broadcast(wanted, 1_000_000), list(DAY_KEYS), "left_semi").select(
             *flagged.columns)
-    path = work_path(spark, "stage", "raw-days", unique=True)
-    flagged.write.parquet(path)
-    staged = spark.read.schema(flagged.schema).parquet(path)
+    staged, _path = stage(flagged, spark, "raw-days")
     bad_days = staged.where(~F.col("usable")).select(*DAY_KEYS).distinct()
     good = staged.where("usable").join(bounded_broadcast(bad_days, 1_000_000), list(DAY_KEYS), "left_anti")
     return good.select(*OBSERVED, *DAY_KEYS), bad_days

@@ -24,6 +24,7 @@ from ..operators.observations import pivot_daily
 from ..schemas import RAW_OBSERVATION
 from ..sinks import tables
 from ..sources.observations import DAY_KEYS, tolerant_scan
+from ..staging import scratch, stage
 
 # Body fields plus the folder keys; Spark fills the folder keys from the path.
 _STREAM_SCHEMA = T.StructType(
@@ -37,13 +38,15 @@ def load_days(spark: SparkSession, raw_root: str, results_path: str, days: DataF
 
     One scan over the span of the days keeps these days only.
     """
-    days = days.select(*[F.col(k).cast("int").alias(k) for k in DAY_KEYS]).distinct()
-    bounds = days.select(F.make_date("year", "month", "day").alias("d")) \
-        .agg(F.min("d").alias("s"), F.max("d").alias("e")).first()
-    if bounds["s"] is None:
-        return {"written": False, "rows": 0}
-    rows, _bad = tolerant_scan(spark, raw_root, bounds["s"], bounds["e"], days=days)
-    return tables.upsert_observations(pivot_daily(rows), results_path)
+    keys = [F.col(k).cast("int").alias(k) for k in DAY_KEYS]
+    with scratch(spark):
+        days, _path = stage(days.select(*keys).distinct(), spark, "touched-days")  # the new files are read once
+        bounds = days.select(F.make_date("year", "month", "day").alias("d")) \
+            .agg(F.min("d").alias("s"), F.max("d").alias("e")).first()
+        if bounds["s"] is None:
+            return {"written": False, "rows": 0}
+        rows, _bad = tolerant_scan(spark, raw_root, bounds["s"], bounds["e"], days=days)
+        return tables.upsert_observations(pivot_daily(rows), results_path)
 
 
 def start_incremental_load(spark: SparkSession, raw_root: str, results_path: str,

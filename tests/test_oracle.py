@@ -17,7 +17,8 @@ from pluvio.plans.registry import ORACLE, QUERIES
 from pluvio.plans.views import VIEWS
 
 LANDING = {"scan_observations", "scan_observations_by_type", "tolerant_scan", "land_observations",
-           "job_transform_observations", "job_pipeline", "explode_pages", "page_completeness"}
+           "job_transform_observations", "job_pipeline", "explode_pages", "page_completeness",
+           "missing_pages", "compacted_scan", "incremental_load"}
 ORDERED = {"sort_by_keys", "sort_by_count_desc", "sort_by_season", *VIEWS}
 
 

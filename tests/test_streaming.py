@@ -27,3 +27,24 @@ def test_incremental_load_processes_new_days_once(spark, tmp_root):
            tables.read_table(spark, results, "transformed_results").collect()}
     assert got == {"A_20000101": (1.0, None, 2.0), "A_20000102": (3.0, None, 5.0),
                    "B_20000103": (None, -1.0, None)}
+
+
+def test_second_run_reads_only_new_files(spark, tmp_root):
+    from pluvio.streaming.incremental import start_incremental_load
+
+    raw, results, ckpt = tmp_root + "/raw", tmp_root + "/results", tmp_root + "/ckpt"
+
+    def run():
+        query = start_incremental_load(spark, raw, results, ckpt)
+        query.awaitTermination()
+        return sum(p["numInputRows"] for p in query.recentProgress)
+
+    first = [("GHCND:A", f"2000-01-{d:02d}T00:00:00", "TMAX", 1.0) for d in range(1, 8)]
+    landing.land_observations(spark.createDataFrame(first, OBS), raw)
+    assert run() == 7
+    landing.land_observations(spark.createDataFrame(
+        [("GHCND:A", "2000-01-07T00:00:00", "PRCP", 2.0), ("GHCND:B", "2000-02-01T00:00:00", "TMAX", 3.0)], OBS), raw)
+    assert run() == 2 and run() == 0
+    got = {r.id: (r.tmax, r.prcp) for r in tables.read_table(spark, results, "transformed_results").collect()}
+    assert got == {f"A_200001{d:02d}": (1.0, None) for d in range(1, 7)} | {
+        "A_20000107": (1.0, 2.0), "B_20000201": (3.0, None)}
