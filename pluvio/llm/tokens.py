@@ -1,21 +1,18 @@
 """Token ids of whole texts with a public byte-level BPE vocabulary.
 
 Two files hold the same vocabulary, one for each of two libraries.
-``tokenizers`` defines the ids. Texts of plain Latin characters are cut into
-the same pieces (words with the space before them, numbers, marks, white
-space) by a regular expression here; each piece has its own ids, which
-``tiktoken`` finds once for each of the commonest pieces. Every other text
-goes whole to ``tokenizers``, and so do those with a special token in them
-and those with very long white space, which ``tiktoken`` cannot take.
+``tokenizers`` defines the ids. ``tiktoken`` is several times as fast and
+gives the same ids where both agree on what a letter and a space is, so it
+encodes texts of plain Latin characters; ``tokenizers`` encodes every other
+text, those with a special token in them, and those with very long white
+space, which ``tiktoken`` cannot take.
 """
 
 from __future__ import annotations
 
 import base64
 import re
-import unicodedata
 from array import array
-from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
@@ -23,42 +20,12 @@ import public_tokenizers
 import tiktoken
 from tokenizers import Tokenizer
 
-#: Plain characters; the libraries might differ on others: controls, odd spaces, all beyond Latin.
-_PLAIN = "\t\n\r\x20-\x7e\xa1-\xac\xae-ɏ"
-_ODD = re.compile(f"[^{_PLAIN}]")
+#: Characters on which the libraries might differ: controls, odd spaces, all beyond Latin.
+_ODD = re.compile("[^\t\n\r\x20-\x7e\xa1-\xac\xae-ɏ]")
+
+#: A run of white space from which on ``tiktoken`` is not asked (it ends the process at a million).
 LONG_SPACE = 10_000
 _LONG_SPACE = re.compile(rf"\s{{{LONG_SPACE}}}")
-#: Pieces whose ids are remembered, and the longest of them in characters.
-REMEMBERED, LONGEST = 1 << 19, 40
-
-
-def _of_kind(kind: str) -> str:
-    """The plain characters of a Unicode category, for a character class."""
-    plain = filter(re.compile(f"[{_PLAIN}]").match, map(chr, range(0x250)))
-    return "".join(re.escape(c) for c in plain if unicodedata.category(c)[0] == kind)
-
-
-def _pieces() -> re.Pattern:
-    """The vocabulary's own pattern, with its character classes spelled out for plain texts."""
-    letters, numbers = _of_kind("L"), _of_kind("N")
-    pattern = public_tokenizers.PATTERN.replace(r"[^\s\p{L}\p{N}]", f"[^\\s{letters}{numbers}]")
-    return re.compile(pattern.replace(r"\p{L}", f"[{letters}]").replace(r"\p{N}", f"[{numbers}]"))
-
-
-class _Remembered(dict):
-    """The ids of pieces, made when first asked for; forgotten together when there are too many."""
-
-    def __init__(self, make: Callable[[str], bytes]) -> None:
-        super().__init__()
-        self._make = make
-
-    def __missing__(self, piece: str) -> bytes:
-        ids = self._make(piece)
-        if len(piece) <= LONGEST:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[piece] = ids
-        return ids
 
 
 def default_paths() -> tuple[str, str]:
@@ -73,20 +40,19 @@ class Encoder:
         self._tokenizer = Tokenizer.from_file(json_path)
         with open(ranks_path, "rb") as lines:
             ranks = {base64.b64decode(t): int(r) for t, r in map(bytes.split, lines)}
-        fast = tiktoken.Encoding("plain", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
-                                 special_tokens={}).encode_ordinary
+        self._fast = tiktoken.Encoding("plain", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
+                                       special_tokens={}).encode_ordinary
         narrow = self._tokenizer.get_vocab_size() <= 1 << 16
         self.dtype, self._code = np.dtype("<u2" if narrow else "<u4"), "H" if narrow else "I"
         self._special = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
-        self._split = _pieces().findall
-        self._ids = _Remembered(lambda piece: array(self._code, fast(piece)).tobytes())
 
     def encode(self, text: str) -> bytes:
         if (_ODD.search(text) or any(s in text for s in self._special)
                 or (len(text) >= LONG_SPACE and _LONG_SPACE.search(text))):
             ids = self._tokenizer.encode(text, add_special_tokens=False).ids
-            return array(self._code, ids).tobytes()
-        return b"".join(map(self._ids.__getitem__, self._split(text)))
+        else:
+            ids = self._fast(text)
+        return array(self._code, ids).tobytes()
 
 
 @lru_cache(maxsize=2)

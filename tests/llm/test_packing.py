@@ -37,14 +37,6 @@ def test_ids_of_long_runs(library, run, size):
     assert np.frombuffer(own.encode(text), own.dtype).tolist() == library.encode(text, add_special_tokens=False).ids
 
 
-def test_forgotten_pieces_are_made_again(library, monkeypatch):
-    monkeypatch.setattr(tokens, "REMEMBERED", 3)
-    own = tokens.Encoder(*tokens.default_paths())
-    for text in ("one two three four five", "five four three", "one one one"):
-        assert np.frombuffer(own.encode(text), own.dtype).tolist() == library.encode(text, add_special_tokens=False).ids
-        assert len(own._ids) <= 3
-
-
 def test_ids_of_whole_documents(spark, library):
     own = tokens.encoder(*tokens.default_paths())
     texts = [r["text"] for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()]
