@@ -35,6 +35,13 @@ def others(df: DataFrame, made: list[str]) -> list[Column]:
     return [df[f"`{c}`"] for c in df.columns if c.lower() not in taken]
 
 
+def free_prefix(df: DataFrame, wanted: str) -> str:
+    """``wanted``, with as many underscores before it as make it begin no column of ``df``."""
+    while any(c.lower().startswith(wanted.lower()) for c in df.columns):
+        wanted = "_" + wanted
+    return wanted
+
+
 def global_rank(df: DataFrame, name: str, *order: Column) -> DataFrame:
     """Add ``name``: the row's position (from 0) in the total order.
 

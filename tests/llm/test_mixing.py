@@ -94,6 +94,39 @@ def test_no_python_on_the_path(docs, capsys):
     assert not any(w in capsys.readouterr().out for w in ("Python", "Pandas", "Arrow"))
 
 
+@pytest.mark.parametrize("ids", [lambda i: None if i % 2 else 5, lambda i: i % 3, lambda i: None])
+@pytest.mark.parametrize("texts", [lambda i: "a b c " * 8, lambda i: "w " * (1 + i % 5), lambda i: f"t{i} " * 24])
+def test_repeated_and_missing_ids_hit_the_target(spark, ids, texts):
+    rows = [(ids(i), texts(i), "big" if i % 4 else "small") for i in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    made = mixing.mix(docs, weights=(2, 1)).collect()
+    taken, target, sizes = defaultdict(int), {}, defaultdict(list)
+    for r in made:
+        taken[r["source"]] += r["taken"]
+        target[r["source"]] = r["target"]
+        sizes[r["source"]].append(r["size"])
+        assert r["taken"] <= 2 * r["size"]
+    assert len(made) == 2000 and any(t % sum(sizes[s]) for s, t in target.items())
+    assert all(abs(taken[s] - target[s]) <= max(sizes[s]) for s in target)
+    again = mixing.mix(docs.repartition(5), weights=(2, 1))
+    shown = lambda rows: sorted((str(r["doc_id"]), r["text"], r["source"], r["copies"]) for r in rows)
+    assert shown(again.collect()) == shown(made)
+
+
+def test_long_copies_are_taken_in_part(spark):
+    rows = [(1, "l " * 500, "s")] * 7 + [(i, "w", "s") for i in range(100)]
+    made = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"), share=1.5).collect()
+    assert {r["copies"] for r in made if r["size"] == 500} == {1, 2}
+    assert abs(sum(r["taken"] for r in made) - 1.5 * 3600) <= 250
+
+
+def test_clashing_names(spark):
+    rows = [(1, "a b", "s", "x", "y", "z"), (2, "c", "t", "u", "v", "w")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, _mix_key string, _MIX_size string, _mixed_row string")
+    assert [r["_mix_key"] for r in mixing.mix(docs).orderBy("doc_id").collect()] == ["x", "u"]
+    assert mixing.mixed(docs).columns == docs.columns
+
+
 def test_many_sources_are_joined_not_broadcast(docs, monkeypatch):
     want = mixing.mix(docs).orderBy("doc_id", "source", "size").collect()
     monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 0)
