@@ -30,6 +30,8 @@ WINDOW = 1024
 END = 0  # the id after each document
 SHARD_TOKENS, SHARD_DOCS = 1 << 20, 2048
 K1, B = 1.2, 0.75
+#: A term is common if more than one document in so many has it.
+COMMON = 8
 #: Documents that a query returns: as many as a shard has.
 NEIGHBOURS = SHARD_DOCS
 
@@ -49,10 +51,16 @@ class Bm25:
         norm = K1 * (1 - B + B * lengths / max(lengths.mean(), 1))
         weight = (idf[self._term] * tf * (K1 + 1) / (tf + norm[self._doc])).astype(np.float32).astype(float)
         self._first = np.searchsorted(self._doc, np.arange(self.n + 1))
-        shared = df[self._term] > 1  # the others are in no other document
+        common = df * COMMON > self.n
+        shared = (df[self._term] > 1) & ~common[self._term]  # the others are in no other document
         by_term = np.argsort(self._term[shared], kind="stable")
         self._size, self._left = size, self.n
         self._index(*(x[shared][by_term] for x in (self._term, self._doc, weight)))
+        # terms of many documents have a row of weights, which is added up without a posting list
+        self._row = np.where(common & (df > 1), np.cumsum(common & (df > 1)) - 1, -1)
+        self._rows = np.zeros((int(self._row.max(initial=-1)) + 1, self.n))
+        dense = self._row[self._term] >= 0
+        self._rows[self._row[self._term[dense]], self._doc[dense]] = weight[dense]
 
     def _index(self, term: np.ndarray, doc: np.ndarray, weight: np.ndarray) -> None:
         """Postings of the terms, in order of term and document."""
@@ -73,7 +81,9 @@ class Bm25:
         terms = self._term[self._first[seed]:self._first[seed + 1]]
         start, size = self._posting[terms], self._posting[terms + 1] - self._posting[terms]
         at = np.arange(size.sum()) + np.repeat(start - np.cumsum(size) + size, size)
-        score = np.bincount(self._posting_doc[at], self._posting_weight[at], self.n)
+        rows = self._row[terms]
+        score = self._rows[rows[rows >= 0]].sum(axis=0)
+        score += np.bincount(self._posting_doc[at], self._posting_weight[at], self.n)
         score[used] = 0
         found = np.flatnonzero(score)
         return found[np.argsort(-score[found], kind="stable")][:NEIGHBOURS]
