@@ -31,7 +31,7 @@ END = 0  # the id after each document
 SHARD_TOKENS, SHARD_DOCS = 1 << 20, 2048
 K1, B = 1.2, 0.75
 #: A term is common if more than one document in so many has it.
-COMMON = 8
+COMMON = 4
 #: Documents that a query returns: as many as a shard has.
 NEIGHBOURS = SHARD_DOCS
 
