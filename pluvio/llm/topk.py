@@ -1,16 +1,22 @@
 """Exact top-k search by inner product: ball-tree branch and bound per shard.
 
-Candidates are dealt into shards of bounded size. A cell is one shard and
-one bounded group of queries: it builds a ball tree of the shard, and takes
-its nodes in the order of their upper bound, q.c + |q| r, as long as one of
-the queries can still gain. Cells run in waves, the first over one shard,
-each later one over four times as many; after a wave the k-th score of
-every query is known over all shards so far, and the next wave's cells start
-with it. So most nodes of later shards are cut at once.
-
-Of candidates with equal vectors only the k + 1 smallest ids can be among
-the k best of any query, so no more of them go on; Spark drops the rest
-before the shuffle.
+Candidates and queries are dealt by space: a bounded sample gives the pivots,
+every row goes to its nearest one, and a pivot's rows are divided into shards
+(or query groups) of bounded size. A pivot and its farthest row make a ball. A
+cell is one shard and one query group: it builds a ball tree of the shard, and
+takes its nodes in the order of their upper bound, q.c + |q| r, as long as
+one of the queries can still gain.
+
+Cells run in waves. The first joins every query group with the shards whose
+balls promise most. From then on the k-th score of every query so far is known, and
+a shard is shipped to a query group only if the bound of their two balls passes
+the least k-th score of the group; inside a cell it cuts nodes in the same way.
+The bound of two balls is that of their pivots, whose number is bounded, so
+the pairs are compared on the driver.
+
+Of candidates with equal vectors only the 2 k smallest by id, of one id at most
+k, can be among the k best of any query, so no more of them go on; Spark
+drops the rest before the shuffle.
 """
 
 from __future__ import annotations
@@ -22,13 +28,16 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pluvio.llm.common import staged
 
 SHARD_ROWS, QUERY_ROWS, LEAF_ROWS, BLOCK = 4096, 4096, 64, 256
 #: Ranks of ids share a number with the score: score * PLACES + (PLACES - 1 - rank).
 PLACES = 1 << 16
-LOWEST = np.iinfo(np.int64).min
+LOWEST = LOWEST_SCORE = -(1 << 63)
+#: Pivots, and the sample (in the order of a hash) that they are chosen from, at most.
+MOST_PIVOTS, SAMPLE = 256, 4096
 #: Scores below this share their number with a rank; a cell with larger ones is searched without the tree.
 NARROW = 1 << 46
 
@@ -68,7 +77,7 @@ class BallTree:
 
     def search(self, queries: np.ndarray, own: np.ndarray, floor: np.ndarray, k: int) -> np.ndarray:
         """The k largest keys of each query above its ``floor``, unordered and
-        filled up with ``LOWEST``. ``own``: the row that a query skips, or -1."""
+        filled up with ``LOWEST``. ``own``: from and to which row a query skips."""
         best = np.full((len(queries), k), LOWEST)
         least = floor.copy()
         length = np.sqrt(np.square(queries).sum(axis=1))
@@ -98,7 +107,7 @@ class BallTree:
             rows = self.order[start:end]
             scores = np.rint(queries[which] @ self._points[rows].T).astype(np.int64)
             keys = scores * PLACES + (PLACES - 1 - rows)
-            keys[rows[None, :] == own[which][:, None]] = LOWEST
+            keys[(rows[None, :] >= own[which, :1]) & (rows[None, :] < own[which, 1:])] = LOWEST
             merged = np.concatenate([best[which], keys], axis=1)
             best[which] = np.partition(merged, merged.shape[1] - k, axis=1)[:, -k:]
             least[which] = np.maximum(floor[which], best[which].min(axis=1))
@@ -107,14 +116,14 @@ class BallTree:
 
 
 def integer_vectors(rows: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
-    """(id, v): floor(scale * x) of each component; rows without an id, and
-    vectors that are null or hold a null or non-finite component, are left out.
-    Of rows that share an id, that with the largest vector stands for all."""
+    """(id, v, n): floor(scale * x) of each component, and how many rows have
+    this id and vector; rows without an id, and vectors that are null or hold
+    a null or non-finite component, are left out."""
     sound = F.forall(vector_col, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     floored = F.transform(vector_col, lambda x: F.floor(x.cast("double") * scale))
     return (rows.where(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull() & sound)
             .select(F.col(id_col).cast("long").alias("id"), floored.alias("v"))
-            .groupBy("id").agg(F.max("v").alias("v")))
+            .groupBy("id", "v").agg(F.count(F.lit(1)).alias("n")))
 
 
 def _stack(vectors: pd.Series, width: int, kind: type = np.float64) -> np.ndarray:
@@ -127,19 +136,19 @@ def _stack(vectors: pd.Series, width: int, kind: type = np.float64) -> np.ndarra
 def _wide(points: np.ndarray, queries: np.ndarray, own: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
     """(query row, point row, score) of the k best points of each query, by whole numbers."""
     scores = queries @ points.T
-    order = np.argsort(-scores, axis=1, kind="stable")[:, :k + 1]
-    keep = order != own[:, None]
-    keep &= np.cumsum(keep, axis=1) <= k
-    row, column = np.nonzero(keep)
-    place = order[row, column]
-    return row, place, scores[row, place]
+    found = []
+    for q, (start, end) in enumerate(own.tolist()):
+        place = np.argsort(-scores[q], kind="stable")
+        place = place[(place < start) | (place >= end)][:k]
+        found.append((np.full(len(place), q), place, scores[q, place]))
+    return tuple(np.concatenate(x) for x in zip(*found))
 
 
 def _cell(k: int):
     """Search of one group of queries in one shard."""
 
     def work(shard: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        found: list[pd.DataFrame] = [pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype("int64")]
+        found: list[pd.DataFrame] = [pd.DataFrame({"q": [], "vec_id": [], "score": []}).astype("int64")]
         if len(shard) and len(queries):
             shard = shard.sort_values("id", ignore_index=True)
             ids = shard["id"].to_numpy()
@@ -148,16 +157,15 @@ def _cell(k: int):
             tree = BallTree(points)
             for at in range(0, len(queries), BLOCK):
                 block = queries.iloc[at:at + BLOCK]
-                q, q_ids = _stack(block["v"], width), block["id"].to_numpy()
+                q, q_ids, numbers = _stack(block["v"], width), block["id"].to_numpy(), block["q"].to_numpy()
                 top = float(np.abs(points).max(initial=0)) * float(np.abs(q).max(initial=0)) * width
                 if top >= 1 << 63:
                     raise ValueError("scores that may not fit a long are not supported")
-                place = np.searchsorted(ids, q_ids)
-                own = np.where(ids[np.minimum(place, len(ids) - 1)] == q_ids, place, -1)
+                own = np.stack([np.searchsorted(ids, q_ids, side) for side in ("left", "right")], axis=1)
                 if max(np.abs(points).max(initial=0), np.abs(q).max(initial=0)) ** 2 * width >= NARROW:
                     row, place, score = _wide(_stack(shard["v"], width, np.int64),
                                               _stack(block["v"], width, np.int64), own, k)
-                    found.append(pd.DataFrame({"query_id": q_ids[row], "vec_id": ids[place], "score": score}))
+                    found.append(pd.DataFrame({"q": numbers[row], "vec_id": ids[place], "score": score}))
                     continue
                 known = block["kth_score"].notna().to_numpy()
                 rank = np.searchsorted(ids, block["kth_id"].fillna(0).astype("int64").to_numpy())
@@ -166,66 +174,149 @@ def _cell(k: int):
                 best = tree.search(q, own, floor, k)
                 row, column = np.nonzero(best > LOWEST)
                 score, rest = np.divmod(best[row, column], PLACES)
-                found.append(pd.DataFrame({"query_id": q_ids[row], "vec_id": ids[PLACES - 1 - rest],
-                                           "score": score}))
+                found.append(pd.DataFrame({"q": numbers[row], "vec_id": ids[PLACES - 1 - rest], "score": score}))
         return pd.concat(found, ignore_index=True)
 
     return work
 
 
-def _waves(shards: int) -> Iterator[tuple[int, int]]:
-    start, size = 0, 1
-    while start < shards:
-        yield start, min(start + size, shards)
-        start, size = start + size, size * 4
+class Pivots:
+    """Points of a bounded sample; every row belongs to the nearest one."""
+
+    def __init__(self, sample: list[list[int]], most: int) -> None:
+        width = max(map(len, sample), default=0)
+        points = np.unique(_stack(pd.Series(sample), width), axis=0) if sample else np.zeros((1, 0))
+        # spread over the sample: each next pivot is the point farthest from those before
+        chosen, far = [0], np.square(points - points[0]).sum(axis=1)
+        while len(chosen) < min(most, len(points)) and far.max() > 0:
+            chosen.append(int(far.argmax()))
+            far = np.minimum(far, np.square(points - points[chosen[-1]]).sum(axis=1))
+        self.points = points[chosen]
+
+    def nearest(self, vectors: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+        """Number and distance of the nearest pivot."""
+        width = max(self.points.shape[1], vectors.map(len).max() if len(vectors) else 0)
+        pivots, place, far = _stack(pd.Series(list(self.points)), width), [], []
+        for at in range(0, len(vectors), BLOCK):
+            x = _stack(vectors.iloc[at:at + BLOCK], width)
+            square = np.square(pivots).sum(axis=1)[None, :] - 2 * x @ pivots.T
+            own = square.argmin(axis=1)
+            place.append(own)
+            far.append(np.sqrt(np.square(x - pivots[own]).sum(axis=1)))
+        empty = [np.zeros(0)]
+        return np.concatenate(place or empty).astype(np.int32), np.concatenate(far or empty)
+
+    def bounds(self, query_radius: np.ndarray, radius: np.ndarray) -> np.ndarray:
+        """Upper bounds of the inner products of the rows of each two pivots."""
+        length = np.sqrt(np.square(self.points).sum(axis=1))
+        bound = (self.points @ self.points.T + np.outer(query_radius, length) + np.outer(length, radius)
+                 + np.outer(query_radius, radius))
+        return bound + 1e-6 + 1e-9 * np.abs(bound)
+
+
+def _placed(rows: DataFrame, pivots: Pivots, size: int, part: str) -> tuple[DataFrame, dict[int, tuple[float, int]]]:
+    """``rows`` with their pivot and ``part``, a division of the pivot's rows into
+    sets of about ``size``; and radius and parts of each pivot."""
+    fields = [*rows.schema.fields, T.StructField("pivot", T.IntegerType()), T.StructField("far", T.DoubleType())]
 
+    def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            f["pivot"], f["far"] = pivots.nearest(f["v"])
+            yield f
 
-def _dealt(column: Column, parts: int) -> Column:
-    return F.pmod(F.xxhash64(column), F.lit(parts)).cast("int")
+    placed = staged(rows.mapInPandas(work, T.StructType(fields)), "placed")
+    balls = {r["pivot"]: (r["far"], -(-r["n"] // size)) for r in placed.groupBy("pivot").agg(
+        F.max("far").alias("far"), F.count(F.lit(1)).alias("n")).collect()}  # a row a pivot
+    parts = F.element_at(F.create_map(*[F.lit(x) for p, (_, n) in balls.items() for x in (p, n)]), F.col("pivot")) \
+        if balls else F.lit(1)
+    deal = F.pmod(F.xxhash64("id", "v"), parts).cast("int")
+    return placed.withColumn(part, deal).drop("far"), balls
+
+
+def _pairs(rows: DataFrame, key: str, shipped: dict[int, list[int]], balls: dict[int, tuple[float, int]], other: str,
+           into: str) -> DataFrame:
+    """``rows`` once for each part of the pivots that theirs (``key``) is paired
+    with. There are at most ``MOST_PIVOTS`` squared pairs to broadcast."""
+    pairs = [(p, o, balls[o][1]) for p, others in shipped.items() for o in others]
+    listed = rows.sparkSession.createDataFrame(pairs, f"{key} int, {other} int, parts int")
+    return rows.join(F.broadcast(listed), key).withColumn(
+        into, F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
 
 
 def top_k(rows: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id",
           vector_col: str = "embedding", scale: int = 64, shard_rows: int = SHARD_ROWS,
           query_rows: int = QUERY_ROWS) -> DataFrame:
-    """(query_id, rank from 1, vec_id, score): for each row with ``is_query``
-    the k rows with the highest integer inner products, itself excluded, all
-    if there are fewer; ties go to the smaller id.
-
-    Any score that fits a long is exact; a shard whose largest query component
-    times its largest component times the width reaches 2^63 is refused.
-    Shorter vectors count as filled up with zeros. See
-    :func:`integer_vectors` for the rows that take part. With no query or no
-    candidate the result is empty.
+    """(query_id, rank from 1, vec_id, score): for each id of a row with
+    ``is_query`` the k rows with the highest integer inner products, those of
+    that id excluded, all if there are fewer; ties go to the smaller id.
+
+    Every row with an id takes part, also one that shares it with others; query
+    rows that share an id give one list, in which each of them counts. Rows
+    without an id cannot be told and are left out; see :func:`integer_vectors`
+    for the vectors that are. Any score that fits a long is exact; a shard whose
+    largest query component times its largest component times the width reaches
+    2^63 is refused. Shorter vectors count as filled up with zeros. With no query or
+    no candidate, or on an empty table, the result is empty.
     """
-    vectors = staged(integer_vectors(rows.select(F.col(id_col), F.col(vector_col)), id_col, vector_col, scale),
-                     "vectors")
-    queries = staged(rows.where(is_query).select(F.col(id_col).cast("long").alias("id")).distinct()
-                     .join(vectors, "id"), "queries")
-    alike = F.row_number().over(Window.partitionBy("v").orderBy("id"))
-    candidates = staged(vectors.withColumn("nth", alike).where(F.col("nth") <= k + 1).drop("nth"), "candidates")
-    shards = max(1, -(-candidates.count() // shard_rows))
-    groups = max(1, -(-queries.count() // query_rows))
     # a cell's rows come by a random hash; PLACES leaves room for twice the expected size and more
     if shard_rows * 4 > PLACES:
         raise ValueError(f"shard_rows is at most {PLACES // 4}")
-    candidates = candidates.withColumn("shard", _dealt(F.col("id"), shards))
-    queries = queries.withColumn("cell_group", _dealt(F.col("id"), groups))
-    best = None
-    place = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    for start, end in _waves(shards):
-        left = (candidates.where(F.col("shard").between(start, end - 1))
-                .withColumn("cell_group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))))
-        right = queries.withColumn("shard", F.explode(F.sequence(F.lit(start), F.lit(end - 1))))
+    own = [F.col(id_col), F.col(vector_col)]
+    vectors = staged(integer_vectors(rows.select(*own), id_col, vector_col, scale), "vectors")
+    asked = staged(integer_vectors(rows.where(is_query).select(*own), id_col, vector_col, scale)
+                   .withColumn("q", F.monotonically_increasing_id()), "queries")
+    copies = F.explode(F.sequence(F.lit(1), F.least("n", F.lit(k)).cast("int")))
+    alike = F.row_number().over(Window.partitionBy("v").orderBy("id"))
+    candidates = staged(vectors.select("id", "v", copies.alias("copy")).withColumn("nth", alike)
+                        .where(F.col("nth") <= 2 * k).select("id", "v"), "candidates")
+    total = candidates.count()
+    most = max(1, min(MOST_PIVOTS, -(-total // shard_rows)))
+    pivots = Pivots([r["v"] for r in candidates.select("v").orderBy(F.xxhash64("v")).limit(SAMPLE).collect()], most)
+    candidates, balls = _placed(candidates, pivots, shard_rows, "shard")
+    queries, groups = _placed(asked.select("q", "id", "v"), pivots, query_rows, "cell_group")
+    radius = lambda of: np.array([of.get(p, (0.0, 0))[0] for p in range(len(pivots.points))])
+    bound = pivots.bounds(radius(groups), radius(balls))
+    left = {g: sorted(balls, key=lambda p: -bound[g, p]) for g in groups}  # pivots not yet searched, by promise
+    best, wave = None, 1
+    place = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id")
+    while any(left.values()):
+        now = {g: found[:wave] for g, found in left.items()}
+        left = {g: found[wave:] for g, found in left.items()}
+        by_shard: dict[int, list[int]] = {}
+        for g, found in now.items():
+            for p in found:
+                by_shard.setdefault(p, []).append(g)
+        shards = _pairs(candidates.withColumnRenamed("pivot", "p"), "p", by_shard, groups, "g", "cell_group")
+        right = queries.withColumnRenamed("pivot", "g")
         if best is None:
             right = right.withColumn("kth_score", F.lit(None).cast("long")).withColumn(
                 "kth_id", F.lit(None).cast("long"))
         else:
             kth = best.where(F.col("rank") == k).select(
-                F.col("query_id").alias("id"), F.col("score").alias("kth_score"), F.col("vec_id").alias("kth_id"))
-            right = right.join(kth, "id", "left")
-        cells = left.groupBy("shard", "cell_group").cogroup(right.groupBy("shard", "cell_group"))
-        found = cells.applyInPandas(_cell(k), "query_id long, vec_id long, score long")
+                "q", F.col("score").alias("kth_score"), F.col("vec_id").alias("kth_id"))
+            right = right.join(kth, "q", "left")
+        right = _pairs(right, "g", now, balls, "p", "shard")
+        cell = ["p", "shard", "g", "cell_group"]
+        cells = shards.groupBy(*cell).cogroup(right.groupBy(*cell))
+        found = cells.applyInPandas(_cell(k), "q long, vec_id long, score long")
         if best is not None:
             found = found.unionByName(best.drop("rank"))
         best = staged(found.withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= k), "best")
-    return best.select("query_id", "rank", "vec_id", "score")
+        if any(left.values()):  # a group goes on while one of its queries can gain
+            kth = best.where(F.col("rank") == k).select("q", "score")
+            least = {r["pivot"]: r["least"] for r in queries.join(kth, "q", "left").groupBy("pivot").agg(F.min(
+                F.coalesce("score", F.lit(LOWEST_SCORE))).alias("least")).collect()}  # a row a pivot
+            left = {g: [p for p in found if bound[g, p] >= least[g]] for g, found in left.items()}
+        wave *= 4
+    if best is None:
+        return _none(rows)
+    repeated = best.join(asked.select("q", F.col("id").alias("query_id"), "n"), "q").withColumn(
+        "copy", F.explode(F.sequence(F.lit(1), F.least("n", F.lit(k)).cast("int"))))
+    last = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return (repeated.withColumn("rank", F.row_number().over(last)).where(F.col("rank") <= k)
+            .select("query_id", "rank", "vec_id", "score"))
+
+
+def _none(rows: DataFrame) -> DataFrame:
+    """The result without any query or candidate."""
+    return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
