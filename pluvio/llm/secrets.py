@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pluvio.llm.common import others
+from pluvio.llm.common import free_prefix, others, staged
 
 #: Pattern kinds in the order in which findings at one place are listed.
 KINDS = ("assign", "access", "hex", "novel")
@@ -52,6 +52,9 @@ NOVELTY = 0.6
 #: Alphabets of random strings and their sizes; the share of a character's entropy that is asked for.
 ALPHABETS = ((re.compile("[0-9A-F]+|[0-9a-f]+"), 16), (re.compile("[0-9A-Z]+|[0-9a-z]+"), 36))
 OF_ALPHABET, SIGNS = 0.9, re.compile("[+/_=-]")
+#: Runs that name something: a date or time, or words and numbers in a row, so many characters each on average.
+TIMESTAMP = re.compile(r"\d{4}[-_/]?\d\d[-_/]?\d\d(?:[Tt_-]?\d\d[-_]?\d\d(?:[-_]?\d\d)?\d*)?[Zz]?")
+PARTS, PART_LENGTH = re.compile("[A-Z]?[a-z]+|[A-Z]+|[0-9]+"), 3
 #: Identifiers in the dictionary.
 DICTIONARY_WORDS = 4096
 IDENTIFIER = re.compile(r"[A-Za-z_]{4,24}")
@@ -79,7 +82,7 @@ def candidates(text: str, lowered: str, base: list[tuple[int, int, str]]) -> Ite
     for m in CANDIDATE.finditer(text):
         for start, end in _beside_word(*m.span(), words, ends):
             run = text[start:end]
-            if not (any(map(str.isdigit, run)) and any(map(str.isalpha, run))):
+            if not (any(map(str.isdigit, run)) and any(map(str.isalpha, run))) or is_name(run):
                 continue
             before, after = bisect_right(ends, start) - 1, bisect_left(starts, end)
             near = (before >= 0 and start - ends[before] <= NEAR) or (after < len(words) and starts[after] - end <= NEAR)
@@ -99,6 +102,16 @@ def _beside_word(start: int, end: int, words: list[tuple[int, int]], ends: list[
     return [(x, y) for x, y in ((start, s), (e, end)) if y - x >= LEAST_RUN]
 
 
+def is_name(run: str) -> bool:
+    """Whether a run is a timestamp, or signs or capitals divide it into words
+    and numbers; random strings fall into much shorter parts."""
+    if TIMESTAMP.fullmatch(run):
+        return True
+    parts = PARTS.findall(run)
+    divided = SIGNS.search(run) or not (run.islower() or run.isupper())
+    return bool(divided) and sum(map(len, parts)) >= PART_LENGTH * len(parts)
+
+
 def least_novelty(run: str) -> float:
     """``NOVELTY``, or less where the alphabet of the run allows less."""
     letters = SIGNS.sub("", run)
@@ -106,21 +119,36 @@ def least_novelty(run: str) -> float:
     return min(NOVELTY, OF_ALPHABET * math.log2(size) / 8)
 
 
+def _blanked(text: str, runs: set[str]) -> str:
+    """``text`` with those of its runs that are among ``runs`` blanked."""
+    return VALUE.sub(lambda m: " " * len(m[0]) if m[0] in runs else m[0], text)
+
+
 def _without_candidates(text: str) -> str:
-    """A text with its findings and candidates blanked."""
+    """A text with its findings and candidates blanked, where they stand and
+    wherever their values stand as runs of their own."""
     lowered = text.lower()
     base = base_findings(text, lowered)
-    blank = [(s, e) for s, e, _ in base] + list(candidates(text, lowered, base))
-    runs = {text[s:e] for s, e in blank} | {v for s, e in blank for v in VALUE.findall(text, s, e)}
-    for run in sorted(runs, key=len, reverse=True):
-        text = text.replace(run, " ")
-    return text
+    blank = sorted([(s, e) for s, e, _ in base] + list(candidates(text, lowered, base)))
+    if not blank:
+        return text
+    runs = {v for s, e in blank for v in VALUE.findall(text, s, e)}
+    parts, at = [], 0
+    for s, e in blank:
+        parts.append(text[at:max(at, s)])
+        at = max(at, e)
+    return _blanked(" ".join([*parts, text[at:]]), runs)
 
 
 def identifier_dictionary(docs: DataFrame, text_col: str = "text", words: int = DICTIONARY_WORDS) -> bytes:
     """The identifiers that occur in most distinct texts of the whole table,
     findings and candidates left out, the commonest last, where a compressor
-    reaches them at least cost."""
+    reaches them at least cost.
+
+    Null texts count as empty, and a text that is repeated once; ties go to the
+    smaller word. Words of one text alone are left out, so a small or empty
+    table may give an empty dictionary. Other columns are not read.
+    """
 
     def distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -135,9 +163,11 @@ def identifier_dictionary(docs: DataFrame, text_col: str = "text", words: int =
     texts = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     once = (texts.mapInArrow(distinct_words, "text_hash binary, words string")
             .groupBy("text_hash").agg(F.first("words").alias("words")))
-    top = (once.select(F.explode(F.split("words", " ")).alias("word")).where("word <> ''")
-           .groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-           .where("n > 1").orderBy(F.desc("n"), "word").limit(words).collect())
+    counts = staged(once.select(F.explode(F.split("words", " ")).alias("word")).where("word <> ''")
+                    .groupBy("word").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "words")
+    order = [F.desc("n"), F.asc("word")]
+    # sorted by range, the first rows are in the first parts: no task sends its own best to the driver
+    top = counts.repartitionByRange(*order).sortWithinPartitions(*order).limit(words).collect()
     return " ".join(r["word"] for r in reversed(top)).encode()
 
 
@@ -157,8 +187,8 @@ class Scanner:
         known; with ``alone``, other occurrences of its runs are blanked there."""
         before, after = text[max(0, start - AROUND - (end - start)):start], text[end:end + AROUND + (end - start)]
         if alone:  # the value of "key=value" may stand elsewhere without its key
-            for run in sorted({text[start:end], *VALUE.findall(text, start, end)}, key=len, reverse=True):
-                before, after = (side.replace(run, " " * len(run)) for side in (before, after))
+            run, runs = text[start:end], set(VALUE.findall(text, start, end))
+            before, after = (_blanked(side.replace(run, " " * len(run)), runs) for side in (before, after))
         around = before[-AROUND:] + " " + after[:AROUND]
         primer = self._dictionary + b" " + around.encode() + b" " * 8
         return (self._size(primer, text[start:end].encode()) - self._size(primer, b"")) / (end - start)
@@ -166,7 +196,7 @@ class Scanner:
     def scan(self, text: str) -> list[dict]:
         lowered = text.lower()
         base = base_findings(text, lowered)
-        found = [(s, e, kind, self.novelty(text, s, e, alone=True)) for s, e, kind in base]
+        found: list[tuple[int, int, str, float | None]] = [(s, e, kind, None) for s, e, kind in base]
         for start, end in candidates(text, lowered, base):
             if (novelty := self.novelty(text, start, end, alone=True)) >= least_novelty(text[start:end]):
                 found.append((start, end, "novel", novelty))
@@ -179,14 +209,14 @@ FINDINGS = "array<struct<kind:string,start:long,end:long,novelty:double>>"
 
 def scan(docs: DataFrame, dictionary: bytes, text_col: str = "text") -> DataFrame:
     """``docs`` with ``findings``: (kind, start, end, novelty) by place in the
-    whole text, in code points, the end exclusive.
+    whole text, in code points, the end exclusive; novelty only of ``novel`` ones.
 
     Null and empty texts have no findings (an empty list). Pattern kinds may
     overlap each other; a ``novel`` finding overlaps none of them. An input
     column named ``findings`` is replaced.
     """
     kept = others(docs, ["findings"])
-    rows = docs.select(*kept, F.coalesce(F.col(text_col), F.lit("")).alias("_scanned_text"))
+    rows = docs.select(*kept, F.coalesce(F.col(text_col), F.lit("")).alias(free_prefix(docs, "_scanned_text")))
     fields = [f for f in rows.schema.fields[:-1]]
     made = T.StructType([*fields, T.StructField("findings", T._parse_datatype_string(FINDINGS))])
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()),

@@ -1,0 +1,79 @@
+"""Novel spans: recall and precision, time in the length of a text, what reaches the driver."""
+
+from __future__ import annotations
+
+import random
+import string
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SF_SMALL
+from pluvio.llm import secrets
+
+LETTERS, DIGITS = string.ascii_letters, string.digits
+ALPHABETS = {"base62": LETTERS + DIGITS, "base64": LETTERS + DIGITS + "+/", "hex": "0123456789ABCDEF",
+             "base32": string.ascii_uppercase + "234567"}
+
+
+@pytest.fixture(scope="module")
+def scanner(spark):
+    return secrets.Scanner(secrets.identifier_dictionary(spark.read.parquet(f"{SF_SMALL}/documents.parquet")))
+
+
+@pytest.mark.parametrize("name", sorted(ALPHABETS))
+@pytest.mark.parametrize("size", [16, 24, 40])
+def test_recall_of_random_strings(scanner, name, size):
+    rng, found = random.Random(7), 0
+    for _ in range(150):
+        key = "".join(rng.choices(ALPHABETS[name], k=size))
+        text = f"the request of the client\nAuthorization: Bearer {key}\nand the response"
+        start = text.index(key)
+        found += any(f["start"] <= start and f["end"] >= start + size for f in scanner.scan(text))
+    assert found >= 0.9 * 150
+
+
+NAMES = ["2024-01-15T10-30-00", "2024-01-15", "20240115T103000Z", "2023_12_31_235959", "sha256WithRSAEncryption",
+         "internal-server-10-0-0-12", "com_example_service_v2", "build-worker-07", "application/json-v2",
+         "release_candidate_2024", "UserSessionTokenFactory2", "ip-10-20-30-40-region-east", "MAX_RETRY_COUNT_10",
+         "getConnectionById42", "node-exporter-v1", "src/main/resources2/values"]
+
+
+def test_names_dates_and_hosts_are_left_alone(scanner):
+    wrong = [n for n in NAMES if any(f["kind"] == "novel" for f in scanner.scan(f"session id {n} of the access key"))]
+    assert len(wrong) <= 0.1 * len(NAMES), wrong
+
+
+def test_time_grows_with_the_text():
+    scanner, rng = secrets.Scanner(b""), random.Random(2)
+
+    def seconds(lines):
+        text = "".join("%064x\n" % rng.getrandbits(256) for _ in range(lines))
+        started = time.perf_counter()
+        assert sum(f["kind"] == "hex" for f in scanner.scan(text)) >= 0.99 * lines
+        secrets._without_candidates(text)
+        return time.perf_counter() - started
+
+    seconds(100)
+    assert seconds(150_000) < 20  # 10 MB
+
+
+def test_without_candidates_blanks_values_wherever_they_stand():
+    key = "".join(random.Random(3).choices(LETTERS + DIGITS, k=32))
+    text = f"export API_KEY={key}\nrun --with {key} and handler_name deadbeefdeadbeef01"
+    left = secrets._without_candidates(text)
+    assert key not in left and "deadbeef" not in left and "handler_name" in left
+
+
+def test_the_driver_gets_the_dictionary_alone(spark):
+    docs = spark.range(400).select(F.concat_ws(" ", *[F.concat(F.lit(f"word{c}"), F.expr(
+        f"translate(cast((id * {k}) % 97 as string), '0123456789', 'abcdefghij')")) for k, c in enumerate("pqrst", 1)]
+    ).alias("text"))
+    made = secrets.identifier_dictionary(docs.repartition(16), words=40).decode().split()
+    counts = {}
+    for r in docs.distinct().collect():
+        for w in set(r["text"].split()):
+            counts[w] = counts.get(w, 0) + 1
+    want = sorted((w for w, n in counts.items() if n > 1), key=lambda w: (-counts[w], w))[:40]
+    assert made == want[::-1]
