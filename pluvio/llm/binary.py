@@ -40,6 +40,8 @@ WINDOW = 1024
 END = PAD = 0
 #: Tokens of a shard, about (a piece more at most), and so of a file.
 SHARD_TOKENS = 1 << 22
+#: Pieces of a shard at most, however short they are.
+SHARD_PIECES = 1 << 16
 
 
 class CapacityTree:
@@ -160,7 +162,9 @@ def write(docs: DataFrame, folder: str | None = None, id_col: str = "doc_id", te
     paths = paths or default_paths()
     folder = folder or work_path(docs.sparkSession, "llm", "packed", unique=True)
     pieces = _pieces(docs, id_col, text_col, window, paths)
-    deal = [F.xxhash64("doc_id", "start", "tokens").alias("deal"), "doc_id", "start", "doc_tokens", "tokens"]
+    # the row's number parts equal rows, which may be most of the table
+    deal = [F.xxhash64("doc_id", "start", "tokens", F.monotonically_increasing_id()).alias("deal"), "doc_id", "start",
+            "doc_tokens", "tokens"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = open_store(folder)
@@ -196,7 +200,7 @@ def write(docs: DataFrame, folder: str | None = None, id_col: str = "doc_id", te
                 rows.append(tuple(row))
                 tokens.append(np.frombuffer(content, dtype))
                 size += len(tokens[-1])
-                if size >= SHARD_TOKENS:
+                if size >= SHARD_TOKENS or len(rows) >= SHARD_PIECES:
                     yield written(rows, tokens)
                     rows, tokens, size = [], [], 0
         if rows:

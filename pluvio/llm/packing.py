@@ -215,6 +215,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window
         if held:
             yield from packed(keys, held)
 
-    order = ["sketch", "tie", "doc_id"]
+    # the row's number parts equal rows, which may be most of the table
+    rows, order = rows.withColumn("row", F.monotonically_increasing_id()), ["sketch", "tie", "doc_id", "row"]
     return (rows.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "tokens")
             .mapInArrow(work, T.StructType(fields)))

@@ -7,6 +7,7 @@ import pytest
 import zstandard
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from conftest import SF_SMALL
@@ -118,3 +119,12 @@ def test_damage_is_noticed(spark):
 def test_empty(no_docs):
     index = binary.write(no_docs)
     assert index.count() == 0 and binary.read(index).collect() == []
+
+
+def test_many_short_pieces_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(binary, "SHARD_PIECES", 50)
+    docs = spark.range(1000).select(F.when(F.col("id") % 3 == 0, F.col("id")).alias("doc_id"),
+                                    F.lit(None).cast("string").alias("text"))
+    index = binary.write(docs)
+    assert index.agg(F.max("segments")).first()[0] <= 50 and index.agg(F.sum("segments")).first()[0] == 1000
+    assert index.count() >= 20 and binary.read(index).count() == 1000
