@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pluvio.llm.common import others, staged
+from pluvio.llm.common import free_prefix, others, staged
 from pluvio.llm.features import NAMES, statistics
 
 TO_POOLED, TO_DIAGONAL = 0.5, 0.1
@@ -139,7 +139,20 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Discriminant:
+def _x(text_col: str, x_col: str | None) -> Column:
+    """The statistics of a row: its column ``x_col``, or else those of its text (null counts as empty)."""
+    return F.col(x_col) if x_col else F.pandas_udf(_statistics, "array<double>")(F.coalesce(F.col(text_col), F.lit("")))
+
+
+def described(docs: DataFrame, text_col: str = "text", out: str = "x") -> DataFrame:
+    """``docs`` without the text, with its statistics as ``out``: computed once,
+    written, and read to fit and to score (as ``x_col``). Null texts count as empty."""
+    kept = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
+    return staged(docs.select(*kept, _x(text_col, None).alias(out)), "described")
+
+
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+        x_col: str | None = None) -> Discriminant:
     """Learn ``labels.quality`` (0 or 1; other values and null are no labels)
     from all rows of ``docs`` that are labelled and not held out.
 
@@ -148,9 +161,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """
     marks = (labels.select(F.col("doc_id").alias("id"), F.col("quality").cast("int").alias("quality"))
              .where("quality in (0, 1)").where(~held_out(F.col("id"))))
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    described = docs.select(F.col(id_col).alias("id"), F.pandas_udf(_statistics, "array<double>")(text).alias("x"))
-    rows = staged(described.where(~held_out(F.col("id"))).join(marks, "id").select("quality", "x"), "training")
+    known = docs.select(F.col(id_col).alias("id"), _x(text_col, x_col).alias("x"))
+    rows = staged(known.where(~held_out(F.col("id"))).join(marks, "id").select("quality", "x"), "training")
     model = _discriminant(_moments(rows))
     if not model.factors:
         return model
@@ -168,26 +180,28 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return Discriminant(**{**model.__dict__, "slope": slope, "shift": shift})
 
 
-def score(docs: DataFrame, model: Discriminant, text_col: str = "text") -> DataFrame:
+def score(docs: DataFrame, model: Discriminant, text_col: str = "text", x_col: str | None = None) -> DataFrame:
     """``docs`` with ``score`` (0 to 1, higher: label 1 likelier) and
-    ``predicted`` (1 if the score is at least 0.3). Reads only the text;
-    null and empty texts are scored as texts without words. Input columns of
-    these two names are replaced."""
+    ``predicted`` (1 if the score is at least 0.3). Reads only the text, or the
+    statistics of it that ``x_col`` holds and that are then dropped; null and
+    empty texts are scored as texts without words. Input columns of these two
+    names are replaced; an empty table stays empty."""
 
     @F.pandas_udf("double")
-    def scored(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for part in texts:
-            x = np.array([statistics(t) for t in part], float).reshape(len(part), len(NAMES))
-            yield pd.Series(model.score(x))
+    def scored(rows: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for part in rows:
+            made = list(part) if x_col else [statistics(t) for t in part]
+            yield pd.Series(model.score(np.array(made, float).reshape(len(part), len(NAMES))))
 
-    made = docs.withColumn("_quality_score_", scored(F.coalesce(F.col(text_col), F.lit(""))))
-    return made.select(*others(made, ["score", "predicted", "_quality_score_"]),
-                       F.col("_quality_score_").alias("score"),
-                       (F.col("_quality_score_") >= THRESHOLD).cast("int").alias("predicted"))
+    at = free_prefix(docs, "_quality_score_")
+    made = docs.withColumn(at, scored(F.col(x_col) if x_col else F.coalesce(F.col(text_col), F.lit(""))))
+    return made.select(*others(made, ["score", "predicted", at, *([x_col] if x_col else [])]), F.col(at).alias("score"),
+                       (F.col(at) >= THRESHOLD).cast("int").alias("predicted"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that the classifier does not reject, with their columns."""
-    model = fit(docs, labels)
-    whole = docs.select("text", F.struct("*").alias("_row"))
-    return score(whole, model).where("predicted = 1").select("_row.*")
+    """The rows of ``docs`` that the classifier does not reject, with their
+    columns, whatever they are called. Null and empty texts are judged like
+    any other, repeated rows alike; an empty table stays empty."""
+    rows = described(docs.select("doc_id", "text", F.struct("*").alias("row")))
+    return score(rows, fit(rows, labels, x_col="x"), x_col="x").where("predicted = 1").select("row.*")
