@@ -30,11 +30,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pluvio.llm.common import others, staged
+from pluvio.llm.common import free_prefix, others, staged
 from pluvio.llm.graph import components
 
 #: Groups up to this size at an anchor are compared side by side, larger ones by search.
 SMALL_GROUP = 64
+#: Rows of an anchor from which on they are divided by the bytes of the other half.
+DIVIDED_GROUP = 1024
 #: Shingles whose bits are counted at a time.
 CHUNK = 1 << 16
 
@@ -159,8 +161,8 @@ def _small(key, fp, home, max_bits) -> list[np.ndarray]:
     return links
 
 
-def _large(fp: np.ndarray, max_bits: int) -> list[np.ndarray]:
-    """A spanning forest of the links inside one large group: fewer links than rows."""
+def _forest(fp: np.ndarray, max_bits: int) -> list[np.ndarray]:
+    """A spanning forest of the links inside one group: fewer links than rows."""
     links, rest, queue = [], fp, []
     while len(rest):
         if not queue:
@@ -177,13 +179,30 @@ def _large(fp: np.ndarray, max_bits: int) -> list[np.ndarray]:
     return links
 
 
+def _large(fp: np.ndarray, half: int, max_bits: int) -> list[np.ndarray]:
+    """Links that connect what is near in a large group of one anchor.
+
+    The half that the anchor does not cover differs in at most ``max_bits``
+    bits, so with fewer bits than bytes at least one of its bytes is equal: the
+    group is divided by each byte in turn, and rows are compared inside these parts."""
+    if max_bits >= 4 or len(fp) <= DIVIDED_GROUP:
+        return _forest(fp, max_bits)
+    other, links = fp >> np.uint64(32 * (1 - half)), []
+    for byte in range(4):
+        value = (other >> np.uint64(8 * byte)) & np.uint64(255)
+        order = np.argsort(value, kind="stable")
+        for part in np.split(fp[order], np.flatnonzero(np.diff(value[order])) + 1):
+            links += _forest(part, max_bits)
+    return links
+
+
 def _links(key, fp, home, max_bits) -> list[np.ndarray]:
     edges = np.flatnonzero(np.diff(key)) + 1
     starts, ends = np.r_[0, edges], np.r_[edges, len(key)]
     large = ends - starts > SMALL_GROUP
     links = []
     for s, e in zip(starts[large], ends[large]):
-        links += _large(fp[s:e], max_bits)
+        links += _large(fp[s:e], int(key[s]) >> 32, max_bits)
     small = np.repeat(~large, ends - starts)
     return links + _small(key[small], fp[small], home[small], max_bits)
 
@@ -260,12 +279,14 @@ def deduplicate(docs: DataFrame, max_bits: int = 3, shingle: int = 3,
                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one document of each component, that with the smallest
     id (ids that are not null first). Rows equal in id and text are the same
-    document: they stay or go together."""
+    document: they stay or go together. Texts without words (null, empty, white
+    space) are alike and one of them stays. An empty table stays empty, and
+    columns keep their names, whatever they are."""
     rows, groups = _grouped(docs, max_bits, shingle, id_col, text_col)
     goes = rows.join(groups, "fp").where(
         "not (doc_id <=> best.doc_id and fp = best.fp and text_hash = best.text_hash)")
     goes = staged(goes.select(F.col("doc_id").alias("d"), F.col("text_hash").alias("h")).distinct(), "goes")
-    hashed = "_simhash_text_hash_"
+    hashed = free_prefix(docs, "_simhash_text_hash_")
     marked = docs.withColumn(hashed, F.xxhash64(F.coalesce(F.col(text_col), F.lit("")).cast("binary")))
     left = marked.join(goes, marked[id_col].eqNullSafe(goes["d"]) & (marked[hashed] == goes["h"]), "left_anti")
     return left.select(*others(left, [hashed]))

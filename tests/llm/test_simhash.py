@@ -3,6 +3,7 @@ from __future__ import annotations
 import re
 
 import numpy as np
+import pytest
 import xxhash
 
 from pluvio.llm import simhash
@@ -110,3 +111,31 @@ def test_deduplicate_keeps_one_of_each(spark):
 def test_empty(no_docs):
     assert simhash.near_duplicates(no_docs).collect() == []
     assert simhash.deduplicate(no_docs).collect() == []
+
+
+@pytest.mark.parametrize("max_bits", [2, 3])
+@pytest.mark.parametrize("half", [0, 1])
+def test_large_groups_divided_by_bytes_keep_every_link(monkeypatch, half, max_bits):
+    rng = np.random.default_rng(6)
+    near = rng.integers(0, 1 << 32, 40, dtype=np.uint64)
+    noise = np.array([sum(1 << int(b) for b in rng.choice(32, rng.integers(0, 4), replace=False)) for _ in range(900)], np.uint64)
+    other = near[rng.integers(0, 40, 900)] ^ noise
+    fp = np.unique(other << np.uint64(32 * (1 - half)))  # the anchor's half is the same in all
+
+    def components(links):
+        root = {int(x): int(x) for x in fp}
+
+        def find(x):
+            while root[x] != x:
+                x = root[x]
+            return x
+
+        for a, b in (row for part in links for row in part.tolist()):
+            root[find(int(a))] = find(int(b))
+        return sorted(sorted(x for x in root if find(x) == r) for r in {find(x) for x in root})
+
+    pairs = [np.array([[a, b] for b in fp if bin(int(a) ^ int(b)).count("1") <= max_bits], np.uint64) for a in fp]
+    monkeypatch.setattr(simhash, "DIVIDED_GROUP", 10)
+    divided = simhash._large(fp, half, max_bits)
+    assert all(bin(int(a) ^ int(b)).count("1") <= max_bits for part in divided for a, b in part.tolist())
+    assert components(divided) == components(pairs)
