@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pluvio.llm.common import others, staged
+from pluvio.llm.common import free_prefix, others, staged
 
 BLOCK_BYTES = 4096
 
@@ -132,7 +132,7 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    .groupBy("doc_id", "text_sha256").count().where("count > 1"), "again")
     dropped = (found.where("not kept and not doc_id <=> keep_id")
                .select(F.col("doc_id").alias("d"), F.col("text_sha256").alias("s")).distinct())
-    digest = "_exact_dedup_digest_"
+    digest = free_prefix(docs, "_exact_dedup_digest_")
     marked = docs.withColumn(digest, F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256))
     left = marked.join(dropped, marked[id_col].eqNullSafe(dropped["d"])
                        & (marked[digest] == dropped["s"]), "left_anti")

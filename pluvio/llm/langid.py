@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pluvio.llm.common import others
+from pluvio.llm.common import free_prefix, others
 
 BUCKETS = 1 << 14
 DIMENSIONS = 16
@@ -215,5 +215,6 @@ def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> D
         for part in texts:
             yield pd.DataFrame([model.predict(t) for t in part], columns=["lang_pred", "score", "rejected"])
 
-    made = docs.withColumn("_langid_", predicted(F.coalesce(F.col(text_col), F.lit(""))))
-    return made.select(*others(made, ["lang_pred", "score", "rejected", "_langid_"]), "_langid_.*")
+    found = free_prefix(docs, "_langid_")
+    made = docs.withColumn(found, predicted(F.coalesce(F.col(text_col), F.lit(""))))
+    return made.select(*others(made, ["lang_pred", "score", "rejected", found]), f"{found}.*")

@@ -60,9 +60,8 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    model = quality.fit(docs, table(spark, sf_dir, "labels"))
-    scored = quality.score(docs, model)
+    rows = quality.described(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    scored = quality.score(rows, quality.fit(rows, table(spark, sf_dir, "labels"), x_col="x"), x_col="x")
     return scored.select("doc_id", quality.held_out(scored["doc_id"]).alias("held_out"), "score", "predicted")
 
 
@@ -177,14 +176,13 @@ ORACLE: dict[str, str] = {
             select page_id, coalesce(html, '') as payload,
                    max(page_id) over (partition by coalesce(html, '')) as last from pages)
         select page_id, strlen(payload) as payload_bytes, sha1(payload) as payload_digest,
-               case when strlen(payload) >= 1000 and page_id < last then 'revisit' else 'response' end as record_type,
-               case when strlen(payload) >= 1000 and page_id < last then last end as refers_to
-        from p""",
+               case when again then 'revisit' else 'response' end as record_type, case when again then last end as refers_to
+        from (select *, strlen(payload) >= 1000 and last is not null and (page_id is null or page_id < last) as again from p)""",
     "op10_exact_dedup": """
         select doc_id,
                max(doc_id) over (partition by coalesce(text, '')) as keep_id,
                count(*) over (partition by coalesce(text, '')) as group_size,
-               doc_id = max(doc_id) over (partition by coalesce(text, '')) as kept,
+               row_number() over (partition by coalesce(text, '') order by doc_id desc nulls last) = 1 as kept,
                sha256(coalesce(text, '')) as text_sha256
         from documents""",
     "op11_chat": r"""
