@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pluvio.session import ship_package, work_path
+from pluvio.session import ship_package
+from pluvio.staging import stage
 
 #: A word: a run of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -15,11 +16,10 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to a fresh folder under the shared work folder and read it back.
 
     The written files cut the lineage: a lost executor costs a reread, and
-    what reads the result sees one fixed set of rows.
+    what reads the result sees one fixed set of rows. Inside ``scratch`` the
+    copy is deleted at the end of the block.
     """
-    path = work_path(df.sparkSession, "llm", label, unique=True)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return stage(df, df.sparkSession, f"llm-{label}")[0]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

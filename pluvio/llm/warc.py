@@ -222,27 +222,38 @@ def write(pages: DataFrame, folder: str | None = None) -> DataFrame:
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", payload.alias("payload")).select(
         "*", url_key(F.col("url")).alias("key"), F.sha2("payload", 256).alias("same"))
-    large = F.octet_length("payload") >= REVISIT_BYTES
-    groups = staged(rows.where(large).groupBy("same").agg(
+    large = staged(rows.where(F.octet_length("payload") >= REVISIT_BYTES).select("key", "page_id", "url", "same"), "large")
+    groups = staged(large.groupBy("same").agg(
         F.max(F.struct("page_id", "url")).alias("original"), F.count(F.lit(1)).alias("n"))
         .where("n > 1").drop("n"), "originals")
     if groups.limit(BROADCAST_GROUPS + 1).count() <= BROADCAST_GROUPS:
         groups = F.broadcast(groups)
-    joined = rows.join(groups, "same", "left")
-    revisit = F.col("original").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("original.page_id")) & large
-    ready = joined.select(
-        "key", "page_id", "url", revisit.alias("revisit"), F.col("original.page_id").alias("original_id"),
-        F.col("original.url").alias("original_url"), "payload")
+    revisits = large.join(groups, "same").where("not page_id <=> original.page_id")
+    # what a record revisits is a narrow row of its own, sorted before it: payloads move once, to be sorted
+    null = lambda kind: F.lit(None).cast(kind)
+    ready = rows.select("key", "page_id", F.lit(True).alias("is_page"), "same", "url", null("long").alias("original_id"),
+                        null("string").alias("original_url"), "payload").unionByName(revisits.select(
+                            "key", "page_id", F.lit(False).alias("is_page"), "same", null("string").alias("url"),
+                            F.col("original.page_id").alias("original_id"), F.col("original.url").alias("original_url"),
+                            null("binary").alias("payload")))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = open_store(folder)
         task = TaskContext.get()
         name = f"{base}/part-{task.partitionId():06d}-{task.taskAttemptId()}"
-        index = archive = first = None
+        index = archive = first = place = None
         at = captures = files = 0
+        revisited: dict[str, tuple] = {}
         for b in batches:
-            for key, page_id, url, again, original_id, original_url, content in zip(*(b.column(i) for i in range(7))):
-                key, page_id, content = key.as_py(), page_id.as_py(), content.as_py()
+            for key, page_id, is_page, same, url, original_id, original_url, content in zip(
+                    *(b.column(i) for i in range(8))):
+                key, page_id, same = key.as_py(), page_id.as_py(), same.as_py()
+                if place != (key, page_id):
+                    place, revisited = (key, page_id), {}
+                if not is_page.as_py():
+                    revisited[same] = original_id.as_py(), original_url.as_py()
+                    continue
+                content = content.as_py()
                 if index is None:
                     store.create_dir(base, recursive=True)
                     index, first = _IndexWriter(store.open_output_stream(f"{name}.idx", compression=None)), (key, page_id)
@@ -256,8 +267,7 @@ def write(pages: DataFrame, folder: str | None = None) -> DataFrame:
                                     ("Content-Type", "application/warc-fields")], b"format: WARC File Format 1.1\r\n")
                     archive.write(info)
                     at = len(info)
-                refers = (original_id.as_py(), original_url.as_py()) if again.as_py() else None
-                made = record(page_id, url.as_py(), content, _digest(content), refers)
+                made = record(page_id, url.as_py(), content, _digest(content), revisited.get(same))
                 archive.write(made)
                 index.add([key, page_id, files - 1, at, len(made)])
                 at, captures = at + len(made), captures + 1
@@ -271,7 +281,7 @@ def write(pages: DataFrame, folder: str | None = None) -> DataFrame:
                            ("captures", pa.int64())]))
 
     order = ["key", "page_id"]
-    written = (ready.repartitionByRange(*order).sortWithinPartitions(*order)
+    written = (ready.repartitionByRange(*order).sortWithinPartitions(*order, "is_page")
                .mapInArrow(work, "first_key string, first_page_id long, path string, captures long"))
     return staged(written, "index")
 
