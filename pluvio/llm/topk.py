@@ -1,8 +1,8 @@
 """Exact top-k search by inner product: ball-tree branch and bound per shard.
 
-Candidates and queries are dealt by space: a bounded sample gives the pivots,
-every row goes to its nearest one, and a pivot's rows are divided into shards
-(or query groups) of bounded size. A pivot and its farthest row make a ball. A
+Candidates and queries are dealt by space: a bounded sample of each gives
+pivots, every row goes to its nearest one, and a pivot's rows are divided into
+shards (or query groups) of bounded size. A pivot and its farthest row make a ball. A
 cell is one shard and one query group: it builds a ball tree of the shard, and
 takes its nodes in the order of their upper bound, q.c + |q| r, as long as
 one of the queries can still gain.
@@ -206,12 +206,20 @@ class Pivots:
         empty = [np.zeros(0)]
         return np.concatenate(place or empty).astype(np.int32), np.concatenate(far or empty)
 
-    def bounds(self, query_radius: np.ndarray, radius: np.ndarray) -> np.ndarray:
-        """Upper bounds of the inner products of the rows of each two pivots."""
-        length = np.sqrt(np.square(self.points).sum(axis=1))
-        bound = (self.points @ self.points.T + np.outer(query_radius, length) + np.outer(length, radius)
-                 + np.outer(query_radius, radius))
-        return bound + 1e-6 + 1e-9 * np.abs(bound)
+
+def _bounds(queries: Pivots, query_radius: np.ndarray, shards: Pivots, radius: np.ndarray) -> np.ndarray:
+    """Upper bounds of the inner products of the rows of each query pivot and each shard pivot."""
+    width = max(queries.points.shape[1], shards.points.shape[1])
+    a, b = (_stack(pd.Series(list(p.points)), width) for p in (queries, shards))
+    lengths = [np.sqrt(np.square(x).sum(axis=1)) for x in (a, b)]
+    bound = a @ b.T + np.outer(query_radius, lengths[1]) + np.outer(lengths[0], radius) + np.outer(query_radius, radius)
+    return bound + 1e-6 + 1e-9 * np.abs(bound)
+
+
+def _sampled(rows: DataFrame, size: int) -> Pivots:
+    """Pivots for sets of about ``size`` rows, from a sample in the order of a hash."""
+    most = max(1, min(MOST_PIVOTS, -(-rows.count() // size)))
+    return Pivots([r["v"] for r in rows.select("v").orderBy(F.xxhash64("v")).limit(SAMPLE).collect()], most)
 
 
 def _placed(rows: DataFrame, pivots: Pivots, size: int, part: str) -> tuple[DataFrame, dict[int, tuple[float, int]]]:
@@ -269,13 +277,11 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id"
     alike = F.row_number().over(Window.partitionBy("v").orderBy("id"))
     candidates = staged(vectors.select("id", "v", copies.alias("copy")).withColumn("nth", alike)
                         .where(F.col("nth") <= 2 * k).select("id", "v"), "candidates")
-    total = candidates.count()
-    most = max(1, min(MOST_PIVOTS, -(-total // shard_rows)))
-    pivots = Pivots([r["v"] for r in candidates.select("v").orderBy(F.xxhash64("v")).limit(SAMPLE).collect()], most)
-    candidates, balls = _placed(candidates, pivots, shard_rows, "shard")
-    queries, groups = _placed(asked.select("q", "id", "v"), pivots, query_rows, "cell_group")
-    radius = lambda of: np.array([of.get(p, (0.0, 0))[0] for p in range(len(pivots.points))])
-    bound = pivots.bounds(radius(groups), radius(balls))
+    shard_pivots, query_pivots = _sampled(candidates, shard_rows), _sampled(asked, query_rows)
+    candidates, balls = _placed(candidates, shard_pivots, shard_rows, "shard")
+    queries, groups = _placed(asked.select("q", "id", "v"), query_pivots, query_rows, "cell_group")
+    radius = lambda of, p: np.array([of.get(i, (0.0, 0))[0] for i in range(len(p.points))])
+    bound = _bounds(query_pivots, radius(groups, query_pivots), shard_pivots, radius(balls, shard_pivots))
     left = {g: sorted(balls, key=lambda p: -bound[g, p]) for g in groups}  # pivots not yet searched, by promise
     best, wave = None, 1
     place = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id")

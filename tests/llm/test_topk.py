@@ -89,7 +89,7 @@ def test_far_shards_are_not_shipped(spark, monkeypatch):
         return pairs(df, key, shipped, *rest)
 
     monkeypatch.setattr(topk, "_pairs", watched)
-    got = topk.top_k(_table(spark, rows), topk.F.col("vec_id") % 20 == 0, k=5, shard_rows=100, query_rows=100)
+    got = topk.top_k(_table(spark, rows), topk.F.col("vec_id") % 20 == 0, k=5, shard_rows=100, query_rows=20)
     assert sorted(map(tuple, got.collect())) == _brute(rows, 5, lambda q: q % 20 == 0)
     groups = len({q % 24 for q in range(0, 2400, 20)})
     assert sum(cells) < groups * 24 / 4  # all pairs would be groups * 24
