@@ -33,6 +33,8 @@ TRAIN_ROWS = 2400
 EPOCHS, RATE = 6, 0.5
 #: Share of the sample that calibrates, and of correct predictions that may be rejected.
 CALIBRATION, REJECT = 0.25, 0.01
+#: A wrong prediction kept counts as much as so many right ones rejected.
+COST = 5
 UNKNOWN = "und"
 PIECE = 1 << 18
 
@@ -148,8 +150,7 @@ def train(bags: list[tuple[np.ndarray, np.ndarray]], langs: list[str], seed: int
             back = out @ off
             out -= rate * np.outer(mean, off)
             bias -= rate * 0.1 * off
-            # each subword's own step is not divided by the text's length
-            embed[where] -= rate * np.sqrt(share)[:, None] * back
+            embed[where] -= rate * np.outer(share, back)
     table = embed @ out
     if not len(calibrate):
         return LanguageModel(languages, table, bias, 1.0, 0.0)
@@ -162,11 +163,25 @@ def train(bags: list[tuple[np.ndarray, np.ndarray]], langs: list[str], seed: int
 
     temperature = min(np.geomspace(0.5, 20, 121), key=loss)
     p = _softmax(logits / temperature)
-    right = np.sort(p.max(axis=1)[p.argmax(axis=1) == known])
-    threshold = float(right[int(len(right) * REJECT)]) if len(right) else 0.0
+    threshold = rejection_threshold(p.max(axis=1), p.argmax(axis=1) == known)
     return LanguageModel(languages, table, bias, float(temperature), threshold)
 
 
+def rejection_threshold(sure: np.ndarray, right: np.ndarray) -> float:
+    """The probability under which a prediction is rejected: where wrong ones
+    kept, each as bad as ``COST`` right ones rejected, and right ones rejected
+    are fewest, but at least the share ``REJECT`` of the right ones."""
+    if not right.any():
+        return 0.0
+    least = np.sort(sure[right])[int(right.sum() * REJECT)]
+    order = np.argsort(sure, kind="stable")
+    rejected = np.r_[0, np.cumsum(right[order])]  # right ones among the i least sure
+    kept = (~right).sum() - np.r_[0, np.cumsum(~right[order])]
+    best = int(np.argmin(COST * kept + rejected))
+    cut = sure[order[best]] if best < len(sure) else np.inf
+    return float(max(least, cut if best else 0.0))
+
+
 def held_out(doc_id: Column) -> Column:
     """Rows that no language is learned from; a row without id is one of them."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(True))
