@@ -37,7 +37,7 @@ TRIGGER, BLOCK = 16, 1 << 20
 #: Size of a level's bitmap as a power of two: 2^26 bits are 8 MB.
 BITS, BITMAP = 26, 1 << 15
 #: A task hands on its counts when it holds so many.
-HELD = 1 << 19
+HELD = 1 << 18
 
 _LETTERS = bytes(range(65, 91))
 _BREAKS, _LINE = b".,;:!?\n\x0b\x0c\r", 10
@@ -311,7 +311,7 @@ def _bigram_hashes(parsed: DataFrame, bits, power: int) -> DataFrame:
             keys.append(twos[take])
             weights.append(b.n[take])
             size += len(keys[-1])
-            if size > 4 * HELD:
+            if size > 8 * HELD:
                 yield from given()
         yield from given()
 
