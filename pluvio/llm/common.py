@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+
+import pluvio
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pluvio.session import ship_package
 from pluvio.staging import stage
 
 #: A word: a run of characters other than ASCII white space.
@@ -22,6 +26,27 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return stage(df, df.sparkSession, f"llm-{label}")[0]
 
 
+_SHIPPED: set[str] = set()  # application ids whose executors have the package
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, so that
+    their Python workers can import it wherever the driver runs."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.abspath(pluvio.__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="pluvio-package-"), "pluvio.zip")
+    with zipfile.ZipFile(archive, "w") as made:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    made.write(path, os.path.relpath(path, os.path.dirname(package)))
+    context.addPyFile(archive)
+    _SHIPPED.add(context.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """An input table, in a session whose Python workers know this package."""
     ship_package(spark)
