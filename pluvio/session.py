@@ -11,13 +11,11 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-import zipfile
 
 from pyspark.sql import SparkSession
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
 _LOCAL_ROOTS: dict[str, str] = {}  # application id -> folder of a local session
-_SHIPPED: set[str] = set()  # application ids whose executors have the package
 
 
 def build_session(master: str = "local[*]", shuffle_partitions: int | None = None,
@@ -71,24 +69,6 @@ def work_path(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     return work_root(spark).rstrip("/") + "/pluvio/" + "/".join(segs)
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Send this package to the executors, once per application, so that
-    their Python workers can import it wherever the driver runs."""
-    context = spark.sparkContext
-    if context.applicationId in _SHIPPED:
-        return
-    package = os.path.dirname(os.path.abspath(__file__))
-    archive = os.path.join(tempfile.mkdtemp(prefix="pluvio-package-"), "pluvio.zip")
-    with zipfile.ZipFile(archive, "w") as made:
-        for folder, _, names in os.walk(package):
-            for name in names:
-                if name.endswith(".py"):
-                    path = os.path.join(folder, name)
-                    made.write(path, os.path.relpath(path, os.path.dirname(package)))
-    context.addPyFile(archive)
-    _SHIPPED.add(context.applicationId)
-
-
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme so Python can inspect local test folders."""
     if path.startswith("file:"):
