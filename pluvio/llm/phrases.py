@@ -157,7 +157,7 @@ def dictionary(docs: DataFrame, lang_col: str = "lang", text_col: str = "text",
     """(lang, owned, chunk, n): the distinct chunks, each with a line feed behind
     it, and how often each is parsed; ``owned`` is -1 for all of a chunk's
     words. Null languages are ``und``, null texts empty."""
-    rows = docs.select(F.coalesce(F.col(f"`{lang_col}`"), F.lit("und")).alias("lang"),
+    rows = docs.select(F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("und")).alias("lang"),
                        F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary").alias("text"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
