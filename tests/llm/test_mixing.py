@@ -94,8 +94,11 @@ def test_no_python_on_the_path(docs, capsys):
     assert not any(w in capsys.readouterr().out for w in ("Python", "Pandas", "Arrow"))
 
 
-@pytest.mark.parametrize("ids", [lambda i: None if i % 2 else 5, lambda i: i % 3, lambda i: None])
-@pytest.mark.parametrize("texts", [lambda i: "a b c " * 8, lambda i: "w " * (1 + i % 5), lambda i: f"t{i} " * 24])
+SAME, FIVE, OWN = (lambda i: "a b c " * 8), (lambda i: "w " * (1 + i % 5)), (lambda i: f"t{i} " * 24)
+
+
+@pytest.mark.parametrize("ids, texts", [(lambda i: None if i % 2 else 5, SAME), (lambda i: None if i % 2 else 5, OWN),
+                                        (lambda i: i % 3, FIVE), (lambda i: None, SAME), (lambda i: None, OWN)])
 def test_repeated_and_missing_ids_hit_the_target(spark, ids, texts):
     rows = [(ids(i), texts(i), "big" if i % 4 else "small") for i in range(2000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
