@@ -1,12 +1,13 @@
 """Clustering around centroids in exact integer arithmetic, by JVM expressions only.
 
-Vectors are turned into integers, so that distances, sums and means have
-one right value in whatever order Spark adds them. A distance is
-v.v - 2 v.c + c.c: v.v is computed once, and v.c is ``aggregate`` over
-``zip_with`` of the vector and a literal centroid array. ``array_min`` over the
-structs (distance, number) picks the cluster, ties to the smaller number. A round adds up each component in a column of its own,
-so the vectors are aggregated where they are read: one row for each
-cluster and task is shuffled, and one for each cluster comes to the driver.
+Vectors are turned into integers, so that distances, sums and means have one
+right value in whatever order Spark adds them. A distance is v.v - 2 v.c + c.c:
+v.v is computed once, and v.c is ``aggregate`` over ``zip_with`` of the vector
+and a literal centroid array. ``array_min`` over the structs (distance, number)
+picks the cluster, ties to the smaller number. A round adds up each component
+in a column of its own, so the vectors are aggregated where they are read:
+one row for each cluster and task is shuffled, and one for each cluster comes
+to the driver.
 """
 
 from __future__ import annotations

@@ -10,7 +10,6 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from conftest import SF_SMALL
 from pluvio.llm import phrases
 
 SCHEMA = "doc_id long, text string, lang string, phrase string, n string, K string, rank string, chunk string"
