@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from .. import functions as PF
 from ..operators.joins import bounded_broadcast
+from ..operators.sizing import spread
 from ..operators.stations import RECORD_COLUMNS, manifest_summary, region_of
 from ..schemas import MANIFEST, RAW_OBSERVATION, STATION_SNAPSHOT
 from . import files
@@ -22,7 +23,8 @@ def rejected_root(root: str) -> str:
     return root.rstrip("/") + "-rejected"
 
 
-def land_observations(observations: DataFrame, root: str, max_records_per_file: int = 1_000_000) -> dict:
+def land_observations(observations: DataFrame, root: str, max_records_per_file: int = 1_000_000,
+                      rows: int | None = None) -> dict:
     """Write raw observations as JSON lines under
     ``datatype=/year=/month=/day=`` (month and day zero-padded), every raw
     field included.
@@ -35,8 +37,9 @@ def land_observations(observations: DataFrame, root: str, max_records_per_file:
     Rows are range-partitioned on the folder keys first: each task then
     writes a contiguous run of folders, and the sampled range bounds split a
     day that holds a large share of the rows over several tasks instead of
-    sending it to one. ``maxRecordsPerFile`` bounds file size. How many tasks
-    there are is left to adaptive execution.
+    sending it to one. ``maxRecordsPerFile`` bounds file size. The number of
+    tasks follows ``rows``, the rows of the batch (counted if not given), as
+    each task sorts its rows by folder.
     """
     day = F.col("date").try_cast("timestamp_ntz").cast("date")
     raw = observations.select(*[F.col(c) if c in observations.columns else F.lit(None).cast("string").alias(c)
@@ -44,7 +47,8 @@ def land_observations(observations: DataFrame, root: str, max_records_per_file:
     parts = PF.day_parts(day)
     keyed = raw.select("*", *[parts[k].alias(k) for k in ("year", "month", "day")], day.isNotNull().alias("_dated"))
     counts = Observation("landing")
-    counted = keyed.repartitionByRange(*OBS_PARTITIONS, "station").observe(
+    rows = observations.count() if rows is None else rows
+    counted = spread(keyed, rows, *OBS_PARTITIONS, "station").observe(
         counts, F.count_if("_dated").alias("landed"), F.count_if(~F.col("_dated")).alias("rejected"))
     (counted.where("_dated").drop("_dated").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .option("maxRecordsPerFile", max_records_per_file)
