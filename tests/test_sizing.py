@@ -4,9 +4,17 @@ from __future__ import annotations
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pluvio.operators import sizing
+from pluvio.operators.numbering import number_in_groups
+from pluvio import fixtures as fx
+from pluvio.plans import registry
+from pluvio.schemas import PAGE_ENVELOPE
 from pluvio.sinks import landing
+from pluvio.staging import scratch
+
+from conftest import SF_SMALL
 
 
 @pytest.fixture()
@@ -35,3 +43,32 @@ def test_landing_gets_tasks_by_its_rows(few, tmp_root):  # H1
     assert landed.select(F.regexp_extract(F.input_file_name(), r"part-(\d+)-", 1)).distinct().count() > 2
     assert landed.agg(F.sum("value")).first()[0] == sum(range(200))
     assert sizing.tasks_for(few, 40) is None and sizing.tasks_for(few, 41) == 3
+
+
+def test_rows_of_a_large_group_are_numbered_in_many_tasks(few):  # A2, A3
+    rows = few.range(205).select(F.when(F.col("id") < 200, "large").when(F.col("id") < 203, "small").alias("k"),
+                                 (F.col("id") * 37 % 205).alias("v"))
+    with scratch(few) as paths:
+        numbered = number_in_groups(rows, ["k"], ["v"], 205)
+        tasks = few.read.parquet(paths[-1]).where("k = 'large'").select(F.shiftright("_at", 33)).distinct().count()
+        got = [tuple(r) for r in numbered.orderBy("k", "nth").collect()]
+    want = []
+    for k in (None, "large", "small"):
+        values = sorted(r.v for r in rows.where(F.col("k").eqNullSafe(k)).collect())
+        want += [(k, v, i + 1, len(values)) for i, v in enumerate(values)]
+    assert got == want and tasks > 2
+
+
+def test_landed_pages_are_filled_in_order(few, monkeypatch):  # A2, A3
+    root = registry._land_pages(few, SF_SMALL, "pages-order", page_rows=7)
+    got = {(r.datatype, r.request, r.metadata.resultset.offset): r for r in few.read.schema(
+        T.StructType([*PAGE_ENVELOPE.fields, T.StructField("datatype", T.StringType()),
+                      T.StructField("request", T.StringType())])).json(root).where("request = 'm199705'").collect()}
+    obs = fx.fx_raw_observations(few, SF_SMALL).where("date like '1997-05%'").collect()
+    for datatype in ("TMAX", "TMIN", "TAVG", "PRCP"):
+        rows = sorted((r.station, r.date, r.value) for r in obs if r.datatype == datatype)
+        for at in range(0, len(rows), 7):
+            page = got.pop((datatype, "m199705", at + 1))
+            assert [(r.station, r.date, r.value) for r in page.results] == rows[at:at + 7]
+            assert (page.metadata.resultset["count"], page.metadata.resultset.limit) == (len(rows), 7)
+    assert not got
