@@ -38,8 +38,8 @@ def land_observations(observations: DataFrame, root: str, max_records_per_file:
     writes a contiguous run of folders, and the sampled range bounds split a
     day that holds a large share of the rows over several tasks instead of
     sending it to one. ``maxRecordsPerFile`` bounds file size. The number of
-    tasks follows ``rows``, the rows of the batch (counted if not given), as
-    each task sorts its rows by folder.
+    tasks follows ``rows``, which the batch has at most (counted if not given),
+    as each task sorts its rows by folder.
     """
     day = F.col("date").try_cast("timestamp_ntz").cast("date")
     raw = observations.select(*[F.col(c) if c in observations.columns else F.lit(None).cast("string").alias(c)

@@ -46,7 +46,7 @@ def load_days(spark: SparkSession, raw_root: str, results_path: str, days: DataF
         if bounds["s"] is None:
             return {"written": False, "rows": 0}
         rows, _bad = tolerant_scan(spark, raw_root, bounds["s"], bounds["e"], days=days)
-        return tables.upsert_observations(pivot_daily(rows), results_path)
+        return tables.upsert_observations(pivot_daily(rows, rows.count()), results_path)
 
 
 def start_incremental_load(spark: SparkSession, raw_root: str, results_path: str,
