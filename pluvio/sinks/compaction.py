@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.joins import bounded_broadcast
+from ..operators.sizing import spread
 from ..schemas import RAW_OBSERVATION
 from ..sources.observations import DAY_KEYS, OBSERVED, _limited, tolerant_scan
 from ..staging import scratch, stage
@@ -59,17 +60,21 @@ def compact_months(spark: SparkSession, raw_root: str, compact_root: str, start,
     with scratch(spark):
         rows, bad_days = tolerant_scan(spark, raw_root, start, end)
         bad = bounded_broadcast(bad_days.select("year", "month").distinct(), 100_000)
-        good, _ = stage(rows.join(bad, ["year", "month"], "left_anti").select(*rows.columns), spark, "compact-good")
-        months = good.select(*MONTH_FOLDERS).distinct()
+        good = rows.join(bad, ["year", "month"], "left_anti").select(*rows.columns)
+        days, _ = stage(good.groupBy(*DAY_FOLDERS).agg(F.count(F.lit(1)).alias("rows")), spark, "compact-days")
+        months = days.select(*MONTH_FOLDERS).distinct()
         stored = _zone(spark, compact_root, "parquet", start, end).join(
             bounded_broadcast(months, 100_000), list(MONTH_FOLDERS), "left_semi").select(*rows.columns)
-        kept = stored.join(good.select(*DAY_FOLDERS).distinct(), list(DAY_FOLDERS), "left_anti").select(*rows.columns)
-        merged, _ = stage(good.unionByName(kept).repartitionByRange(*MONTH_FOLDERS, "station"), spark, "compact-merged")
+        # what stays of the folders that are about to be written; the rest is staged already
+        kept, _ = stage(stored.join(days.select(*DAY_FOLDERS), list(DAY_FOLDERS), "left_anti").select(*rows.columns),
+                        spark, "compact-kept")
+        total = (days.agg(F.sum("rows")).first()[0] or 0) + kept.count()
+        merged = spread(good.unionByName(kept), total, *MONTH_FOLDERS, "station")
         (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*MONTH_FOLDERS).parquet(compact_root))
-        found = good.select(*DAY_FOLDERS).distinct().groupBy(*MONTH_FOLDERS).agg(F.collect_list("day").alias("days")).collect()
+        found = days.groupBy(*MONTH_FOLDERS).agg(F.collect_list("day").alias("days")).collect()
         for m in found:  # a row a month folder; only days that are now in parquet go
             folder = f"{raw_root}/datatype={m['datatype']}/year={m['year']}/month={m['month']:02d}"
             for day in m["days"]:
                 files.delete(spark, f"{folder}/day={day:02d}")
-        return {"months": len(found), "rows": merged.count()}
+        return {"months": len(found), "rows": total}

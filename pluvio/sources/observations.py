@@ -67,7 +67,8 @@ def tolerant_scan(spark: SparkSession, root: str, start=None, end=None, datatype
     ``days`` (year, month, day) limits the scan to these days inside the
     period. The raw files are read once: the flagged rows are staged as
     parquet in the shared folder (a job does this inside ``scratch``), and the
-    bad days, at most one row per day of the period, are found there by their flag.
+    bad days, at most one row per day of the period, are found there by their flag
+    and staged too.
     """
     # the folder columns are named, as a root whose days are all compacted has no folder to find them in
     schema = T.StructType([*RAW_OBSERVATION.fields, *(T.StructField(k, T.IntegerType()) for k in DAY_KEYS)])
@@ -81,7 +82,8 @@ def tolerant_scan(spark: SparkSession, root: str, start=None, end=None, datatype
         flagged = flagged.join(bounded_broadcast(wanted, 1_000_000), list(DAY_KEYS), "left_semi").select(
             *flagged.columns)
     staged, _path = stage(flagged, spark, "raw-days")
-    bad_days = staged.where(~F.col("usable")).select(*DAY_KEYS).distinct()
+    # read again by every reader of the rows
+    bad_days, _path = stage(staged.where(~F.col("usable")).select(*DAY_KEYS).distinct(), spark, "bad-days")
     good = staged.where("usable").join(bounded_broadcast(bad_days, 1_000_000), list(DAY_KEYS), "left_anti")
     return good.select(*OBSERVED, *DAY_KEYS), bad_days
 
