@@ -9,9 +9,10 @@ from pyspark.sql import types as T
 from pluvio.operators import sizing
 from pluvio.operators.numbering import number_in_groups
 from pluvio import fixtures as fx
-from pluvio.plans import registry
+from pluvio.operators.observations import pivot_daily
+from pluvio.plans import jobs, registry
 from pluvio.schemas import PAGE_ENVELOPE
-from pluvio.sinks import landing
+from pluvio.sinks import compaction, landing, tables
 from pluvio.staging import scratch
 
 from conftest import SF_SMALL
@@ -72,3 +73,55 @@ def test_landed_pages_are_filled_in_order(few, monkeypatch):  # A2, A3
             assert [(r.station, r.date, r.value) for r in page.results] == rows[at:at + 7]
             assert (page.metadata.resultset["count"], page.metadata.resultset.limit) == (len(rows), 7)
     assert not got
+
+
+def test_compaction_writes_months_by_their_rows_and_stages_them_once(few, tmp_root, monkeypatch):  # H1
+    raw, compact = tmp_root + "/raw", tmp_root + "/compact"
+    landing.land_observations(_observations(few, 200), raw)
+    staged, stage = [], compaction.stage
+    monkeypatch.setattr(compaction, "stage", lambda df, spark, label: staged.append(label) or stage(df, spark, label))
+    sizes = []
+    monkeypatch.setattr(compaction, "spread", lambda df, rows, *keys: sizes.append(rows) or sizing.spread(df, rows, *keys))
+    assert compaction.compact_months(few, raw, compact, "2000-01-01", "2000-01-31") == {"months": 2, "rows": 200}
+    assert staged == ["compact-days", "compact-kept"] and sizes == [200]  # no second copy of the rows
+    # a day is landed again: the other days of its month stay, and are counted
+    landing.land_observations(_observations(few, 200).where("datatype = 'TMAX' and date like '2000-01-02%' and value < 50"), raw)
+    assert compaction.compact_months(few, raw, compact, "2000-01-01", "2000-01-31") == {"months": 1, "rows": 85}
+    got = compaction.scan_landed(few, raw, compact).groupBy("datatype").count().collect()
+    assert sorted(map(tuple, got)) == [("PRCP", 100), ("TMAX", 85)]
+
+
+def test_a_pivot_gets_tasks_by_its_rows(few):  # C1, E1
+    observations = _observations(few, 200)
+    wide = pivot_daily(observations, 200)
+    plan = wide._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and wide.select(F.spark_partition_id()).distinct().count() > 2
+    assert sorted(map(tuple, wide.collect())) == sorted(map(tuple, pivot_daily(observations).collect()))
+
+
+def test_a_first_load_is_staged_once_and_a_later_one_merged(few, tmp_root, monkeypatch):  # H4
+    path, staged, stage = tmp_root + "/results", [], tables.stage
+    tables.ensure_table(few, path, "transformed_results")
+    monkeypatch.setattr(tables, "stage", lambda df, spark, label: staged.append(label) or stage(df, spark, label))
+    first = pivot_daily(_observations(few, 200), 200)
+    assert tables.upsert_observations(first, path) == {"written": True, "rows": 200}
+    assert staged == ["transformed_results-batch"]
+    assert len(few.read.parquet(path).inputFiles()) > 2  # one month, in the tasks that its rows need
+    assert tables.upsert_observations(first.limit(3).withColumn("tmax", F.lit(-1.0)), path)["rows"] == 3
+    got = tables.read_table(few, path, "transformed_results")
+    assert staged[1:] == ["transformed_results-batch", "transformed_results-next"]
+    assert (got.count(), got.where("tmax = -1").count()) == (200, 3)
+
+
+def test_touched_months_are_derived_once(few, tmp_root):  # J3
+    layout = jobs.Layout(tmp_root)
+    tables.ensure_table(few, layout.results, "transformed_results")
+    daily = pivot_daily(_observations(few, 20), 20)
+    tables.upsert_observations(daily, layout.results)
+    jobs.refresh_cube(few, layout)
+    read = few.sparkContext.accumulator(0)
+    seen = F.udf(lambda d: read.add(1) or d, "date")
+    months = daily.select(seen("date").alias("d")).select(F.year("d").alias("year"), F.month("d").alias("month"))
+    counted = daily.count()
+    assert jobs.refresh_cube(few, layout, months) == 20
+    assert read.value <= 2 * counted  # a year and a month of each row, once
