@@ -34,23 +34,24 @@ def land_observations(observations: DataFrame, root: str, max_records_per_file:
     date does not parse has no day folder: it goes to ``rejected_root(root)``
     with a reason. Returns the rows landed and rejected.
 
-    Rows are range-partitioned on the folder keys first: each task then
+    Rows are range-partitioned by datatype and day first: each task then
     writes a contiguous run of folders, and the sampled range bounds split a
     day that holds a large share of the rows over several tasks instead of
-    sending it to one. ``maxRecordsPerFile`` bounds file size. The number of
+    sending it to one. The sample is a pass of its own over the batch, so the
+    folder names are made from the day after it. ``maxRecordsPerFile`` bounds file size. The number of
     tasks follows ``rows``, which the batch has at most (counted if not given),
     as each task sorts its rows by folder.
     """
     day = F.col("date").try_cast("timestamp_ntz").cast("date")
     raw = observations.select(*[F.col(c) if c in observations.columns else F.lit(None).cast("string").alias(c)
                                 for c in RAW_COLUMNS])
-    parts = PF.day_parts(day)
-    keyed = raw.select("*", *[parts[k].alias(k) for k in ("year", "month", "day")], day.isNotNull().alias("_dated"))
     counts = Observation("landing")
     rows = observations.count() if rows is None else rows
-    counted = spread(keyed, rows, *OBS_PARTITIONS, "station").observe(
-        counts, F.count_if("_dated").alias("landed"), F.count_if(~F.col("_dated")).alias("rejected"))
-    (counted.where("_dated").drop("_dated").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    dated = F.col("_day").isNotNull()
+    counted = spread(raw.withColumn("_day", day), rows, "datatype", "_day", "station").observe(
+        counts, F.count_if(dated).alias("landed"), F.count_if(~dated).alias("rejected"))
+    (counted.where(dated).withColumns(PF.day_parts("_day")).drop("_day")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .option("maxRecordsPerFile", max_records_per_file)
      .partitionBy(*OBS_PARTITIONS).json(root))
     found = {k: int(v) for k, v in counts.get.items()}

@@ -22,6 +22,7 @@ from ..staging import stage
 CORRUPT = "_corrupt_record"
 DAY_KEYS = ("year", "month", "day")
 OBSERVED = ("station", "date", "datatype", "attributes", "value")
+PIVOTED = ("station", "date", "datatype", "value")  # what the daily pivot uses of them
 
 
 def _with_corrupt(schema: T.StructType) -> T.StructType:
@@ -56,7 +57,8 @@ def scan_observations_by_type(spark: SparkSession, root: str, start, end, dataty
 
 
 def tolerant_scan(spark: SparkSession, root: str, start=None, end=None, datatypes=None,
-                  multiline: bool = False, days: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+                  multiline: bool = False, days: DataFrame | None = None,
+                  columns=OBSERVED) -> tuple[DataFrame, DataFrame]:
     """Scan that skips whole days holding an unusable record.
 
     Returns ``(rows, bad_days)``. A day with any unusable record (a bad
@@ -65,7 +67,8 @@ def tolerant_scan(spark: SparkSession, root: str, start=None, end=None, datatype
     upsert never overwrites a stored good value with a partial day.
 
     ``days`` (year, month, day) limits the scan to these days inside the
-    period. The raw files are read once: the flagged rows are staged as
+    period, and ``columns`` the raw fields given back (a record is checked whole
+    whatever they are). The raw files are read once: the flagged rows are staged as
     parquet in the shared folder (a job does this inside ``scratch``), and the
     bad days, at most one row per day of the period, are found there by their flag
     and staged too.
@@ -76,7 +79,7 @@ def tolerant_scan(spark: SparkSession, root: str, start=None, end=None, datatype
     keys = [F.col(k).cast("int").alias(k) for k in DAY_KEYS]
     dated = F.col("date").try_cast("timestamp_ntz").isNotNull()
     usable = F.col(CORRUPT).isNull() & F.col("station").isNotNull() & dated
-    flagged = df.select(*OBSERVED, *keys, usable.alias("usable"))
+    flagged = df.select(*columns, *keys, usable.alias("usable"))
     if days is not None:
         wanted = days.select(*keys).distinct()
         flagged = flagged.join(bounded_broadcast(wanted, 1_000_000), list(DAY_KEYS), "left_semi").select(
@@ -85,7 +88,7 @@ def tolerant_scan(spark: SparkSession, root: str, start=None, end=None, datatype
     # read again by every reader of the rows
     bad_days, _path = stage(staged.where(~F.col("usable")).select(*DAY_KEYS).distinct(), spark, "bad-days")
     good = staged.where("usable").join(bounded_broadcast(bad_days, 1_000_000), list(DAY_KEYS), "left_anti")
-    return good.select(*OBSERVED, *DAY_KEYS), bad_days
+    return good.select(*columns, *DAY_KEYS), bad_days
 
 
 # --- page envelopes ---------------------------------------------------------

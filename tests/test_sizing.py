@@ -9,10 +9,11 @@ from pyspark.sql import types as T
 from pluvio.operators import sizing
 from pluvio.operators.numbering import number_in_groups
 from pluvio import fixtures as fx
-from pluvio.operators.observations import pivot_daily
+from pluvio.operators.observations import observed_span, pivot_daily
 from pluvio.plans import jobs, registry
 from pluvio.schemas import PAGE_ENVELOPE
 from pluvio.sinks import compaction, landing, tables
+from pluvio.sources import observations as src
 from pluvio.staging import scratch
 
 from conftest import SF_SMALL
@@ -125,3 +126,59 @@ def test_touched_months_are_derived_once(few, tmp_root):  # J3
     counted = daily.count()
     assert jobs.refresh_cube(few, layout, months) == 20
     assert read.value <= 2 * counted  # a year and a month of each row, once
+
+
+def test_folder_names_are_made_after_the_sampled_sort(few, tmp_root, monkeypatch):  # H1
+    sorted_by = []
+
+    def seen(df, rows, *keys):
+        sorted_by.append((sorted(df.columns), keys))
+        return sizing.spread(df, rows, *keys)
+
+    monkeypatch.setattr(landing, "spread", seen)
+    undated = few.createDataFrame([("GHCND:S000001", "soon", "TMAX", "x", 1.0), ("GHCND:S000001", None, "TMAX", "x", 1.0)],
+                                  "station string, date string, datatype string, attributes string, value double")
+    assert landing.land_observations(_observations(few, 200).unionByName(undated), tmp_root + "/raw") == {
+        "landed": 200, "rejected": 2}
+    assert sorted_by == [(["_day", "attributes", "datatype", "date", "station", "value"], ("datatype", "_day", "station"))]
+    got = few.read.json(tmp_root + "/raw")
+    assert sorted(got.columns) == ["attributes", "datatype", "date", "day", "month", "station", "value", "year"]
+    assert got.where("make_date(year, month, day) != cast(left(date, 10) as date)").isEmpty()
+
+
+def test_a_load_stages_only_what_the_pivot_uses(few, tmp_root, monkeypatch):  # A4, J1
+    layout, staged, stage = jobs.Layout(tmp_root), {}, src.stage
+    landing.land_observations(_observations(few, 20), layout.raw_results)
+    monkeypatch.setattr(src, "stage", lambda df, spark, label: staged.setdefault(label, df.columns) and stage(df, spark, label))
+    few.createDataFrame([('{"station": "X", "attributes": {"a": 1}, "date": "2000-01-01"',)], "value string").write.mode(
+        "append").text(layout.raw_results + "/datatype=TMAX/year=2000/month=01/day=01")
+    report = jobs.job_transform_observations(few, layout, "2000-01-01", "2000-01-31")
+    assert staged["raw-days"] == ["station", "date", "datatype", "value", "year", "month", "day", "usable"]
+    assert (report["rows"], report["skipped_days"]) == (16, 1)  # the day of the broken record is left out whole
+
+
+def test_the_span_parses_each_date_once(spark):  # C1
+    rows = [("A", "2000-01-02T00:00:00")] * 500 + [("A", "2000-03-01"), ("A", "soon"), ("A", None), (None, "1999-01-01")]
+    raw = spark.createDataFrame(rows, "station string, date string")
+    assert tuple(map(str, observed_span(raw).first())) == ("2000-01-02", "2000-03-01")
+    plan = registry._observed_span(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("date_format") == 1  # not in a filter once more
+
+
+def test_keys_that_share_a_hash_are_compared_themselves(few, monkeypatch):  # H4
+    monkeypatch.setattr(tables.F, "xxhash64", lambda *c: F.lit(7).cast("bigint"))
+    ids = few.range(50).select(F.col("id").cast("string").alias("id"))
+    tables._unique(ids, "id", "ids", 50)
+    with pytest.raises(tables.ContractError, match=r"repeated id in ids: \['3'\]"):
+        tables._unique(ids.unionByName(ids.where("id = '3'")), "id", "ids", 51)
+
+
+def test_missing_loads_list_datatypes_by_day_not_by_row(spark):  # B7, J4
+    loaded = spark.createDataFrame([("A", "2000-01-01", 1.0, None), ("B", "2000-01-01", 2.0, None), ("A", "2000-02-01", None, 3.0)],
+                                   "station string, d string, tmax double, prcp double").withColumn("date", F.to_date("d"))
+    periods = spark.sql("select date'2000-01-01' as start, date'2000-01-31' as end union all "
+                        "select date'2000-02-01', date'2000-02-29'")
+    missing = jobs._missing(periods, loaded, ["TMAX", "PRCP"])
+    assert sorted((str(r.start), r.datatype) for r in missing.collect()) == [("2000-01-01", "PRCP"), ("2000-02-01", "TMAX")]
+    plan = missing._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate explode(knownnotcontainsnull") < plan.index("max(isnotnull(tmax")  # the day's row first
