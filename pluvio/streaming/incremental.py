@@ -3,9 +3,10 @@
 The batch job re-runs a period; this runs the same transform only for the
 days that received new files since the last run. A file stream over the
 landing zone (``trigger(availableNow=True)``, checkpointed in the shared
-folder) reports which day folders got files; for each micro-batch,
-``foreachBatch`` re-reads those whole days from the landing zone with a
-partition-pruned batch scan, pivots them and upserts the result. Reading
+folder) reports which day folders got files, by their paths and without
+opening them; for each micro-batch, ``foreachBatch`` re-reads those whole days
+from the landing zone with a partition-pruned batch scan, pivots them and
+upserts the result. Reading
 the whole day (not just the new files) keeps the day-level rule: a day is
 never upserted from a partial set of its datatypes, and a day holding an
 unreadable file is skipped whole.
@@ -21,16 +22,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.observations import pivot_daily
-from ..schemas import RAW_OBSERVATION
 from ..sinks import tables
-from ..sources.observations import DAY_KEYS, tolerant_scan
+from ..sources.observations import DAY_KEYS, PIVOTED, tolerant_scan
 from ..staging import scratch, stage
 
-# Body fields plus the folder keys; Spark fills the folder keys from the path.
+# A row per file (its content is never asked for) plus the folder keys, which Spark fills from the path.
 _STREAM_SCHEMA = T.StructType(
-    [f for f in RAW_OBSERVATION.fields if f.name != "datatype"]
-    + [T.StructField("datatype", T.StringType()), T.StructField("year", T.IntegerType()),
-       T.StructField("month", T.IntegerType()), T.StructField("day", T.IntegerType())])
+    [T.StructField("path", T.StringType()), T.StructField("modificationTime", T.TimestampType()),
+     T.StructField("length", T.LongType()), T.StructField("content", T.BinaryType()),
+     T.StructField("datatype", T.StringType()), *(T.StructField(k, T.IntegerType()) for k in DAY_KEYS)])
 
 
 def load_days(spark: SparkSession, raw_root: str, results_path: str, days: DataFrame) -> dict:
@@ -40,12 +40,12 @@ def load_days(spark: SparkSession, raw_root: str, results_path: str, days: DataF
     """
     keys = [F.col(k).cast("int").alias(k) for k in DAY_KEYS]
     with scratch(spark):
-        days, _path = stage(days.select(*keys).distinct(), spark, "touched-days")  # the new files are read once
+        days, _path = stage(days.select(*keys).distinct(), spark, "touched-days")
         bounds = days.select(F.make_date("year", "month", "day").alias("d")) \
             .agg(F.min("d").alias("s"), F.max("d").alias("e")).first()
         if bounds["s"] is None:
             return {"written": False, "rows": 0}
-        rows, _bad = tolerant_scan(spark, raw_root, bounds["s"], bounds["e"], days=days)
+        rows, _bad = tolerant_scan(spark, raw_root, bounds["s"], bounds["e"], days=days, columns=PIVOTED)
         return tables.upsert_observations(pivot_daily(rows, rows.count()), results_path)
 
 
@@ -58,10 +58,9 @@ def start_incremental_load(spark: SparkSession, raw_root: str, results_path: str
     to process everything landed so far.
     """
     tables.ensure_table(spark, results_path, "transformed_results")
-    stream = (spark.readStream.schema(_STREAM_SCHEMA)
+    stream = (spark.readStream.schema(_STREAM_SCHEMA).format("binaryFile")
               .option("maxFilesPerTrigger", max_files_per_trigger)
-              .option("columnNameOfCorruptRecord", "_corrupt_record")
-              .json(raw_root))
+              .load(raw_root))
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         touched = batch.select(*DAY_KEYS).distinct()

@@ -48,3 +48,16 @@ def test_second_run_reads_only_new_files(spark, tmp_root):
     got = {r.id: (r.tmax, r.prcp) for r in tables.read_table(spark, results, "transformed_results").collect()}
     assert got == {f"A_200001{d:02d}": (1.0, None) for d in range(1, 7)} | {
         "A_20000107": (1.0, 2.0), "B_20000201": (3.0, None)}
+
+
+def test_new_files_are_listed_and_not_opened(spark, tmp_root):
+    from pluvio.streaming.incremental import start_incremental_load
+
+    raw, results, ckpt = tmp_root + "/raw", tmp_root + "/results", tmp_root + "/ckpt"
+    landing.land_observations(spark.createDataFrame(
+        [(f"GHCND:{i}", "2000-01-01T00:00:00", "TMAX", float(i)) for i in range(50)], OBS).coalesce(1), raw)
+    files = spark.read.format("binaryFile").load(raw).count()
+    query = start_incremental_load(spark, raw, results, ckpt)
+    query.awaitTermination()
+    assert sum(p["numInputRows"] for p in query.recentProgress) == files < 50
+    assert tables.read_table(spark, results, "transformed_results").count() == 50
